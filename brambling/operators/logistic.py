@@ -10,21 +10,22 @@ and with r = sigmoid(z) - y the gradient is
     g_j = shrink / std_j * (sum_i r_i * x_ij  -  mean_j * sum_i r_i),    g_intercept = shrink * sum_i r_i
 
 so every sum over documents touches only the non-zero entries. Loss and gradient come from one
-aggregate, combined in each task, with one output row per rank; only those rows reach the driver.
+pass: a task sums its own documents, batch by batch, the sums are added per rank after a shuffle of
+one row per task and rank, and one row per rank reaches the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from brambling.operators.text_features import Dictionary, Scaler
-from brambling.session import cut
 
 # Pseudo ranks of the two sums that do not belong to a feature.
 LOSS, RESIDUAL = -1, -2
@@ -74,34 +75,48 @@ def row_loss(z: Column | str, y: Column | str) -> Column:
     return F.greatest(z, F.lit(0.0)) + F.log1p(F.exp(-F.abs(z))) - y * z
 
 
-def sigmoid(z: Column | str) -> Column:
-    z = F.col(z) if isinstance(z, str) else z
-    small = F.exp(-F.abs(z))
-    return F.when(z >= 0, 1 / (1 + small)).otherwise(small / (1 + small))
-
-
 def total_loss(rows: DataFrame, theta: Sequence[float], scaler: Scaler) -> DataFrame:
     """One row: the summed loss of ``rows`` (with label ``y``) at ``theta``."""
     scored = margins(rows, theta, Folded.of(scaler))
     return scored.agg(F.sum(row_loss("z", "y")).alias("loss"))
 
 
-def loss_and_sums(rows: DataFrame, theta: Sequence[float], folded: Folded) -> DataFrame:
-    """``(rank, total)``: sum of r * x per rank, and the loss and the sum of r under pseudo ranks."""
-    scored = margins(rows, theta, folded).withColumn("r", sigmoid("z") - F.col("y"))
-
-    def row(rank: int, value: Column) -> Column:
-        return F.struct(F.lit(rank).alias("rank"), value.alias("value"))
-
-    own = F.transform("entries", lambda e: F.struct(e["rank"], (e["value"] * F.col("r")).alias("value")))
-    extra = F.array(row(LOSS, row_loss("z", "y")), row(RESIDUAL, F.col("r")))
-    exploded = scored.select(F.explode(F.concat(extra, own)).alias("e"))
-    return exploded.groupBy("e.rank").agg(F.sum("e.value").alias("total"))
+def training_arrays(rows: DataFrame) -> DataFrame:
+    """``(y, ranks, values)``, the form in which Arrow hands vectors to NumPy without copying."""
+    return rows.select(
+        F.col("y").cast("double").alias("y"),
+        F.transform("entries", lambda e: e["rank"]).alias("ranks"),
+        F.transform("entries", lambda e: e["value"]).alias("values"),
+    )
 
 
-def evaluate(rows: DataFrame, theta: np.ndarray, folded: Folded) -> tuple[float, np.ndarray]:
+def loss_and_sums(arrays: DataFrame, theta: np.ndarray, folded: Folded) -> DataFrame:
+    """``(rank, total)``: sum of r * x per rank, and the loss and the sum of r under pseudo ranks."""
+    weights, constant = folded.weights(theta)
+
+    def task_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, loss, residual = np.zeros(len(weights)), 0.0, 0.0
+        for batch in batches:
+            y = np.asarray(batch.column("y"))
+            doc = np.repeat(np.arange(len(y)), np.asarray(batch.column("ranks").value_lengths()))
+            rank, x = (np.asarray(batch.column(name).flatten()) for name in ("ranks", "values"))
+            z = np.bincount(doc, weights=x * weights[rank], minlength=len(y)) + constant
+            small = np.exp(-np.abs(z))
+            loss += float(np.sum(np.maximum(z, 0) + np.log1p(small) - y * z))
+            r = np.where(z >= 0, 1, small) / (1 + small) - y
+            residual += float(r.sum())
+            sums += np.bincount(rank, weights=x * r[doc], minlength=len(weights))
+        found = np.flatnonzero(sums)
+        ranks = np.concatenate([[LOSS, RESIDUAL], found])
+        totals = np.concatenate([[loss, residual], sums[found]])
+        yield pa.RecordBatch.from_pydict({"rank": pa.array(ranks, pa.int32()), "total": pa.array(totals, pa.float64())})
+
+    return arrays.mapInArrow(task_sums, "rank int, total double").groupBy("rank").agg(F.sum("total").alias("total"))
+
+
+def evaluate(arrays: DataFrame, theta: np.ndarray, folded: Folded) -> tuple[float, np.ndarray]:
     """Loss and gradient at ``theta`` from one job; at most one row per feature comes back."""
-    totals = loss_and_sums(rows, theta, folded).toPandas().set_index("rank")["total"]
+    totals = loss_and_sums(arrays, theta, folded).toPandas().set_index("rank")["total"]
     sums = totals.reindex(range(len(folded.mean)), fill_value=0.0).to_numpy()
     loss, residual = (float(totals.get(key, 0.0)) for key in (LOSS, RESIDUAL))
     return loss, folded.gradient(sums, residual)
@@ -109,7 +124,7 @@ def evaluate(rows: DataFrame, theta: np.ndarray, folded: Folded) -> tuple[float,
 
 def gradient(rows: DataFrame, theta: Sequence[float], scaler: Scaler) -> DataFrame:
     """``(rank, gradient)`` at ``theta``; the intercept has the last rank."""
-    _, slope = evaluate(rows, np.asarray(theta, dtype=float), Folded.of(scaler))
+    _, slope = evaluate(training_arrays(rows), np.asarray(theta, dtype=float), Folded.of(scaler))
     return coefficient_table(rows, slope, "gradient")
 
 
@@ -149,13 +164,13 @@ def fit_logistic(
     rate halves. The search ends when a step changes the loss by less than ``tolerance``: that
     step's coefficients are returned together with the loss before it.
 
-    Loss and gradient at a new point come from the same job, so an iteration is one pass. The
-    features are written to the shared folder once and cached from there: a lost executor costs a
-    read, not the text pipeline.
+    Loss and gradient at a new point come from the same job, so an iteration is one pass. ``rows``
+    are cached; hand over rows that ``cut`` has written to the shared folder, so that a lost
+    executor costs a read and not the whole text pipeline.
     """
     folded = Folded.of(scaler)
     current = initial_theta(scaler.size) if theta is None else np.asarray(theta, dtype=float)
-    data = cut(rows.select("doc_id", "entries", "y")).persist(StorageLevel.MEMORY_AND_DISK)
+    data = training_arrays(rows).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         loss, slope = evaluate(data, current, folded)
         candidate, iterations, rejected = current, 0, 0

@@ -104,7 +104,6 @@ class TextModel:
 
     dictionary: Dictionary
     idf: DataFrame
-    n_docs: int
 
     def transform(self, docs: DataFrame, tokenizer: str = "letters") -> DataFrame:
         """``(doc_id, rank, value)``: the TF-IDF vectors of ``docs``.
@@ -120,12 +119,24 @@ def tfidf(frequencies: DataFrame, idf: DataFrame, dictionary: Dictionary) -> Dat
     return joined.select("doc_id", "rank", (F.col("tf") * F.col("idf")).alias("value"))
 
 
+def fit_transform(docs: DataFrame, size: int) -> tuple[TextModel, DataFrame]:
+    """The model of ``docs`` and their own vectors ``(doc_id, rank, value)``.
+
+    N counts all documents, also those without a known word. The bag of words serves both IDF and
+    vectors, so it is written to the shared folder once instead of being counted twice.
+    """
+    dictionary = fit_dictionary(docs, size)
+    bag = cut(bag_of_words(docs, dictionary))
+    idf = cut(inverse_document_frequency(document_frequency(bag), docs.count()))
+    model = TextModel(dictionary, idf)
+    return model, tfidf(term_frequency(bag), idf, dictionary)
+
+
 def fit_text_model(docs: DataFrame, size: int) -> TextModel:
-    """Dictionary and IDF of ``docs``; N counts all documents, also those without a known word."""
+    """The model alone; the bag of words is counted on the fly."""
     dictionary = fit_dictionary(docs, size)
-    n_docs = docs.count()
     frequency = document_frequency(bag_of_words(docs, dictionary))
-    return TextModel(dictionary, cut(inverse_document_frequency(frequency, n_docs)), n_docs)
+    return TextModel(dictionary, cut(inverse_document_frequency(frequency, docs.count())))
 
 
 def non_zero_of(vectors: DataFrame, wanted: DataFrame) -> DataFrame:

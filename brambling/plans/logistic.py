@@ -32,8 +32,8 @@ class Training:
 
     @classmethod
     def of(cls, docs: DataFrame) -> Training:
-        model = tf.fit_text_model(docs, WORDS)
-        rows = cut(labelled(tf.sparse_rows(model.transform(docs))))
+        model, vectors = tf.fit_transform(docs, WORDS)
+        rows = cut(labelled(tf.sparse_rows(vectors)))
         return cls(model, rows, tf.fit_scaler(rows, model.dictionary.size))
 
     def features(self, docs: DataFrame) -> DataFrame:

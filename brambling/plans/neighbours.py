@@ -31,9 +31,9 @@ class Corpus:
     @classmethod
     def of(cls, spark: SparkSession, folder: str) -> Corpus:
         docs = texts.named_documents(spark, folder)
-        model = tf.fit_text_model(docs, texts.WORDS)
+        model, vectors = tf.fit_transform(docs, texts.WORDS)
         asked = model.transform(query_texts(spark, folder), tokenizer="whitespace")
-        return cls(cut(tf.sparse_rows(asked)), cut(tf.sparse_rows(model.transform(docs))))
+        return cls(cut(tf.sparse_rows(asked)), cut(tf.sparse_rows(vectors)))
 
 
 def knn_query_terms(spark: SparkSession, folder: str) -> DataFrame:

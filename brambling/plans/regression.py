@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from brambling.operators import forest, tables
 from brambling.plans.tables import read
+from brambling.session import spread
 
 INPUTS = ("l_extendedprice", "l_discount", "l_tax", "p_size", "p_retailprice")
 LABEL = "l_quantity"
@@ -15,7 +16,8 @@ SHARE = 0.8
 
 def items(spark: SparkSession, folder: str) -> DataFrame:
     part = read(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_size", "p_retailprice")
-    joined = read(spark, folder, "lineitem").join(part, "l_partkey")
+    lines = spread(read(spark, folder, "lineitem").select("l_partkey", LABEL, *INPUTS[:3]))
+    joined = lines.join(part, "l_partkey")
     return tables.drop_any_null(joined.select(LABEL, *INPUTS))
 
 

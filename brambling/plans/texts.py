@@ -2,25 +2,29 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brambling.functions.text import label_from_path, label_from_prefix
 from brambling.operators import text_features as tf
 from brambling.plans.tables import read
+from brambling.session import scratch_path, spread
+from brambling.sources.lines import read_lines, write_lines
 from brambling.sources.tagged import parse_documents, tagged_line
 
 WORDS = 20_000
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return read(spark, folder, "documents").select("doc_id", "text")
+    return spread(read(spark, folder, "documents").select("doc_id", "text"))
 
 
 def named_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with ids that carry the language, ``docs/<lang>/<number>``."""
     doc_id = F.concat_ws("/", F.lit("docs"), "lang", F.col("doc_id").cast("string"))
-    return read(spark, folder, "documents").select(doc_id.alias("doc_id"), "text")
+    return spread(read(spark, folder, "documents").select(doc_id.alias("doc_id"), "text"))
 
 
 def new_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -29,8 +33,16 @@ def new_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def parse_doc_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return parse_documents(read_lines(spark, tagged_file(spark, folder)))
+
+
+@cache
+def tagged_file(spark: SparkSession, folder: str) -> str:
+    """All documents as a file of tagged lines, written once per session."""
+    path = scratch_path(spark, "documents")
     docs = named_documents(spark, folder)
-    return parse_documents(docs.select(tagged_line(F.col("doc_id"), F.col("text")).alias("value")))
+    write_lines(docs.select(tagged_line(F.col("doc_id"), F.col("text")).alias("value")), path)
+    return path
 
 
 def label_from_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -78,8 +90,7 @@ def idf(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tfidf(spark: SparkSession, folder: str) -> DataFrame:
-    docs = documents(spark, folder)
-    return rounded(tf.fit_text_model(docs, WORDS).transform(docs))
+    return rounded(tf.fit_transform(documents(spark, folder), WORDS)[1])
 
 
 def tfidf_new_docs(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,9 +100,8 @@ def tfidf_new_docs(spark: SparkSession, folder: str) -> DataFrame:
 
 def doc_vector_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """The vectors of the documents that ``labels`` marks as toxic."""
-    docs = documents(spark, folder)
     wanted = read(spark, folder, "labels").where("toxic = 1")
-    return rounded(tf.non_zero_of(tf.fit_text_model(docs, WORDS).transform(docs), wanted))
+    return rounded(tf.non_zero_of(tf.fit_transform(documents(spark, folder), WORDS)[1], wanted))
 
 
 QUERIES = {

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brambling.operators import cleaning, revenue
 from brambling.plans.tables import read
-from brambling.session import scratch_path
+from brambling.session import scratch_path, spread
 from brambling.sources import lines as source
 from brambling.sources.tables import calendar
 
@@ -34,7 +36,7 @@ def trip_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
     total = money("l_extendedprice")
     total = F.when(tax == 0.05, F.concat(F.lit("  "), total, F.lit(" "))).otherwise(total)
-    return read(spark, folder, "lineitem").select(
+    return spread(read(spark, folder, "lineitem")).select(
         F.concat_ws(
             ",",
             F.concat(F.lit("m"), "l_suppkey"),
@@ -52,30 +54,40 @@ def trip_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@cache
+def trip_file(spark: SparkSession, folder: str) -> str:
+    """The trip lines as a text file, written once per session."""
+    path = scratch_path(spark, "trips")
+    source.write_lines(trip_lines(spark, folder), path)
+    return path
+
+
+def raw(spark: SparkSession, folder: str) -> DataFrame:
+    return source.read_lines(spark, trip_file(spark, folder))
+
+
 def trips(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.clean_trips(trip_lines(spark, folder))
+    return cleaning.clean_trips(raw(spark, folder))
 
 
 def read_delimited_lines(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch_path(spark, "trips")
-    source.write_lines(trip_lines(spark, folder), path)
-    return source.with_fields(source.read_lines(spark, path))
+    return source.with_fields(raw(spark, folder))
 
 
 def drop_null_token(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.drop_null_token(trip_lines(spark, folder))
+    return cleaning.drop_null_token(raw(spark, folder))
 
 
 def valid_datetime(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.keep_datetime(trip_lines(spark, folder))
+    return cleaning.keep_datetime(raw(spark, folder))
 
 
 def valid_money(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.keep_money(trip_lines(spark, folder))
+    return cleaning.keep_money(raw(spark, folder))
 
 
 def clean_funnel(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.clean_funnel(trip_lines(spark, folder))
+    return cleaning.clean_funnel(raw(spark, folder))
 
 
 def revenue_by_date(spark: SparkSession, folder: str) -> DataFrame:

@@ -47,3 +47,13 @@ def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and go on from there, so a lost executor costs one read."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a scan out to all cores if it has fewer splits than there are cores.
+
+    Large tables have more splits and stay as they are. Use it before work that costs much more
+    per row than moving the row does.
+    """
+    slots = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= slots else scan.repartition(slots)
