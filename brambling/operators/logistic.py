@@ -165,7 +165,7 @@ def fit_logistic(
     step's coefficients are returned together with the loss before it.
 
     Loss and gradient at a new point come from the same job, so an iteration is one pass. ``rows``
-    are cached; hand over rows that ``cut`` has written to the shared folder, so that a lost
+    are cached; hand over rows that ``store`` has written to the shared folder, so that a lost
     executor costs a read and not the whole text pipeline.
     """
     folded = Folded.of(scaler)

@@ -11,12 +11,17 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from brambling.functions.text import label_from_path
+from brambling.operators.text_features import TextModel, fit_transform, sparse_rows
+from brambling.session import cut, spread, store
+
 QUERY_BLOCK = 512
 QUERY_ENTRIES = 1 << 21
 DOC_BLOCK = 50_000
@@ -212,3 +217,29 @@ def vote(neighbours: DataFrame, label: Column) -> DataFrame:
 def classify(query_ids: DataFrame, neighbours: DataFrame, label: Column) -> DataFrame:
     """A label for every ``query_id``; null for queries without a vector, hence without neighbours."""
     return query_ids.select("query_id").join(vote(neighbours, label), "query_id", "left")
+
+
+@dataclass(frozen=True)
+class TextClassifier:
+    """Labels texts by their nearest documents in a corpus whose ids carry the labels."""
+
+    model: TextModel
+    vectors: DataFrame
+
+    @classmethod
+    def fit(cls, docs: DataFrame, size: int) -> TextClassifier:
+        """Fit on ``(doc_id, text)`` with ids such as ``corpus/category/number``."""
+        model, vectors = fit_transform(docs, size)
+        return cls(model, spread(store(sparse_rows(vectors))))
+
+    def query_vectors(self, queries: DataFrame, tokenizer: str = "whitespace") -> DataFrame:
+        """Vectors of ``(doc_id, text)``; a text without a dictionary word has none."""
+        return cut(sparse_rows(self.model.transform(queries, tokenizer)))
+
+    def neighbours(self, queries: DataFrame, k: int = 10, tokenizer: str = "whitespace") -> DataFrame:
+        return nearest(self.query_vectors(queries, tokenizer), self.vectors, k)
+
+    def predict(self, queries: DataFrame, k: int = 10, tokenizer: str = "whitespace") -> DataFrame:
+        """``(query_id, label, votes)`` for every query."""
+        ids = queries.select(F.col("doc_id").alias("query_id"))
+        return classify(ids, self.neighbours(queries, k, tokenizer), label_from_path("doc_id"))

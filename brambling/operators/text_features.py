@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brambling.functions.text import blank_runs, letter_runs, words
-from brambling.operators.joins import join_small, table_bytes
-from brambling.session import cut
+from brambling.operators.joins import BROADCAST_BYTES, join_small, table_bytes
+from brambling.session import cut, store
 
 # A dictionary row without its word: rank, count and row overhead.
 RANK_ROW_BYTES = 48
@@ -71,10 +71,19 @@ def fit_dictionary(docs: DataFrame, size: int) -> Dictionary:
 
 
 def bag_of_words(docs: DataFrame, dictionary: Dictionary, tokenizer: str = "letters") -> DataFrame:
-    """``(doc_id, rank, cnt)`` for every dictionary word of every document."""
+    """``(doc_id, rank, cnt)`` for every dictionary word of every document.
+
+    Words are looked up before they are counted, which drops most of them early. A dictionary too
+    large to send to every task is joined after counting: the counts are unique per document and
+    word, so the salt spreads even a word that every document has.
+    """
     known = dictionary.table.select("word", "rank")
-    found = join_small(word_rows(docs.select("doc_id", "text"), tokenizer), known, "word", dictionary.nbytes)
-    return found.groupBy("doc_id", "rank").agg(F.count("*").alias("cnt"))
+    found = word_rows(docs.select("doc_id", "text"), tokenizer)
+    if dictionary.nbytes <= BROADCAST_BYTES:
+        ranked = join_small(found, known, "word", dictionary.nbytes)
+        return ranked.groupBy("doc_id", "rank").agg(F.count("*").alias("cnt"))
+    counted = found.groupBy("doc_id", "word").agg(F.count("*").alias("cnt"))
+    return join_small(counted, known, "word", dictionary.nbytes).select("doc_id", "rank", "cnt")
 
 
 def document_frequency(bag: DataFrame) -> DataFrame:
@@ -123,10 +132,10 @@ def fit_transform(docs: DataFrame, size: int) -> tuple[TextModel, DataFrame]:
     """The model of ``docs`` and their own vectors ``(doc_id, rank, value)``.
 
     N counts all documents, also those without a known word. The bag of words serves both IDF and
-    vectors, so it is written to the shared folder once instead of being counted twice.
+    vectors, so it is stored once instead of being counted twice.
     """
     dictionary = fit_dictionary(docs, size)
-    bag = cut(bag_of_words(docs, dictionary))
+    bag = store(bag_of_words(docs, dictionary))
     idf = cut(inverse_document_frequency(document_frequency(bag), docs.count()))
     model = TextModel(dictionary, idf)
     return model, tfidf(term_frequency(bag), idf, dictionary)

@@ -14,7 +14,7 @@ from brambling.operators.neighbours import dense_rows
 from brambling.operators.tables import key_split
 from brambling.plans import texts
 from brambling.plans.tables import read
-from brambling.session import cut
+from brambling.session import store
 
 # Dense output has one cell per document and word, so these queries use the small dictionary.
 WORDS = 50
@@ -33,7 +33,7 @@ class Training:
     @classmethod
     def of(cls, docs: DataFrame) -> Training:
         model, vectors = tf.fit_transform(docs, WORDS)
-        rows = cut(labelled(tf.sparse_rows(vectors)))
+        rows = store(labelled(tf.sparse_rows(vectors)))
         return cls(model, rows, tf.fit_scaler(rows, model.dictionary.size))
 
     def features(self, docs: DataFrame) -> DataFrame:
@@ -122,7 +122,7 @@ def logreg_fit_dense(spark: SparkSession, folder: str) -> DataFrame:
     """The same fit on embeddings: is the label below 3?"""
     table = read(spark, folder, "embeddings")
     vectors = dense_rows(table.withColumn("_y", (F.col("label") < 3).cast("int")), F.struct("vec_id", "_y"), "embedding")
-    rows = cut(vectors.select(F.col("doc_id.vec_id").alias("doc_id"), "entries", F.col("doc_id._y").alias("y")))
+    rows = store(vectors.select(F.col("doc_id.vec_id").alias("doc_id"), "entries", F.col("doc_id._y").alias("y")))
     size = table.agg(F.max(F.size("embedding"))).first()[0]
     return fit_rows(lr.fit_logistic(rows, tf.fit_scaler(rows, size)))
 

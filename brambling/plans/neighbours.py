@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +10,6 @@ from brambling.operators import neighbours as nn
 from brambling.operators import text_features as tf
 from brambling.plans import texts
 from brambling.plans.tables import read
-from brambling.session import cut
 
 K = 10
 
@@ -21,19 +18,8 @@ def query_texts(spark: SparkSession, folder: str) -> DataFrame:
     return read(spark, folder, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
 
 
-@dataclass(frozen=True)
-class Corpus:
-    """TF-IDF vectors of all documents and of the query texts, written to the shared folder."""
-
-    queries: DataFrame
-    docs: DataFrame
-
-    @classmethod
-    def of(cls, spark: SparkSession, folder: str) -> Corpus:
-        docs = texts.named_documents(spark, folder)
-        model, vectors = tf.fit_transform(docs, texts.WORDS)
-        asked = model.transform(query_texts(spark, folder), tokenizer="whitespace")
-        return cls(cut(tf.sparse_rows(asked)), cut(tf.sparse_rows(vectors)))
+def classifier(spark: SparkSession, folder: str) -> nn.TextClassifier:
+    return nn.TextClassifier.fit(texts.named_documents(spark, folder), texts.WORDS)
 
 
 def knn_query_terms(spark: SparkSession, folder: str) -> DataFrame:
@@ -42,23 +28,20 @@ def knn_query_terms(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def knn_distances(spark: SparkSession, folder: str) -> DataFrame:
-    corpus = Corpus.of(spark, folder)
-    profile = nn.distance_profile(corpus.queries, corpus.docs)
+    fitted = classifier(spark, folder)
+    profile = nn.distance_profile(fitted.query_vectors(query_texts(spark, folder)), fitted.vectors)
     return profile.select(
         "query_id", "n_docs", *[F.round(f"{m}_distance", 6).alias(f"{m}_distance") for m in ("min", "mean", "max")]
     )
 
 
 def knn_neighbors(spark: SparkSession, folder: str) -> DataFrame:
-    corpus = Corpus.of(spark, folder)
-    found = nn.nearest(corpus.queries, corpus.docs, K)
+    found = classifier(spark, folder).neighbours(query_texts(spark, folder), K)
     return found.withColumn("distance", F.round("distance", 6))
 
 
 def knn_predict(spark: SparkSession, folder: str) -> DataFrame:
-    corpus = Corpus.of(spark, folder)
-    ids = query_texts(spark, folder).select(F.col("doc_id").alias("query_id"))
-    return nn.classify(ids, nn.nearest(corpus.queries, corpus.docs, K), label_from_path("doc_id"))
+    return classifier(spark, folder).predict(query_texts(spark, folder), K)
 
 
 def knn_dense(spark: SparkSession, folder: str) -> DataFrame:

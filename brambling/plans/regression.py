@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brambling.operators import forest, tables
+from brambling.operators.joins import join_small, table_bytes
 from brambling.plans.tables import read
 from brambling.session import spread
 
@@ -17,7 +18,7 @@ SHARE = 0.8
 def items(spark: SparkSession, folder: str) -> DataFrame:
     part = read(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_size", "p_retailprice")
     lines = spread(read(spark, folder, "lineitem").select("l_partkey", LABEL, *INPUTS[:3]))
-    joined = lines.join(part, "l_partkey")
+    joined = join_small(lines, part, "l_partkey", table_bytes(part))
     return tables.drop_any_null(joined.select(LABEL, *INPUTS))
 
 

@@ -44,11 +44,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and go on from there, so a lost executor costs one read."""
+    """Checkpoint a small fitted table: later plans start from it, and a lost executor costs a read."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame) -> DataFrame:
+    """The same for a large table: a Parquet table in the shared folder, compressed and splittable."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Deal the rows of a scan out to all cores if it has fewer splits than there are cores.
 
