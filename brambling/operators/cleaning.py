@@ -16,6 +16,9 @@ NULL_TOKEN = "NULL"
 DATETIME = "[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}"
 MONEY = r"\s*[0-9]+(?:\.[0-9]+)?\s*"
 
+# Amounts are kept exact to a hundredth of a cent, so that sums do not depend on row order.
+AMOUNT = "decimal(18,4)"
+
 
 def has_no_null(line: Column) -> Column:
     """No field is exactly the missing-value token."""
@@ -55,7 +58,7 @@ def clean_trips(lines: DataFrame) -> DataFrame:
     return fields.select(
         F.substring_index("pickup_datetime", " ", 1).alias("date"),
         F.col("hack_license").alias("driver"),
-        F.trim("total_amount").cast("decimal(18,2)").alias("amount"),
+        F.trim("total_amount").cast(AMOUNT).alias("amount"),
     )
 
 

@@ -22,9 +22,9 @@ from brambling.functions.text import label_from_path
 from brambling.operators.text_features import TextModel, fit_transform, sparse_rows
 from brambling.session import cut, spread, store
 
-QUERY_BLOCK = 512
-QUERY_ENTRIES = 1 << 21
-DOC_BLOCK = 50_000
+# Limits for the rows and the vector entries of one block.
+QUERY_BLOCK, QUERY_ENTRIES = 512, 1 << 21
+DOC_BLOCK, DOC_ENTRIES = 50_000, 1 << 23
 # Squared distances are compared at this many digits, so that the order in which a sum was
 # taken cannot decide between equally near documents; the smaller id does.
 DIGITS = 10
@@ -115,6 +115,12 @@ def _profile(queries: _Vectors, blocks: Iterator[_Vectors]) -> dict[str, list]:
     return {"query_id": list(queries.ids), "n": [count] * len(total), "low": low, "total": total, "high": high}
 
 
+def _block_count(vectors: DataFrame, rows: int, entries: int) -> int:
+    """How many blocks of at most ``rows`` rows and ``entries`` entries the vectors make up."""
+    n_rows, n_entries = vectors.agg(F.count("*"), F.coalesce(F.sum(F.size("ranks")), F.lit(0))).first()
+    return max(math.ceil(n_rows / rows), math.ceil(n_entries / entries))
+
+
 def _compare(
     queries: DataFrame,
     docs: DataFrame,
@@ -132,8 +138,8 @@ def _compare(
     def batch(result: dict[str, list]) -> pa.Table:
         return pa.Table.from_pydict(result, schema=arrow)
 
-    n_queries, n_entries = left.agg(F.count("*"), F.sum(F.size("ranks"))).first()
-    if n_queries <= query_block and (n_entries or 0) <= QUERY_ENTRIES:
+    query_blocks = _block_count(left, query_block, QUERY_ENTRIES)
+    if query_blocks <= 1:
         small = left.toArrow()
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,9 +150,7 @@ def _compare(
     def meet(query_part: pa.Table, doc_part: pa.Table) -> pa.Table:
         return batch(reduce(_Vectors(query_part), iter([_Vectors(doc_part)])))
 
-    query_blocks = math.ceil(n_queries / query_block)
-    doc_blocks = math.ceil(docs.count() / doc_block)
-    own = {"_q": query_blocks, "_d": doc_blocks}
+    own = {"_q": query_blocks, "_d": max(1, _block_count(right, doc_block, DOC_ENTRIES))}
 
     def cells(vectors: DataFrame, hashed: str, copied: str) -> DataFrame:
         block = F.pmod(F.xxhash64("id"), F.lit(own[hashed])).cast("int")

@@ -25,18 +25,17 @@ def average_by(df: DataFrame, keys: Sequence[str], value: str, name: str) -> Dat
 def average_by_joined(
     facts: DataFrame, dimension: DataFrame, on: str, keys: Sequence[str], value: str, name: str
 ) -> DataFrame:
-    """``average_by`` over ``facts`` joined with ``dimension``, for whole-cent or integer values.
+    """``average_by`` over ``facts`` joined with ``dimension``.
 
     The facts are summed per join key first: a key that owns a third of the facts reaches the join
-    as a handful of rows. Values are summed as decimals, which keeps the average exact.
+    as a handful of rows. A group without a value has a null average.
     """
     own_keys = [k for k in keys if k in facts.columns]
     partial = facts.groupBy(on, *own_keys).agg(
-        F.sum(F.col(value).cast("decimal(18,2)")).alias("_sum"), F.count(value).alias("_n")
+        F.sum(F.col(value).cast("double")).alias("_sum"), F.count(value).alias("_n")
     )
-    joined = partial.join(dimension, on)
-    total = F.sum("_sum").cast("double") / F.sum("_n")
-    return joined.groupBy(*keys).agg(total.alias(name))
+    average = F.try_divide(F.sum("_sum"), F.sum("_n"))
+    return partial.join(dimension, on).groupBy(*keys).agg(average.alias(name))
 
 
 def top_of_each(df: DataFrame, group: str, value: str, rank: str = "rank") -> DataFrame:
