@@ -8,18 +8,17 @@ from pyspark.sql import functions as F
 
 def words(text: Column | str) -> Column:
     """Lower-case words of a text; everything that is not an ASCII letter separates words."""
-    pieces = F.split(text, "[^a-zA-Z]+")
-    return F.transform(F.filter(pieces, lambda w: w != ""), F.lower)
+    return F.transform(letter_runs(text), F.lower)
 
 
 def letter_runs(text: Column | str) -> Column:
-    """One row per run of ASCII letters, in upper and lower case; some rows may be empty."""
-    return F.explode(F.split(text, "[^a-zA-Z]+"))
+    """The runs of ASCII letters of a text, in upper and lower case."""
+    return F.regexp_extract_all(text, F.lit("[a-zA-Z]+"), F.lit(0))
 
 
 def blank_runs(text: Column | str) -> Column:
-    """One row per piece between white space, punctuation kept; some rows may be empty."""
-    return F.explode(F.split(text, r"\s+"))
+    """The pieces of a text between white space, punctuation kept."""
+    return F.regexp_extract_all(text, F.lit(r"\S+"), F.lit(0))
 
 
 def label_from_prefix(doc_id: Column | str, prefix: str = "AU") -> Column:

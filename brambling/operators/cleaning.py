@@ -1,7 +1,8 @@
 """Row checks for raw delimited lines, and the row count after each check.
 
-Every check is one regular expression over the whole line, so it stays inside generated code and
-the line is split only once, for the rows that pass.
+Every check reads the whole line, so it stays inside generated code and the line is split only
+once, for the rows that pass. The patterns are possessive: a line that fails is not tried again in
+other ways.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from brambling.sources.lines import with_fields
 # The missing-value token and the two field formats.
 NULL_TOKEN = "NULL"
 DATETIME = "[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}"
-MONEY = r"\s*[0-9]+(?:\.[0-9]+)?\s*"
+MONEY = r"\s*+[0-9]++(?:\.[0-9]++)?+\s*+"
 
 # Amounts are kept exact to a hundredth of a cent, so that sums do not depend on row order.
 AMOUNT = "decimal(18,4)"
@@ -22,12 +23,12 @@ AMOUNT = "decimal(18,4)"
 
 def has_no_null(line: Column) -> Column:
     """No field is exactly the missing-value token."""
-    return ~line.rlike(f"(?:^|,){NULL_TOKEN}(?:,|$)")
+    return ~F.concat(F.lit(","), line, F.lit(",")).contains(f",{NULL_TOKEN},")
 
 
 def has_datetime(line: Column, field: int = 3, strict: bool = False) -> Column:
     """Field ``field`` starts with a date and time; ``strict`` also wants it to be a real one."""
-    looks_right = line.rlike(f"^(?:[^,]*,){{{field}}}{DATETIME}")
+    looks_right = line.rlike(f"^(?:[^,]*+,){{{field}}}{DATETIME}")
     if not strict:
         return looks_right
     text = F.substring(F.get(F.split(line, ","), field), 1, 19)
@@ -36,7 +37,7 @@ def has_datetime(line: Column, field: int = 3, strict: bool = False) -> Column:
 
 def has_money(line: Column, first: int = 5, at_least: int = 6) -> Column:
     """Fields ``first`` onwards, at least ``at_least`` of them, are all non-negative plain numbers."""
-    return line.rlike(f"^(?:[^,]*,){{{first}}}(?:{MONEY},){{{at_least - 1},}}{MONEY}$")
+    return line.rlike(f"^(?:[^,]*+,){{{first}}}{MONEY}(?:,{MONEY}){{{at_least - 1},}}+$")
 
 
 def drop_null_token(lines: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ def word_rows(docs: DataFrame, tokenizer: str = "letters") -> DataFrame:
     if tokenizer not in ("letters", "whitespace"):
         raise ValueError(f"unknown tokenizer {tokenizer!r}")
     pieces = letter_runs("text") if tokenizer == "letters" else blank_runs("text")
-    return docs.select(*keys, pieces.alias("word")).where("word <> ''").withColumn("word", F.lower("word"))
+    return docs.select(*keys, F.explode(pieces).alias("word")).withColumn("word", F.lower("word"))
 
 
 def word_counts(docs: DataFrame) -> DataFrame:

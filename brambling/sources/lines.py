@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +34,7 @@ def write_lines(lines: DataFrame, path: str) -> None:
 
 def split_line(line: Column | str = "value", separator: str = ",") -> Column:
     """All fields of a line; there is no quoting, and empty fields at the end are kept."""
-    return F.split(line, rf"\Q{separator}\E" if len(separator) > 1 else f"[{separator}]", -1)
+    return F.split(line, re.escape(separator), -1)
 
 
 def with_fields(lines: DataFrame, names: tuple[str, ...] = TRIP_FIELDS, separator: str = ",") -> DataFrame:
