@@ -96,5 +96,10 @@ def key_split(df: DataFrame, key: str, share: float = 0.8) -> Column:
 
 
 def random_split(df: DataFrame, share: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Training and test part of a scan or stored table.
+
+    The choice depends on the partitions of ``df``; behind a join or aggregation these may differ
+    from one run to the next, so ``store`` such a table first.
+    """
     train, test = df.randomSplit([share, 1 - share], seed=seed)
     return train, test

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from brambling.operators import forest, tables
 from brambling.operators.joins import join_small, table_bytes
 from brambling.plans.tables import read
-from brambling.session import spread
+from brambling.session import spread, store
 
 INPUTS = ("l_extendedprice", "l_discount", "l_tax", "p_size", "p_retailprice")
 LABEL = "l_quantity"
@@ -16,10 +16,11 @@ SHARE = 0.8
 
 
 def items(spark: SparkSession, folder: str) -> DataFrame:
+    """Label and inputs, stored: both parts of a random split must come from the same rows."""
     part = read(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_size", "p_retailprice")
     lines = spread(read(spark, folder, "lineitem").select("l_partkey", LABEL, *INPUTS[:3]))
     joined = join_small(lines, part, "l_partkey", table_bytes(part))
-    return tables.drop_any_null(joined.select(LABEL, *INPUTS))
+    return store(tables.drop_any_null(joined.select(LABEL, *INPUTS)))
 
 
 def random_split(spark: SparkSession, folder: str) -> DataFrame:
@@ -47,9 +48,9 @@ def rmse(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rf_regression(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = tables.random_split(forest.assemble(items(spark, folder), INPUTS).select("features", LABEL), SHARE)
-    model = forest.fit_forest(train, LABEL)
-    return forest.rmse(model.transform(test), LABEL)
+    train, test = tables.random_split(items(spark, folder), SHARE)
+    model = forest.fit_forest(forest.assemble(train, INPUTS), LABEL)
+    return forest.rmse(model.transform(forest.assemble(test, INPUTS)), LABEL)
 
 
 QUERIES = {f.__name__: f for f in (random_split, key_split, rmse, rf_regression)}
