@@ -16,8 +16,10 @@ from brambling.plans import texts
 from brambling.plans.tables import read
 from brambling.session import store
 
-# Dense output has one cell per document and word, so these queries use the small dictionary.
+# The small dictionary is for output with one cell per document and word, the large one for fits.
 WORDS = 50
+MANY_WORDS = 20_000
+TOP = 50
 TRAIN_SHARE = 0.8
 CLASS_PREFIX = "docs/en"
 
@@ -31,8 +33,8 @@ class Training:
     scaler: tf.Scaler
 
     @classmethod
-    def of(cls, docs: DataFrame) -> Training:
-        model, vectors = tf.fit_transform(docs, WORDS)
+    def of(cls, docs: DataFrame, size: int = WORDS) -> Training:
+        model, vectors = tf.fit_transform(docs, size)
         rows = store(labelled(tf.sparse_rows(vectors)))
         return cls(model, rows, tf.fit_scaler(rows, model.dictionary.size))
 
@@ -44,8 +46,8 @@ def labelled(rows: DataFrame) -> DataFrame:
     return rows.withColumn("y", label_from_prefix("doc_id", CLASS_PREFIX))
 
 
-def whole(spark: SparkSession, folder: str) -> Training:
-    return Training.of(texts.named_documents(spark, folder))
+def whole(spark: SparkSession, folder: str, size: int = WORDS) -> Training:
+    return Training.of(texts.named_documents(spark, folder), size)
 
 
 def parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -118,6 +120,10 @@ def logreg_fit(spark: SparkSession, folder: str) -> DataFrame:
     return fit_rows(fitted(whole(spark, folder)))
 
 
+def logreg_fit_large(spark: SparkSession, folder: str) -> DataFrame:
+    return fit_rows(fitted(whole(spark, folder, MANY_WORDS)))
+
+
 def logreg_fit_dense(spark: SparkSession, folder: str) -> DataFrame:
     """The same fit on embeddings: is the label below 3?"""
     table = read(spark, folder, "embeddings")
@@ -128,14 +134,14 @@ def logreg_fit_dense(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def top_coefficients(spark: SparkSession, folder: str) -> DataFrame:
-    training = whole(spark, folder)
-    best = lr.top_coefficients(fitted(training), training.model.dictionary)
+    training = whole(spark, folder, MANY_WORDS)
+    best = lr.top_coefficients(fitted(training), training.model.dictionary, TOP)
     return best.select("rank", "word", F.round("theta", 4).alias("theta"))
 
 
 def predicted(spark: SparkSession, folder: str) -> DataFrame:
     train, test = parts(spark, folder)
-    training = Training.of(train)
+    training = Training.of(train, MANY_WORDS)
     return fitted(training).predict(labelled(training.features(test)))
 
 
@@ -161,6 +167,7 @@ QUERIES = {
         logreg_loss,
         logreg_gradient,
         logreg_fit,
+        logreg_fit_large,
         logreg_fit_dense,
         top_coefficients,
         logreg_predict,
@@ -242,18 +249,68 @@ def training_sql(docs: str) -> str:
     )
 
 
+def sparse_margins_sql(name: str, theta: str, source: str, entries: str = "entries") -> str:
+    """CTE ``name``: the margin of every document of ``entries`` at the coefficients ``theta``."""
+    return f"""
+{name}_t AS (SELECT unnest({theta}) AS t, generate_subscripts({theta}, 1) - 1 AS rank FROM {source}),
+{name}_w AS (SELECT rank, mean, std, t, 0.01 * t / std AS a FROM {name}_t JOIN stats USING (rank)),
+{name}_c AS (
+  SELECT 0.01 * (SELECT t FROM {name}_t ORDER BY rank DESC LIMIT 1) - (SELECT sum(a * mean) FROM {name}_w) AS c),
+{name} AS (
+  SELECT doc_id, any_value(y) AS y, sum(value * a) + any_value(c) AS z
+  FROM {entries} JOIN {name}_w USING (rank), {name}_c GROUP BY doc_id)"""
+
+
+def sparse_descent_sql(docs: str, size: int) -> str:
+    """The descent on sparse vectors: CTEs up to ``final``, as ``descent_sql`` has them for dense ones."""
+    loss = "sum(greatest(z, 0) + ln(1 + exp(-abs(z))) - y * z)"
+    start = lr.initial_theta(size).tolist()
+    return f"""{texts.model_sql(docs, size)},
+stats AS MATERIALIZED (
+  SELECT rank, s / n AS mean, CASE WHEN sq / n - (s / n) ** 2 <= 1e-18 THEN 1 ELSE sqrt(sq / n - (s / n) ** 2) END AS std
+  FROM (SELECT rank, sum(value) AS s, sum(value * value) AS sq FROM tfidf GROUP BY rank),
+    (SELECT count(DISTINCT doc_id) AS n FROM tfidf)),
+entries AS MATERIALIZED (SELECT doc_id, {Y}, rank, value FROM tfidf),
+start AS MATERIALIZED (SELECT ({start}::DOUBLE[])[:(SELECT count(*) FROM stats) + 1] AS theta),
+{sparse_margins_sql('zero', 'theta', 'start')},
+steps AS (
+  SELECT 0 AS it, theta, theta AS candidate, 0.3::DOUBLE AS rate, (SELECT {loss} FROM zero) AS loss, FALSE AS stop
+  FROM start
+  UNION ALL
+  SELECT * FROM (
+    WITH s AS (SELECT * FROM steps WHERE NOT stop AND it < 60),
+    {sparse_margins_sql('now', 'theta', 's')},
+    r AS (SELECT doc_id, 1 / (1 + exp(-z)) - y AS r FROM now),
+    total AS (SELECT sum(r) AS r FROM r),
+    g AS (SELECT rank, sum(value * r) AS g FROM entries JOIN r USING (doc_id) GROUP BY rank),
+    moved AS (
+      SELECT list_append(list(t - rate * 0.01 / std * (g - mean * total.r) ORDER BY rank),
+        any_value(s.theta[len(s.theta)] - rate * 0.01 * total.r)) AS cand
+      FROM now_w JOIN g USING (rank), s, total),
+    {sparse_margins_sql('next', 'cand', 'moved')},
+    l AS (SELECT {loss} AS new_loss FROM next)
+    SELECT it + 1, CASE WHEN new_loss < loss THEN cand ELSE theta END,
+      CASE WHEN abs(new_loss - loss) < 0.1 OR new_loss < loss THEN cand ELSE theta END,
+      CASE WHEN new_loss < loss THEN rate * 1.2 ELSE rate * 0.5 END,
+      CASE WHEN abs(new_loss - loss) < 0.1 THEN loss ELSE least(new_loss, loss) END,
+      abs(new_loss - loss) < 0.1
+    FROM s, moved, l)),
+final AS MATERIALIZED (SELECT it, candidate, loss FROM steps ORDER BY it DESC LIMIT 1)"""
+
+
 def oracles() -> dict[str, str]:
     model = f"WITH {training_sql(texts.NAMED)}"
     fit = f"WITH RECURSIVE {training_sql(texts.NAMED)}, {descent_sql(START)}"
     theta = f"{START}::DOUBLE[]"
     in_train = f"('0x' || substr(md5(doc_id), 1, 8))::UBIGINT < {int(TRAIN_SHARE * 2**32)}"
     new_vectors = f"new AS MATERIALIZED ({texts.tfidf_sql(f'({texts.bag_sql(texts.NEW)})')})"
+    large = f"WITH RECURSIVE {sparse_descent_sql(texts.NAMED, MANY_WORDS)}"
+    test_bag = texts.bag_sql(f"SELECT * FROM ({texts.NAMED}) WHERE NOT {in_train}")
     held_out = (
-        f"WITH RECURSIVE {training_sql(f'SELECT * FROM ({texts.NAMED}) WHERE {in_train}')}, {descent_sql(START)},"
-        f" test AS ({texts.tfidf_sql('(' + texts.bag_sql(f'SELECT * FROM ({texts.NAMED}) WHERE NOT {in_train}') + ')')}),"
-        f" test_scaled AS ({scaled_sql('test')}),"
-        f" predicted AS (SELECT doc_id, {Y}, (list_dot_product(x, candidate) > 0)::INTEGER AS prediction FROM"
-        " (SELECT doc_id, list_append(list(value ORDER BY rank), 0.01::DOUBLE) AS x FROM test_scaled GROUP BY doc_id), final)"
+        f"WITH RECURSIVE {sparse_descent_sql(f'SELECT * FROM ({texts.NAMED}) WHERE {in_train}', MANY_WORDS)},"
+        f" test AS (SELECT doc_id, {Y}, rank, value FROM ({texts.tfidf_sql(f'({test_bag})')})),"
+        f" {sparse_margins_sql('scores', 'candidate', 'final', 'test')},"
+        " predicted AS (SELECT doc_id, y, (z > 0)::INTEGER AS prediction FROM scores)"
     )
     fit_columns = (
         "SELECT (i - 1)::INTEGER AS rank, round(candidate[i], 4) AS theta, it::INTEGER AS iterations, round(loss, 4) AS loss"
@@ -278,9 +335,10 @@ points AS MATERIALIZED (
         "logreg_gradient": f"{model} SELECT unnest(range(0, {WORDS + 1}))::INTEGER AS rank,"
         f" unnest(list_transform(grad, lambda g: round(g, 6))) AS gradient FROM ({gradient_sql('t', f'(SELECT {theta} AS t)')})",
         "logreg_fit": f"{fit} {fit_columns}",
+        "logreg_fit_large": f"{large} {fit_columns}",
         "logreg_fit_dense": f"{dense} {fit_columns}",
-        "top_coefficients": f"{fit} SELECT rank, word, round(candidate[rank + 1], 4) AS theta FROM dict, final"
-        " ORDER BY candidate[rank + 1] DESC, word LIMIT 10",
+        "top_coefficients": f"{large} SELECT rank, word, round(candidate[rank + 1], 4) AS theta FROM dict, final"
+        f" ORDER BY candidate[rank + 1] DESC, word LIMIT {TOP}",
         "logreg_predict": f"{held_out} SELECT doc_id, y, prediction FROM predicted",
         "classification_metrics": f"{held_out}, c AS (SELECT count_if(y = 1 AND prediction = 1) AS tp,"
         " count_if(y = 0 AND prediction = 1) AS fp, count_if(y = 1 AND prediction = 0) AS fn,"
