@@ -9,12 +9,12 @@ BROADCAST_BYTES = 64 << 20
 SALTS = 32
 
 
-def table_bytes(df: DataFrame) -> int:
-    """Size of a materialised table, measured: text by its bytes, other values as 16 each."""
+def measure(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of a materialised table: text by its length, other values as 16 bytes each."""
     width = F.lit(0).cast("bigint")
     for name, kind in df.dtypes:
         width += F.coalesce(F.octet_length(name), F.lit(0)) + 16 if kind == "string" else F.lit(16)
-    return df.agg(F.sum(width)).first()[0] or 0
+    return df.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
 
 
 def join_small(large: DataFrame, small: DataFrame, on: str, small_bytes: int) -> DataFrame:

@@ -27,11 +27,16 @@ from pyspark.storagelevel import StorageLevel
 
 from brambling.operators.text_features import Dictionary, Scaler
 
+# Fixed values of the descent: start rate, factors after a kept and an undone step, the change in
+# loss at which it stops, the largest number of iterations, the seed of the start coefficients.
+RATE, FASTER, SLOWER = 0.3, 1.2, 0.5
+TOLERANCE, MAX_ITERATIONS, SEED = 0.1, 60, 10
+
 # Pseudo ranks of the two sums that do not belong to a feature.
 LOSS, RESIDUAL = -1, -2
 
 
-def initial_theta(size: int, seed: int = 10) -> np.ndarray:
+def initial_theta(size: int, seed: int = SEED) -> np.ndarray:
     """Uniform start coefficients in [0, 1) for ``size`` features and the intercept."""
     return np.random.RandomState(seed).random_sample(size + 1)
 
@@ -116,7 +121,7 @@ def loss_and_sums(arrays: DataFrame, theta: np.ndarray, folded: Folded) -> DataF
 
 def evaluate(arrays: DataFrame, theta: np.ndarray, folded: Folded) -> tuple[float, np.ndarray]:
     """Loss and gradient at ``theta`` from one job; at most one row per feature comes back."""
-    totals = loss_and_sums(arrays, theta, folded).toPandas().set_index("rank")["total"]
+    totals = loss_and_sums(arrays, theta, folded).toArrow().to_pandas().set_index("rank")["total"]
     sums = totals.reindex(range(len(folded.mean)), fill_value=0.0).to_numpy()
     loss, residual = (float(totals.get(key, 0.0)) for key in (LOSS, RESIDUAL))
     return loss, folded.gradient(sums, residual)
@@ -154,14 +159,14 @@ def fit_logistic(
     rows: DataFrame,
     scaler: Scaler,
     theta: Sequence[float] | None = None,
-    rate: float = 0.3,
-    tolerance: float = 0.1,
-    max_iterations: int = 60,
+    rate: float = RATE,
+    tolerance: float = TOLERANCE,
+    max_iterations: int = MAX_ITERATIONS,
 ) -> LogisticModel:
     """Gradient descent on ``rows`` = ``(doc_id, entries, y)``.
 
-    A step that lowers the loss is kept and the rate grows by 1.2; otherwise it is undone and the
-    rate halves. The search ends when a step changes the loss by less than ``tolerance``: that
+    A step that lowers the loss is kept and the rate grows; otherwise it is undone and the rate
+    halves. The search ends when a step changes the loss by less than ``tolerance``: that
     step's coefficients are returned together with the loss before it.
 
     Loss and gradient at a new point come from the same job, so an iteration is one pass. ``rows``
@@ -181,10 +186,10 @@ def fit_logistic(
             if abs(new_loss - loss) < tolerance:
                 break
             if new_loss < loss:
-                rate *= 1.2
+                rate *= FASTER
                 current, loss, slope = candidate, new_loss, new_slope
             else:
-                rate *= 0.5
+                rate *= SLOWER
                 rejected += 1
                 candidate = current
     finally:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brambling.functions.text import blank_runs, letter_runs, words
-from brambling.operators.joins import BROADCAST_BYTES, join_small, table_bytes
+from brambling.operators.joins import BROADCAST_BYTES, join_small, measure
 from brambling.session import cut, store
 
 # A dictionary row without its word: rank, count and row overhead.
@@ -67,7 +67,7 @@ class Dictionary:
 
 def fit_dictionary(docs: DataFrame, size: int) -> Dictionary:
     table = cut(top_words(word_counts(docs), size))
-    return Dictionary(table, table.count(), table_bytes(table))
+    return Dictionary(table, *measure(table))
 
 
 def bag_of_words(docs: DataFrame, dictionary: Dictionary, tokenizer: str = "letters") -> DataFrame:
@@ -153,14 +153,14 @@ def non_zero_of(vectors: DataFrame, wanted: DataFrame) -> DataFrame:
     return vectors.where("value <> 0").join(wanted.select("doc_id"), "doc_id", "left_semi")
 
 
-def sparse_rows(vectors: DataFrame, *keep: str) -> DataFrame:
+def sparse_rows(vectors: DataFrame) -> DataFrame:
     """``(doc_id, entries)``: one row per document, entries ``(rank, value)`` ordered by rank.
 
     The long vectors are already partitioned by document, so this does not shuffle again, and a
     document holds at most one entry per rank.
     """
     entries = F.sort_array(F.collect_list(F.struct("rank", "value")))
-    return vectors.groupBy("doc_id", *keep).agg(entries.alias("entries"))
+    return vectors.groupBy("doc_id").agg(entries.alias("entries"))
 
 
 @dataclass(frozen=True)

@@ -110,4 +110,4 @@ def test_the_salt_spreads_a_hot_key(spark):
 
 def test_measured_size(spark):
     df = spark.createDataFrame([("abc", 1), ("ä", 2)], "w string, n int")
-    assert joins.table_bytes(df) == 3 + 2 + 2 * 16 + 2 * 16
+    assert tuple(joins.measure(df)) == (2, 3 + 2 + 2 * 16 + 2 * 16)
