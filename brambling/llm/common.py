@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from brambling.operators.joins import join_small, measure
-from brambling.session import store
+from brambling.session import scratch_path, store
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -76,3 +76,67 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterato
 
 def batch_of(schema: pa.Schema, **columns: object) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if not isinstance(columns[f.name], pa.Array) else columns[f.name] for f in schema], schema=schema)
+
+
+def spill(df: DataFrame) -> tuple[DataFrame, str]:
+    """Store a table in the shared folder and name its path, for ``discard`` once it is not needed."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete tables that ``spill`` wrote."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+HOT_SHARE = 1024
+
+
+def join_counted(rows: DataFrame, table: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` with ``table``, which has one row per key and the number of its rows.
+
+    Keys with more than 1/1024 of all ``total`` rows are at most 1024; their entries are broadcast
+    and their rows stay where they are. All others meet in a shuffle, none of them large.
+    """
+    hot = table.where(F.col(count) * HOT_SHARE > total)
+    cold = table.where(F.col(count) * HOT_SHARE <= total)
+    here = rows.join(F.broadcast(hot.drop(count)), keys)
+    rest = rows.join(F.broadcast(hot.select(keys)), keys, "left_anti")
+    return here.unionByName(rest.join(cold.drop(count), keys))
+
+
+def sorted_runs(batches: Iterator[dict[str, np.ndarray]], keys: list[str]) -> Iterator[dict[str, np.ndarray]]:
+    """From chunks of a stream sorted by ``keys``, the rows of each key together."""
+    held: dict[str, np.ndarray] | None = None
+    for chunk in batches:
+        if held is not None:
+            chunk = {k: np.concatenate([held[k], v]) for k, v in chunk.items()}
+        n = len(chunk[keys[0]])
+        if not n:
+            continue
+        change = np.zeros(n, bool)
+        for key in keys:
+            change[1:] |= chunk[key][1:] != chunk[key][:-1]
+        starts = np.concatenate([[0], np.flatnonzero(change)])
+        for a, b in zip(starts[:-1], starts[1:]):
+            yield {k: v[a:b] for k, v in chunk.items()}
+        held = {k: v[starts[-1] :] for k, v in chunk.items()}
+    if held is not None:
+        yield held
+
+
+def star(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
+    """For ``n`` nodes and pairs of them, the smallest node that each is connected with."""
+    root = np.arange(n)
+    while len(left):
+        a, b = root[left], root[right]
+        low, high = np.minimum(a, b), np.maximum(a, b)
+        if not (low < high).any():
+            break
+        np.minimum.at(root, high, low)
+        while (root[root] != root).any():
+            root = root[root]
+    return root

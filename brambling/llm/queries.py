@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brambling.llm import mixing, secrets
+from brambling.llm import mixing, near_vectors, secrets
 from brambling.llm.common import read
 
 
@@ -16,5 +16,9 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op5_secret_scans, op6_mixing)}
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {q.__name__: q for q in (op5_secret_scans, op6_mixing, op10_embedding_near_dedup)}
 ORACLES = {"op6_mixing": mixing.ORACLE}
