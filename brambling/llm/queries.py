@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from brambling.llm import mixing, near_vectors, secrets
+from brambling.llm import mixing, near_vectors, secrets, token_files, warc
 from brambling.llm.common import read
+from brambling.session import scratch_path
 
 
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,9 +18,19 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op7_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.tokens_of(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_warc(read(spark, sf_dir, "pages"), path)
+    return warc.read_warc(spark, path)
+
+
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(read(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {q.__name__: q for q in (op5_secret_scans, op6_mixing, op10_embedding_near_dedup)}
-ORACLES = {"op6_mixing": mixing.ORACLE}
+QUERIES = {q.__name__: q for q in (op5_secret_scans, op6_mixing, op7_token_id_output, op9_warc, op10_embedding_near_dedup)}
+ORACLES = {"op6_mixing": mixing.ORACLE, "op9_warc": warc.ORACLE}
