@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brambling.llm import language, mixing, near_vectors, quality, secrets, token_files, warc
+from brambling.llm import decontamination, language, mixing, near_vectors, quality, secrets, token_files, toxicity, warc
 from brambling.llm.common import fold, read
 from brambling.session import scratch_path
 
@@ -26,6 +26,17 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_held_out(read(spark, sf_dir, "documents"))
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.digest(decontamination.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), ["doc_id"]))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = read(spark, sf_dir, "documents"), fold("doc_id", 5) == 0
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"), ~held)
+    scored = quality.with_score(docs, model, ["doc_id"], "text", "score")
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(read(spark, sf_dir, "documents")))
 
@@ -48,5 +59,5 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(read(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {q.__name__: q for q in (op1_quality_classifier, op2_language_id, op5_secret_scans, op6_mixing, op7_token_id_output, op9_warc, op10_embedding_near_dedup)}
+QUERIES = {q.__name__: q for q in (op1_quality_classifier, op2_language_id, op3_benchmark_decontamination, op4_toxicity, op5_secret_scans, op6_mixing, op7_token_id_output, op9_warc, op10_embedding_near_dedup)}
 ORACLES = {"op6_mixing": mixing.ORACLE, "op9_warc": warc.ORACLE}
