@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brambling.llm import decontamination, language, mixing, near_vectors, quality, secrets, token_files, toxicity, warc
+from brambling.llm import decontamination, jaccard_join, language, mixing, near_vectors, quality, secrets, token_files, toxicity, warc
 from brambling.llm.common import fold, read
 from brambling.session import scratch_path
 
@@ -49,6 +49,10 @@ def op7_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.tokens_of(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_documents(read(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_warc(read(spark, sf_dir, "pages"), path)
@@ -59,5 +63,5 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(read(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {q.__name__: q for q in (op1_quality_classifier, op2_language_id, op3_benchmark_decontamination, op4_toxicity, op5_secret_scans, op6_mixing, op7_token_id_output, op9_warc, op10_embedding_near_dedup)}
-ORACLES = {"op6_mixing": mixing.ORACLE, "op9_warc": warc.ORACLE}
+QUERIES = {q.__name__: q for q in (op1_quality_classifier, op2_language_id, op3_benchmark_decontamination, op4_toxicity, op5_secret_scans, op6_mixing, op7_token_id_output, op8_ngram_jaccard_join, op9_warc, op10_embedding_near_dedup)}
+ORACLES = {"op6_mixing": mixing.ORACLE, "op8_ngram_jaccard_join": jaccard_join.ORACLE, "op9_warc": warc.ORACLE}
