@@ -17,8 +17,8 @@ def letter_runs(text: Column | str) -> Column:
 
 
 def blank_runs(text: Column | str) -> Column:
-    """The pieces of a text between white space, punctuation kept."""
-    return F.regexp_extract_all(text, F.lit(r"\S+"), F.lit(0))
+    """The pieces of a text between white space of any script, punctuation kept."""
+    return F.regexp_extract_all(text, F.lit(r"(?U)[^\s\x1c-\x1f]+"), F.lit(0))
 
 
 def label_from_prefix(doc_id: Column | str, prefix: str = "AU") -> Column:

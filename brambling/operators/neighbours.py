@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from brambling.functions.text import label_from_path
 from brambling.operators.text_features import TextModel, fit_transform, sparse_rows
-from brambling.session import cut, spread, store
+from brambling.session import cut, store
 
 # Limits for the rows and the vector entries of one block.
 QUERY_BLOCK, QUERY_ENTRIES = 512, 1 << 21
@@ -234,7 +234,7 @@ class TextClassifier:
     def fit(cls, docs: DataFrame, size: int) -> TextClassifier:
         """Fit on ``(doc_id, text)`` with ids such as ``corpus/category/number``."""
         model, vectors = fit_transform(docs, size)
-        return cls(model, spread(store(sparse_rows(vectors))))
+        return cls(model, store(sparse_rows(vectors)))
 
     def query_vectors(self, queries: DataFrame, tokenizer: str = "whitespace") -> DataFrame:
         """Vectors of ``(doc_id, text)``; a text without a dictionary word has none."""

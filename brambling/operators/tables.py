@@ -39,7 +39,10 @@ def average_by_joined(
 
 
 def top_of_each(df: DataFrame, group: str, value: str, rank: str = "rank") -> DataFrame:
-    """The rows with the largest ``value`` of each ``group``, ties included."""
+    """The rows with the largest ``value`` of each ``group``, ties included.
+
+    Round averages before, so that the order in which a sum was taken cannot part a tie.
+    """
     order = Window.partitionBy(group).orderBy(F.desc(value))
     return df.withColumn(rank, F.rank().over(order)).where(F.col(rank) == 1)
 
@@ -62,9 +65,10 @@ def histogram(df: DataFrame, column: str, buckets: int = 20) -> DataFrame:
     """``(bucket, lo, hi, n)`` for equally wide buckets between the smallest and the largest value.
 
     The last bucket includes its upper edge, empty buckets count 0, and a column with one distinct
-    value has one bucket. Nulls and NaN are not counted.
+    value has one bucket. Nulls, NaN and infinities are not counted.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).where("v is not null and not isnan(v)")
+    finite = F.col("v").isNotNull() & ~F.isnan("v") & (F.abs("v") < float("inf"))
+    values = df.select(F.col(column).cast("double").alias("v")).where(finite)
     low, high = values.agg(F.min("v"), F.max("v")).first()
     spark = df.sparkSession
     if low is None:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from brambling.operators import forest, tables
 from brambling.operators.joins import join_small, measure
 from brambling.plans.tables import read
-from brambling.session import spread, store
+from brambling.session import store
 
 INPUTS = ("l_extendedprice", "l_discount", "l_tax", "p_size", "p_retailprice")
 LABEL = "l_quantity"
@@ -18,7 +18,7 @@ SHARE = 0.8
 def items(spark: SparkSession, folder: str) -> DataFrame:
     """Label and inputs, stored: both parts of a random split must come from the same rows."""
     part = read(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_size", "p_retailprice")
-    lines = spread(read(spark, folder, "lineitem").select("l_partkey", LABEL, *INPUTS[:3]))
+    lines = read(spark, folder, "lineitem").select("l_partkey", LABEL, *INPUTS[:3])
     joined = join_small(lines, part, "l_partkey", measure(part)[1])
     return store(tables.drop_any_null(joined.select(LABEL, *INPUTS)))
 

@@ -76,8 +76,7 @@ def avg_by_one_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def top_group_per_partition(spark: SparkSession, folder: str) -> DataFrame:
-    best = tables.top_of_each(genre_popularity(spark, folder), "year", "average_popularity")
-    return best.withColumn("average_popularity", F.round("average_popularity", 6))
+    return tables.top_of_each(avg_by_two_keys(spark, folder), "year", "average_popularity")
 
 
 def artist_track_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -133,8 +132,8 @@ def oracles() -> dict[str, str]:
             " round(avg(l_quantity), 6) AS average_popularity FROM lineitem GROUP BY ALL"
         ),
         "top_group_per_partition": (
-            "SELECT genre, year, round(a, 6) AS average_popularity, r::INTEGER AS rank FROM"
-            f" (SELECT *, rank() OVER (PARTITION BY year ORDER BY a DESC) AS r FROM ({averages})) WHERE r = 1"
+            "SELECT genre, year, a AS average_popularity, r::INTEGER AS rank FROM (SELECT genre, year, a,"
+            f" rank() OVER (PARTITION BY year ORDER BY a DESC) AS r FROM (SELECT genre, year, round(a, 6) AS a FROM ({averages}))) WHERE r = 1"
         ),
         "artist_track_counts": (
             "SELECT l_suppkey AS artist_name, count(l_partkey) AS num_tracks FROM lineitem"

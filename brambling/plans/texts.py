@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from brambling.functions.text import label_from_path, label_from_prefix
 from brambling.operators import text_features as tf
 from brambling.plans.tables import read
-from brambling.session import scratch_path, spread
+from brambling.session import scratch_path
 from brambling.sources.lines import read_lines, write_lines
 from brambling.sources.tagged import parse_documents, tagged_line
 
@@ -18,13 +18,13 @@ WORDS = 20_000
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(read(spark, folder, "documents").select("doc_id", "text"))
+    return read(spark, folder, "documents").select("doc_id", "text")
 
 
 def named_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with ids that carry the language, ``docs/<lang>/<number>``."""
     doc_id = F.concat_ws("/", F.lit("docs"), "lang", F.col("doc_id").cast("string"))
-    return spread(read(spark, folder, "documents").select(doc_id.alias("doc_id"), "text"))
+    return read(spark, folder, "documents").select(doc_id.alias("doc_id"), "text")
 
 
 def new_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -36,12 +36,17 @@ def parse_doc_lines(spark: SparkSession, folder: str) -> DataFrame:
     return parse_documents(read_lines(spark, tagged_file(spark, folder)))
 
 
+def parse_doc_lines_tight(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from lines whose text follows the tag without a blank."""
+    return parse_documents(read_lines(spark, tagged_file(spark, folder, '">')), '">')
+
+
 @cache
-def tagged_file(spark: SparkSession, folder: str) -> str:
+def tagged_file(spark: SparkSession, folder: str, mark: str = '"> ') -> str:
     """All documents as a file of tagged lines, written once per session."""
     path = scratch_path(spark, "documents")
     docs = named_documents(spark, folder)
-    write_lines(docs.select(tagged_line(F.col("doc_id"), F.col("text")).alias("value")), path)
+    write_lines(docs.select(tagged_line(F.col("doc_id"), F.col("text"), mark).alias("value")), path)
     return path
 
 
@@ -106,6 +111,7 @@ def doc_vector_lookup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "parse_doc_lines": parse_doc_lines,
+    "parse_doc_lines_tight": parse_doc_lines_tight,
     "label_from_id": label_from_id,
     "tokenize": tokenize,
     "word_count": word_count,
@@ -166,11 +172,13 @@ def model_sql(docs: str, size: int) -> str:
 def oracles() -> dict[str, str]:
     model = f"WITH {model_sql(DOCS, WORDS)} "
     flat = r"""regexp_replace(text, '[\r\n]', ' ', 'g')"""
+    parsed = (
+        f"WITH l AS (SELECT doc_id, {flat} AS t FROM ({NAMED}))"
+        " SELECT doc_id, CASE WHEN contains(t, ' </doc>') THEN string_split(t, ' </doc>')[1] ELSE t END AS text FROM l"
+    )
     return {
-        "parse_doc_lines": (
-            f"WITH l AS (SELECT doc_id, {flat} AS t FROM ({NAMED}))"
-            " SELECT doc_id, CASE WHEN contains(t, ' </doc>') THEN string_split(t, ' </doc>')[1] ELSE t END AS text FROM l"
-        ),
+        "parse_doc_lines": parsed,
+        "parse_doc_lines_tight": parsed,
         "label_from_id": f"SELECT doc_id, string_split(doc_id, '/')[2] AS category, starts_with(doc_id, 'docs/en')::INTEGER AS is_english FROM ({NAMED})",
         "tokenize": (
             "SELECT doc_id, len(w)::INTEGER AS n_words, array_to_string(w, ' ') AS words FROM (SELECT doc_id, list_filter("

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from brambling.operators import cleaning, revenue
 from brambling.plans.tables import read
-from brambling.session import scratch_path, spread
+from brambling.session import scratch_path
 from brambling.sources import lines as source
-from brambling.sources.tables import calendar
+from brambling.sources.tables import calendar, read_calendar
 
-YEAR = 1997
+# The calendar file covers all years of the line items but for the days of one date of each month.
+FIRST_YEAR, LAST_YEAR = 1992, 1998
+MISSING_DAY = "-13"
 
 
 def trip_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -36,7 +38,7 @@ def trip_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
     total = money("l_extendedprice")
     total = F.when(tax == 0.05, F.concat(F.lit("  "), total, F.lit(" "))).otherwise(total)
-    return spread(read(spark, folder, "lineitem")).select(
+    return read(spark, folder, "lineitem").select(
         F.concat_ws(
             ",",
             F.concat(F.lit("m"), "l_suppkey"),
@@ -62,6 +64,16 @@ def trip_file(spark: SparkSession, folder: str) -> str:
     return path
 
 
+@cache
+def calendar_file(spark: SparkSession) -> str:
+    """The calendar as lines under a header, written once per session."""
+    path = scratch_path(spark, "calendar")
+    days = calendar(spark, FIRST_YEAR, LAST_YEAR).where(~F.col("date").endswith(MISSING_DAY))
+    header = spark.createDataFrame([("date,weekday",)], "value string")
+    source.write_lines(header.unionAll(days.select(F.concat_ws(",", "date", "weekday").alias("value"))), path)
+    return path
+
+
 def raw(spark: SparkSession, folder: str) -> DataFrame:
     return source.read_lines(spark, trip_file(spark, folder))
 
@@ -107,7 +119,7 @@ def top_k_drivers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def revenue_by_weekday(spark: SparkSession, folder: str) -> DataFrame:
-    return revenue.revenue_by_weekday(trips(spark, folder), calendar(spark, YEAR))
+    return revenue.revenue_by_weekday(trips(spark, folder), read_calendar(spark, calendar_file(spark)))
 
 
 QUERIES = {
@@ -146,7 +158,7 @@ checks AS (
     len(list_filter(f[6:], lambda x: NOT regexp_full_match(trim(x), '\d+(\.\d+)?'))) = 0 AS c
   FROM fields),
 trips AS (
-  SELECT string_split(f[4], ' ')[1] AS date, f[2] AS driver, trim(f[11])::DECIMAL(18,2) AS amount
+  SELECT string_split(f[4], ' ')[1] AS date, f[2] AS driver, trim(f[11])::DECIMAL(38,10) AS amount
   FROM checks WHERE a AND b AND c)
 """
 
@@ -168,6 +180,7 @@ def oracles() -> dict[str, str]:
             " UNION ALL SELECT 'not_null', count(*) FROM checks WHERE a"
             " UNION ALL SELECT 'valid_datetime', count(*) FROM checks WHERE a AND b"
             " UNION ALL SELECT 'valid_money', count(*) FROM checks WHERE a AND b AND c"
+            " UNION ALL SELECT 'exact_amount', count(*) FROM trips"
         ),
         "revenue_by_date": sql(by_date),
         "bottom_k_dates": sql(by_date + " ORDER BY revenue, date LIMIT 5"),
@@ -175,7 +188,7 @@ def oracles() -> dict[str, str]:
         "top_k_drivers": sql(by_driver + " ORDER BY revenue DESC, driver LIMIT 5"),
         "revenue_by_weekday": sql(
             "SELECT dayname(d) AS weekday, sum(amount)::DOUBLE AS revenue FROM trips JOIN"
-            f" (SELECT unnest(generate_series(DATE '{YEAR}-01-01', DATE '{YEAR}-12-31', INTERVAL 1 DAY)) AS d)"
-            " ON date = strftime(d, '%Y-%m-%d') GROUP BY weekday"
+            f" (SELECT unnest(generate_series(DATE '{FIRST_YEAR}-01-01', DATE '{LAST_YEAR}-12-31', INTERVAL 1 DAY)) AS d)"
+            " ON date = strftime(d, '%Y-%m-%d') WHERE day(d) <> 13 GROUP BY weekday"
         ),
     }

@@ -54,13 +54,3 @@ def store(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a scan out to all cores if it has fewer splits than there are cores.
-
-    Large tables have more splits and stay as they are. Use it before work that costs much more
-    per row than moving the row does.
-    """
-    slots = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= slots else scan.repartition(slots)

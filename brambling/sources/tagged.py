@@ -40,7 +40,7 @@ def parse_documents(lines: DataFrame, text_mark: str = '"> ') -> DataFrame:
     )
 
 
-def tagged_line(doc_id: Column, text: Column) -> Column:
+def tagged_line(doc_id: Column, text: Column, text_mark: str = '"> ') -> Column:
     """A document as one tagged line; line breaks inside the text become blanks."""
     flat = F.translate(text, "\r\n", "  ")
-    return F.concat(F.lit('<doc id="'), doc_id, F.lit('" url="u" title="t"> '), flat, F.lit(" </doc>"))
+    return F.concat(F.lit('<doc id="'), doc_id, F.lit(f'" url="u" title="t{text_mark}'), flat, F.lit(" </doc>"))

@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from brambling import plans
 from tests.compare import differences, oracle_connection
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = plans.queries(), plans.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -30,6 +31,11 @@ def test_oracles_belong_to_queries():
     assert set(QUERIES) - set(ORACLES) == {"random_split", "rf_regression"}
 
 
+def test_entry_has_all_queries():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["weekday", "revenue"] and 0 < df.count() <= 7

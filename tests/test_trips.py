@@ -39,7 +39,39 @@ def trips(spark):
 
 def test_funnel(spark):
     steps = dict(rows(cleaning.clean_funnel(frame(spark, LINES))))
-    assert steps == {"lines": 13, "not_null": 12, "valid_datetime": 10, "valid_money": 7}
+    assert steps == {"lines": 13, "not_null": 12, "valid_datetime": 10, "valid_money": 7, "exact_amount": 7}
+
+
+def amounts(spark, *texts):
+    lines = [f"m,d{i},V,2013-01-01 00:00:00,C,1,0,0,0,0,{text}" for i, text in enumerate(texts)]
+    found = cleaning.clean_trips(frame(spark, lines)).collect()
+    return dict(rows(cleaning.clean_funnel(frame(spark, lines)))), {int(r.driver[1:]): f"{r.amount:f}".rstrip("0").rstrip(".") for r in found}
+
+
+def test_long_and_fine_amounts_stay_exact(spark):
+    texts = ["123456789012345", "1234567890123456789012345", "1.00005", "\t7.5\t", "\u00a08\u3000", "0" * 40 + "12.50" + "0" * 40, "9" * 28 + "." + "9" * 10]
+    steps, found = amounts(spark, *texts)
+    assert steps["valid_money"] == steps["exact_amount"] == len(texts)
+    assert found == dict(enumerate(["123456789012345", "1234567890123456789012345", "1.00005", "7.5", "8", "12.5", "9" * 28 + "." + "9" * 10]))
+
+
+def test_amounts_beyond_the_type_are_counted(spark):
+    steps, found = amounts(spark, "1" + "0" * 28, "0.12345678901", "5")
+    assert (steps["valid_money"], steps["exact_amount"]) == (3, 1) and found == {2: "5"}
+
+
+def test_sums_beyond_the_type_are_doubles(spark):
+    big = "9" * 28
+    lines = [f"m,d1,V,2013-01-0{i % 2 + 1} 00:00:00,C,1,0,0,0,0,{big}" for i in range(40)]
+    trips = cleaning.clean_trips(frame(spark, lines))
+    assert rows(revenue.revenue_by(trips, "driver")) == [("d1", pytest.approx(40 * float(big)))]
+    assert dict(rows(revenue.revenue_by_weekday(trips, calendar(spark, 2013)))) == {d: pytest.approx(20 * float(big)) for d in ("Tuesday", "Wednesday")}
+
+
+def test_null_lines_pass_no_check(spark):
+    df = frame(spark, [None, LINES[1]])
+    assert dict(rows(cleaning.clean_funnel(df))) == {"lines": 2, "not_null": 1, "valid_datetime": 1, "valid_money": 1, "exact_amount": 1}
+    assert cleaning.drop_null_token(df).count() == cleaning.keep_datetime(df).count() == cleaning.keep_money(df).count() == 1
 
 
 def test_short_lines_are_rejected(spark):
