@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 << 20
-SALTS = 32
 
 
 def measure(df: DataFrame) -> tuple[int, int]:
@@ -21,12 +20,9 @@ def join_small(large: DataFrame, small: DataFrame, on: str, small_bytes: int) ->
     """Inner join of ``large`` with ``small``, which has at most ``small_bytes``.
 
     Within ``BROADCAST_BYTES`` the small table goes to every task and ``large`` is not shuffled.
-    Above it both are shuffled, with a salt: the rows of a key that owns much of ``large`` spread
-    over ``SALTS`` partitions, each of which has a copy of that key's row of ``small``.
+    Above it both are shuffled and merged; a key that owns much of ``large`` is left to Spark's skew
+    join (``spark.sql.adaptive.skewJoin``), which cuts its partition by measured size.
     """
     if small_bytes <= BROADCAST_BYTES:
         return large.join(F.broadcast(small), on)
-    spread = F.pmod(F.xxhash64(*large.columns), F.lit(SALTS)).cast("int")
-    salted = large.withColumn("_salt", spread)
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies.hint("shuffle_merge"), [on, "_salt"]).drop("_salt")
+    return large.join(small.hint("shuffle_merge"), on)

@@ -154,6 +154,10 @@ class LogisticModel:
         scored = margins(rows, self.theta, Folded.of(self.scaler))
         return scored.withColumn("prediction", F.when(F.col("z") > 0, 1).otherwise(0))
 
+    def predict_all(self, ids: DataFrame, rows: DataFrame) -> DataFrame:
+        """A prediction for every row of ``ids (doc_id, ...)``; null for those without a vector."""
+        return ids.join(self.predict(rows).select("doc_id", "z", "prediction"), "doc_id", "left")
+
 
 def fit_logistic(
     rows: DataFrame,
@@ -204,13 +208,17 @@ def top_coefficients(model: LogisticModel, dictionary: Dictionary, k: int = 10)
 
 
 def classification_metrics(predicted: DataFrame, label: str = "y", prediction: str = "prediction") -> DataFrame:
-    """One row: tp, fp, fn, tn, precision, recall, f1; a ratio over nothing is null."""
+    """One row: tp, fp, fn, tn, unscored, precision, recall, f1; a ratio over nothing is null.
+
+    Rows without a prediction are counted as unscored and as nothing else.
+    """
     y, p = F.col(label) == 1, F.col(prediction) == 1
     counts = predicted.agg(
         F.count_if(y & p).alias("tp"),
         F.count_if(~y & p).alias("fp"),
         F.count_if(y & ~p).alias("fn"),
         F.count_if(~y & ~p).alias("tn"),
+        F.count_if(F.col(prediction).isNull()).alias("unscored"),
     )
     return (
         counts.withColumn("precision", F.try_divide("tp", F.col("tp") + F.col("fp")))

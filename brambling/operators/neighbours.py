@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brambling.functions.text import label_from_path
-from brambling.operators.text_features import TextModel, fit_transform, sparse_rows
+from brambling.operators.text_features import TextModel, fit_transform
 from brambling.session import cut, store
 
 # Limits for the rows and the vector entries of one block.
@@ -234,11 +234,11 @@ class TextClassifier:
     def fit(cls, docs: DataFrame, size: int) -> TextClassifier:
         """Fit on ``(doc_id, text)`` with ids such as ``corpus/category/number``."""
         model, vectors = fit_transform(docs, size)
-        return cls(model, store(sparse_rows(vectors)))
+        return cls(model, store(vectors))
 
     def query_vectors(self, queries: DataFrame, tokenizer: str = "whitespace") -> DataFrame:
         """Vectors of ``(doc_id, text)``; a text without a dictionary word has none."""
-        return cut(sparse_rows(self.model.transform(queries, tokenizer)))
+        return cut(self.model.transform(queries, tokenizer))
 
     def neighbours(self, queries: DataFrame, k: int = 10, tokenizer: str = "whitespace") -> DataFrame:
         return nearest(self.query_vectors(queries, tokenizer), self.vectors, k)

@@ -1,15 +1,21 @@
 """Text features: dictionary of frequent words, bag of words, TF-IDF, standardization.
 
-Vectors are kept sparse and long, one row per document and dictionary word in it:
-``(doc_id, rank, value)``. The id column may have any type and is always named ``doc_id``.
+A document stays one row: ``(doc_id, entries, n_words)`` with the rank and count of each dictionary
+word in it. Its words are looked up and counted in the task that reads it; one exchange by ``doc_id``
+merges rows that share an id. Frequencies and TF-IDF values are expressions on that row. The id
+column may have any type and is always named ``doc_id``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from brambling.functions.text import blank_runs, letter_runs, words
 from brambling.operators.joins import BROADCAST_BYTES, join_small, measure
@@ -17,6 +23,10 @@ from brambling.session import cut, store
 
 # A dictionary row without its word: rank, count and row overhead.
 RANK_ROW_BYTES = 48
+# Up to this size a dictionary is looked up in the tasks that read the texts.
+LOOKUP_BYTES = 16 << 20
+# Counts below this are cut off exactly; above it, the bins are 1/64 of an octave wide.
+EXACT_COUNTS, BINS_PER_OCTAVE = 4096, 64
 
 
 def tokenize(docs: DataFrame) -> DataFrame:
@@ -30,10 +40,13 @@ def word_rows(docs: DataFrame, tokenizer: str = "letters") -> DataFrame:
     ``letters`` splits at everything but ASCII letters; ``whitespace`` leaves punctuation on.
     """
     keys = [c for c in docs.columns if c != "text"]
+    return docs.select(*keys, F.explode(_pieces(tokenizer)).alias("word")).withColumn("word", F.lower("word"))
+
+
+def _pieces(tokenizer: str) -> Column:
     if tokenizer not in ("letters", "whitespace"):
         raise ValueError(f"unknown tokenizer {tokenizer!r}")
-    pieces = letter_runs("text") if tokenizer == "letters" else blank_runs("text")
-    return docs.select(*keys, F.explode(pieces).alias("word")).withColumn("word", F.lower("word"))
+    return letter_runs("text") if tokenizer == "letters" else blank_runs("text")
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -41,23 +54,54 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return word_rows(docs.select("text")).groupBy("word").agg(F.count("*").alias("cnt"))
 
 
+def counted_words(docs: DataFrame) -> tuple[DataFrame, int]:
+    """``word_counts``, stored, and the number of documents, from one pass.
+
+    A null after the words of each text counts the texts.
+    """
+    pieces = F.coalesce(letter_runs("text"), F.array().cast("array<string>"))
+    rows = docs.select(F.explode(F.concat(pieces, F.array(F.lit(None).cast("string")))).alias("word"))
+    counts = store(rows.groupBy(F.lower("word").alias("word")).agg(F.count("*").alias("cnt")))
+    n_docs = counts.where("word is null").select("cnt").first()
+    return counts.where("word is not null"), n_docs[0] if n_docs else 0
+
+
+def least_count(counts: DataFrame, size: int) -> int:
+    """A count that at least ``size`` words reach, and few more than that; 0 if there are fewer words.
+
+    What comes to the driver is one row per bin of counts.
+    """
+    octave = F.floor(F.log2("cnt") * BINS_PER_OCTAVE) + EXACT_COUNTS
+    bins = counts.groupBy(F.when(F.col("cnt") < EXACT_COUNTS, F.col("cnt")).otherwise(octave).alias("bin"))
+    reached = 0
+    for low, n in sorted((tuple(r) for r in bins.agg(F.min("cnt"), F.count("*")).drop("bin").collect()), reverse=True):
+        reached += n
+        if reached >= size:
+            return low
+    return 0
+
+
 def top_words(counts: DataFrame, size: int) -> DataFrame:
     """``(word, rank, cnt)`` of the ``size`` most frequent words, rank 0 first, ties by word.
 
-    Only the ``size`` rows that remain after the limit are numbered in one partition.
+    ``counts`` should be stored. Only words as frequent as the last one kept, or more, are sorted,
+    and only the ``size`` rows that remain after the limit are numbered in one partition.
     """
-    kept = counts.orderBy(F.desc("cnt"), "word").limit(size)
+    frequent = counts.where(F.col("cnt") >= least_count(counts, size))
+    kept = frequent.orderBy(F.desc("cnt"), "word").limit(size)
     rank = F.row_number().over(Window.orderBy(F.desc("cnt"), "word")) - 1
     return kept.select("word", rank.cast("int").alias("rank"), "cnt")
 
 
 @dataclass(frozen=True)
 class Dictionary:
-    """A materialised dictionary: the table, its number of words and its measured size."""
+    """A materialised dictionary: its table, number of words and measured size, and the number of
+    documents it was counted in."""
 
     table: DataFrame
     size: int
     nbytes: int
+    n_docs: int
 
     @property
     def rank_bytes(self) -> int:
@@ -66,29 +110,75 @@ class Dictionary:
 
 
 def fit_dictionary(docs: DataFrame, size: int) -> Dictionary:
-    table = cut(top_words(word_counts(docs), size))
-    return Dictionary(table, *measure(table))
+    counts, n_docs = counted_words(docs)
+    table = cut(top_words(counts, size))
+    return Dictionary(table, *measure(table), n_docs)
 
 
-def bag_of_words(docs: DataFrame, dictionary: Dictionary, tokenizer: str = "letters") -> DataFrame:
-    """``(doc_id, rank, cnt)`` for every dictionary word of every document.
+_LETTERS = bytes(c | 32 if chr(c).isalpha() else 32 for c in range(128)) + b" " * 128
+
+
+def _known_counts(rank_of: dict[str, int], tokenizer: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``(doc_id, ranks, counts)`` per row, from a dictionary that fits into a task."""
+    ranks = {word.encode(): rank for word, rank in rank_of.items()}
+
+    def pieces(text: bytes) -> list[bytes]:
+        if tokenizer == "letters":
+            return text.translate(_LETTERS).split()
+        return [w.encode() for w in text.decode("utf-8", "replace").lower().split()]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for text in batch.column("text").cast(pa.large_binary()).to_pylist():
+                words = pieces(text or b"")
+                at = np.fromiter((ranks.get(w, -1) for w in words), np.int64, len(words))
+                found.append(np.unique(at[at >= 0], return_counts=True))
+            ends = np.cumsum([0, *(len(r) for r, _ in found)]).astype(np.int32)
+            lists = [np.concatenate([x[k] for x in found]) if found else np.zeros(0, np.int64) for k in (0, 1)]
+            columns = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x, kind)) for x, kind in zip(lists, (pa.int32(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", "ranks", "counts"])
+
+    return count
+
+
+def bags(docs: DataFrame, dictionary: Dictionary, tokenizer: str = "letters") -> DataFrame:
+    """``(doc_id, entries, n_words)``: entries ``(rank, cnt)`` by rank, and the sum of the counts.
 
-    Words are looked up before they are counted, which drops most of them early. A dictionary too
-    large to send to every task is joined after counting: the counts are unique per document and
-    word, so the salt spreads even a word that every document has.
+    Documents without a dictionary word have no row. A dictionary too large for the tasks is joined
+    after counting: the counts are unique per document and word, so even a word that every document
+    has is no larger than the corpus has documents.
     """
-    known = dictionary.table.select("word", "rank")
-    found = word_rows(docs.select("doc_id", "text"), tokenizer)
-    if dictionary.nbytes <= BROADCAST_BYTES:
-        ranked = join_small(found, known, "word", dictionary.nbytes)
-        return ranked.groupBy("doc_id", "rank").agg(F.count("*").alias("cnt"))
-    counted = found.groupBy("doc_id", "word").agg(F.count("*").alias("cnt"))
-    return join_small(counted, known, "word", dictionary.nbytes).select("doc_id", "rank", "cnt")
+    pieces = _pieces(tokenizer)
+    if dictionary.nbytes <= LOOKUP_BYTES:
+        rank_of = dict(map(tuple, dictionary.table.select("word", "rank").collect()))  # at most LOOKUP_BYTES
+        schema = T.StructType([docs.schema["doc_id"], T.StructField("ranks", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.LongType()))])
+        counted = docs.select("doc_id", "text").mapInArrow(_known_counts(rank_of, tokenizer), schema)
+        each = counted.where(F.size("ranks") > 0).repartition("doc_id").select("doc_id", F.explode(F.arrays_zip("ranks", "counts")).alias("e"))
+        found = each.select("doc_id", F.col("e.ranks").alias("rank"), F.col("e.counts").alias("cnt"))
+    else:
+        rows = docs.select("doc_id", F.explode(pieces).alias("word")).withColumn("word", F.lower("word"))
+        counted = rows.groupBy("doc_id", "word").agg(F.count("*").alias("cnt"))
+        known = dictionary.table.select("word", "rank")
+        found = join_small(counted, known, "word", dictionary.nbytes).select("doc_id", "rank", "cnt").repartition("doc_id")
+    merged = found.groupBy("doc_id", "rank").agg(F.sum("cnt").alias("cnt"))
+    # A document has at most one entry per dictionary word here.
+    entries = F.sort_array(F.collect_list(F.struct("rank", "cnt")))
+    return merged.groupBy("doc_id").agg(entries.alias("entries"), F.sum("cnt").alias("n_words"))
+
+
+def bag_rows(bags: DataFrame) -> DataFrame:
+    """``(doc_id, rank, cnt)``, one row per document and dictionary word in it."""
+    return bags.select("doc_id", F.explode("entries").alias("e")).select("doc_id", "e.rank", "e.cnt")
 
 
-def document_frequency(bag: DataFrame) -> DataFrame:
+def bag_of_words(docs: DataFrame, dictionary: Dictionary, tokenizer: str = "letters") -> DataFrame:
+    return bag_rows(bags(docs, dictionary, tokenizer))
+
+
+def document_frequency(bags: DataFrame) -> DataFrame:
     """``(rank, df)``: in how many documents each dictionary word occurs."""
-    return bag.groupBy("rank").agg(F.count("*").alias("df"))
+    return bags.select(F.explode("entries.rank").alias("rank")).groupBy("rank").agg(F.count("*").alias("df"))
 
 
 def inverse_document_frequency(frequency: DataFrame, n_docs: int) -> DataFrame:
@@ -96,15 +186,10 @@ def inverse_document_frequency(frequency: DataFrame, n_docs: int) -> DataFrame:
     return frequency.select("rank", F.log(F.lit(float(n_docs)) / F.col("df")).alias("idf"))
 
 
-def term_frequency(bag: DataFrame) -> DataFrame:
-    """``(doc_id, rank, cnt, n_words, tf)``: the share of each word in the document's known words.
-
-    A document has at most one row per dictionary word here, so no window partition grows with
-    the length of a text.
-    """
-    total = F.sum("cnt").over(Window.partitionBy("doc_id"))
-    counted = bag.withColumn("n_words", total)
-    return counted.withColumn("tf", F.col("cnt") / F.col("n_words"))
+def term_frequency(bags: DataFrame) -> DataFrame:
+    """``(doc_id, rank, cnt, n_words, tf)``: the share of each word in the document's known words."""
+    each = bags.select("doc_id", "n_words", F.explode("entries").alias("e"))
+    return each.select("doc_id", "e.rank", "e.cnt", "n_words", (F.col("e.cnt") / F.col("n_words")).alias("tf"))
 
 
 @dataclass(frozen=True)
@@ -115,37 +200,52 @@ class TextModel:
     idf: DataFrame
 
     def transform(self, docs: DataFrame, tokenizer: str = "letters") -> DataFrame:
-        """``(doc_id, rank, value)``: the TF-IDF vectors of ``docs``.
+        """``(doc_id, entries)``: the TF-IDF vectors of ``docs``; texts without a known word have none."""
+        return tfidf(bags(docs, self.dictionary, tokenizer), self.idf, self.dictionary)
 
-        Words of the dictionary that no training document holds cannot occur, so the inner join
-        with the IDF keeps every row.
-        """
-        return tfidf(term_frequency(bag_of_words(docs, self.dictionary, tokenizer)), self.idf, self.dictionary)
 
+def _by_rank(table: DataFrame, size: int, *columns: str) -> Column:
+    """The columns of a table with one row per rank as a struct of arrays: one scalar subquery."""
+    ranks = table.sparkSession.range(size).select(F.col("id").cast("int").alias("rank"))
+    every = ranks.join(table, "rank", "left").agg(F.array_sort(F.collect_list(F.struct("rank", *columns))).alias("s"))
+    return every.select(F.struct(*[F.col(f"s.{name}").alias(name) for name in columns])).scalar()
 
-def tfidf(frequencies: DataFrame, idf: DataFrame, dictionary: Dictionary) -> DataFrame:
-    joined = join_small(frequencies.select("doc_id", "rank", "tf"), idf, "rank", dictionary.rank_bytes)
-    return joined.select("doc_id", "rank", (F.col("tf") * F.col("idf")).alias("value"))
+
+def tfidf(bags: DataFrame, idf: DataFrame, dictionary: Dictionary) -> DataFrame:
+    """``(doc_id, entries)`` with entries ``(rank, value)`` by rank. Ranks without IDF have no entry."""
+    share = lambda e: e["cnt"] / F.col("n_words")
+    if dictionary.rank_bytes <= BROADCAST_BYTES:
+        rows = bags.withColumn("_s", _by_rank(idf, dictionary.size, "idf"))
+        value = lambda e: share(e) * F.get("_s.idf", e["rank"])
+        entries = F.transform("entries", lambda e: F.struct(e["rank"].alias("rank"), value(e).alias("value")))
+        return rows.select("doc_id", F.filter(entries, lambda e: e["value"].isNotNull()).alias("entries"))
+    joined = join_small(term_frequency(bags).select("doc_id", "rank", "tf"), idf, "rank", dictionary.rank_bytes)
+    entry = F.struct("rank", (F.col("tf") * F.col("idf")).alias("value"))
+    return joined.groupBy("doc_id").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+
+
+def vector_rows(rows: DataFrame) -> DataFrame:
+    """``(doc_id, rank, value)``, one row per entry."""
+    return rows.select("doc_id", F.explode("entries").alias("e")).select("doc_id", "e.rank", "e.value")
 
 
 def fit_transform(docs: DataFrame, size: int) -> tuple[TextModel, DataFrame]:
-    """The model of ``docs`` and their own vectors ``(doc_id, rank, value)``.
+    """The model of ``docs`` and their own vectors ``(doc_id, entries)``.
 
-    N counts all documents, also those without a known word. The bag of words serves both IDF and
-    vectors, so it is stored once instead of being counted twice.
+    N counts all documents, also those without a known word. The bags serve both IDF and vectors, so
+    they are stored once instead of being counted twice.
     """
     dictionary = fit_dictionary(docs, size)
-    bag = store(bag_of_words(docs, dictionary))
-    idf = cut(inverse_document_frequency(document_frequency(bag), docs.count()))
-    model = TextModel(dictionary, idf)
-    return model, tfidf(term_frequency(bag), idf, dictionary)
+    own = store(bags(docs, dictionary))
+    idf = cut(inverse_document_frequency(document_frequency(own), dictionary.n_docs))
+    return TextModel(dictionary, idf), tfidf(own, idf, dictionary)
 
 
 def fit_text_model(docs: DataFrame, size: int) -> TextModel:
-    """The model alone; the bag of words is counted on the fly."""
+    """The model alone; the bags are counted on the fly."""
     dictionary = fit_dictionary(docs, size)
-    frequency = document_frequency(bag_of_words(docs, dictionary))
-    return TextModel(dictionary, cut(inverse_document_frequency(frequency, docs.count())))
+    frequency = document_frequency(bags(docs, dictionary))
+    return TextModel(dictionary, cut(inverse_document_frequency(frequency, dictionary.n_docs)))
 
 
 def non_zero_of(vectors: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -153,16 +253,6 @@ def non_zero_of(vectors: DataFrame, wanted: DataFrame) -> DataFrame:
     return vectors.where("value <> 0").join(wanted.select("doc_id"), "doc_id", "left_semi")
 
 
-def sparse_rows(vectors: DataFrame) -> DataFrame:
-    """``(doc_id, entries)``: one row per document, entries ``(rank, value)`` ordered by rank.
-
-    The long vectors are already partitioned by document, so this does not shuffle again, and a
-    document holds at most one entry per rank.
-    """
-    entries = F.sort_array(F.collect_list(F.struct("rank", "value")))
-    return vectors.groupBy("doc_id").agg(entries.alias("entries"))
-
-
 @dataclass(frozen=True)
 class Scaler:
     """Mean and population standard deviation per rank; ``size`` ranks, 0 to ``size`` - 1."""
@@ -202,42 +292,31 @@ def fit_scaler(rows: DataFrame, size: int, shrink: float = 0.01) -> Scaler:
 
 
 def scaler_arrays(scaler: Scaler) -> Column:
-    """``mean``, ``std`` and the standardized ``zero`` as arrays indexed by rank: one scalar subquery.
-
-    The group behind it has one row per dictionary word.
-    """
-    zero = (F.lit(0.0) - F.col("mean")) / F.col("std") * F.lit(scaler.shrink)
-    stats = F.array_sort(F.collect_list(F.struct("rank", "mean", "std", zero.alias("zero"))))
-    one_row = scaler.table.agg(stats.alias("s"))
-    return one_row.select(F.struct(*[F.col(f"s.{name}").alias(name) for name in ("mean", "std", "zero")])).scalar()
+    """``mean`` and ``std`` as arrays indexed by rank; the group behind it has one row per rank."""
+    return _by_rank(scaler.table, scaler.size, "mean", "std")
 
 
 def standardize(rows: DataFrame, scaler: Scaler, intercept: bool = False) -> DataFrame:
-    """``(doc_id, features array<double>)``: ((x - mean) / std) * shrink for every rank.
+    """``(doc_id, rank, value)``: ((x - mean) / std) * shrink for every entry that exists.
 
-    With ``intercept``, one more feature of constant value ``shrink`` at the end. The result is
-    dense; training does not need it, see ``brambling.operators.logistic``. Between two words of a
-    document its vector equals the vector of zeros, so the stretches are copied from there.
+    All documents that lack a rank share one value, which has a row of its own with a null
+    ``doc_id``. With ``intercept``, so has one more feature of constant value ``shrink``.
     """
 
     def scaled(entry: Column) -> Column:
         rank = entry["rank"]
-        return (entry["value"] - F.get("s.mean", rank)) / F.get("s.std", rank) * F.lit(scaler.shrink)
+        value = (entry["value"] - F.get("s.mean", rank)) / F.get("s.std", rank) * F.lit(scaler.shrink)
+        return F.struct(rank.alias("rank"), value.alias("value"))
 
-    def stretch(entry: Column, i: Column) -> Column:
-        before = F.coalesce(F.get("entries", i - 1)["rank"], F.lit(-1))
-        return F.concat(F.slice("s.zero", before + 2, entry["rank"] - before - 1), F.array(scaled(entry)))
-
-    last = F.coalesce(F.try_element_at("entries", F.lit(-1))["rank"], F.lit(-1))
-    pieces = [
-        F.flatten(F.transform("entries", stretch)),
-        F.slice("s.zero", last + 2, F.lit(scaler.size - 1) - last),
-    ]
-    if intercept:
-        pieces.append(F.array(F.lit(scaler.shrink)))
-    return rows.withColumn("s", scaler_arrays(scaler)).select("doc_id", F.concat(*pieces).alias("features"))
+    each = rows.withColumn("s", scaler_arrays(scaler)).select("doc_id", F.explode(F.transform("entries", scaled)).alias("e"))
+    nobody = F.lit(None).cast(rows.schema["doc_id"].dataType).alias("doc_id")
+    zero = (F.lit(0.0) - F.col("mean")) / F.col("std") * F.lit(scaler.shrink)
+    cells = each.select("doc_id", "e.rank", "e.value").unionByName(scaler.table.select(nobody, "rank", zero.alias("value")))
+    return add_intercept(cells, scaler.size, scaler.shrink) if intercept else cells
 
 
-def add_intercept(features: DataFrame, value: float = 0.01) -> DataFrame:
-    """Append one constant feature to dense vectors."""
-    return features.withColumn("features", F.array_append("features", F.lit(value)))
+def add_intercept(cells: DataFrame, rank: int, value: float = 0.01) -> DataFrame:
+    """One more feature that has the same value in every document."""
+    nobody = F.lit(None).cast(cells.schema["doc_id"].dataType).alias("doc_id")
+    row = cells.sparkSession.range(1).select(nobody, F.lit(rank).alias("rank"), F.lit(value).alias("value"))
+    return cells.unionByName(row)

@@ -16,9 +16,7 @@ from brambling.plans import texts
 from brambling.plans.tables import read
 from brambling.session import store
 
-# The small dictionary is for output with one cell per document and word, the large one for fits.
-WORDS = 50
-MANY_WORDS = 20_000
+WORDS = 20_000
 TOP = 50
 TRAIN_SHARE = 0.8
 CLASS_PREFIX = "docs/en"
@@ -35,11 +33,11 @@ class Training:
     @classmethod
     def of(cls, docs: DataFrame, size: int = WORDS) -> Training:
         model, vectors = tf.fit_transform(docs, size)
-        rows = store(labelled(tf.sparse_rows(vectors)))
+        rows = store(labelled(vectors))
         return cls(model, rows, tf.fit_scaler(rows, model.dictionary.size))
 
     def features(self, docs: DataFrame) -> DataFrame:
-        return tf.sparse_rows(self.model.transform(docs))
+        return self.model.transform(docs)
 
 
 def labelled(rows: DataFrame) -> DataFrame:
@@ -56,11 +54,8 @@ def parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return docs.where(in_train), docs.where(~in_train)
 
 
-def cells(dense: DataFrame) -> DataFrame:
-    """Dense vectors as rows ``(doc_id, rank, value)``."""
-    return dense.select("doc_id", F.posexplode("features").alias("rank", "value")).withColumn(
-        "value", F.round("value", 9)
-    )
+def rounded(cells: DataFrame) -> DataFrame:
+    return cells.withColumn("value", F.round("value", 7))
 
 
 def feature_stats(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,24 +65,24 @@ def feature_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 def standardize(spark: SparkSession, folder: str) -> DataFrame:
     training = whole(spark, folder)
-    return cells(tf.standardize(training.rows, training.scaler))
+    return rounded(tf.standardize(training.rows, training.scaler))
 
 
 def standardize_new_docs(spark: SparkSession, folder: str) -> DataFrame:
     training = whole(spark, folder)
-    return cells(tf.standardize(training.features(texts.new_documents(spark, folder)), training.scaler))
+    return rounded(tf.standardize(training.features(texts.new_documents(spark, folder)), training.scaler))
 
 
 def add_intercept(spark: SparkSession, folder: str) -> DataFrame:
     training = whole(spark, folder)
-    return cells(tf.add_intercept(tf.standardize(training.rows, training.scaler)))
+    return rounded(tf.add_intercept(tf.standardize(training.rows, training.scaler), training.scaler.size))
 
 
 def logreg_scores(spark: SparkSession, folder: str) -> DataFrame:
     training = whole(spark, folder)
     start = lr.initial_theta(training.scaler.size)
     scored = lr.margins(training.rows, start, lr.Folded.of(training.scaler))
-    return scored.select("doc_id", "y", F.round("z", 8).alias("z"))
+    return scored.select("doc_id", "y", F.round("z", 6).alias("z"))
 
 
 def logreg_loss(spark: SparkSession, folder: str) -> DataFrame:
@@ -120,10 +115,6 @@ def logreg_fit(spark: SparkSession, folder: str) -> DataFrame:
     return fit_rows(fitted(whole(spark, folder)))
 
 
-def logreg_fit_large(spark: SparkSession, folder: str) -> DataFrame:
-    return fit_rows(fitted(whole(spark, folder, MANY_WORDS)))
-
-
 def logreg_fit_dense(spark: SparkSession, folder: str) -> DataFrame:
     """The same fit on embeddings: is the label below 3?"""
     table = read(spark, folder, "embeddings")
@@ -134,15 +125,15 @@ def logreg_fit_dense(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def top_coefficients(spark: SparkSession, folder: str) -> DataFrame:
-    training = whole(spark, folder, MANY_WORDS)
+    training = whole(spark, folder)
     best = lr.top_coefficients(fitted(training), training.model.dictionary, TOP)
     return best.select("rank", "word", F.round("theta", 4).alias("theta"))
 
 
 def predicted(spark: SparkSession, folder: str) -> DataFrame:
     train, test = parts(spark, folder)
-    training = Training.of(train, MANY_WORDS)
-    return fitted(training).predict(labelled(training.features(test)))
+    training = Training.of(train)
+    return fitted(training).predict_all(labelled(test.select("doc_id")), training.features(test))
 
 
 def logreg_predict(spark: SparkSession, folder: str) -> DataFrame:
@@ -152,7 +143,7 @@ def logreg_predict(spark: SparkSession, folder: str) -> DataFrame:
 def classification_metrics(spark: SparkSession, folder: str) -> DataFrame:
     metrics = lr.classification_metrics(predicted(spark, folder))
     return metrics.select(
-        "tp", "fp", "fn", "tn", *[F.round(m, 8).alias(m) for m in ("precision", "recall", "f1")]
+        "tp", "fp", "fn", "tn", "unscored", *[F.round(m, 8).alias(m) for m in ("precision", "recall", "f1")]
     )
 
 
@@ -167,45 +158,17 @@ QUERIES = {
         logreg_loss,
         logreg_gradient,
         logreg_fit,
-        logreg_fit_large,
         logreg_fit_dense,
         top_coefficients,
         logreg_predict,
         classification_metrics,
     )
 }
+# The name from when the other fit had a small dictionary.
+QUERIES["logreg_fit_large"] = logreg_fit
 
 
-def scaled_sql(vectors: str) -> str:
-    """Dense standardized cells of sparse vectors."""
-    return (
-        "SELECT doc_id, rank, (coalesce(value, 0) - mean) / std * 0.01 AS value FROM"
-        f" (SELECT DISTINCT doc_id FROM {vectors}) CROSS JOIN stats LEFT JOIN {vectors} USING (doc_id, rank)"
-    )
-
-
-def stats_sql(vectors: str) -> str:
-    """``stats`` from all cells, absent ones as 0."""
-    return (
-        "SELECT rank, avg(v) AS mean, CASE WHEN stddev_pop(v) = 0 THEN 1 ELSE stddev_pop(v) END AS std FROM"
-        f" (SELECT rank, coalesce(value, 0) AS v FROM (SELECT DISTINCT doc_id FROM {vectors})"
-        f" CROSS JOIN (SELECT rank FROM dict) LEFT JOIN {vectors} USING (doc_id, rank)) GROUP BY rank"
-    )
-
-
-START = lr.initial_theta(WORDS).tolist()
 Y = f"starts_with(doc_id, '{CLASS_PREFIX}')::INTEGER AS y"
-# Dense vectors with the intercept, from cells called ``scaled``.
-POINTS = f"SELECT doc_id, {Y}, list_append(list(value ORDER BY rank), 0.01::DOUBLE) AS x FROM scaled GROUP BY doc_id"
-
-
-def gradient_sql(theta: str, source: str) -> str:
-    """The gradient as a list, over ``points`` and the coefficients ``theta`` of ``source``."""
-    return (
-        "SELECT list(g ORDER BY i) AS grad FROM (SELECT i, sum(x[i] * r) AS g FROM"
-        f" (SELECT x, 1 / (1 + exp(-list_dot_product(x, {theta}))) - y AS r FROM points, {source}),"
-        " (SELECT unnest(range(1, (SELECT max(len(x)) FROM points) + 1)) AS i) GROUP BY i)"
-    )
 
 
 def loss_sql(theta: str) -> str:
@@ -242,13 +205,6 @@ steps AS (
 final AS MATERIALIZED (SELECT it, candidate, loss FROM steps ORDER BY it DESC LIMIT 1)"""
 
 
-def training_sql(docs: str) -> str:
-    return (
-        f"{texts.model_sql(docs, WORDS)}, stats AS MATERIALIZED ({stats_sql('tfidf')}),"
-        f" scaled AS MATERIALIZED ({scaled_sql('tfidf')}), points AS MATERIALIZED ({POINTS})"
-    )
-
-
 def sparse_margins_sql(name: str, theta: str, source: str, entries: str = "entries") -> str:
     """CTE ``name``: the margin of every document of ``entries`` at the coefficients ``theta``."""
     return f"""
@@ -261,18 +217,29 @@ def sparse_margins_sql(name: str, theta: str, source: str, entries: str = "entri
   FROM {entries} JOIN {name}_w USING (rank), {name}_c GROUP BY doc_id)"""
 
 
-def sparse_descent_sql(docs: str, size: int) -> str:
-    """The descent on sparse vectors: CTEs up to ``final``, as ``descent_sql`` has them for dense ones."""
-    loss = "sum(greatest(z, 0) + ln(1 + exp(-abs(z))) - y * z)"
+LOSS = "sum(greatest(z, 0) + ln(1 + exp(-abs(z))) - y * z)"
+
+
+def sparse_training_sql(docs: str, size: int) -> str:
+    """CTEs of a training corpus: the text model, ``stats``, ``entries``, and the margins ``zero`` at
+    the coefficients ``start``."""
     start = lr.initial_theta(size).tolist()
     return f"""{texts.model_sql(docs, size)},
+present AS MATERIALIZED (
+  SELECT rank, count(*) / (SELECT count(DISTINCT doc_id) FROM tfidf) AS share, avg(value) AS a, var_pop(value) AS v
+  FROM tfidf GROUP BY rank),
 stats AS MATERIALIZED (
-  SELECT rank, s / n AS mean, CASE WHEN sq / n - (s / n) ** 2 <= 1e-18 THEN 1 ELSE sqrt(sq / n - (s / n) ** 2) END AS std
-  FROM (SELECT rank, sum(value) AS s, sum(value * value) AS sq FROM tfidf GROUP BY rank),
-    (SELECT count(DISTINCT doc_id) AS n FROM tfidf)),
+  SELECT rank, a * share AS mean, CASE WHEN v * share + a * a * share * (1 - share) = 0 THEN 1
+    ELSE sqrt(v * share + a * a * share * (1 - share)) END AS std FROM present),
 entries AS MATERIALIZED (SELECT doc_id, {Y}, rank, value FROM tfidf),
 start AS MATERIALIZED (SELECT ({start}::DOUBLE[])[:(SELECT count(*) FROM stats) + 1] AS theta),
-{sparse_margins_sql('zero', 'theta', 'start')},
+{sparse_margins_sql('zero', 'theta', 'start')}"""
+
+
+def sparse_descent_sql(docs: str, size: int) -> str:
+    """The descent on sparse vectors: CTEs up to ``final``, as ``descent_sql`` has them for dense ones."""
+    loss = LOSS
+    return f"""{sparse_training_sql(docs, size)},
 steps AS (
   SELECT 0 AS it, theta, theta AS candidate, 0.3::DOUBLE AS rate, (SELECT {loss} FROM zero) AS loss, FALSE AS stop
   FROM start
@@ -298,24 +265,37 @@ steps AS (
 final AS MATERIALIZED (SELECT it, candidate, loss FROM steps ORDER BY it DESC LIMIT 1)"""
 
 
+def scaled_sql(vectors: str) -> str:
+    """Standardized entries, and with a null id the value of each rank in documents that lack it."""
+    return (
+        f"SELECT doc_id, rank, round((value - mean) / std * 0.01, 7) AS value FROM {vectors} JOIN stats USING (rank)"
+        " UNION ALL SELECT NULL, rank, round((0 - mean) / std * 0.01, 7) FROM stats"
+    )
+
+
 def oracles() -> dict[str, str]:
-    model = f"WITH {training_sql(texts.NAMED)}"
-    fit = f"WITH RECURSIVE {training_sql(texts.NAMED)}, {descent_sql(START)}"
-    theta = f"{START}::DOUBLE[]"
+    model = f"WITH {sparse_training_sql(texts.NAMED, WORDS)}"
     in_train = f"('0x' || substr(md5(doc_id), 1, 8))::UBIGINT < {int(TRAIN_SHARE * 2**32)}"
     new_vectors = f"new AS MATERIALIZED ({texts.tfidf_sql(f'({texts.bag_sql(texts.NEW)})')})"
-    large = f"WITH RECURSIVE {sparse_descent_sql(texts.NAMED, MANY_WORDS)}"
-    test_bag = texts.bag_sql(f"SELECT * FROM ({texts.NAMED}) WHERE NOT {in_train}")
+    fit = f"WITH RECURSIVE {sparse_descent_sql(texts.NAMED, WORDS)}"
+    test_docs = f"SELECT * FROM ({texts.NAMED}) WHERE NOT {in_train}"
     held_out = (
-        f"WITH RECURSIVE {sparse_descent_sql(f'SELECT * FROM ({texts.NAMED}) WHERE {in_train}', MANY_WORDS)},"
-        f" test AS (SELECT doc_id, {Y}, rank, value FROM ({texts.tfidf_sql(f'({test_bag})')})),"
+        f"WITH RECURSIVE {sparse_descent_sql(f'SELECT * FROM ({texts.NAMED}) WHERE {in_train}', WORDS)},"
+        f" test AS (SELECT doc_id, {Y}, rank, value FROM ({texts.tfidf_sql(f'({texts.bag_sql(test_docs)})')})),"
         f" {sparse_margins_sql('scores', 'candidate', 'final', 'test')},"
-        " predicted AS (SELECT doc_id, y, (z > 0)::INTEGER AS prediction FROM scores)"
+        f" predicted AS (SELECT t.doc_id, t.y, (z > 0)::INTEGER AS prediction"
+        f" FROM (SELECT doc_id, {Y} FROM ({test_docs})) t LEFT JOIN scores USING (doc_id))"
     )
     fit_columns = (
         "SELECT (i - 1)::INTEGER AS rank, round(candidate[i], 4) AS theta, it::INTEGER AS iterations, round(loss, 4) AS loss"
         " FROM final, (SELECT unnest(range(1, (SELECT len(candidate) FROM final) + 1)) AS i)"
     )
+    gradient = (
+        "r AS (SELECT doc_id, 1 / (1 + exp(-z)) - y AS r FROM zero), total AS (SELECT sum(r) AS r FROM r),"
+        " g AS (SELECT rank, sum(value * r) AS g FROM entries JOIN r USING (doc_id) GROUP BY rank)"
+        " SELECT rank, round(0.01 / std * (g - mean * total.r), 6) AS gradient FROM g JOIN stats USING (rank), total"
+        " UNION ALL SELECT (SELECT count(*) FROM stats)::INTEGER, round(0.01 * r, 6) FROM total"
+    )
     dense = f"""WITH RECURSIVE
 cells AS (
   SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
@@ -326,24 +306,22 @@ points AS MATERIALIZED (
 {descent_sql(lr.initial_theta(64).tolist())}"""
     return {
         "feature_stats": f"{model} SELECT rank, round(mean, 8) AS mean, round(std, 8) AS std FROM stats",
-        "standardize": f"{model} SELECT doc_id, rank, round(value, 9) AS value FROM scaled",
-        "standardize_new_docs": f"{model}, {new_vectors} SELECT doc_id, rank, round(value, 9) AS value FROM ({scaled_sql('new')})",
-        "add_intercept": f"{model} SELECT doc_id, rank, round(value, 9) AS value FROM scaled"
-        f" UNION ALL SELECT DISTINCT doc_id, {WORDS}, 0.01 FROM scaled",
-        "logreg_scores": f"{model} SELECT doc_id, y, round(list_dot_product(x, {theta}), 8) AS z FROM points",
-        "logreg_loss": f"{model} SELECT round({loss_sql(theta)}, 6) AS loss FROM points",
-        "logreg_gradient": f"{model} SELECT unnest(range(0, {WORDS + 1}))::INTEGER AS rank,"
-        f" unnest(list_transform(grad, lambda g: round(g, 6))) AS gradient FROM ({gradient_sql('t', f'(SELECT {theta} AS t)')})",
+        "standardize": f"{model} {scaled_sql('tfidf')}",
+        "standardize_new_docs": f"{model}, {new_vectors} {scaled_sql('new')}",
+        "add_intercept": f"{model} {scaled_sql('tfidf')} UNION ALL SELECT NULL, (SELECT count(*) FROM stats)::INTEGER, 0.01",
+        "logreg_scores": f"{model} SELECT doc_id, y, round(z, 6) AS z FROM zero",
+        "logreg_loss": f"{model} SELECT round({LOSS}, 6) AS loss FROM zero",
+        "logreg_gradient": f"{model}, {gradient}",
         "logreg_fit": f"{fit} {fit_columns}",
-        "logreg_fit_large": f"{large} {fit_columns}",
+        "logreg_fit_large": f"{fit} {fit_columns}",
         "logreg_fit_dense": f"{dense} {fit_columns}",
-        "top_coefficients": f"{large} SELECT rank, word, round(candidate[rank + 1], 4) AS theta FROM dict, final"
+        "top_coefficients": f"{fit} SELECT rank, word, round(candidate[rank + 1], 4) AS theta FROM dict, final"
         f" ORDER BY candidate[rank + 1] DESC, word LIMIT {TOP}",
         "logreg_predict": f"{held_out} SELECT doc_id, y, prediction FROM predicted",
         "classification_metrics": f"{held_out}, c AS (SELECT count_if(y = 1 AND prediction = 1) AS tp,"
         " count_if(y = 0 AND prediction = 1) AS fp, count_if(y = 1 AND prediction = 0) AS fn,"
-        " count_if(y = 0 AND prediction = 0) AS tn FROM predicted),"
+        " count_if(y = 0 AND prediction = 0) AS tn, count_if(prediction IS NULL) AS unscored FROM predicted),"
         " m AS (SELECT *, tp / nullif(tp + fp, 0) AS p, tp / nullif(tp + fn, 0) AS r FROM c)"
-        " SELECT tp::BIGINT AS tp, fp::BIGINT AS fp, fn::BIGINT AS fn, tn::BIGINT AS tn, round(p, 8) AS precision,"
+        " SELECT tp::BIGINT AS tp, fp::BIGINT AS fp, fn::BIGINT AS fn, tn::BIGINT AS tn, unscored::BIGINT AS unscored, round(p, 8) AS precision,"
         " round(r, 8) AS recall, round(2 * p * r / nullif(p + r, 0), 8) AS f1 FROM m",
     }

@@ -69,24 +69,28 @@ def word_count(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dictionary(spark: SparkSession, folder: str) -> DataFrame:
-    return tf.top_words(tf.word_counts(documents(spark, folder)), WORDS)
+    return tf.top_words(tf.counted_words(documents(spark, folder))[0], WORDS)
 
 
-def bag(spark: SparkSession, folder: str) -> DataFrame:
+def bags(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
-    return tf.bag_of_words(docs, tf.fit_dictionary(docs, WORDS))
+    return tf.bags(docs, tf.fit_dictionary(docs, WORDS))
+
+
+def bag_of_words(spark: SparkSession, folder: str) -> DataFrame:
+    return tf.bag_rows(bags(spark, folder))
 
 
 def document_frequency(spark: SparkSession, folder: str) -> DataFrame:
-    return tf.document_frequency(bag(spark, folder))
+    return tf.document_frequency(bags(spark, folder))
 
 
 def term_frequency(spark: SparkSession, folder: str) -> DataFrame:
-    return tf.term_frequency(bag(spark, folder)).withColumn("tf", F.round("tf", 9))
+    return tf.term_frequency(bags(spark, folder)).withColumn("tf", F.round("tf", 9))
 
 
-def rounded(vectors: DataFrame) -> DataFrame:
-    return vectors.withColumn("value", F.round("value", 8))
+def rounded(rows: DataFrame) -> DataFrame:
+    return tf.vector_rows(rows).withColumn("value", F.round("value", 8))
 
 
 def idf(spark: SparkSession, folder: str) -> DataFrame:
@@ -106,7 +110,8 @@ def tfidf_new_docs(spark: SparkSession, folder: str) -> DataFrame:
 def doc_vector_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """The vectors of the documents that ``labels`` marks as toxic."""
     wanted = read(spark, folder, "labels").where("toxic = 1")
-    return rounded(tf.non_zero_of(tf.fit_transform(documents(spark, folder), WORDS)[1], wanted))
+    rows = tf.fit_transform(documents(spark, folder), WORDS)[1]
+    return tf.non_zero_of(tf.vector_rows(rows), wanted).withColumn("value", F.round("value", 8))
 
 
 QUERIES = {
@@ -116,7 +121,7 @@ QUERIES = {
     "tokenize": tokenize,
     "word_count": word_count,
     "dictionary": dictionary,
-    "bag_of_words": bag,
+    "bag_of_words": bag_of_words,
     "document_frequency": document_frequency,
     "term_frequency": term_frequency,
     "idf": idf,

@@ -73,8 +73,12 @@ def test_folded_scaling_equals_dense_features(sparse):
     assert np.allclose([got_z[i] for i in range(60)], z)
     table = lr.gradient(rows, theta, scaler).orderBy("rank").toPandas()
     assert np.allclose(table["gradient"], slope)
-    wide = dict(tf.standardize(rows, scaler, intercept=True).collect())
-    assert np.allclose([wide[i] for i in range(60)], dense)
+    cells = tf.standardize(rows, scaler, intercept=True).collect()
+    wide = np.tile([v for _, _, v in sorted((r.rank, 0, r.value) for r in cells if r.doc_id is None)], (60, 1))
+    for r in cells:
+        if r.doc_id is not None:
+            wide[r.doc_id, r.rank] = r.value
+    assert np.allclose(wide, dense)
 
 
 def test_loss_does_not_overflow(spark):
@@ -86,12 +90,18 @@ def test_predictions_and_top_words(spark):
     docs = [(f"AU{i}", "court law court") for i in range(6)] + [(f"{i}", "cat dog the") for i in range(6)]
     df = spark.createDataFrame(docs, "doc_id string, text string")
     model, vectors = tf.fit_transform(df, 5)
-    rows = tf.sparse_rows(vectors).withColumn("y", F.col("doc_id").startswith("AU").cast("int")).cache()
+    rows = vectors.withColumn("y", F.col("doc_id").startswith("AU").cast("int")).cache()
     fitted = lr.fit_logistic(rows, tf.fit_scaler(rows, 5), rate=50.0)
     metrics = lr.classification_metrics(fitted.predict(rows)).first()
     assert (metrics.tp, metrics.fp, metrics.fn, metrics.tn, metrics.f1) == (6, 0, 0, 6, 1.0)
     assert {r.word for r in lr.top_coefficients(fitted, model.dictionary, 2).collect()} == {"court", "law"}
 
+    new = spark.createDataFrame([("n1", "court", 1), ("n2", "zebra", 1), ("n3", None, 0)], "doc_id string, text string, y int")
+    scored = fitted.predict_all(new.select("doc_id", "y"), model.transform(new))
+    assert {r.doc_id: r.prediction for r in scored.collect()} == {"n1": 1, "n2": None, "n3": None}
+    row = lr.classification_metrics(scored).first()
+    assert (row.tp, row.fp, row.fn, row.tn, row.unscored) == (1, 0, 0, 0, 2)
+
 
 def test_metrics(spark):
     pairs = [(1, 1), (1, 1), (1, 0), (0, 1), (0, 0)]

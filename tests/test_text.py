@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import dataclasses
 import math
 import re
 
@@ -43,17 +44,25 @@ def docs(spark):
 @pytest.fixture(scope="module")
 def fitted(docs):
     model, vectors = tf.fit_transform(docs, 4)
-    rows = tf.sparse_rows(vectors).cache()
-    return model, vectors, rows, tf.fit_scaler(rows, 4)
+    rows = vectors.cache()
+    return model, rows, tf.fit_scaler(rows, 4)
 
 
 def nested(vectors):
     out: dict = {}
-    for doc, rank, value in vectors.select("doc_id", "rank", "value").collect():
+    for doc, rank, value in tf.vector_rows(vectors).collect():
         out.setdefault(doc, {})[rank] = round(value, 6)
     return out
 
 
+def wide(cells, size):
+    """Dense vectors from cells; those without an id hold for all documents that lack the rank."""
+    shared, own = {}, {}
+    for doc, rank, value in cells.collect():
+        (shared if doc is None else own.setdefault(doc, {}))[rank] = round(value, 6)
+    return {doc: [x.get(rank, shared[rank]) for rank in range(size)] for doc, x in own.items()}
+
+
 def test_tokens(docs):
     words = dict(tf.tokenize(docs).collect())
     assert words["AU1"] == ["court", "court", "law", "the"]
@@ -88,25 +97,25 @@ def test_dictionary_larger_than_the_vocabulary(docs):
 
 
 def test_tfidf(fitted):
-    model, vectors, _, _ = fitted
+    model, vectors, _ = fitted
     assert {r: round(v, 6) for r, v in model.idf.collect()} == IDF
     assert nested(vectors) == TFIDF
 
 
 def test_both_ways_to_fit_agree(docs, fitted):
-    model, vectors, _, _ = fitted
+    model, vectors, _ = fitted
     assert nested(tf.fit_text_model(docs, 4).transform(docs)) == nested(vectors)
 
 
 def test_term_frequencies_add_up_to_one(docs):
     dictionary = tf.fit_dictionary(docs, 4)
-    sums = tf.term_frequency(tf.bag_of_words(docs, dictionary)).groupBy("doc_id").agg(F.sum("tf"))
+    sums = tf.term_frequency(tf.bags(docs, dictionary)).groupBy("doc_id").agg(F.sum("tf"))
     assert all(math.isclose(total, 1) for _, total in sums.collect())
 
 
 def test_a_dictionary_too_large_to_broadcast_gives_the_same_bag(docs):
     dictionary = tf.fit_dictionary(docs, 4)
-    large = tf.Dictionary(dictionary.table, dictionary.size, joins.BROADCAST_BYTES + 1)
+    large = dataclasses.replace(dictionary, nbytes=joins.BROADCAST_BYTES + 1)
     near, far = tf.bag_of_words(docs, dictionary), tf.bag_of_words(docs, large)
     assert sorted(map(tuple, near.collect())) == sorted(map(tuple, far.collect()))
     assert near.columns == far.columns
@@ -118,6 +127,40 @@ def test_repeated_ids_share_one_bag(spark, docs):
     assert sorted(map(tuple, tf.bag_of_words(twice, dictionary).collect())) == [("x", 0, 3), ("x", 2, 1)]
 
 
+def test_white_space_of_any_script_separates(spark, docs):
+    dictionary = tf.fit_dictionary(docs, 4)
+    text = "The\u00a0cat\u3000sat\u2003the\x1ccourt"
+    query = spark.createDataFrame([("q", text)], "doc_id string, text string")
+    want = [(0, 2), (1, 1), (2, 1), (3, 1)]
+    for own in (dictionary, dataclasses.replace(dictionary, nbytes=joins.BROADCAST_BYTES + 1)):
+        assert sorted(r[1:] for r in map(tuple, tf.bag_of_words(query, own, "whitespace").collect())) == want
+
+
+def test_documents_move_once(docs):
+    dictionary = tf.fit_dictionary(docs, 4)
+    model = tf.fit_text_model(docs, 4)
+    for df in (tf.bag_of_words(docs, dictionary), model.transform(docs), tf.fit_transform(docs, 4)[1]):
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+        assert plan.count("Exchange hashpartitioning(doc_id") <= 1 and "Window" not in plan
+        assert plan.count("Exchange") <= 1
+
+
+def test_null_texts_count_as_documents(spark):
+    df = spark.createDataFrame([("a", "the cat"), ("b", None), ("c", "")], "doc_id string, text string")
+    assert tf.fit_dictionary(df, 5).n_docs == 3
+    assert [r.doc_id for r in tf.bags(df, tf.fit_dictionary(df, 5)).collect()] == ["a"]
+
+
+def test_the_cutoff_keeps_enough_words(spark):
+    counts = spark.createDataFrame([(f"w{i:05d}", i % 9000 + 1) for i in range(18_000)], "word string, cnt bigint")
+    for size in (1, 2, 3, 7000, 17_999, 18_000, 20_000):
+        low = tf.least_count(counts, size)
+        kept = counts.where(F.col("cnt") >= low).count()
+        # No more than the words of one bin, 1/64 of an octave wide, on top.
+        assert kept >= min(size, 18_000) and (low == 0 or kept <= size + 200)
+    assert [r.word for r in tf.top_words(counts, 3).orderBy("rank").collect()] == ["w08999", "w17999", "w08998"]
+
+
 def test_whitespace_tokens_keep_punctuation(spark, docs):
     dictionary = tf.fit_dictionary(docs, 4)
     query = spark.createDataFrame([("q", "The cat, the\tCOURT")], "doc_id string, text string")
@@ -127,26 +170,24 @@ def test_whitespace_tokens_keep_punctuation(spark, docs):
 
 
 def test_stats(fitted):
-    *_, scaler = fitted
+    _, _, scaler = fitted
     rows = {r: (round(m, 6), round(s, 6)) for r, m, s in scaler.table.collect()}
     assert rows == {0: (0.096696, 0.015779), 1: (0.267251, 0.272651), 2: (0.160944, 0.278763), 3: (0.160351, 0.187504)}
 
 
 def test_standardized(fitted):
-    _, _, rows, scaler = fitted
-    got = {d: [round(v, 6) for v in x] for d, x in tf.standardize(rows, scaler, intercept=True).collect()}
-    assert got == SCALED
-    again = {d: [round(v, 6) for v in x] for d, x in tf.add_intercept(tf.standardize(rows, scaler)).collect()}
-    assert again == SCALED
+    _, rows, scaler = fitted
+    assert wide(tf.standardize(rows, scaler, intercept=True), 5) == SCALED
+    assert wide(tf.add_intercept(tf.standardize(rows, scaler), 4), 5) == SCALED
+    assert tf.standardize(rows, scaler).count() == sum(map(len, TFIDF.values())) + 4
 
 
 def test_a_word_in_every_document_is_standardized_to_zero(spark):
     docs = spark.createDataFrame([("a", "the cat"), ("b", "the dog"), ("c", "the")], "doc_id string, text string")
-    model, vectors = tf.fit_transform(docs, 3)
-    rows = tf.sparse_rows(vectors).cache()
+    rows = tf.fit_transform(docs, 3)[1].cache()
     scaler = tf.fit_scaler(rows, 3)
     assert tuple(scaler.table.where("rank = 0").first()) == (0, 0.0, 1.0)
-    assert all(x[0] == 0 for _, x in tf.standardize(rows, scaler).collect())
+    assert all(x[0] == 0 for x in wide(tf.standardize(rows, scaler), 3).values())
 
 
 def test_new_documents_use_the_training_model(spark, fitted):
@@ -156,9 +197,10 @@ def test_new_documents_use_the_training_model(spark, fitted):
 
 
 def test_lookup_of_named_documents(spark, fitted):
-    _, vectors, _, _ = fitted
+    _, vectors, _ = fitted
     wanted = spark.createDataFrame([("10",), ("zzz",)], "doc_id string")
-    assert nested(tf.non_zero_of(vectors, wanted)) == {"10": TFIDF["10"]}
+    found = tf.non_zero_of(tf.vector_rows(vectors), wanted).collect()
+    assert {r: round(v, 6) for _, r, v in found} == TFIDF["10"] and {d for d, _, _ in found} == {"10"}
 
 
 def test_tagged_lines(spark):
