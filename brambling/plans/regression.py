@@ -1,35 +1,31 @@
-"""Predicting the quantity of a line item from its prices, discount, tax and part."""
+"""Splits, and a forest that predicts the length of a document from its words and lines."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brambling.functions.text import blank_runs
 from brambling.operators import forest, tables
-from brambling.operators.joins import join_small, measure
 from brambling.plans.tables import read
 from brambling.session import store
 
-INPUTS = ("l_extendedprice", "l_discount", "l_tax", "p_size", "p_retailprice")
 LABEL = "l_quantity"
-SHARE = 0.8
-
-
-def items(spark: SparkSession, folder: str) -> DataFrame:
-    """Label and inputs, stored: both parts of a random split must come from the same rows."""
-    part = read(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_size", "p_retailprice")
-    lines = read(spark, folder, "lineitem").select("l_partkey", LABEL, *INPUTS[:3])
-    joined = join_small(lines, part, "l_partkey", measure(part)[1])
-    return store(tables.drop_any_null(joined.select(LABEL, *INPUTS)))
+SHARE, TOLERANCE = 0.8, 0.03
+TREES = 100
 
 
 def random_split(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = tables.random_split(read(spark, folder, "lineitem"), SHARE)
-    return (
-        train.select(F.lit("train").alias("part"))
-        .unionAll(test.select(F.lit("test").alias("part")))
-        .groupBy("part")
-        .agg(F.count("*").alias("n"))
+    """How many rows both parts have, how many rows are in both, and whether the share is as asked."""
+    keys = read(spark, folder, "orders").select("o_orderkey")
+    train, test = tables.random_split(keys, SHARE)
+    sides = train.withColumn("side", F.lit(0)).unionAll(test.withColumn("side", F.lit(1)))
+    each = sides.groupBy("o_orderkey").agg(F.count("*").alias("n"), F.count_if(F.col("side") == 0).alias("a"))
+    share = F.sum("a") / F.sum("n")
+    return each.agg(
+        F.sum("n").alias("total"),
+        F.count_if((F.col("a") > 0) & (F.col("a") < F.col("n"))).alias("in_both"),
+        (F.abs(share - SHARE) < TOLERANCE).alias("share_as_asked"),
     )
 
 
@@ -47,10 +43,26 @@ def rmse(spark: SparkSession, folder: str) -> DataFrame:
     return error.select(F.round("rmse", 8).alias("rmse"))
 
 
+def lengths(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document its number of words and lines, and its number of characters as the label."""
+    docs = read(spark, folder, "documents")
+    words, lines = F.size(blank_runs("text")), F.regexp_count("text", F.lit("\n")) + 1
+    rows = docs.select("doc_id", F.col("n_chars").cast("double").alias("label"), words.alias("n_words"), lines.alias("n_lines"))
+    return store(tables.drop_any_null(rows))
+
+
 def rf_regression(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = tables.random_split(items(spark, folder), SHARE)
-    model = forest.fit_forest(forest.assemble(train, INPUTS), LABEL)
-    return forest.rmse(model.transform(forest.assemble(test, INPUTS)), LABEL)
+    """Sizes of both parts, the number of trees, and whether the error on the test part is below half
+    of the label's deviation there. The error itself depends on how rows lie in partitions."""
+    rows = lengths(spark, folder)
+    in_train = tables.key_split(rows, "doc_id", SHARE)
+    parts = rows.agg(F.count_if(in_train).alias("n_train"), F.count_if(~in_train).alias("n_test"))
+    inputs = ("n_words", "n_lines")
+    model = forest.fit_forest(forest.assemble(rows.where(in_train), inputs), "label", TREES)
+    predicted = model.transform(forest.assemble(rows.where(~in_train), inputs))
+    spread = predicted.agg(F.stddev_pop("label").alias("spread"))
+    judged = forest.rmse(predicted).join(spread).select((F.col("rmse") < F.col("spread") / 2).alias("learned"))
+    return parts.join(judged).select("n_train", "n_test", F.lit(model.getNumTrees).alias("trees"), "learned")
 
 
 QUERIES = {f.__name__: f for f in (random_split, key_split, rmse, rf_regression)}
@@ -59,7 +71,13 @@ QUERIES = {f.__name__: f for f in (random_split, key_split, rmse, rf_regression)
 def oracles() -> dict[str, str]:
     in_train = "('0x' || substr(md5({}::VARCHAR), 1, 8))::UBIGINT < " + str(int(SHARE * 2**32))
     by_order = in_train.format("l_orderkey")
+    by_doc = in_train.format("doc_id")
     return {
+        "random_split": "SELECT count(*) AS total, 0::BIGINT AS in_both, TRUE AS share_as_asked FROM orders",
+        "rf_regression": (
+            f"SELECT count_if({by_doc})::BIGINT AS n_train, count_if(NOT {by_doc})::BIGINT AS n_test,"
+            f" {TREES}::INTEGER AS trees, TRUE AS learned FROM documents"
+        ),
         "key_split": f"SELECT o_orderkey, {in_train.format('o_orderkey')} AS in_train FROM orders",
         "rmse": (
             f"WITH m AS (SELECT l_linenumber, avg(l_quantity) AS p FROM lineitem WHERE {by_order} GROUP BY ALL)"
