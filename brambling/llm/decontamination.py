@@ -264,3 +264,21 @@ def keep_clean(docs: DataFrame, items: DataFrame, **options: object) -> DataFram
     """The documents that are not contaminated, with all their columns."""
     found = find(docs, items, docs.columns, **options)
     return found.where(~contaminated()).drop("_found")
+
+
+_CUT = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+ORACLE = f"""
+WITH items AS (SELECT item_id::VARCHAR AS item, {_CUT} AS w FROM benchmark WHERE item_id IS NOT NULL),
+docs AS (SELECT doc_id, {_CUT} AS w FROM documents),
+starts AS (SELECT item, w, least(len(w), {WINDOW}) AS k, unnest(range(1, greatest(len(w) - {WINDOW - 1}, 1) + 1)) AS i FROM items WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS s FROM starts),
+places AS (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM docs, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k),
+hits AS (
+  SELECT doc_id, i, p.k, item FROM (SELECT doc_id, i, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS s FROM places) p
+  JOIN windows USING (k, s)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id),
+found AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS items FROM hits GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
+  sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n, 0) > 0 AND 20 * coalesce(n, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+"""

@@ -64,4 +64,10 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (op1_quality_classifier, op2_language_id, op3_benchmark_decontamination, op4_toxicity, op5_secret_scans, op6_mixing, op7_token_id_output, op8_ngram_jaccard_join, op9_warc, op10_embedding_near_dedup)}
-ORACLES = {"op6_mixing": mixing.ORACLE, "op8_ngram_jaccard_join": jaccard_join.ORACLE, "op9_warc": warc.ORACLE}
+ORACLES = {
+    "op3_benchmark_decontamination": decontamination.ORACLE,
+    "op6_mixing": mixing.ORACLE,
+    "op8_ngram_jaccard_join": jaccard_join.ORACLE,
+    "op9_warc": warc.ORACLE,
+    "op10_embedding_near_dedup": near_vectors.ORACLE,
+}
