@@ -17,17 +17,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from brambling.functions.text import label_from_path
 from brambling.operators.text_features import TextModel, fit_transform
 from brambling.session import cut, store
 
-# Limits for the rows and the vector entries of one block.
+# Limits for the rows and the vector entries of one block; blocks are hashed, so these are means.
 QUERY_BLOCK, QUERY_ENTRIES = 512, 1 << 21
 DOC_BLOCK, DOC_ENTRIES = 50_000, 1 << 23
 # Squared distances are compared at this many digits, so that the order in which a sum was
 # taken cannot decide between equally near documents; the smaller id does.
 DIGITS = 10
+# Distances that a task holds at a time.
 CELLS = 1 << 21
 
 
@@ -38,8 +41,12 @@ def dense_rows(df: DataFrame, doc_id: Column, vector: str) -> DataFrame:
 
 
 def _as_arrays(rows: DataFrame) -> DataFrame:
-    """``(id, ranks, values)``, the form in which Arrow hands vectors to NumPy without copying."""
-    return rows.select(
+    """``(id, ranks, values)``, the form in which Arrow hands vectors to NumPy without copying.
+
+    Vectors that are null or hold a null or a number that is not finite are left out.
+    """
+    finite = F.forall("entries", lambda e: e["value"].isNotNull() & ~F.isnan(e["value"]) & (F.abs(e["value"]) < float("inf")))
+    return rows.where(F.coalesce(finite, F.lit(False))).select(
         F.col("doc_id").alias("id"),
         F.transform("entries", lambda e: e["rank"]).alias("ranks"),
         F.transform("entries", lambda e: e["value"]).alias("values"),
@@ -61,7 +68,10 @@ class _Vectors:
 
 
 def _distances(queries: _Vectors, docs: _Vectors) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Chunks of ``(ids, squared)``, one row per document and one column per query."""
+    """Chunks of ``(ids, squared)``, one row per document and one column per query.
+
+    Only entries that a document has, and some query too, are multiplied, for all queries at once.
+    """
     known, column = np.unique(queries.rank, return_inverse=True)
     if len(known) == 0:
         known = np.array([-1])
@@ -71,33 +81,42 @@ def _distances(queries: _Vectors, docs: _Vectors) -> Iterator[tuple[np.ndarray,
     at = np.minimum(np.searchsorted(known, docs.rank), len(known) - 1)
     shared = known[at] == docs.rank
     row, at, value = docs.row[shared], at[shared], docs.value[shared]
+    bounds = np.searchsorted(row, np.arange(len(docs.ids) + 1))
 
-    step = max(1, CELLS // max(len(known), len(queries.ids)))
+    step = max(1, CELLS // max(1, len(queries.ids)))
     for first in range(0, len(docs.ids), step):
         ids, norm = docs.ids[first : first + step], docs.norm[first : first + step]
-        lo, hi = np.searchsorted(row, [first, first + step])
-        block = np.zeros((len(ids), len(known)))
-        block[row[lo:hi] - first, at[lo:hi]] = value[lo:hi]
-        squared = norm[:, None] + queries.norm[None, :] - 2.0 * (block @ matrix)
+        dots = np.empty((len(ids), len(queries.ids)))
+        for k, (lo, hi) in enumerate(zip(bounds[first : first + len(ids)], bounds[first + 1 :])):
+            dots[k] = value[lo:hi] @ matrix[at[lo:hi]]
+        squared = norm[:, None] + queries.norm[None, :] - 2.0 * dots
         yield ids, np.round(np.maximum(squared, 0.0), DIGITS)
 
 
 def _best(queries: _Vectors, blocks: Iterator[_Vectors], k: int) -> dict[str, list]:
     """The k nearest documents of every query: columns ``query_id, doc_id, squared``."""
-    best: list[list[tuple]] = [[] for _ in queries.ids]
+    held_query, held_squared = np.zeros(0, np.int64), np.zeros(0)
+    held_id = np.zeros(0, object)
+    bound = np.full(len(queries.ids), np.inf)  # no document beyond it can be among the k nearest
     for block in blocks:
         for ids, squared in _distances(queries, block):
             if len(ids) > k:
-                limit = np.partition(squared, k - 1, axis=0)[k - 1]
-            else:
-                limit = np.full(len(queries.ids), np.inf)
-            for q, known in enumerate(best):
-                bound = min(limit[q], known[-1][0]) if len(known) == k else limit[q]
-                near = np.flatnonzero(squared[:, q] <= bound)
-                if len(near):
-                    best[q] = sorted(known + list(zip(squared[near, q].tolist(), ids[near])))[:k]
-    rows = [(query, doc, d) for query, found in zip(queries.ids, best) for d, doc in found]
-    return dict(zip(("query_id", "doc_id", "squared"), map(list, zip(*rows)) if rows else ([], [], [])))
+                bound = np.minimum(bound, np.partition(squared, k - 1, axis=0)[k - 1])
+            doc, query = np.nonzero(squared <= bound)
+            held_query = np.concatenate([held_query, query])
+            held_squared = np.concatenate([held_squared, squared[doc, query]])
+            held_id = np.concatenate([held_id, ids[doc]])
+            # Order by query, distance and id, and keep the first k of each query.
+            name = np.unique(held_id, return_inverse=True)[1]
+            order = np.lexsort((name, held_squared, held_query))
+            held_query, held_squared, held_id = held_query[order], held_squared[order], held_id[order]
+            start = np.searchsorted(held_query, held_query)
+            place = np.arange(len(held_query)) - start
+            last = place == k - 1
+            bound[held_query[last]] = np.minimum(bound[held_query[last]], held_squared[last])
+            keep = place < k
+            held_query, held_squared, held_id = held_query[keep], held_squared[keep], held_id[keep]
+    return {"query_id": queries.ids[held_query].tolist(), "doc_id": held_id.tolist(), "squared": held_squared.tolist()}
 
 
 def _profile(queries: _Vectors, blocks: Iterator[_Vectors]) -> dict[str, list]:
@@ -130,9 +149,9 @@ def _compare(
     doc_block: int,
 ) -> DataFrame:
     """Apply ``reduce`` to pairs of query and document blocks that together cover all pairs once."""
-    ids = dict(queries.dtypes)["doc_id"], dict(docs.dtypes)["doc_id"]
-    schema = columns.format(query=ids[0], doc=ids[1])
-    arrow = docs.sparkSession.createDataFrame([], schema).toArrow().schema
+    ids = queries.schema["doc_id"].dataType, docs.schema["doc_id"].dataType
+    schema = columns.format(query=ids[0].simpleString(), doc=ids[1].simpleString())
+    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
     left, right = _as_arrays(queries), _as_arrays(docs)
 
     def batch(result: dict[str, list]) -> pa.Table:
@@ -171,7 +190,8 @@ def nearest(
     """``(query_id, doc_id, position, distance)``: the ``k`` nearest of ``docs`` per query.
 
     Equal distances are ordered by ``doc_id``. Both inputs are ``(doc_id, entries)`` and should be
-    materialised, since the queries are counted first.
+    materialised, since the queries are counted first. Null vectors and those with a null or a
+    number that is not finite are neither neighbours nor have any.
     """
     found = _compare(
         queries,

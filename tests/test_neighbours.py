@@ -83,6 +83,22 @@ def test_fewer_documents_than_neighbours(spark, vectors):
     assert nn.nearest(docs, docs, 10).count() == 16
 
 
+def test_bad_vectors_are_left_out(spark):
+    random = np.random.RandomState(2)
+    good = [(f"d/x/{i}", [float(v) for v in random.rand(4)]) for i in range(4)]
+    nan = [(f"d/y/{i}", [float("nan"), 1.0, 1.0, 1.0]) for i in range(20)]
+    bad = nan + [("d/y/null", None), ("d/y/hole", [None, 1.0, 1.0, 1.0]), ("d/y/inf", [float("inf"), 1.0, 1.0, 1.0])]
+    docs = nn.dense_rows(spark.createDataFrame(good + bad, "id string, v array<double>"), F.col("id"), "v").cache()
+    asked = [(i, v) for i, (_, v) in enumerate(good + bad)]
+    queries = nn.dense_rows(spark.createDataFrame(asked, "id int, v array<double>"), F.col("id"), "v").cache()
+    ids = queries.select(F.col("doc_id").alias("query_id"))
+    for sizes in ({}, {"query_block": 2, "doc_block": 3}):
+        near = nn.nearest(queries, docs, 10, **sizes)
+        assert {(r.query_id, r.doc_id) for r in near.collect()} == {(q, d) for q in range(4) for d, _ in good}
+        labels = {r.query_id: r.label for r in nn.classify(ids, near, label_from_path("doc_id")).collect()}
+        assert labels == {i: "x" if i < 4 else None for i in range(len(asked))}
+
+
 def test_profile(spark, vectors):
     queries, docs = frame(spark, vectors[:20], "q"), frame(spark, vectors, "d")
     distance = np.sqrt(((vectors[:20, None, :] - vectors[None, :, :]) ** 2).sum(-1))
