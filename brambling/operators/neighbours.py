@@ -1,10 +1,10 @@
 """Exact k nearest neighbours (L2) of a table of query vectors, and the vote on their labels.
 
 Vectors come as rows ``(doc_id, entries)``. Pairs never become rows: a task compares its documents
-with a block of queries as matrices and keeps the k best per query, so what leaves it is at most k
-rows per query. Few queries go to every task as they are, after a check of their size, and the
-documents are not shuffled. More queries are cut into blocks, documents too, and every pair of
-blocks is one group of bounded size; ids are hashed into blocks, so no group is larger than others.
+with a block of queries and keeps the k best per query, so what leaves it is at most k rows per query.
+Few queries go to every task as they are, after a check of their size, and the documents are not
+shuffled. More queries are cut into blocks by their length and a hash, documents too, and every pair of
+blocks that can hold a near pair is one group.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ DOC_BLOCK, DOC_ENTRIES = 50_000, 1 << 23
 DIGITS = 10
 # Distances that a task holds at a time.
 CELLS = 1 << 21
+# Into how many rings vectors are cut by their length, at most.
+RINGS = 256
 
 
 def dense_rows(df: DataFrame, doc_id: Column, vector: str) -> DataFrame:
@@ -134,10 +136,60 @@ def _profile(queries: _Vectors, blocks: Iterator[_Vectors]) -> dict[str, list]:
     return {"query_id": list(queries.ids), "n": [count] * len(total), "low": low, "total": total, "high": high}
 
 
-def _block_count(vectors: DataFrame, rows: int, entries: int) -> int:
-    """How many blocks of at most ``rows`` rows and ``entries`` entries the vectors make up."""
-    n_rows, n_entries = vectors.agg(F.count("*"), F.coalesce(F.sum(F.size("ranks")), F.lit(0))).first()
-    return max(math.ceil(n_rows / rows), math.ceil(n_entries / entries))
+@dataclass(frozen=True)
+class _Rings:
+    """Vectors cut by length into rings of about equal size, and each ring by a hash into blocks.
+
+    What comes to the driver is a row per ring, of which there are at most ``RINGS``.
+    """
+
+    placed: DataFrame
+    low: np.ndarray
+    high: np.ndarray
+    blocks: np.ndarray
+
+    @classmethod
+    def of(cls, vectors: DataFrame, rows: int, entries: int) -> _Rings:
+        length = F.sqrt(F.aggregate("values", F.lit(0.0), lambda total, v: total + v * v))
+        measured = vectors.withColumn("_length", length)
+        size = lambda n, e: max(1, math.ceil(n / rows), math.ceil(e / entries))
+        counted = measured.agg(F.count("*"), F.coalesce(F.sum(F.size("ranks")), F.lit(0))).first()
+        rings = min(RINGS, size(*counted))
+        edges = sorted(set(measured.approxQuantile("_length", [i / rings for i in range(1, rings)], 0.001))) if rings > 1 else []
+        beyond = F.size(F.filter(F.array(*map(F.lit, edges)), lambda edge: edge <= F.col("_length"))) if edges else F.lit(0)
+        ringed = measured.withColumn("_ring", beyond)
+        found = {r._ring: r for r in ringed.groupBy("_ring").agg(F.min("_length").alias("low"), F.max("_length").alias("high"), F.count("*").alias("n"), F.sum(F.size("ranks")).alias("e")).collect()}
+        every = range(len(edges) + 1)
+        low, high = (np.array([found[i][name] if i in found else np.nan for i in every]) for name in ("low", "high"))
+        blocks = np.array([size(found[i].n, found[i].e) if i in found else 0 for i in every])
+        own = F.get(F.array(*[F.lit(int(x)) for x in blocks]), F.col("_ring"))
+        return cls(ringed.withColumn("_block", F.pmod(F.xxhash64("id"), own).cast("int")).drop("_length"), low, high, blocks)
+
+    def gaps(self, others: _Rings) -> np.ndarray:
+        """The least distance that vectors of each own ring and each of the others can have."""
+        below, above = others.low[None, :] - self.high[:, None], self.low[:, None] - others.high[None, :]
+        return np.maximum(0.0, np.maximum(below, above))
+
+
+def _few(queries: DataFrame, rows: int) -> bool:
+    """The queries are one block."""
+    n, entries = queries.agg(F.count("*"), F.coalesce(F.sum(F.size("ranks")), F.lit(0))).first()
+    return n <= rows and entries <= QUERY_ENTRIES
+
+
+def _meeting(queries: _Rings, docs: _Rings, allowed: np.ndarray, meet: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """``meet`` on each pair of blocks whose rings are allowed to meet."""
+    pairs = [(int(q), int(d), int(queries.blocks[q]), int(docs.blocks[d])) for q, d in zip(*np.nonzero(allowed))]
+    # At most RINGS * RINGS rows.
+    table = docs.placed.sparkSession.createDataFrame(pairs, "_q int, _d int, _nq int, _nd int")
+
+    def cells(rings: _Rings, own: str, other: str) -> DataFrame:
+        rows = rings.placed.withColumnRenamed("_ring", f"_{own}").withColumnRenamed("_block", f"_b{own}")
+        met = rows.join(F.broadcast(table), f"_{own}")
+        copies = F.explode(F.sequence(F.lit(0), F.col(f"_n{other}") - 1))
+        return met.withColumn(f"_b{other}", copies).drop("_nq", "_nd").groupBy("_q", "_bq", "_d", "_bd")
+
+    return cells(queries, "q", "d").cogroup(cells(docs, "d", "q")).applyInArrow(meet, schema)
 
 
 def _compare(
@@ -147,8 +199,14 @@ def _compare(
     columns: str,
     query_block: int,
     doc_block: int,
+    k: int | None = None,
 ) -> DataFrame:
-    """Apply ``reduce`` to pairs of query and document blocks that together cover all pairs once."""
+    """Apply ``reduce`` to pairs of query and document blocks that together cover all pairs once.
+
+    With ``k``, only pairs that can hold one of the k nearest: by the triangle inequality two vectors
+    are no nearer than their lengths differ. A first pass compares each ring of queries with one block
+    of the documents next to it in length; its k-th distances bound those of the whole search.
+    """
     ids = queries.schema["doc_id"].dataType, docs.schema["doc_id"].dataType
     schema = columns.format(query=ids[0].simpleString(), doc=ids[1].simpleString())
     arrow = to_arrow_schema(T.StructType.fromDDL(schema))
@@ -157,8 +215,7 @@ def _compare(
     def batch(result: dict[str, list]) -> pa.Table:
         return pa.Table.from_pydict(result, schema=arrow)
 
-    query_blocks = _block_count(left, query_block, QUERY_ENTRIES)
-    if query_blocks <= 1:
+    if _few(left, query_block):
         small = left.toArrow()
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,21 +224,27 @@ def _compare(
         return right.mapInArrow(scan, schema)
 
     def meet(query_part: pa.Table, doc_part: pa.Table) -> pa.Table:
+        if not len(query_part) or not len(doc_part):
+            return batch({name: [] for name in arrow.names})
         return batch(reduce(_Vectors(query_part), iter([_Vectors(doc_part)])))
 
-    own = {"_q": query_blocks, "_d": max(1, _block_count(right, doc_block, DOC_ENTRIES))}
-
-    def cells(vectors: DataFrame, hashed: str, copied: str) -> DataFrame:
-        block = F.pmod(F.xxhash64("id"), F.lit(own[hashed])).cast("int")
-        copies = F.explode(F.sequence(F.lit(0), F.lit(own[copied] - 1)))
-        return vectors.withColumn(hashed, block).withColumn(copied, copies)
-
-    return (
-        cells(left, "_q", "_d")
-        .groupBy("_q", "_d")
-        .cogroup(cells(right, "_d", "_q").groupBy("_q", "_d"))
-        .applyInArrow(meet, schema)
-    )
+    asked, held = _Rings.of(left, query_block, QUERY_ENTRIES), _Rings.of(right, doc_block, DOC_ENTRIES)
+    allowed = (asked.blocks[:, None] > 0) & (held.blocks[None, :] > 0)
+    gaps = np.where(allowed, asked.gaps(held), np.inf)
+    if k is not None and len(held.blocks) > 1:
+        middle = np.abs((asked.low + asked.high)[:, None] - (held.low + held.high)[None, :])
+        next_to = np.zeros_like(allowed)
+        next_to[np.arange(len(gaps)), np.argmin(np.where(allowed, middle, np.inf), axis=1)] = True
+        one = _Rings(held.placed.where("_block = 0"), held.low, held.high, np.minimum(held.blocks, 1))
+        tried = _meeting(asked, one, next_to & allowed, meet, schema).groupBy("query_id").agg(F.count("*").alias("n"), F.max("squared").alias("kth"))
+        known = asked.placed.join(tried, F.col("id") == F.col("query_id"), "left")
+        kth = F.when(F.col("n") >= k, F.col("kth")).otherwise(float("inf"))
+        bound = np.zeros(len(gaps))
+        for ring, value in known.groupBy("_ring").agg(F.max(F.coalesce(kth, F.lit(float("inf"))))).collect():
+            bound[ring] = value
+        # The distances were rounded.
+        allowed &= gaps**2 <= bound[:, None] + 2 * 10.0**-DIGITS
+    return _meeting(asked, held, allowed, meet, schema)
 
 
 def nearest(
@@ -200,6 +263,7 @@ def nearest(
         "query_id {query}, doc_id {doc}, squared double",
         query_block,
         doc_block,
+        k,
     )
     order = F.row_number().over(Window.partitionBy("query_id").orderBy("squared", "doc_id"))
     return (

@@ -50,6 +50,17 @@ def test_neighbours_equal_brute_force(spark, vectors):
     assert found(nn.nearest(queries, docs, 10, query_block=7, doc_block=60)) == want
 
 
+def test_blocks_too_far_apart_are_skipped(spark, monkeypatch):
+    random = np.random.RandomState(5)
+    table = (1 + 0.1 * random.rand(400, 6)) * np.repeat([1.0, 3.0, 9.0, 27.0], 100)[:, None]
+    queries, docs = frame(spark, table[::4], "q"), frame(spark, table, "d")
+    met = []
+    meeting = nn._meeting
+    monkeypatch.setattr(nn, "_meeting", lambda q, d, allowed, *rest: met.append(allowed) or meeting(q, d, allowed, *rest))
+    assert found(nn.nearest(queries, docs, 5, query_block=20, doc_block=50)) == brute(table[::4], table, 5)
+    assert len(met) == 2 and not met[1].all() and met[1].sum() < 0.85 * met[1].size
+
+
 def test_small_chunks_change_nothing(spark, vectors, monkeypatch):
     block = nn._distances
     monkeypatch.setattr(nn, "CELLS", 64)
