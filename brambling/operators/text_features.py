@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from brambling.functions.text import blank_runs, letter_runs, words
 from brambling.operators.joins import BROADCAST_BYTES, join_small, measure
-from brambling.session import cut, store
+from brambling.session import cut, discard, spill, store
 
 # A dictionary row without its word: rank, count and row overhead.
 RANK_ROW_BYTES = 48
@@ -54,16 +54,16 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return word_rows(docs.select("text")).groupBy("word").agg(F.count("*").alias("cnt"))
 
 
-def counted_words(docs: DataFrame) -> tuple[DataFrame, int]:
-    """``word_counts``, stored, and the number of documents, from one pass.
+def counted_words(docs: DataFrame) -> tuple[DataFrame, int, str]:
+    """``word_counts``, stored, the number of documents, and the path of the table, from one pass.
 
     A null after the words of each text counts the texts.
     """
     pieces = F.coalesce(letter_runs("text"), F.array().cast("array<string>"))
     rows = docs.select(F.explode(F.concat(pieces, F.array(F.lit(None).cast("string")))).alias("word"))
-    counts = store(rows.groupBy(F.lower("word").alias("word")).agg(F.count("*").alias("cnt")))
+    counts, path = spill(rows.groupBy(F.lower("word").alias("word")).agg(F.count("*").alias("cnt")))
     n_docs = counts.where("word is null").select("cnt").first()
-    return counts.where("word is not null"), n_docs[0] if n_docs else 0
+    return counts.where("word is not null"), n_docs[0] if n_docs else 0, path
 
 
 def least_count(counts: DataFrame, size: int) -> int:
@@ -110,8 +110,9 @@ class Dictionary:
 
 
 def fit_dictionary(docs: DataFrame, size: int) -> Dictionary:
-    counts, n_docs = counted_words(docs)
+    counts, n_docs, path = counted_words(docs)
     table = cut(top_words(counts, size))
+    discard(docs.sparkSession, path)
     return Dictionary(table, *measure(table), n_docs)
 
 

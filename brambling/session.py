@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,14 +31,39 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if not _one_machine(context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="brambling-")
+    if not _one_machine(context.master):
+        _check_shared(spark, folder)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
 
 
+def _one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
+@cache
+def _check_shared(spark: SparkSession, folder: str) -> None:
+    """Raise unless a task can read what the driver writes to ``folder``; once per session."""
+    path = f"{folder}/brambling-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = system.create(place)
+    stream.writeBytes("shared")
+    stream.close()
+    try:
+        found = [row.value for row in spark.read.text(path).collect()]
+    except Exception as error:
+        raise RuntimeError(f"executors cannot read {folder}, the folder in spark.checkpoint.dir") from error
+    finally:
+        system.delete(place, True)
+    if found != ["shared"]:
+        raise RuntimeError(f"executors cannot read {folder}, the folder in spark.checkpoint.dir")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder for a table that one job writes and the next one reads."""
     return f"{shared_folder(spark)}/brambling-{uuid.uuid4().hex}/{name}"
@@ -49,8 +75,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def store(df: DataFrame) -> DataFrame:
-    """The same for a large table: a Parquet table in the shared folder, compressed and splittable."""
+def spill(df: DataFrame) -> tuple[DataFrame, str]:
+    """Store a table in the shared folder and name its path, for ``discard`` once it is not needed."""
     path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def store(df: DataFrame) -> DataFrame:
+    """A Parquet table in the shared folder, compressed and splittable, that stays there."""
+    return spill(df)[0]
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete tables that ``spill`` wrote."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
