@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brambling.llm.common import discard, join_counted, spill
+from brambling.llm.common import join_counted
+from brambling.session import discard, spill
 
 
 def _lowered(edges: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from brambling.llm.common import join_counted, slices, sorted_runs
 from brambling.llm.components import connected
 from brambling.operators.joins import BROADCAST_BYTES
-from brambling.session import cut, store
+from brambling.session import cut, discard, spill, store
 
 SHINGLE = 4
 PERCENT = 85
@@ -111,12 +111,14 @@ def _frequent(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 def frequent_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes, sorted, and the powers of two of their counts; at most ``FREQUENT_MOST``."""
     sums = docs.select("text").mapInArrow(_frequent(width), "shingle long, n long")
-    sums = store(sums.groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT).withColumn("power", F.floor(F.log2("n")).cast("int")))
+    power = F.floor(F.log2("n")).cast("int")
+    sums, path = spill(sums.groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT).withColumn("power", power))
     by_power = {r.power: r["count"] for r in sums.groupBy("power").count().collect()}
     least = max(by_power, default=0)
     while least - 1 in by_power and sum(n for p, n in by_power.items() if p >= least - 1) <= FREQUENT_MOST:
         least -= 1
     table = sums.where(F.col("power") >= least).limit(FREQUENT_MOST).select("shingle", "power").toArrow()
+    discard(docs.sparkSession, path)
     keys, powers = (np.asarray(table.column(k).combine_chunks()) if table.num_rows else np.zeros(0, np.int64) for k in (0, 1))
     keys = keys.view(np.uint64)
     order = np.argsort(keys)
