@@ -18,6 +18,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """A column name that none of ``columns`` has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def fold(key: str | Column, parts: int) -> Column:
     """The fold of a row: crc32 of its id as text, modulo ``parts``; a null id is in fold 0."""
     text = (F.col(key) if isinstance(key, str) else key).cast("string")

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brambling.llm.common import slices
+from brambling.llm.common import fresh, slices
 
 WINDOW = 13
 SAMPLE_RATE = 8
@@ -190,12 +190,12 @@ def _spans(hit: np.ndarray) -> list[tuple[int, int]]:
 _FOUND = T.StructType([T.StructField("words", T.LongType()), T.StructField("starts", T.ArrayType(T.LongType())), T.StructField("ends", T.ArrayType(T.LongType())), T.StructField("items", T.ArrayType(T.StringType()))])
 
 
-def _pass(windows: Windows, names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _pass(windows: Windows, names: list[str], text_name: str, found_name: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Search one block of items; adds to what earlier passes found."""
     number = windows.vocabulary
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches, "_text", SHARD_BYTES):
+        for batch, texts in slices(batches, text_name, SHARD_BYTES):
             docs = []
             for text in texts:
                 parts = [np.fromiter((number.get(w, 0) for w in words), np.int64, len(words)) for words in words_of(text)]
@@ -211,45 +211,46 @@ def _pass(windows: Windows, names: list[str]) -> Callable[[Iterator[pa.RecordBat
             for doc, w in set(zip(owner.tolist(), window.tolist())):
                 found.setdefault(doc, set()).update(windows.items[w])
             rows = []
-            for k, old in enumerate(batch.column("_found").to_pylist()):
+            for k, old in enumerate(batch.column(found_name).to_pylist()):
                 own = hit[bounds[k] : bounds[k + 1]].copy()
                 for a, b in zip(old["starts"], old["ends"]):
                     own[a:b] = True
                 spans = _spans(own) if own.any() else []
                 rows.append({"words": len(own), "starts": [a for a, _ in spans], "ends": [b for _, b in spans], "items": sorted({*old["items"], *found.get(k, ())})})
             columns = [batch.column(i) for i in range(len(names))]
-            columns.append(pa.array(rows, batch.schema.field("_found").type))
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "_found"])
+            columns.append(pa.array(rows, batch.schema.field(found_name).type))
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, found_name])
 
     return search
 
 
-def find(docs: DataFrame, items: DataFrame, keep: list[str], text: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = WINDOW) -> DataFrame:
-    """The columns ``keep`` and ``_found``: the number of words, the hit spans, and the items.
+def find(docs: DataFrame, items: DataFrame, keep: list[str], text: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = WINDOW, found: str = "_found") -> DataFrame:
+    """The columns ``keep`` and ``found``: the number of words, the hit spans, and the items.
 
     Spans count words from 0, their end is exclusive; items are the ids as text.
     """
+    own = fresh("_text", [*keep, found])
     usable = items.where(F.col(item_id).isNotNull() & F.col(item_text).isNotNull())
     usable = usable.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("text"))
     total = usable.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // ITEM_BYTES))
     block = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
     empty = F.struct(F.lit(0).cast("long").alias("words"), F.array().cast("array<bigint>").alias("starts"), F.array().cast("array<bigint>").alias("ends"), F.array().cast("array<string>").alias("items"))
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias("_text"), empty.alias("_found"))
-    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("_text", docs.schema[text].dataType), T.StructField("_found", _FOUND)])
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias(own), empty.alias(found))
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(own, docs.schema[text].dataType), T.StructField(found, _FOUND)])
     for k in range(blocks):
         # About ITEM_BYTES of items at a time.
-        own = [(r.item, r.text.encode()) for r in usable.where(block == k).distinct().collect()]
-        rows = rows.mapInArrow(_pass(Windows.of(own, width), [*keep, "_text"]), schema)
-    return rows.drop("_text")
+        some = [(r.item, r.text.encode()) for r in usable.where(block == k).distinct().collect()]
+        rows = rows.mapInArrow(_pass(Windows.of(some, width), [*keep, own], own, found), schema)
+    return rows.drop(own)
 
 
-def n_hit() -> Column:
-    return F.aggregate(F.zip_with("_found.starts", "_found.ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda s, x: s + x)
+def n_hit(found: str = "_found") -> Column:
+    return F.aggregate(F.zip_with(f"{found}.starts", f"{found}.ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda s, x: s + x)
 
 
-def contaminated() -> Column:
-    return (n_hit() > 0) & (n_hit() * 20 >= F.col("_found.words"))
+def contaminated(found: str = "_found") -> Column:
+    return (n_hit(found) > 0) & (n_hit(found) * 20 >= F.col(f"{found}.words"))
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -262,8 +263,8 @@ def digest(found: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, items: DataFrame, **options: object) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    found = find(docs, items, docs.columns, **options)
-    return found.where(~contaminated()).drop("_found")
+    name = fresh("_found", docs.columns)
+    return find(docs, items, docs.columns, found=name, **options).where(~contaminated(name)).drop(name)
 
 
 _CUT = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brambling.llm.common import join_counted, slices, sorted_runs
+from brambling.llm.common import fresh, join_counted, slices, sorted_runs
 from brambling.llm.components import connected
 from brambling.operators.joins import BROADCAST_BYTES
 from brambling.session import cut, discard, spill, store
@@ -358,9 +358,9 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", **options: object) -> Da
 
     Of rows that repeat that id one stays; rows without id stay as they are.
     """
-    groups = similar_documents(docs, doc_id=doc_id, **options)
-    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    once = docs.where(F.col(doc_id).isNotNull()).join(gone, F.col(doc_id) == F.col("_gone"), "left_anti").dropDuplicates([doc_id])
+    groups, name = similar_documents(docs, doc_id=doc_id, **options), fresh("_gone", docs.columns)
+    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(name)).distinct()
+    once = docs.where(F.col(doc_id).isNotNull()).join(gone, F.col(doc_id) == F.col(name), "left_anti").dropDuplicates([doc_id])
     return once.unionByName(docs.where(F.col(doc_id).isNull()))
 
 

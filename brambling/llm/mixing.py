@@ -124,10 +124,9 @@ def mix(docs: DataFrame, **options: object) -> DataFrame:
 def repeat(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", seed: str = SEED, **options: object) -> DataFrame:
     """The mix itself: the rows of ``docs`` with all their columns, each as often as it is taken."""
     _, shares = plan(docs, doc_id=doc_id, source=source, seed=seed, **options)
-    keyed = docs.withColumns({"_key": key_of(source), "_cell": cell_of(doc_id, seed)})
-    rows = join_measured(keyed, shares, "_key")
-    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.when(_copies() > 0, _copies()))))
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    rows = join_measured(docs.select(whole, key_of(source).alias("_key"), cell_of(doc_id, seed).alias("_cell")), shares, "_key")
+    return rows.select("_row", F.explode(F.sequence(F.lit(1), F.when(_copies() > 0, _copies())))).select("_row.*")
 
 
 ORACLE = f"""

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brambling.llm.common import slices
+from brambling.llm.common import fresh, slices
 from brambling.session import store
 
 TRAIN_ROWS = 20_000
@@ -122,7 +122,8 @@ def label_sample(labels: DataFrame, doc_id: str, label: str, usable: Column, mos
 
 def training_texts(docs: DataFrame, sample: DataFrame, doc_id: str, *columns: Column) -> DataFrame:
     """The sampled documents. The sample has a bounded number of rows and is broadcast."""
-    return docs.join(F.broadcast(sample), F.col(doc_id) == F.col("_id")).select("_id", "_y", *columns)
+    rows = docs.select(F.col(doc_id).alias("_doc"), *columns)
+    return rows.join(F.broadcast(sample), F.col("_doc") == F.col("_id")).drop("_doc")
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,8 +179,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "qualit
     """Learn from the labels whose row satisfies ``usable``, a condition on the label table."""
     sample = label_sample(labels, doc_id, label, usable, train_rows)
     part = F.pmod(F.xxhash64(F.lit("fold"), F.col("_id")), F.lit(FOLDS)).cast("int").alias("fold")
-    chosen = training_texts(docs, sample, doc_id, part, F.col(text).alias("text"))
-    rows = store(chosen.mapInArrow(_describe, "fold int, y double, x array<double>"))
+    chosen = training_texts(docs, sample, doc_id, F.col(text).alias("text"))
+    rows = store(chosen.select(part, "_y", "text").mapInArrow(_describe, "fold int, y double, x array<double>"))
     dealt = rows.coalesce(PARTITIONS)
     moments = sum((np.frombuffer(r.sums).reshape(3, -1) for r in dealt.mapInArrow(_moments, "sums binary").collect()), np.zeros((3, STATISTICS)))
     n = moments[0, 0]
@@ -199,12 +200,12 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "qualit
 
 def with_score(docs: DataFrame, model, keep: list[str], text: str, name: str) -> DataFrame:
     """The columns ``keep`` of ``docs`` and the text's score by ``model.score`` as ``name``."""
-    fields = [docs.schema[c] for c in keep]
+    fields, texts_name = [docs.schema[c] for c in keep], fresh("_text", keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches, "_text", RUN_BYTES):
+        for batch, texts in slices(batches, texts_name, RUN_BYTES):
             columns = [batch.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(model.score(texts), pa.float64())], names=[*keep, name])
 
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias("_text"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias(texts_name))
     return rows.mapInArrow(run, T.StructType([*fields, T.StructField(name, T.DoubleType())]))

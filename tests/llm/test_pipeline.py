@@ -64,11 +64,14 @@ def test_run(spark, outputs):
 
 
 def test_bad_rows_pass_through(spark, tmp_path):
-    schema = "doc_id long, text string, lang string, source string, n_chars long, _quality string"
+    clashing = [f"{c} string" for c in ("_quality", "_text", "_found", "_key", "_cell", "_gone", "_id", "_y", "_row", "fold", "node", "rep")]
+    schema = ", ".join(["doc_id long, text string, lang string, source string, n_chars long", *clashing])
     words = " ".join(f"word{i}" for i in range(60))
     odd = [(1, None, None, None, None, "q"), (2, "", "en", "s", 0, "q"), (None, "no id " + words, None, "s", None, "q"), (3, words, "en", None, 9, "q"), (3, words, "en", None, 9, "q"), (4, "b " * 50_000, "en", "t", 1, "q")]
-    for case in (odd, []):
-        docs = spark.createDataFrame(case, schema).drop("_quality")
-        for k, (_, stage) in enumerate(pipeline.STAGES):
+    for case in ([(*r[:5], *(f"{i}{c}" for c in clashing)) for i, r in enumerate(odd)], []):
+        docs = first = spark.createDataFrame(case, schema)
+        for _, stage in pipeline.STAGES[:4]:
             docs = stage(spark, docs, FOLDER)
-        docs.collect()
+            assert docs.columns == first.columns
+            assert docs.select(docs.columns[5:]).subtract(first.select(docs.columns[5:])).isEmpty()
+        assert pipeline.STAGES[4][1](spark, docs, FOLDER).count() == docs.count()
