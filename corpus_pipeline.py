@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brambling.llm import decontamination, jaccard_join, mixing, quality, token_files
-from brambling.llm.common import fold, read
+from brambling.llm.common import fold, fresh, read
 from brambling.session import store
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -31,8 +31,8 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.fit(docs, read(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
-    scored = quality.with_score(docs, model, docs.columns, "text", "_quality")
-    return scored.where(F.col("_quality") >= GOOD).drop("_quality")
+    name = fresh("_quality", docs.columns)
+    return quality.with_score(docs, model, docs.columns, "text", name).where(F.col(name) >= GOOD).drop(name)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
