@@ -18,11 +18,13 @@ empty table gives no documents. Other columns are ignored.
 
 The tokenizer comes as the contents of its file and travels with the job. Texts are cut by the
 tokenizer's own pattern, and each distinct piece is encoded once by the tokenizers library and
-remembered, up to a bound; texts with characters beyond ``PLAIN`` are encoded by it as a whole.
+remembered, up to a bound; texts with characters beyond ``PLAIN`` are encoded by it as a whole. Without
+a pattern all texts are, which suits any tokenizer of that library.
 """
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import struct
@@ -48,53 +50,99 @@ LEVEL = 3
 FILE_BYTES = 64 << 20
 RUN_BYTES = 4 << 20
 PIECES, PIECE_IDS = 500_000, 4_000_000
-# Fixed value: how the byte-level tokenizer cuts a text before it merges bytes.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-# Characters whose class all Unicode versions agree on.
-PLAIN = re.compile("[\x00-ɏͰ-ͳΈ-ϿЀ-ҁ‐-‧‰-⁞€]*")
+JOINED = 512
+# Fixed value: how the byte-level tokenizer cuts a text before it merges bytes, for texts of PLAIN
+# characters: contractions, letters, digits, other signs, each after a blank or not, and blanks.
+PATTERN = r"""'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"""
+# Characters of Latin, Greek and Cyrillic texts, without signs of which Python's and the tokenizer's
+# classes differ.
+PLAIN = re.compile("[\x00-\x1b\x20-\x7e\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-\u024f\u0386\u0388-\u038a\u038e-\u03a1\u03a3-\u03ce\u0400-\u0482\u048a-\u052f\u2010-\u2027\u2030-\u203e\u20ac]*")
 
 
 class Encoder:
-    """Ids of texts, remembering pieces that have been encoded before."""
+    """Ids of texts, remembering pieces that have been encoded before, the most used ones longest."""
 
     def __init__(self, tokenizer: str, pattern: str | None):
-        import regex
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(tokenizer)
         # The strings of special tokens are ordinary text in a document.
         self.tokenizer.encode_special_tokens = True
-        self.pieces = regex.compile(pattern).findall if pattern else None
-        self.forget()
-
-    def forget(self) -> None:
+        self.pieces = re.compile(pattern).findall if pattern else None
+        # A byte-level token has one sign per byte.
+        vocabulary = self.tokenizer.get_vocab()
+        self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.width[list(vocabulary.values())] = [len(token) for token in vocabulary]
         self.place: dict[str, int] = {}
-        self.start, self.length, self.ids = (np.zeros(0, np.int64) for _ in range(3))
+        self.start, self.length, self.ids, self.uses = (np.zeros(0, np.int64) for _ in range(4))
+
+    @classmethod
+    def kept(cls, tokenizer: str, pattern: str | None) -> Encoder:
+        """The encoder of this worker process, which the tasks that it runs one after another share."""
+        import tokenizers
+
+        held, key = vars(tokenizers).setdefault("_kept_encoder", {}), (tokenizer, pattern)
+        if key not in held:
+            held.clear()
+            held[key] = cls(tokenizer, pattern)
+        return held[key]
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, np.int64) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def words(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of pieces that are a blank and letters; side by side they are cut in the same places."""
+        out = []
+        for k in range(0, len(words), JOINED):
+            own = words[k : k + JOINED]
+            (ids,) = self.whole(["".join(own)])
+            ends = np.cumsum([len(w.encode()) for w in own])
+            reached = np.cumsum(self.width[ids])
+            at = np.searchsorted(reached, ends)
+            if len(reached) and reached[-1] == ends[-1] and (reached[at] == ends).all():
+                out += np.split(ids, at[:-1] + 1)
+            else:
+                out += self.whole(own)
+        return out
+
     def learn(self, pieces: list[str]) -> None:
-        new = self.whole(pieces)
-        for i, piece in enumerate(pieces, len(self.place)):
-            self.place[piece] = i
+        words = [p for p in pieces if p[0] == " " and p[1:].isalpha()]
+        others = [p for p in pieces if not (p[0] == " " and p[1:].isalpha())]
+        new = self.words(words) + self.whole(others)
+        self.place.update(zip(words + others, range(len(self.place), len(self.place) + len(pieces))))
         lengths = np.array([len(x) for x in new], np.int64)
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(lengths) - lengths])
         self.length = np.concatenate([self.length, lengths])
         self.ids = np.concatenate([self.ids, *new])
+        self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
+
+    def forget(self) -> None:
+        """Keep the half of the pieces that was used most, within half of the ids."""
+        order = np.argsort(-self.uses, kind="stable")[: PIECES // 2]
+        order = np.sort(order[np.cumsum(self.length[order]) <= PIECE_IDS // 2])
+        names = list(self.place)
+        self.place = {names[i]: k for k, i in enumerate(order)}
+        length = self.length[order]
+        ends = np.cumsum(length)
+        self.ids = self.ids[np.repeat(self.start[order] - ends + length, length) + np.arange(int(length.sum()))]
+        self.start, self.length, self.uses = ends - length, length, self.uses[order] // 2
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
         plain = [i for i, t in enumerate(texts) if self.pieces and PLAIN.fullmatch(t)]
         cut = [self.pieces(texts[i]) for i in plain]
-        if len(self.place) > PIECES or len(self.ids) > PIECE_IDS:
-            self.forget()
-        fresh = set().union(*cut) - self.place.keys() if cut else set()
+        fresh = set().union(*cut).difference(self.place)
         if fresh:
+            if len(self.place) > PIECES or len(self.ids) > PIECE_IDS:
+                self.forget()
+                fresh = set().union(*cut).difference(self.place)
             self.learn(sorted(fresh))
-        for i, pieces in zip(plain, cut):
-            at = np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
+        every = np.fromiter(map(self.place.__getitem__, itertools.chain(*cut)), np.int64)
+        self.uses += np.bincount(every, minlength=len(self.uses))
+        bounds = np.cumsum([0, *map(len, cut)])
+        for i, a, b in zip(plain, bounds, bounds[1:]):
+            at = every[a:b]
             length = self.length[at]
             ends = np.cumsum(length)
             shift = np.repeat(self.start[at] - ends + length, length)
@@ -158,7 +206,7 @@ def read_footer(content: memoryview) -> tuple[int, np.ndarray, np.ndarray, list[
 
 def _writer(tokenizer: str, pattern: str | None, end: int, bits: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, pattern)
+        encoder = Encoder.kept(tokenizer, pattern)
         offsets, sizes, docs, tokens = [], [], [], []
         held, place = np.zeros(0, np.uint32), 0
 

@@ -61,9 +61,27 @@ def test_chunks():
 
 
 def test_forgetting_pieces(monkeypatch):
-    monkeypatch.setattr(tf, "PIECES", 3)
+    monkeypatch.setattr(tf, "PIECES", 6)
+    monkeypatch.setattr(tf, "JOINED", 3)
     encoder = tf.Encoder(open(PATH, encoding="utf-8").read(), tf.PATTERN)
-    texts = [["a b c d e f"], ["g h i a b"], ["x", "y z"]]
     whole = Tokenizer.from_file(PATH)
-    for batch in texts:
+    for batch in (["a b c d e f b b"], ["g h i a b", ""], ["x", "y z wörter unbekanntes"], ["a b unbekanntes g  x"] * 2, [""], []):
         assert [x.tolist() for x in encoder.encode(batch)] == [whole.encode(t).ids for t in batch]
+    assert " b" in encoder.place
+
+
+def test_white_space_in_every_place():
+    rng = random.Random(9)
+    encoder = tf.Encoder(open(PATH, encoding="utf-8").read(), tf.PATTERN)
+    whole = Tokenizer.from_file(PATH)
+    texts = ["".join(rng.choice(("a", "b's", " ", " ", "\n", ".", "7", "é", "\t", "x y")) for _ in range(rng.randrange(14))) for _ in range(4000)]
+    assert [x.tolist() for x in encoder.encode(texts)] == [whole.encode(t).ids for t in texts]
+
+
+def test_every_plain_character():
+    encoder = tf.Encoder(open(PATH, encoding="utf-8").read(), tf.PATTERN)
+    whole = Tokenizer.from_file(PATH)
+    plain = [chr(c) for c in range(0x3000) if tf.PLAIN.fullmatch(chr(c))]
+    assert len(plain) > 700
+    texts = [f"ab{c}d {c}e 1{c}2 {c}{c} .{c}! '{c} {c} \n{c}\n  {c}s't" for c in plain]
+    assert [x.tolist() for x in encoder.encode(texts)] == [whole.encode(t).ids for t in texts]
