@@ -14,7 +14,9 @@ with equal sets are one class. Two classes link when 100 * |A and B| >= PERCENT
    query's first shingles with a group's union bounds whether any member can link. Groups below the
    bound stay closed.
 4. For each pair of groups that is opened, the members in question are compared, until one link
-   between the two is found. Large sides are cut into blocks here too.
+   between the two is found. Groups that are opened to each other in great number form a cluster:
+   where this moves fewer sets than the pairs of its groups do, each member is sent to the blocks of
+   its cluster instead. Large sides are cut into blocks here too.
 
 Every link between classes is either followed or joins two groups that another link joins, so the
 components are exact. Components come from their edges alone.
@@ -174,12 +176,12 @@ _TILE = ("ta", "tb", "i", "j")
 
 
 def _load(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
-    """The whole sets of ``members (rep, ta, tb, i, j, side)``, sorted by tile."""
-    tiles = members.groupBy("rep").agg(F.collect_list(F.struct(*_TILE, "side")).alias("tiles"))
+    """The whole sets of ``members (rep, ta, tb, i, j, side, label)``, sorted by tile."""
+    tiles = members.groupBy("rep").agg(F.collect_list(F.struct(*_TILE, "side", "label")).alias("tiles"))
     n = members.count()
     chosen = F.broadcast(tiles) if n * 64 <= BROADCAST_BYTES else tiles
     rows = docs.join(chosen, docs.doc_id == chosen.rep if n * 64 > BROADCAST_BYTES else F.col("doc_id") == F.col("rep")).select("rep", "tiles", "text")
-    loaded = rows.mapInArrow(_sets(width), "rep long, tiles array<struct<ta:long,tb:long,i:int,j:int,side:boolean>>, shingles binary")
+    loaded = rows.mapInArrow(_sets(width), "rep long, tiles array<struct<ta:long,tb:long,i:int,j:int,side:boolean,label:long>>, shingles binary")
     each = loaded.select("rep", F.explode("tiles").alias("t"), "shingles").select("rep", "t.*", "shingles")
     return each.repartition(*_TILE).sortWithinPartitions(*_TILE)
 
@@ -191,7 +193,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
                 part = batch.slice(first, 1024)
                 sets = np.empty(part.num_rows, object)
                 sets[:] = [np.frombuffer(x, np.uint64) for x in part.column("shingles").to_pylist()]
-                yield {k: np.asarray(part.column(k)) for k in ("rep", *_TILE)} | {"side": part.column("side").to_numpy(zero_copy_only=False), "sets": sets}
+                yield {k: np.asarray(part.column(k)) for k in ("rep", "label", *_TILE)} | {"side": part.column("side").to_numpy(zero_copy_only=False), "sets": sets}
 
     return sorted_runs(chunks(), list(_TILE))
 
@@ -250,21 +252,37 @@ def _inside(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 
 
 def _across(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """One link between the two sides of each tile, if there is any: ``(rep, root)``."""
+    """Links between groups, one for each two that any links in a tile: ``(rep, root)``.
+
+    Members on different sides are compared unless their groups are connected already; in the tile
+    of a cluster's block with itself all members are.
+    """
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in _runs(batches):
-            few, many = np.flatnonzero(run["side"]), np.flatnonzero(~run["side"])
-            if len(few) > len(many):
-                few, many = many, few
-            if not len(few):
+            reps, side, inside = run["rep"], run["side"], run["ta"][0] == run["tb"][0] and run["i"][0] == run["j"][0]
+            _, root = np.unique(run["label"], return_inverse=True)
+            if root.max() == 0 or not (inside or (side.any() and not side.all())):
                 continue
             sets = _Sets(run["sets"])
+            few = np.arange(len(reps)) if inside else np.flatnonzero(side == (2 * side.sum() <= len(side)))
+            left, right = [], []
             for one in few:
-                new = sets.linked(int(one), many, percent)
-                if len(new):
-                    yield pa.RecordBatch.from_arrays([pa.array(run["rep"][[one]]), pa.array(run["rep"][new[:1]])], names=["rep", "root"])
+                others = root != root[one]
+                if inside:
+                    others[:one] = False
+                else:
+                    others &= side != side[one]
+                new = sets.linked(int(one), np.flatnonzero(others), percent)
+                for other in new:
+                    if root[other] != root[one]:
+                        left.append(reps[one])
+                        right.append(reps[other])
+                        root[root == root[other]] = root[one]
+                if len(new) and (root == root[0]).all():
                     break
+            if left:
+                yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["rep", "root"])
 
     return search
 
@@ -287,7 +305,7 @@ def _grouped_edges(docs: DataFrame, classes: DataFrame, width: int, percent: int
         placed = join_counted(members, sizes, ["gkey"], "size", total)
         block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("long")
         zero = F.lit(0).cast("int")
-        tiles = placed.select("rep", F.col("gkey").alias("ta"), block.alias("tb"), zero.alias("i"), zero.alias("j"), F.lit(True).alias("side"))
+        tiles = placed.select("rep", F.col("gkey").alias("ta"), block.alias("tb"), zero.alias("i"), zero.alias("j"), F.lit(True).alias("side"), F.lit(0).cast("long").alias("label"))
         found = store(_load(docs, tiles, width).mapInArrow(_inside(percent), "rep long, root long, pivot boolean, gkey long"))
         own = found.where("rep <> root").select("rep", "root")
         edges = own if edges is None else edges.unionByName(own)
@@ -320,13 +338,36 @@ def _crossing_edges(docs: DataFrame, labelled: DataFrame, width: int, percent: i
         F.count("*").alias("size"), own(True, 1).alias("na"), own(True, F.col("n")).alias("sa"), own(False, 1).alias("nb"), own(False, F.col("n")).alias("sb")
     )
     # A group may be opened from one side alone; then no member of the other can link.
-    sizes = sizes.where("na > 0 and nb > 0").select("ta", "tb", "size", _blocks(F.col("na"), F.col("sa")).alias("ba"), _blocks(F.col("nb"), F.col("sb")).alias("bb"))
-    placed = join_counted(rows, sizes, ["ta", "tb"], "size", max(1, opened.count()))
+    sizes = sizes.where("na > 0 and nb > 0").withColumns({"ba": _blocks(F.col("na"), F.col("sa")), "bb": _blocks(F.col("nb"), F.col("sb"))})
+    sizes = store(sizes.select("ta", "tb", "size", "ba", "bb", (F.col("na") * F.col("bb") + F.col("nb") * F.col("ba")).alias("moved")))
+
+    # Clusters: groups connected by being opened to each other. Moving a cluster's members to its
+    # blocks is worth it where their number is below that of the pairs' members.
+    clusters = connected(sizes, "ta", "tb")
+    of_root = clusters.select(F.col("component").alias("node"), "component").distinct()
+    cluster_of = store(clusters.unionByName(of_root).withColumnRenamed("component", "cluster"))
+    labels = rows.select("rep", "n", F.when(F.col("side"), F.col("ta")).otherwise(F.col("tb")).alias("label")).distinct()
+    members = store(labels.join(cluster_of, F.col("label") == F.col("node")).select("rep", "n", "label", "cluster"))
+    own_size = members.groupBy("cluster").agg(F.count("*").alias("rows"), _blocks(F.count("*"), F.sum("n")).alias("blocks"))
+    pair_cluster = sizes.join(cluster_of, F.col("ta") == F.col("node"))
+    moved = pair_cluster.groupBy("cluster").agg(F.sum("moved").alias("moved"), F.count("*").alias("pairs"))
+    whole = store(own_size.join(moved, "cluster").where("pairs > 1 and rows * blocks < moved").select("cluster", "rows", "blocks"))
+
+    placed = join_counted(members, whole, ["cluster"], "rows", max(1, members.count()))
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    placed = placed.withColumn("mine", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    i, j = F.least("mine", "other"), F.greatest("mine", "other")
+    in_clusters = placed.select("rep", F.col("cluster").alias("ta"), F.col("cluster").alias("tb"), i.alias("i"), j.alias("j"), (F.col("mine") == i).alias("side"), "label")
+
+    alone = pair_cluster.join(whole.select("cluster"), "cluster", "left_anti").select("ta", "tb", "size", "ba", "bb")
+    placed = join_counted(rows, alone, ["ta", "tb"], "size", max(1, opened.count()))
     mine = F.pmod(F.xxhash64("rep"), F.when(F.col("side"), F.col("ba")).otherwise(F.col("bb"))).cast("int")
     placed = placed.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("side"), F.col("bb")).otherwise(F.col("ba")) - 1)))
     i, j = (F.when(F.col("side"), F.col(a)).otherwise(F.col(b)) for a, b in (("mine", "other"), ("other", "mine")))
-    tiles = placed.select("rep", "ta", "tb", i.alias("i"), j.alias("j"), "side")
-    return store(_load(docs, tiles, width).mapInArrow(_across(percent), "rep long, root long"))
+    label = F.when(F.col("side"), F.col("ta")).otherwise(F.col("tb")).alias("label")
+    in_pairs = placed.select("rep", "ta", "tb", i.alias("i"), j.alias("j"), "side", label)
+    loaded = _load(docs, in_clusters.unionByName(in_pairs), width)
+    return store(loaded.mapInArrow(_across(percent), "rep long, root long"))
 
 
 def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

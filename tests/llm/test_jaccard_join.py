@@ -77,6 +77,26 @@ def test_against_brute_force(spark, monkeypatch, frequent, block):
     assert sorted((tuple(r) for r in got), key=str) == brute(rows)
 
 
+@pytest.mark.parametrize("block", [512, 7])
+def test_many_texts_just_below_the_threshold(spark, monkeypatch, block):
+    monkeypatch.setattr(jj, "BLOCK_ROWS", block)
+    rng = random.Random(block)
+    base = [f"w{rng.randrange(500)}" for _ in range(150)]
+    rows = []
+    for i in range(80):
+        text = list(base)
+        for k in rng.sample(range(150), rng.choice([1, 2, 3, 3, 4, 5])):
+            text[k] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(text), 1, "r", "g"))
+    loads = []
+    load = jj._load
+    monkeypatch.setattr(jj, "_load", lambda docs, members, width: loads.append(members) or load(docs, members, width))
+    got = jj.similar_documents(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows) and 1 < len({r[2] for r in brute(rows)}) < 80
+    last = loads[-1]
+    assert last.where("ta = tb").count() > 0 and last.count() <= 80 * -(-80 // block) + 80
+
+
 def test_keep_first(spark):
     rows = planted(5)
     df = spark.createDataFrame(rows, SCHEMA)
