@@ -116,9 +116,12 @@ def frequent_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarr
     power = F.floor(F.log2("n")).cast("int")
     sums, path = spill(sums.groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT).withColumn("power", power))
     by_power = {r.power: r["count"] for r in sums.groupBy("power").count().collect()}
-    least = max(by_power, default=0)
-    while least - 1 in by_power and sum(n for p, n in by_power.items() if p >= least - 1) <= FREQUENT_MOST:
-        least -= 1
+    least, kept = max(by_power, default=0), 0
+    for power in sorted(by_power, reverse=True):
+        kept += by_power[power]
+        if kept > FREQUENT_MOST:
+            break
+        least = power
     table = sums.where(F.col("power") >= least).limit(FREQUENT_MOST).select("shingle", "power").toArrow()
     discard(docs.sparkSession, path)
     keys, powers = (np.asarray(table.column(k).combine_chunks()) if table.num_rows else np.zeros(0, np.int64) for k in (0, 1))

@@ -109,3 +109,12 @@ def test_keep_first(spark):
 
 def test_empty(spark):
     assert jj.similar_documents(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_frequent_shingles_with_a_gap_in_their_counts(spark, monkeypatch):
+    monkeypatch.setattr(jj, "FREQUENT", 2)
+    texts = ["one two three four"] * 40 + ["five six seven eight"] * 2 + [f"a b c d{i}" for i in range(9)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    assert len(jj.frequent_shingles(docs, 4)[0]) == 2
+    monkeypatch.setattr(jj, "FREQUENT_MOST", 1)
+    assert len(jj.frequent_shingles(docs, 4)[0]) == 1
