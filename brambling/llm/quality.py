@@ -35,7 +35,7 @@ FOLDS = 4
 RIDGE = 1e-3
 SEED = 11
 PARTITIONS = 8
-RUN_BYTES = 4 << 20
+RUN_BYTES = 1 << 20
 CLIP = 4.0
 
 _GROUPS = (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t", b"\n\r", b".,;:", b"!?", b"#$%&*@^~`", b"|<>[]{}=\\/", b"\"'()-_")
