@@ -48,7 +48,7 @@ END = 2
 BLOCK = 1 << 16
 LEVEL = 3
 FILE_BYTES = 64 << 20
-RUN_BYTES = 4 << 20
+RUN_BYTES = 1 << 20
 PIECES, PIECE_IDS = 500_000, 4_000_000
 JOINED = 512
 # Fixed value: how the byte-level tokenizer cuts a text before it merges bytes, for texts of PLAIN
