@@ -50,7 +50,7 @@ BLOCK_ROWS, BLOCK_SHINGLES = 512, 1 << 20
 FREQUENT, FREQUENT_MOST = 32, 1 << 18
 SUMMARY = 1 << 18
 RUN_BYTES = 4 << 20
-CACHE = 500_000
+CACHE = 150_000
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
