@@ -6,7 +6,7 @@ with equal sets are one class. Two classes link when 100 * |A and B| >= PERCENT
 1. Shingles that many documents share are counted first; they come last in the order of shingles,
    all others are ordered by hash. What is frequent only orders the work; results do not depend on it.
 2. Classes are partitioned into groups: by their smallest hash, large groups into blocks of bounded
-   size. All links inside a block are followed, one member per block then stands for it in the next
+   size, or of two members on average where texts are longer than that. All links inside a block are followed, one member per block then stands for it in the next
    level, and what is connected so far forms the groups of the matrix.
 3. The matrix has a row (shingle, group, smallest and largest set of the group with it): the union of
    the first shingles, in the order, of the group's sets. Two sets that link share at least
@@ -302,7 +302,9 @@ def _grouped_edges(docs: DataFrame, classes: DataFrame, width: int, percent: int
     edges = None
     while True:
         sizes = members.groupBy("gkey").agg(F.count("*").alias("size"), F.sum("n").alias("shingles")).where("size > 1")
-        sizes = cut(sizes.select("gkey", "size", _blocks(F.col("size"), F.col("shingles")).alias("blocks")))
+        # With two members a block on average a round leaves at most half of a group, however long its texts are.
+        blocks = F.greatest(F.lit(1), F.least(_blocks(F.col("size"), F.col("shingles")), F.floor(F.col("size") / 2))).cast("int")
+        sizes = cut(sizes.select("gkey", "size", blocks.alias("blocks")))
         if sizes.isEmpty():
             return edges
         placed = join_counted(members, sizes, ["gkey"], "size", total)

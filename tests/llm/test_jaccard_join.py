@@ -118,3 +118,24 @@ def test_frequent_shingles_with_a_gap_in_their_counts(spark, monkeypatch):
     assert len(jj.frequent_shingles(docs, 4)[0]) == 2
     monkeypatch.setattr(jj, "FREQUENT_MOST", 1)
     assert len(jj.frequent_shingles(docs, 4)[0]) == 1
+
+
+@pytest.mark.parametrize("shingles", [4, 60])
+def test_texts_longer_than_a_block(spark, monkeypatch, shingles):
+    monkeypatch.setattr(jj, "BLOCK_SHINGLES", shingles)
+    rng = random.Random(shingles)
+    rows = []
+    for k in range(12):
+        base = [f"w{rng.randrange(500)}" for _ in range(100)]
+        for i in range(2 + k % 5):
+            rows.append((10 * k + i, " ".join([*base, f"x{i}"]), 1, "r", "g"))
+    loads, load = [], jj._load
+
+    def counted(docs, members, width):
+        loads.append(members)
+        assert len(loads) < 10, "the groups do not get smaller"
+        return load(docs, members, width)
+
+    monkeypatch.setattr(jj, "_load", counted)
+    got = jj.similar_documents(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows) and len({r[2] for r in brute(rows)}) == 12
