@@ -2,7 +2,8 @@
 
 1. Documents that the quality classifier scores below 0.7 go. It learns from the labels of three
    folds of four; documents without label are judged like all others.
-2. Of each group of near copies the document with the smallest id stays.
+2. Of each group of near copies, in the sense of operator 8 (four words, 85 %), the document with the
+   smallest id stays.
 3. Documents of which a twentieth or more is benchmark text go.
 4. Sources are mixed to their target weights: a document is repeated 0 to 3 times.
 5. What is left is encoded, written to token files, and read back: one row per document and copy.
@@ -26,6 +27,8 @@ from brambling.session import store
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 GOOD = 0.7
+# The second stage is operator 8, so its contract holds.
+SHINGLE, PERCENT = 4, 85
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -36,7 +39,7 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard_join.keep_first(docs)
+    return jaccard_join.keep_first(docs, width=SHINGLE, percent=PERCENT)
 
 
 def unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

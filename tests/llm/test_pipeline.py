@@ -75,3 +75,10 @@ def test_bad_rows_pass_through(spark, tmp_path):
             assert docs.columns == first.columns
             assert docs.select(docs.columns[5:]).subtract(first.select(docs.columns[5:])).isEmpty()
         assert pipeline.STAGES[4][1](spark, docs, FOLDER).count() == docs.count()
+
+
+def test_near_copies_are_those_of_operator_8(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(pipeline.jaccard_join, "keep_first", lambda docs, **options: given.append(options) or docs)
+    pipeline.distinct(spark, spark.range(1), FOLDER)
+    assert given == [{"width": 4, "percent": 85}]
