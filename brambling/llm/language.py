@@ -2,9 +2,10 @@
 
 A language is a distribution over hashed letter trigrams, counted over all training documents. A
 document is taken as a mixture of languages: expectation-maximisation estimates their proportions
-from the likelihoods of its trigrams. The set of languages is the one among the most likely first
-one, two, ... whose likelihood less a penalty per language is largest. The prediction is the largest
-part of the mixture over that set, its proportion in it among all candidates is the score.
+from the likelihoods of its trigrams, over all languages. The set of languages is the one among the
+most likely first one, two, ... whose likelihood less a penalty per language is largest; sizes that
+cannot reach the best so far, whatever their proportions, are left out. The prediction is the largest
+part of the mixture over that set, its proportion in it among all languages is the score.
 
 A text that is null or has no letter is ``und`` with score 0, and so is every text if nothing could
 be learned. A null language is not learned from. Equal proportions go to the language that comes
@@ -27,7 +28,6 @@ from brambling.llm.common import fold, slices
 
 UNKNOWN = "und"
 BUCKETS = 1 << 15
-CANDIDATES = 8
 ROUNDS = 12
 PRIOR = 2.0
 SMOOTHING = 0.5
@@ -79,24 +79,26 @@ class Languages:
         seen = np.flatnonzero(counts)
         weight, table = counts[seen].astype(np.float64), self.likelihood[seen]
         alone = weight @ np.log(table) + np.log(np.maximum(self.share, 1e-12))
-        first = np.sort(np.argsort(-alone, kind="stable")[:CANDIDATES])
-        table, prior, alone = table[:, first], np.maximum(self.share[first], 1e-6), alone[first]
+        prior = np.maximum(self.share, 1e-6)
         every, _ = self._mixture(table, weight, prior)
         order = np.argsort(-every, kind="stable")
         cost = PENALTY * np.log(max(2.0, weight.sum()))
+        # No mixture is likelier than if each trigram came from its likeliest language.
+        most = float(weight @ np.log(table.max(1)))
         best, chosen, part = -np.inf, order[:1], np.ones(1)
-        for size in range(1, len(first) + 1):
+        for size in range(1, len(order) + 1):
+            if most - cost * size <= best:
+                break
             members = order[:size]
             if size == 1:
                 members = np.array([int(np.argmax(alone))])
                 own, value = np.ones(1), float(weight @ np.log(table[:, members[0]]))
             else:
                 own, value = self._mixture(np.ascontiguousarray(table[:, members]), weight, prior[members])
-            if value - cost * size <= best:
-                break
-            best, chosen, part = value - cost * size, members, own
+            if value - cost * size > best:
+                best, chosen, part = value - cost * size, members, own
         at = int(np.argmax(part))
-        names = [self.names[first[k]] for k in chosen]
+        names = [self.names[k] for k in chosen]
         listed = ",".join(f"{n}:{p:.3f}" for n, p in zip(names, part))
         return names[at], float(min(1.0, max(0.0, every[chosen[at]]))), listed
 

@@ -51,3 +51,44 @@ def test_edges(spark):
     nothing = language.fit(docs.limit(0), F.lit(True))
     assert {(r.lang_pred, r.score) for r in language.identify(docs, nothing).collect()} == {("und", 0.0)}
     assert language.identify(docs.limit(0), nothing).count() == 0
+
+
+def brute(model, text):
+    """Every size of the set is tried, over all languages."""
+    counts = np.bincount(language.trigrams(text), minlength=language.BUCKETS).astype(float)
+    seen = counts > 0
+    weight, table, prior = counts[seen], model.likelihood[seen], np.maximum(model.share, 1e-6)
+    every, _ = model._mixture(table, weight, prior)
+    order, values = np.argsort(-every, kind="stable"), []
+    alone = weight @ np.log(table)
+    one = int(np.argmax(alone + np.log(model.share)))
+    for size in range(1, len(order) + 1):
+        members = order[:size] if size > 1 else np.array([one])
+        part, value = model._mixture(table[:, members], weight, prior[members]) if size > 1 else (np.ones(1), float(alone[one]))
+        values.append((value - language.PENALTY * np.log(weight.sum()) * size, members, part))
+    best = max(range(len(values)), key=lambda k: values[k][0])
+    _, members, part = values[best]
+    at = int(np.argmax(part))
+    return model.names[members[at]], float(every[members[at]]), ",".join(f"{model.names[k]}:{p:.3f}" for k, p in zip(members, part)), [v for v, *_ in values]
+
+
+def mixed_models():
+    rng = np.random.default_rng(4)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8)
+    for n in [3, 4, 12, 14] * 12:
+        base = rng.dirichlet(np.full(26, 0.4), n)
+        base[1 : n - 2] = 0.8 * base[0] + 0.2 * base[1 : n - 2]
+        text = lambda k, size: rng.choice(letters, size, p=base[k]).tobytes()
+        names = [f"l{k:02d}" for k in range(n)]
+        counts = {x: np.bincount(language.trigrams(text(k, 20_000)), minlength=language.BUCKETS) for k, x in enumerate(names)}
+        model = language.Languages.of(counts, dict.fromkeys(names, 10))
+        yield model, b" ".join([text(0, 1200), text(n - 1, int(rng.integers(60, 700))), text(n - 2, int(rng.integers(60, 700)))])
+
+
+def test_all_languages_and_all_sizes():
+    late = 0
+    for model, text in mixed_models():
+        name, score, listed, values = brute(model, text)
+        assert model.predict(text) == (name, min(1.0, score), listed)
+        late += any(v <= max(values[:k]) for k, v in enumerate(values[: int(np.argmax(values))]) if k)
+    assert late
