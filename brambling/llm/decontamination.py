@@ -10,7 +10,8 @@ no item has end a run, and runs shorter than the shortest window hold no occurre
 put into the index.
 
 Items are sent to the tasks in blocks of bounded size; more blocks mean more passes over the
-documents within the same job, each adding to the spans found so far.
+documents, each adding to the spans found so far. Between passes the rows are in the shared folder, so
+the driver holds one block at a time.
 
 Upper-case A-Z is lowered; words are runs of digits, a-z and characters beyond ASCII. A null text
 has no words, and a document without words is not contaminated. Items without id or words take no
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brambling.llm.common import fresh, slices
+from brambling.session import discard, spill
 
 WINDOW = 13
 SAMPLE_RATE = 8
@@ -238,10 +240,16 @@ def find(docs: DataFrame, items: DataFrame, keep: list[str], text: str = "text",
     empty = F.struct(F.lit(0).cast("long").alias("words"), F.array().cast("array<bigint>").alias("starts"), F.array().cast("array<bigint>").alias("ends"), F.array().cast("array<string>").alias("items"))
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias(own), empty.alias(found))
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(own, docs.schema[text].dataType), T.StructField(found, _FOUND)])
+    path = None
     for k in range(blocks):
         # About ITEM_BYTES of items at a time.
         some = [(r.item, r.text.encode()) for r in usable.where(block == k).distinct().collect()]
         rows = rows.mapInArrow(_pass(Windows.of(some, width), [*keep, own], own, found), schema)
+        if k < blocks - 1:
+            before = path
+            rows, path = spill(rows)
+            if before:
+                discard(docs.sparkSession, before)
     return rows.drop(own)
 
 

@@ -96,3 +96,18 @@ def test_ranks_against_counting():
         places = np.arange(301)
         want = np.concatenate([[0], np.cumsum(sequence == symbol)])
         assert (wavelet.rank(np.full(301, symbol), places) == want).all()
+
+
+def test_a_plan_holds_one_block_of_items(spark, monkeypatch):
+    monkeypatch.setattr(dc, "ITEM_BYTES", 1000)
+    alive, of = [], dc.Windows.of
+
+    def counted(items, width):
+        alive.append(items)
+        return of(items, width)
+
+    monkeypatch.setattr(dc.Windows, "of", counted)
+    docs, items = planted(7)
+    found = dc.find(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS), ["doc_id"])
+    assert len(alive) > 2 and found._jdf.queryExecution().analyzed().toString().count("MapInArrow") == 1
+    assert sorted((tuple(r) for r in dc.digest(found).collect()), key=str) == brute(docs, items)
