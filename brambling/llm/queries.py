@@ -46,7 +46,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_files.tokens_of(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.tokens_of(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), special=True)
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,8 @@ empty table gives no documents. Other columns are ignored.
 The tokenizer comes as the contents of its file and travels with the job. Texts are cut by the
 tokenizer's own pattern, and each distinct piece is encoded once by the tokenizers library and
 remembered, up to a bound; texts with characters beyond ``PLAIN`` are encoded by it as a whole. Without
-a pattern all texts are, which suits any tokenizer of that library.
+a pattern all texts are, which suits any tokenizer of that library. With ``special`` the string of a
+special token gives that token's id, as the library does by default; otherwise it is ordinary text.
 """
 
 from __future__ import annotations
@@ -62,13 +63,15 @@ PLAIN = re.compile("[\x00-\x1b\x20-\x7e\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-\u024f\u03
 class Encoder:
     """Ids of texts, remembering pieces that have been encoded before, the most used ones longest."""
 
-    def __init__(self, tokenizer: str, pattern: str | None):
+    def __init__(self, tokenizer: str, pattern: str | None, special: bool = False):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(tokenizer)
-        # The strings of special tokens are ordinary text in a document.
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        # A text with the string of a token that the library takes out before it cuts is encoded as a whole.
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if special or not t.special]
+        self.added = re.compile("|".join(map(re.escape, added))).search if added else lambda text: None
         self.pieces = re.compile(pattern).findall if pattern else None
         # A byte-level token has one sign per byte.
         vocabulary = self.tokenizer.get_vocab()
@@ -78,14 +81,14 @@ class Encoder:
         self.start, self.length, self.ids, self.uses = (np.zeros(0, np.int64) for _ in range(4))
 
     @classmethod
-    def kept(cls, tokenizer: str, pattern: str | None) -> Encoder:
+    def kept(cls, tokenizer: str, pattern: str | None, special: bool = False) -> Encoder:
         """The encoder of this worker process, which the tasks that it runs one after another share."""
         import tokenizers
 
-        held, key = vars(tokenizers).setdefault("_kept_encoder", {}), (tokenizer, pattern)
+        held, key = vars(tokenizers).setdefault("_kept_encoder", {}), (tokenizer, pattern, special)
         if key not in held:
             held.clear()
-            held[key] = cls(tokenizer, pattern)
+            held[key] = cls(tokenizer, pattern, special)
         return held[key]
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
@@ -130,7 +133,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
-        plain = [i for i, t in enumerate(texts) if self.pieces and PLAIN.fullmatch(t)]
+        plain = [i for i, t in enumerate(texts) if self.pieces and PLAIN.fullmatch(t) and not self.added(t)]
         cut = [self.pieces(texts[i]) for i in plain]
         fresh = set().union(*cut).difference(self.place)
         if fresh:
@@ -204,9 +207,9 @@ def read_footer(content: memoryview) -> tuple[int, np.ndarray, np.ndarray, list[
     return part, out[0], out[1], ids, out[4]
 
 
-def _writer(tokenizer: str, pattern: str | None, end: int, bits: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _writer(tokenizer: str, pattern: str | None, end: int, bits: bool, special: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.kept(tokenizer, pattern)
+        encoder = Encoder.kept(tokenizer, pattern, special)
         offsets, sizes, docs, tokens = [], [], [], []
         held, place = np.zeros(0, np.uint32), 0
 
@@ -239,14 +242,14 @@ def _writer(tokenizer: str, pattern: str | None, end: int, bits: bool) -> Callab
     return write
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text", pattern: str | None = PATTERN, end: int = END, bits: bool = False) -> None:
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text", pattern: str | None = PATTERN, end: int = END, bits: bool = False, special: bool = False) -> None:
     """Encode and write all documents in ascending order of their ids, a file per range of ids."""
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
     files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // FILE_BYTES))
     dealt = rows.repartitionByRange(files, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    write_bytes(dealt.mapInArrow(_writer(tokenizer, pattern, end, bits), "chunk binary"), path)
+    write_bytes(dealt.mapInArrow(_writer(tokenizer, pattern, end, bits, special), "chunk binary"), path)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

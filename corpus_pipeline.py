@@ -6,7 +6,8 @@
    smallest id stays.
 3. Documents of which a twentieth or more is benchmark text go.
 4. Sources are mixed to their target weights: a document is repeated 0 to 3 times.
-5. What is left is encoded, written to token files, and read back: one row per document and copy.
+5. What is left is encoded, written to token files, and read back: one row per document and copy. The
+   string of a special token gives its id, as the library does by default.
 
 Stages 1 to 4 return the columns of their input. Null and empty texts pass stage 1 by their score,
 link with nothing in stage 2, are never contaminated, have size 0, and encode to the end token.
@@ -51,7 +52,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return token_files.tokens_of(docs, TOKENIZER)
+    return token_files.tokens_of(docs, TOKENIZER, special=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -3,11 +3,13 @@ from __future__ import annotations
 import random
 import zlib
 
+import corpus_pipeline as pipeline
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
 from brambling.llm import token_files as tf
+from brambling.llm.queries import op7_token_id_output
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "doc_id long, text string, part int, start string"
@@ -85,3 +87,17 @@ def test_every_plain_character():
     assert len(plain) > 700
     texts = [f"ab{c}d {c}e 1{c}2 {c}{c} .{c}! '{c} {c} \n{c}\n  {c}s't" for c in plain]
     assert [x.tolist() for x in encoder.encode(texts)] == [whole.encode(t).ids for t in texts]
+
+
+def test_special_tokens_as_the_library_does(spark, tmp_path):
+    texts = ["the cat's <|endoftext|> don't  \n\n x", "a<|endoftext|><|endoftext|>b", " <|endoftext| > é", "世 <|endoftext|>", "the cat's"]
+    untouched, start, want = Tokenizer.from_file(PATH), 0, []
+    for k, text in enumerate(texts):
+        ids = untouched.encode(text, add_special_tokens=False).ids + [2]
+        want.append((k, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    assert 50256 in untouched.encode(texts[0], add_special_tokens=False).ids
+    for rows in (op7_token_id_output(spark, str(tmp_path)), pipeline.encoded(spark, df, "")):
+        assert sorted((tuple(r) for r in rows.collect()), key=lambda r: r[1]) == want
