@@ -36,6 +36,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from brambling.llm.common import fresh, join_counted, slices, sorted_runs
 from brambling.llm.components import connected
@@ -375,6 +376,14 @@ def _crossing_edges(docs: DataFrame, labelled: DataFrame, width: int, percent: i
     return store(loaded.mapInArrow(_across(percent), "rep long, root long"))
 
 
+def _same_id(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Edges ``(rep, root)`` from an id to the classes of its rows, where these differ in their sets."""
+    own, known = F.struct("f", "g"), signed.where("doc_id is not null")
+    ids = known.groupBy("doc_id").agg(F.min(own).alias("least"), F.max(own).alias("most")).where("least <> most").select("doc_id")
+    rows = store(known.join(ids, "doc_id", "left_semi").select("doc_id", "f", "g").distinct())
+    return rows.join(classes.select("f", "g", "rep"), ["f", "g"]).select(F.col("doc_id").alias("rep"), F.col("rep").alias("root"))
+
+
 def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` per row."""
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -389,24 +398,36 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     grouped = connected(none if edges is None else edges, "rep", "root")
     labelled = classes.join(grouped, F.col("rep") == F.col("node"), "left").withColumn("label", F.coalesce("component", "rep"))
     crossing = _crossing_edges(texts, labelled.select("rep", "n", "label", "first"), width, percent)
-    every = grouped.select(F.col("node").alias("rep"), F.col("component").alias("root")).unionByName(crossing)
+    every = grouped.select(F.col("node").alias("rep"), F.col("component").alias("root")).unionByName(crossing).unionByName(_same_id(signed, classes))
     component = connected(every, "rep", "root")
     final = classes.join(component, F.col("rep") == F.col("node"), "left")
     final = store(final.select("f", "g", "copies", F.coalesce("component", "rep").alias("component_id")))
     rows = usable.select("doc_id", "n", "f", "g")
     joined = join_counted(rows, final, ["f", "g"], "copies", max(1, rows.count()))
-    alone = signed.where("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    alone = signed.where("n = 0 or doc_id is null").join(component, F.col("doc_id") == F.col("node"), "left").select("doc_id", "n", F.coalesce("component", "doc_id").alias("component_id"))
     return joined.select("doc_id", "n", "component_id").unionByName(alone).withColumnRenamed("n", "n_shingles")
 
 
-def keep_first(docs: DataFrame, doc_id: str = "doc_id", **options: object) -> DataFrame:
+def _ordered(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _ordered(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_ordered(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options: object) -> DataFrame:
     """One document of each component, that of the smallest id, with all its columns.
 
-    Of rows that repeat that id one stays; rows without id stay as they are.
+    Of rows that repeat that id, which are one document, the first by text stays, then by the other
+    columns that have an order; rows without id stay as they are.
     """
-    groups, name = similar_documents(docs, doc_id=doc_id, **options), fresh("_gone", docs.columns)
+    groups, name = similar_documents(docs, doc_id=doc_id, text=text, **options), fresh("_gone", docs.columns)
     gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(name)).distinct()
-    once = docs.where(F.col(doc_id).isNotNull()).join(gone, F.col(doc_id) == F.col(name), "left_anti").dropDuplicates([doc_id])
+    kept = docs.where(F.col(doc_id).isNotNull()).join(gone, F.col(doc_id) == F.col(name), "left_anti")
+    order = F.struct(F.col(text), *(F.col(f"`{f.name}`") for f in docs.schema if f.name not in (doc_id, text) and _ordered(f.dataType)))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    once = kept.groupBy(F.col(doc_id).alias(name)).agg(F.min_by(row, order).alias("row")).select("row.*")
     return once.unionByName(docs.where(F.col(doc_id).isNull()))
 
 

@@ -139,3 +139,14 @@ def test_texts_longer_than_a_block(spark, monkeypatch, shingles):
     monkeypatch.setattr(jj, "_load", counted)
     got = jj.similar_documents(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted((tuple(r) for r in got), key=str) == brute(rows) and len({r[2] for r in brute(rows)}) == 12
+
+
+def test_rows_that_share_an_id(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(30)) for c in "abc")
+    rows = [(3, two, 1, "r", "g"), (9, two, 1, "r", "g"), (9, one, 1, "r", "g"), (12, one, 1, "r", "g"), (20, three, 2, "r", "g"), (20, one + " x", 1, "r", "g"), (30, three, 1, "r", "g"), (12, "", 1, "r", "g"), (30, None, 1, "r", "g"), (35, "", 1, "r", "g")]
+    rows += [(40, f"z{k} {three} {one} {two}" * (k % 3 + 1), k, "r", "g") for k in range(40, 0, -1)]
+    got = jj.similar_documents(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+    for parts in (1, 7):
+        kept = jj.keep_first(spark.createDataFrame(rows, SCHEMA).repartition(parts)).collect()
+        assert sorted((r.doc_id, r.text) for r in kept) == [(3, two), (35, ""), (40, min(t for i, t, *_ in rows if i == 40))]
