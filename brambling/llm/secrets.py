@@ -5,8 +5,9 @@ dropped after matching, as it was consumed. Candidates for the entropy test are
 base-64 alphabets. A window of fixed length slides over a candidate; the counts of its characters
 and the sum of n*log2(n) over them are brought up to date by the character that enters and the one
 that leaves, which gives the window's Shannon entropy. Each character class has its own threshold.
-The span found reaches from the first to the last window at or above it. Candidates that the
-allow-list matches, and those within a span of a pattern, are suppressed.
+The span found reaches from the first to the last window at or above it. Windows that overlap the
+mark of a sample are suppressed, and so are candidates that the allow-list matches, those that begin
+with the // of a URL, and those within a span of a pattern.
 
 Positions count code points, the end is exclusive. A null text is empty; an empty text has no span.
 Repeated rows give equal results; columns other than the two named are ignored.
@@ -31,13 +32,16 @@ CANDIDATE = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{WINDOW},}}"
 # Character classes, narrowest first: every character of the candidate is in it, and the bits that
 # a window must have. 20 random hexadecimal digits have about 3.4 bits, random base-64 about 4.1.
 CLASSES = (("^[0-9a-fA-F]+$", 3.0), ("^[A-Z0-9]+$", 3.5), ("^[A-Za-z0-9+/_=-]+$", 3.8))
-# What looks random and is not secret: no digit or no letter, UUIDs, ascending alphabets, samples.
+# What looks random and is not secret, as a whole: no digit or no letter, UUIDs, digits in ascending
+# order, words with a number.
 ALLOWED = (
     r"^[^0-9]+$|^[^A-Za-z]+$|^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$"
-    r"|(?i:abcdefgh|01234567|example|sample|dummy|placeholder|xxxxxx|/{2})|^[a-z]+(?:[-_/][a-z]+)*[-_/]?[0-9]{1,6}$"
+    r"|^(?i:(?:0123456789(?:abcdef)?)+[0-9]*)$|^[a-z]+(?:[-_/][a-z]+)*[-_/]?[0-9]{1,6}$"
 )
-# The alphabet lies between these two characters.
-LOW, HIGH = ord("+"), ord("z")
+# Samples and ascending alphabets inside a candidate: the windows that they touch are not secret.
+MARKS = ("abcdefgh", "01234567", "example", "sample", "dummy", "placeholder", "xxxxxx")
+# The alphabet lies between these two characters; the third is between them and not in it.
+LOW, HIGH, MARK = ord("+"), ord("z"), "."
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -60,8 +64,19 @@ def matches(text: Column, pattern: str) -> Column:
     return F.when(F.size(found) > 0, spans).otherwise(empty)
 
 
+def unmarked(candidate: Column) -> Column:
+    """The candidate with each character of a mark replaced by ``MARK``."""
+    out = candidate
+    for mark in MARKS:
+        out = F.regexp_replace(out, f"(?i:{mark})", MARK * len(mark))
+    return F.when(candidate.rlike(f"(?i:{'|'.join(MARKS)})"), out).otherwise(candidate)
+
+
 def hot_range(candidate: Column, threshold: Column) -> Column:
-    """``struct<first, last>``: where the first and the last window at or above the threshold end."""
+    """``struct<first, last>``: where the first and the last window at or above the threshold end.
+
+    Windows with a ``MARK`` do not count.
+    """
     chars = F.split(candidate, "")
     weight = F.array(*[F.lit(n * math.log2(n) if n else 0.0) for n in range(WINDOW + 2)])
     slot = lambda i: (F.ascii(F.get(chars, i)) - LOW).cast("int")
@@ -72,8 +87,9 @@ def hot_range(candidate: Column, threshold: Column) -> Column:
         here, gone = F.get(counts, enters), F.coalesce(F.get(counts, leaves), F.lit(0)) + F.when(enters == leaves, 1).otherwise(0)
         total = state["total"] + F.get(weight, here + 1) - F.get(weight, here)
         total = total + F.when(leaves >= 0, F.get(weight, gone - 1) - F.get(weight, gone)).otherwise(0.0)
+        marked = F.get(counts, F.lit(ord(MARK) - LOW)) + F.when(enters == ord(MARK) - LOW, 1).otherwise(0) - F.when(leaves == ord(MARK) - LOW, 1).otherwise(0)
         counts = F.transform(counts, lambda n, k: n + F.when(k == enters, 1).otherwise(0) - F.when(k == leaves, 1).otherwise(0))
-        hot = (i >= WINDOW - 1) & (math.log2(WINDOW) - total / WINDOW >= threshold)
+        hot = (i >= WINDOW - 1) & (math.log2(WINDOW) - total / WINDOW >= threshold) & (marked == 0)
         first = F.when(hot & (state["first"] < 0), i).otherwise(state["first"])
         return F.struct(counts.alias("counts"), total.alias("total"), first.alias("first"), F.when(hot, i).otherwise(state["last"]).alias("last"))
 
@@ -103,8 +119,9 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     guarded = lambda pattern: F.when(column.rlike(pattern), matches(column, pattern)).otherwise(none)
     rows = rows.withColumn("_assign", F.filter(guarded(ASSIGN), lambda s: F.length(s["value"]) >= ASSIGN_LENGTH))
     rows = rows.withColumns({"_access": guarded(ACCESS), "_hex": guarded(HEX)})
-    likely = F.filter(guarded(CANDIDATE), lambda s: ~s["match"].rlike(ALLOWED))
-    rows = rows.withColumn("_likely", likely)
+    in_url = lambda s: s["match"].startswith("//") & (F.substring(column, s["start"].cast("int"), F.lit(1)) == ":") & (s["start"] > 0)
+    likely = F.filter(guarded(CANDIDATE), lambda s: ~s["match"].rlike(ALLOWED) & ~in_url(s))
+    rows = rows.withColumn("_likely", F.transform(likely, lambda s: F.struct(s["start"].alias("start"), s["match"].alias("match"), unmarked(s["match"]).alias("plain"))))
 
     def bits(match: Column) -> Column:
         chosen = F.lit(CLASSES[-1][1])
@@ -112,7 +129,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
             chosen = F.when(match.rlike(pattern), threshold).otherwise(chosen)
         return chosen
 
-    ranges = F.transform("_likely", lambda s: F.struct(s["start"].alias("at"), hot_range(s["match"], bits(s["match"])).alias("hot")))
+    ranges = F.transform("_likely", lambda s: F.struct(s["start"].alias("at"), hot_range(s["plain"], bits(s["match"])).alias("hot")))
     hot = F.transform(
         F.filter(ranges, lambda r: r["hot"]["first"] >= 0),
         lambda r: F.struct((r["at"] + r["hot"]["first"] - (WINDOW - 1)).alias("start"), F.lit(3).alias("kind"), (r["at"] + r["hot"]["last"] + 1).alias("end")),

@@ -70,3 +70,16 @@ def test_empty_table_and_repeated_rows(spark):
     assert secrets.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     twice = spark.createDataFrame([(None, "token=abcdef")] * 2, "doc_id long, text string")
     assert [r.spans for r in secrets.digest(secrets.scan(twice)).collect()] == ["assign:0:12"] * 2
+
+
+def test_allowed_words_inside_random_strings(spark):
+    rng = random.Random(8)
+    chars = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+"
+    blob = lambda n: "".join(rng.choice(chars) for _ in range(n))
+    a, b = blob(24), blob(24)
+    found = {f"x {a}//{b}": "entropy:2:52", f"//{a}{b}": "entropy:0:50"}
+    found |= {f"{mark}{a}": f"entropy:{len(mark)}:{len(mark) + 24}" for mark in ("Sample", "xxxxxx", "my-EXAMPLE", "abcdefgh")}
+    found |= {f"x {a}dummy{b}": "entropy:2:55", f"{a[:18]}example{b[:18]}": "", f"https://{a}{b}": "", f"see {a[:14]}Placeholder{b[:14]}": ""}
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(found)], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secrets.digest(secrets.scan(df)).collect()}
+    assert [got[i] for i in range(len(found))] == list(found.values())
