@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brambling.llm import decontamination, jaccard_join, language, mixing, near_vectors, quality, secrets, token_files, toxicity, warc
+from brambling.llm import decontamination, divergence, jaccard_join, language, mixing, near_vectors, quality, secrets, token_files, toxicity, warc
 from brambling.llm.common import fold, read
 from brambling.session import scratch_path
 
@@ -63,11 +63,16 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(read(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {q.__name__: q for q in (op1_quality_classifier, op2_language_id, op3_benchmark_decontamination, op4_toxicity, op5_secret_scans, op6_mixing, op7_token_id_output, op8_ngram_jaccard_join, op9_warc, op10_embedding_near_dedup)}
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {q.__name__: q for q in (op1_quality_classifier, op2_language_id, op3_benchmark_decontamination, op4_toxicity, op5_secret_scans, op6_mixing, op7_token_id_output, op8_ngram_jaccard_join, op9_warc, op10_embedding_near_dedup, op11_source_divergence)}
 ORACLES = {
     "op3_benchmark_decontamination": decontamination.ORACLE,
     "op6_mixing": mixing.ORACLE,
     "op8_ngram_jaccard_join": jaccard_join.ORACLE,
     "op9_warc": warc.ORACLE,
     "op10_embedding_near_dedup": near_vectors.ORACLE,
+    "op11_source_divergence": divergence.ORACLE,
 }

@@ -13,7 +13,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     names = set(queries.QUERIES) | {"pipeline"}
-    assert names <= set(entry.queries()) and {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert names <= set(entry.queries()) and {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     assert set(queries.ORACLES) <= set(entry.oracle_sql())
 
 
