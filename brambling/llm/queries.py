@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brambling.llm import decontamination, divergence, jaccard_join, language, mixing, near_vectors, quality, secrets, token_files, toxicity, vector_codes, warc
+from brambling.llm import decontamination, divergence, jaccard_join, language, licences, mixing, near_vectors, quality, secrets, token_files, toxicity, vector_codes, warc
 from brambling.llm.common import fold, read
 from brambling.session import scratch_path
 
@@ -71,7 +71,11 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.encode(read(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {q.__name__: q for q in (op1_quality_classifier, op2_language_id, op3_benchmark_decontamination, op4_toxicity, op5_secret_scans, op6_mixing, op7_token_id_output, op8_ngram_jaccard_join, op9_warc, op10_embedding_near_dedup, op11_source_divergence, op12_vector_codes)}
+def op13_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.digest(licences.scan(read(spark, sf_dir, "documents")))
+
+
+QUERIES = {q.__name__: q for q in (op1_quality_classifier, op2_language_id, op3_benchmark_decontamination, op4_toxicity, op5_secret_scans, op6_mixing, op7_token_id_output, op8_ngram_jaccard_join, op9_warc, op10_embedding_near_dedup, op11_source_divergence, op12_vector_codes, op13_license_scans)}
 ORACLES = {
     "op3_benchmark_decontamination": decontamination.ORACLE,
     "op6_mixing": mixing.ORACLE,
