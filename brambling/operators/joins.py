@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 << 20
@@ -26,3 +26,8 @@ def join_small(large: DataFrame, small: DataFrame, on: str, small_bytes: int) ->
     if small_bytes <= BROADCAST_BYTES:
         return large.join(F.broadcast(small), on)
     return large.join(small.hint("shuffle_merge"), on)
+
+
+def left_small(large: DataFrame, small: DataFrame, on: Column, small_bytes: int) -> DataFrame:
+    """Left join by a condition, in the two ways of ``join_small``; the column names must differ."""
+    return large.join(F.broadcast(small) if small_bytes <= BROADCAST_BYTES else small.hint("shuffle_merge"), on, "left")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from brambling.session import store
+
 
 def drop_any_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows without a null or NaN in any of ``columns`` (default: all)."""
@@ -47,6 +49,21 @@ def top_of_each(df: DataFrame, group: str, value: str, rank: str = "rank") -> Da
     return df.withColumn(rank, F.rank().over(order)).where(F.col(rank) == 1)
 
 
+def ranked(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """``df`` with the 0-based place of each row under ``order``, which should leave no ties.
+
+    Ranges of rows are numbered by the tasks that hold them; a table of one row per task tells how
+    many rows the ranges before have. No task sees all rows.
+    """
+    task = "_task"
+    dealt = store(df.repartitionByRange(*order).withColumn(task, F.spark_partition_id()))
+    earlier = Window.orderBy(task).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy(task).agg(F.count("*").alias("_n"))
+    begins = sizes.select(task, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_begin"))
+    place = F.row_number().over(Window.partitionBy(task).orderBy(*order)) - 1 + F.col("_begin")
+    return dealt.join(F.broadcast(begins), task).withColumn(name, place).drop(task, "_begin")
+
+
 def count_by(df: DataFrame, key: str, counted: str, name: str) -> DataFrame:
     """How often ``counted`` is not null, per ``key``."""
     return df.groupBy(key).agg(F.count(counted).alias(name))

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brambling.plans import logistic, neighbours, regression, songs, texts, trips
+from brambling.plans import classification, logistic, neighbours, regression, songs, texts, trips
 
 Query = Callable[[SparkSession, str], DataFrame]
-_PARTS = (trips, songs, texts, neighbours, logistic, regression)
+_PARTS = (trips, songs, texts, neighbours, logistic, regression, classification)
 
 
 def queries() -> dict[str, Query]:
