@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brambling.operators import categories, evaluation, forest, tables
+from brambling.operators import categories, evaluation, forest, saved, tables
 from brambling.operators import neighbours as nn
-from brambling.plans import texts
+from brambling.plans import fits, texts
 from brambling.plans.tables import read
-from brambling.session import store
+from brambling.session import scratch_path, store
 
 SHARE, TREES, K = 0.8, 20, 10
 SMALL, NO_TYPE = 15, "STANDARD"
@@ -86,13 +86,29 @@ def predicted_sources(spark: SparkSession, folder: str) -> DataFrame:
     name = F.concat_ws("/", F.lit("docs"), "source", F.col("doc_id").cast("string"))
     docs = read(spark, folder, "documents").select("doc_id", "source", name.alias("name"), "text")
     in_train: Column = tables.key_split(docs, "doc_id", SHARE)
-    fitted = nn.TextClassifier.fit(docs.where(in_train).select(F.col("name").alias("doc_id"), "text"), texts.WORDS)
+    train = docs.where(in_train).select(F.col("name").alias("doc_id"), "text")
+    fit = lambda path: saved.save(nn.TextClassifier.fit(train, texts.WORDS), path)
+    fitted = saved.load(spark, fits.once(spark, folder, "documents", "source-classifier", fit), nn.TextClassifier)
     test = docs.where(~in_train)
     found = fitted.predict(test.select("doc_id", "text"), K, "letters")
     labels = test.select(F.col("doc_id").alias("query_id"), F.col("source").alias("actual"))
     return labels.join(found, "query_id").select(F.col("actual").alias("label"), F.col("label").alias("prediction"))
 
 
+def saved_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Languages predicted for held-out documents by a forest, and whether the same forest saved and
+    loaded gives the same probabilities to the last bit."""
+    rows = store(letter_shares(spark, folder))
+    in_train = tables.key_split(rows, "doc_id", SHARE)
+    numeric = [c for c in rows.columns if c.startswith("share_")]
+    model, path = forest.ForestClassifier.fit(rows.where(in_train), "lang", numeric, ["source"], trees=5), scratch_path(spark, "forest")
+    saved.save(model, path)
+    both = [m.predict(rows.where(~in_train)).select("doc_id", "prediction", "probabilities", "votes") for m in (model, saved.load(spark, path))]
+    again = both[1].select(F.col("doc_id").alias("_doc_id"), F.struct("prediction", "probabilities", "votes").alias("again"))
+    same = F.struct("prediction", "probabilities", "votes") == F.col("again")
+    return both[0].join(again, F.col("doc_id") == F.col("_doc_id")).select("doc_id", same.alias("same"))
+
+
 def confusion_table(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.confusion_table(evaluation.confusion_cells(predicted_sources(spark, folder)))
 
@@ -109,7 +125,7 @@ def multiclass_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return row.select("classes", "rows", *(F.round(c, 8).alias(c) for c in row.columns[2:]))
 
 
-QUERIES = {f.__name__: f for f in (category_index, one_hot_features, one_hot_layout, rf_classification, confusion_table, class_measures, multiclass_metrics)}
+QUERIES = {f.__name__: f for f in (category_index, one_hot_features, one_hot_layout, rf_classification, saved_model, confusion_table, class_measures, multiclass_metrics)}
 
 
 def oracles() -> dict[str, str]:
@@ -174,6 +190,7 @@ measures AS MATERIALIZED (
             f"SELECT count_if({by_doc})::BIGINT AS n_train, count_if(NOT {by_doc})::BIGINT AS n_test, {TREES}::INTEGER AS trees,"
             " count(DISTINCT lang)::INTEGER AS classes, TRUE AS beats_majority, TRUE AS learned, TRUE AS sound FROM documents"
         ),
+        "saved_model": f"SELECT doc_id, TRUE AS same FROM documents WHERE NOT ({by_doc})",
         "confusion_table": cells
         + " SELECT a.class AS label, b.class AS prediction, coalesce(n, 0)::BIGINT AS n FROM classes a CROSS JOIN classes b"
         " LEFT JOIN cells ON label = a.class AND prediction = b.class UNION ALL SELECT label, NULL, n FROM cells WHERE prediction IS NULL",

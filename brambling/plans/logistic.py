@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from brambling.functions.text import label_from_prefix
 from brambling.operators import logistic as lr
+from brambling.operators import saved
 from brambling.operators import text_features as tf
 from brambling.operators.neighbours import dense_rows
 from brambling.operators.tables import key_split
-from brambling.plans import texts
+from brambling.plans import fits, texts
 from brambling.plans.tables import read
 from brambling.session import store
 
@@ -39,13 +40,25 @@ class Training:
     def features(self, docs: DataFrame) -> DataFrame:
         return self.model.transform(docs)
 
+    def save(self, path: str) -> None:
+        saved.save(self.model, f"{path}/model")
+        saved.save(self.scaler, f"{path}/scaler")
+        self.rows.write.parquet(f"{path}/rows")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Training:
+        model, scaler = saved.load(spark, f"{path}/model", tf.TextModel), saved.load(spark, f"{path}/scaler", tf.Scaler)
+        return cls(model, spark.read.parquet(f"{path}/rows"), scaler)
+
 
 def labelled(rows: DataFrame) -> DataFrame:
     return rows.withColumn("y", label_from_prefix("doc_id", CLASS_PREFIX))
 
 
 def whole(spark: SparkSession, folder: str, size: int = WORDS) -> Training:
-    return Training.of(texts.named_documents(spark, folder), size)
+    """The training on all documents, shared by the queries of a session."""
+    docs = texts.named_documents(spark, folder)
+    return Training.load(spark, fits.once(spark, folder, "documents", f"training-{size}", lambda path: Training.of(docs, size).save(path)))
 
 
 def parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -97,8 +110,10 @@ def logreg_gradient(spark: SparkSession, folder: str) -> DataFrame:
     return slope.select("rank", F.round("gradient", 6).alias("gradient"))
 
 
-def fitted(training: Training) -> lr.LogisticModel:
-    return lr.fit_logistic(training.rows, training.scaler)
+def fitted(spark: SparkSession, folder: str, name: str, training: Training) -> lr.LogisticModel:
+    """The descent on ``training``, shared under ``name``."""
+    fit = lambda path: saved.save(lr.fit_logistic(training.rows, training.scaler), path)
+    return saved.load(spark, fits.once(spark, folder, "documents", name, fit), lr.LogisticModel)
 
 
 def fit_rows(model: lr.LogisticModel) -> DataFrame:
@@ -112,7 +127,7 @@ def fit_rows(model: lr.LogisticModel) -> DataFrame:
 
 
 def logreg_fit(spark: SparkSession, folder: str) -> DataFrame:
-    return fit_rows(fitted(whole(spark, folder)))
+    return fit_rows(fitted(spark, folder, "descent", whole(spark, folder)))
 
 
 def logreg_fit_dense(spark: SparkSession, folder: str) -> DataFrame:
@@ -126,14 +141,14 @@ def logreg_fit_dense(spark: SparkSession, folder: str) -> DataFrame:
 
 def top_coefficients(spark: SparkSession, folder: str) -> DataFrame:
     training = whole(spark, folder)
-    best = lr.top_coefficients(fitted(training), training.model.dictionary, TOP)
+    best = lr.top_coefficients(fitted(spark, folder, "descent", training), training.model.dictionary, TOP)
     return best.select("rank", "word", F.round("theta", 4).alias("theta"))
 
 
 def predicted(spark: SparkSession, folder: str) -> DataFrame:
     train, test = parts(spark, folder)
-    training = Training.of(train)
-    return fitted(training).predict_all(labelled(test.select("doc_id")), training.features(test))
+    training = Training.load(spark, fits.once(spark, folder, "documents", "training-part", lambda path: Training.of(train).save(path)))
+    return fitted(spark, folder, "descent-part", training).predict_all(labelled(test.select("doc_id")), training.features(test))
 
 
 def logreg_predict(spark: SparkSession, folder: str) -> DataFrame:

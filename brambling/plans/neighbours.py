@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from brambling.functions.text import label_from_path
 from brambling.operators import neighbours as nn
+from brambling.operators import saved
 from brambling.operators import text_features as tf
-from brambling.plans import texts
+from brambling.plans import fits, texts
 from brambling.plans.tables import read
 
 K = 10
@@ -19,11 +20,13 @@ def query_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def classifier(spark: SparkSession, folder: str) -> nn.TextClassifier:
-    return nn.TextClassifier.fit(texts.named_documents(spark, folder), texts.WORDS)
+    """The classifier on all documents, shared by the queries of a session."""
+    fit = lambda path: saved.save(nn.TextClassifier.fit(texts.named_documents(spark, folder), texts.WORDS), path)
+    return saved.load(spark, fits.once(spark, folder, "documents", "classifier", fit), nn.TextClassifier)
 
 
 def knn_query_terms(spark: SparkSession, folder: str) -> DataFrame:
-    words = tf.fit_dictionary(texts.named_documents(spark, folder), texts.WORDS)
+    words = texts.shared_model(spark, folder).dictionary
     return tf.bag_of_words(query_texts(spark, folder), words, "whitespace").withColumnRenamed("doc_id", "query_id")
 
 

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brambling.functions.text import label_from_path, label_from_prefix
+from brambling.operators import saved
 from brambling.operators import text_features as tf
+from brambling.plans import fits
 from brambling.plans.tables import read
 from brambling.session import scratch_path
 from brambling.sources.lines import read_lines, write_lines
@@ -72,6 +74,12 @@ def dictionary(spark: SparkSession, folder: str) -> DataFrame:
     return tf.top_words(tf.counted_words(documents(spark, folder))[0], WORDS)
 
 
+def shared_model(spark: SparkSession, folder: str) -> tf.TextModel:
+    """The text model of all documents, shared by the queries of a session."""
+    fit = lambda path: saved.save(tf.fit_text_model(documents(spark, folder), WORDS), path)
+    return saved.load(spark, fits.once(spark, folder, "documents", "text-model", fit), tf.TextModel)
+
+
 def bags(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     return tf.bags(docs, tf.fit_dictionary(docs, WORDS))
@@ -103,8 +111,7 @@ def tfidf(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tfidf_new_docs(spark: SparkSession, folder: str) -> DataFrame:
-    model = tf.fit_text_model(documents(spark, folder), WORDS)
-    return rounded(model.transform(new_documents(spark, folder)))
+    return rounded(shared_model(spark, folder).transform(new_documents(spark, folder)))
 
 
 def doc_vector_lookup(spark: SparkSession, folder: str) -> DataFrame:
