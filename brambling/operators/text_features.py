@@ -1,32 +1,24 @@
 """Text features: dictionary of frequent words, bag of words, TF-IDF, standardization.
 
 A document stays one row: ``(doc_id, entries, n_words)`` with the rank and count of each dictionary
-word in it. Its words are looked up and counted in the task that reads it; one exchange by ``doc_id``
-merges rows that share an id. Frequencies and TF-IDF values are expressions on that row. The id
+word in it. One exchange by ``doc_id`` brings texts that share an id together; words are counted
+behind it and looked up in the dictionary. Frequencies and TF-IDF values are expressions on that row. The id
 column may have any type and is always named ``doc_id``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from brambling.functions.text import blank_runs, letter_runs, words
 from brambling.operators.joins import BROADCAST_BYTES, join_small, measure
-from brambling.session import cut, discard, spill, store
+from brambling.session import cut, spread, store
 
 # A dictionary row without its word: rank, count and row overhead.
 RANK_ROW_BYTES = 48
-# Up to this size a dictionary is looked up in the tasks that read the texts.
-LOOKUP_BYTES = 16 << 20
-# Counts below this are cut off exactly; above it, the bins are 1/64 of an octave wide.
-EXACT_COUNTS, BINS_PER_OCTAVE = 4096, 64
 
 
 def tokenize(docs: DataFrame) -> DataFrame:
@@ -51,46 +43,28 @@ def _pieces(tokenizer: str) -> Column:
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """``(word, cnt)`` over all texts, counted in each task before the shuffle."""
-    return word_rows(docs.select("text")).groupBy("word").agg(F.count("*").alias("cnt"))
-
-
-def counted_words(docs: DataFrame) -> tuple[DataFrame, int, str]:
-    """``word_counts``, stored, the number of documents, and the path of the table, from one pass.
-
-    A null after the words of each text counts the texts.
-    """
-    pieces = F.coalesce(letter_runs("text"), F.array().cast("array<string>"))
-    rows = docs.select(F.explode(F.concat(pieces, F.array(F.lit(None).cast("string")))).alias("word"))
-    counts, path = spill(rows.groupBy(F.lower("word").alias("word")).agg(F.count("*").alias("cnt")))
-    n_docs = counts.where("word is null").select("cnt").first()
-    return counts.where("word is not null"), n_docs[0] if n_docs else 0, path
-
-
-def least_count(counts: DataFrame, size: int) -> int:
-    """A count that at least ``size`` words reach, and few more than that; 0 if there are fewer words.
-
-    What comes to the driver is one row per bin of counts.
-    """
-    octave = F.floor(F.log2("cnt") * BINS_PER_OCTAVE) + EXACT_COUNTS
-    bins = counts.groupBy(F.when(F.col("cnt") < EXACT_COUNTS, F.col("cnt")).otherwise(octave).alias("bin"))
-    reached = 0
-    for low, n in sorted((tuple(r) for r in bins.agg(F.min("cnt"), F.count("*")).drop("bin").collect()), reverse=True):
-        reached += n
-        if reached >= size:
-            return low
-    return 0
+    return word_rows(spread(docs.select("text"))).groupBy("word").agg(F.count("*").alias("cnt"))
 
 
 def top_words(counts: DataFrame, size: int) -> DataFrame:
     """``(word, rank, cnt)`` of the ``size`` most frequent words, rank 0 first, ties by word.
 
-    ``counts`` should be stored. Only words as frequent as the last one kept, or more, are sorted,
-    and only the ``size`` rows that remain after the limit are numbered in one partition.
+    Each task keeps at most ``size`` of its rows while it counts, and only these are merged; the
+    vocabulary is neither sorted nor written. A null word, if there is one, comes first, has rank -1
+    and is not one of the ``size``.
     """
-    frequent = counts.where(F.col("cnt") >= least_count(counts, size))
-    kept = frequent.orderBy(F.desc("cnt"), "word").limit(size)
-    rank = F.row_number().over(Window.orderBy(F.desc("cnt"), "word")) - 1
-    return kept.select("word", rank.cast("int").alias("rank"), "cnt")
+    order = [F.col("word").isNotNull(), F.desc("cnt"), F.asc("word")]
+    kept = counts.orderBy(*order).limit(size + 1)
+    rank = F.row_number().over(Window.orderBy(*order)) - 1
+    numbered = kept.withColumn("rank", (rank - F.max(F.col("word").isNull().cast("int")).over(Window.orderBy(*order))).cast("int"))
+    return numbered.where(F.col("rank") < size).select("word", "rank", "cnt")
+
+
+def texts_and_top_words(docs: DataFrame, size: int) -> DataFrame:
+    """``top_words`` of all texts, and in the same pass the number of texts, as that of a null word."""
+    pieces = F.coalesce(letter_runs("text"), F.array().cast("array<string>"))
+    rows = spread(docs.select("text")).select(F.explode(F.concat(pieces, F.array(F.lit(None).cast("string")))).alias("word"))
+    return top_words(rows.groupBy(F.lower("word").alias("word")).agg(F.count("*").alias("cnt")), size)
 
 
 @dataclass(frozen=True)
@@ -110,62 +84,33 @@ class Dictionary:
 
 
 def fit_dictionary(docs: DataFrame, size: int) -> Dictionary:
-    counts, n_docs, path = counted_words(docs)
-    table = cut(top_words(counts, size))
-    discard(docs.sparkSession, path)
-    return Dictionary(table, *measure(table), n_docs)
-
-
-_LETTERS = bytes(c | 32 if chr(c).isalpha() else 32 for c in range(128)) + b" " * 128
-
-
-def _known_counts(rank_of: dict[str, int], tokenizer: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``(doc_id, ranks, counts)`` per row, from a dictionary that fits into a task."""
-    ranks = {word.encode(): rank for word, rank in rank_of.items()}
+    rows = cut(texts_and_top_words(docs, size))
+    n_docs = rows.where("word is null").select("cnt").first()
+    table = rows.where("word is not null")
+    return Dictionary(table, *measure(table), n_docs[0] if n_docs else 0)
 
-    def pieces(text: bytes) -> list[bytes]:
-        if tokenizer == "letters":
-            return text.translate(_LETTERS).split()
-        return [w.encode() for w in text.decode("utf-8", "replace").lower().split()]
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for text in batch.column("text").cast(pa.large_binary()).to_pylist():
-                words = pieces(text or b"")
-                at = np.fromiter((ranks.get(w, -1) for w in words), np.int64, len(words))
-                found.append(np.unique(at[at >= 0], return_counts=True))
-            ends = np.cumsum([0, *(len(r) for r, _ in found)]).astype(np.int32)
-            lists = [np.concatenate([x[k] for x in found]) if found else np.zeros(0, np.int64) for k in (0, 1)]
-            columns = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x, kind)) for x, kind in zip(lists, (pa.int32(), pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", "ranks", "counts"])
+def bag_of_words(docs: DataFrame, dictionary: Dictionary, tokenizer: str = "letters") -> DataFrame:
+    """``(doc_id, rank, cnt)``, one row per document and dictionary word in it.
 
-    return count
+    Texts are dealt out by ``doc_id``, which is the smallest form they have, and counted per document
+    and word where they are. The counts are unique per document and word, so even a word that every
+    document has meets the dictionary no more often than there are documents.
+    """
+    texts = docs.select("doc_id", "text").repartition("doc_id")
+    rows = texts.select("doc_id", F.explode(_pieces(tokenizer)).alias("word")).withColumn("word", F.lower("word"))
+    counted = rows.groupBy("doc_id", "word").agg(F.count("*").alias("cnt"))
+    return join_small(counted, dictionary.table.select("word", "rank"), "word", dictionary.nbytes).select("doc_id", "rank", "cnt")
 
 
 def bags(docs: DataFrame, dictionary: Dictionary, tokenizer: str = "letters") -> DataFrame:
     """``(doc_id, entries, n_words)``: entries ``(rank, cnt)`` by rank, and the sum of the counts.
 
-    Documents without a dictionary word have no row. A dictionary too large for the tasks is joined
-    after counting: the counts are unique per document and word, so even a word that every document
-    has is no larger than the corpus has documents.
+    Documents without a dictionary word have no row.
     """
-    pieces = _pieces(tokenizer)
-    if dictionary.nbytes <= LOOKUP_BYTES:
-        rank_of = dict(map(tuple, dictionary.table.select("word", "rank").collect()))  # at most LOOKUP_BYTES
-        schema = T.StructType([docs.schema["doc_id"], T.StructField("ranks", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.LongType()))])
-        counted = docs.select("doc_id", "text").mapInArrow(_known_counts(rank_of, tokenizer), schema)
-        each = counted.where(F.size("ranks") > 0).repartition("doc_id").select("doc_id", F.explode(F.arrays_zip("ranks", "counts")).alias("e"))
-        found = each.select("doc_id", F.col("e.ranks").alias("rank"), F.col("e.counts").alias("cnt"))
-    else:
-        rows = docs.select("doc_id", F.explode(pieces).alias("word")).withColumn("word", F.lower("word"))
-        counted = rows.groupBy("doc_id", "word").agg(F.count("*").alias("cnt"))
-        known = dictionary.table.select("word", "rank")
-        found = join_small(counted, known, "word", dictionary.nbytes).select("doc_id", "rank", "cnt").repartition("doc_id")
-    merged = found.groupBy("doc_id", "rank").agg(F.sum("cnt").alias("cnt"))
-    # A document has at most one entry per dictionary word here.
+    # A document has at most one entry per dictionary word.
     entries = F.sort_array(F.collect_list(F.struct("rank", "cnt")))
-    return merged.groupBy("doc_id").agg(entries.alias("entries"), F.sum("cnt").alias("n_words"))
+    return bag_of_words(docs, dictionary, tokenizer).groupBy("doc_id").agg(entries.alias("entries"), F.sum("cnt").alias("n_words"))
 
 
 def bag_rows(bags: DataFrame) -> DataFrame:
@@ -173,10 +118,6 @@ def bag_rows(bags: DataFrame) -> DataFrame:
     return bags.select("doc_id", F.explode("entries").alias("e")).select("doc_id", "e.rank", "e.cnt")
 
 
-def bag_of_words(docs: DataFrame, dictionary: Dictionary, tokenizer: str = "letters") -> DataFrame:
-    return bag_rows(bags(docs, dictionary, tokenizer))
-
-
 def document_frequency(bags: DataFrame) -> DataFrame:
     """``(rank, df)``: in how many documents each dictionary word occurs."""
     return bags.select(F.explode("entries.rank").alias("rank")).groupBy("rank").agg(F.count("*").alias("df"))

@@ -8,6 +8,8 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+SPREAD_BYTES = 32 << 20
+
 
 def local_session(cpus: int | str = "*", app: str = "brambling", **conf: str) -> SparkSession:
     """A single-JVM session for tests and the bench. On a cluster, pass your own session."""
@@ -69,6 +71,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/brambling-{uuid.uuid4().hex}/{name}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt to all cores if it is so small that its files are read by a few tasks.
+
+    A file of one row group is read by one task. Above ``SPREAD_BYTES`` a core, as Spark estimates
+    the table, files have tasks enough, and rows are left where they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if estimate <= SPREAD_BYTES * cores else df
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Checkpoint a small fitted table: later plans start from it, and a lost executor costs a read."""
     shared_folder(df.sparkSession)

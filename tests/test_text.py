@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from brambling import session
 from brambling.functions.text import label_from_path, label_from_prefix
 from brambling.operators import joins
 from brambling.operators import text_features as tf
@@ -142,7 +143,8 @@ def test_documents_move_once(docs):
     for df in (tf.bag_of_words(docs, dictionary), model.transform(docs), tf.fit_transform(docs, 4)[1]):
         plan = df._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
         assert plan.count("Exchange hashpartitioning(doc_id") <= 1 and "Window" not in plan
-        assert plan.count("Exchange") <= 1
+        # The dictionary is broadcast, documents are not.
+        assert plan.count("Exchange") - plan.count("BroadcastExchange") <= 1
 
 
 def test_null_texts_count_as_documents(spark):
@@ -151,14 +153,33 @@ def test_null_texts_count_as_documents(spark):
     assert [r.doc_id for r in tf.bags(df, tf.fit_dictionary(df, 5)).collect()] == ["a"]
 
 
-def test_the_cutoff_keeps_enough_words(spark):
-    counts = spark.createDataFrame([(f"w{i:05d}", i % 9000 + 1) for i in range(18_000)], "word string, cnt bigint")
-    for size in (1, 2, 3, 7000, 17_999, 18_000, 20_000):
-        low = tf.least_count(counts, size)
-        kept = counts.where(F.col("cnt") >= low).count()
-        # No more than the words of one bin, 1/64 of an octave wide, on top.
-        assert kept >= min(size, 18_000) and (low == 0 or kept <= size + 200)
-    assert [r.word for r in tf.top_words(counts, 3).orderBy("rank").collect()] == ["w08999", "w17999", "w08998"]
+def test_top_words_of_many_counts(spark):
+    counts = [(f"w{i:05d}", i % 9000 + 1) for i in range(18_000)]
+    order = sorted(counts, key=lambda x: (-x[1], x[0]))
+    for rows in (counts, [*counts, (None, 7)]):
+        df = spark.createDataFrame(rows, "word string, cnt bigint").repartition(6)
+        for size in (0, 1, 3, 7000, 18_000, 20_000):
+            found = [tuple(r) for r in tf.top_words(df, size).orderBy("rank").collect()]
+            none = [(None, -1, 7)] if len(rows) > len(counts) else []
+            assert found == none + [(w, k, n) for k, (w, n) in enumerate(order[:size])]
+
+
+def test_the_vocabulary_is_not_written(spark, docs):
+    """One job counts, keeps the top of each task and merges these."""
+    plan = tf.texts_and_top_words(docs, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "Sort [" not in plan.split("TakeOrderedAndProject")[1] and "Python" not in plan
+
+
+def test_words_are_counted_without_python(docs):
+    dictionary = tf.fit_dictionary(docs, 4)
+    for own in (dictionary, dataclasses.replace(dictionary, nbytes=joins.BROADCAST_BYTES + 1)):
+        assert "Arrow" not in tf.bags(docs, own)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_small_tables_are_spread(spark, docs, tmp_path):
+    docs.coalesce(1).write.parquet(f"{tmp_path}/one")
+    one = spark.read.parquet(f"{tmp_path}/one")
+    assert session.spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism > one.rdd.getNumPartitions()
 
 
 def test_whitespace_tokens_keep_punctuation(spark, docs):
