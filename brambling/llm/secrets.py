@@ -10,12 +10,15 @@ mark of a sample are suppressed, and so are candidates that the allow-list match
 with the // of a URL, and those within a span of a pattern.
 
 Positions count code points, the end is exclusive. A null text is empty; an empty text has no span.
+Time and memory grow with a text's length and with its matches to the power of 3/2, whatever runs it
+has.
 Repeated rows give equal results; columns other than the two named are ignored.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,10 +36,11 @@ CANDIDATE = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{WINDOW},}}"
 # a window must have. 20 random hexadecimal digits have about 3.4 bits, random base-64 about 4.1.
 CLASSES = (("^[0-9a-fA-F]+$", 3.0), ("^[A-Z0-9]+$", 3.5), ("^[A-Za-z0-9+/_=-]+$", 3.8))
 # What looks random and is not secret, as a whole: no digit or no letter, UUIDs, digits in ascending
-# order, words with a number.
+# order, words with a number. Repeated groups are possessive, as the JVM matches others by recursion; what
+# follows a group never begins like it, so they match the same strings.
 ALLOWED = (
     r"^[^0-9]+$|^[^A-Za-z]+$|^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$"
-    r"|^(?i:(?:0123456789(?:abcdef)?)+[0-9]*)$|^[a-z]+(?:[-_/][a-z]+)*[-_/]?[0-9]{1,6}$"
+    r"|^(?i:(?:0123456789(?:abcdef)?+)++[0-9]*)$|^[a-z]++(?:[-_/][a-z]++)*+[-_/]?[0-9]{1,6}$"
 )
 # Samples and ascending alphabets inside a candidate: the windows that they touch are not secret.
 MARKS = ("abcdefgh", "01234567", "example", "sample", "dummy", "placeholder", "xxxxxx")
@@ -44,24 +48,50 @@ MARKS = ("abcdefgh", "01234567", "example", "sample", "dummy", "placeholder", "x
 LOW, HIGH, MARK = ord("+"), ord("z"), "."
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, also where ``body`` uses it for each element of an array."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(values: Column, add: Callable[[Column, Column], Column] = lambda a, b: a + b) -> Column:
+    """The running sums of an array of n numbers of 0 or more, in blocks of about the root of n.
+
+    An array grows by being copied, so lists are only built up within a block and over the blocks.
+    ``add`` may be another associative operation with 0 as its neutral element.
+    """
+    none = F.array().cast("array<bigint>")
+    last = lambda sums: F.coalesce(F.try_element_at(sums, F.lit(-1)), F.lit(0).cast("bigint"))
+    grown = lambda sums, x: F.concat(sums, F.array(add(last(sums), x)))
+
+    def joined(size: Column) -> Column:
+        first = F.sequence(F.lit(1), F.size(values), size)
+        blocks = F.transform(first, lambda at: F.aggregate(F.slice(values, at, size), none, grown))
+        return let(blocks, lambda b: let(F.aggregate(b, none, lambda sums, x: grown(sums, last(x))), lambda ends: shifted(b, ends)))
+
+    def shifted(blocks: Column, ends: Column) -> Column:
+        before = lambda k: F.when(k > 0, F.get(ends, k - 1)).otherwise(F.lit(0).cast("bigint"))
+        return F.flatten(F.transform(blocks, lambda b, k: let(before(k), lambda base: F.transform(b, lambda x: add(base, x)))))
+
+    return F.when(F.size(values) > 0, let(F.ceil(F.sqrt(F.size(values))).cast("int"), joined)).otherwise(none)
+
+
 def matches(text: Column, pattern: str) -> Column:
     """``array<struct<start, end, match, value>>`` of the matches; value is the last group, if any."""
-    group = 1 if pattern == ASSIGN else 0
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    # The texts between the matches: what lies before a match is its gap and all that came before.
-    gaps = F.split(text, pattern, -1)
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(1)) if pattern == ASSIGN else found
     empty = F.array().cast("array<struct<start:long,end:long,match:string,value:string>>")
 
-    def step(state: Column, i: Column) -> Column:
-        start = state["at"] + F.length(F.get(gaps, i))
-        end = start + F.length(F.get(found, i))
-        span = F.struct(start.alias("start"), end.alias("end"), F.get(found, i).alias("match"), F.get(values, i).alias("value"))
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
+    def spans(m: Column) -> Column:
+        # A match ends after all gaps and matches up to it; the gap before it is what lies between matches.
+        sizes = F.zip_with(F.slice(m["gaps"], 1, F.size(m["found"])), m["found"], lambda gap, match: (F.length(gap) + F.length(match)).cast("bigint"))
+        return let(sizes, lambda n: let(running(n), lambda ends: F.transform(m["found"], lambda match, i: span(m, ends, match, i))))
+
+    def span(m: Column, ends: Column, match: Column, i: Column) -> Column:
+        end = F.get(ends, i)
+        return F.struct((end - F.length(match)).alias("start"), end.alias("end"), match.alias("match"), F.get(m["values"], i).alias("value"))
 
-    begin = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("spans"))
-    spans = F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), begin, step, lambda s: s["spans"])
-    return F.when(F.size(found) > 0, spans).otherwise(empty)
+    parts = F.struct(found.alias("found"), values.alias("values"), F.split(text, pattern, -1).alias("gaps"))
+    return let(parts, lambda m: F.when(F.size(m["found"]) > 0, spans(m)).otherwise(empty))
 
 
 def unmarked(candidate: Column) -> Column:
@@ -77,26 +107,40 @@ def hot_range(candidate: Column, threshold: Column) -> Column:
 
     Windows with a ``MARK`` do not count.
     """
-    chars = F.split(candidate, "")
-    weight = F.array(*[F.lit(n * math.log2(n) if n else 0.0) for n in range(WINDOW + 2)])
-    slot = lambda i: (F.ascii(F.get(chars, i)) - LOW).cast("int")
+    weights = F.array(*[F.lit(n * math.log2(n) if n else 0.0) for n in range(WINDOW + 2)])
+    slots = F.transform(F.split(candidate, ""), lambda c: (F.ascii(c) - LOW).cast("int"))
+    return let(F.struct(slots.alias("slots"), weights.alias("weights"), threshold.alias("least")), _scanned)
+
+
+def _scanned(given: Column) -> Column:
+    slots, weight, mark = given["slots"], given["weights"], ord(MARK) - LOW
+
+    def put(counts: Column, slot: Column, by: int) -> Column:
+        """``counts`` with one of them changed."""
+        return F.concat(F.slice(counts, 1, slot), F.array(F.get(counts, slot) + by), F.slice(counts, slot + 2, F.lit(HIGH - LOW) - slot))
 
     def step(state: Column, i: Column) -> Column:
-        counts, enters = state["counts"], slot(i)
-        leaves = F.when(i >= WINDOW, slot(i - WINDOW)).otherwise(-1)
-        here, gone = F.get(counts, enters), F.coalesce(F.get(counts, leaves), F.lit(0)) + F.when(enters == leaves, 1).otherwise(0)
-        total = state["total"] + F.get(weight, here + 1) - F.get(weight, here)
-        total = total + F.when(leaves >= 0, F.get(weight, gone - 1) - F.get(weight, gone)).otherwise(0.0)
-        marked = F.get(counts, F.lit(ord(MARK) - LOW)) + F.when(enters == ord(MARK) - LOW, 1).otherwise(0) - F.when(leaves == ord(MARK) - LOW, 1).otherwise(0)
-        counts = F.transform(counts, lambda n, k: n + F.when(k == enters, 1).otherwise(0) - F.when(k == leaves, 1).otherwise(0))
-        hot = (i >= WINDOW - 1) & (math.log2(WINDOW) - total / WINDOW >= threshold) & (marked == 0)
+        return let(F.struct(F.get(slots, i).alias("enters"), F.when(i >= WINDOW, F.get(slots, i - WINDOW)).otherwise(-1).alias("leaves")), lambda c: moved(state, i, c))
+
+    def moved(state: Column, i: Column, c: Column) -> Column:
+        """The window one character on: one count goes up, the entropy's sum follows, then one goes down."""
+        enters, leaves, here = c["enters"], c["leaves"], F.get(state["counts"], c["enters"])
+        grown = F.struct(put(state["counts"], enters, 1).alias("counts"), (state["total"] + F.get(weight, here + 1) - F.get(weight, here)).alias("total"))
+        return let(grown, lambda g: let(F.when(leaves >= 0, shrunk(g, leaves)).otherwise(g), lambda now: judged(state, i, now)))
+
+    def shrunk(g: Column, leaves: Column) -> Column:
+        gone = F.get(g["counts"], leaves)
+        return F.struct(put(g["counts"], leaves, -1).alias("counts"), (g["total"] + F.get(weight, gone - 1) - F.get(weight, gone)).alias("total"))
+
+    def judged(state: Column, i: Column, now: Column) -> Column:
+        hot = (i >= WINDOW - 1) & (math.log2(WINDOW) - now["total"] / WINDOW >= given["least"]) & (F.get(now["counts"], F.lit(mark)) == 0)
         first = F.when(hot & (state["first"] < 0), i).otherwise(state["first"])
-        return F.struct(counts.alias("counts"), total.alias("total"), first.alias("first"), F.when(hot, i).otherwise(state["last"]).alias("last"))
+        return F.struct(now["counts"].alias("counts"), now["total"].alias("total"), first.alias("first"), F.when(hot, i).otherwise(state["last"]).alias("last"))
 
     begin = F.struct(
         F.array_repeat(F.lit(0), HIGH - LOW + 1).alias("counts"), F.lit(0.0).alias("total"), F.lit(-1).alias("first"), F.lit(-1).alias("last")
     )
-    places = F.sequence(F.lit(0), F.length(candidate).cast("int") - 1)
+    places = F.sequence(F.lit(0), F.size(slots) - 1)
     return F.aggregate(places, begin, step, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")))
 
 
@@ -136,8 +180,11 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     )
     rows = rows.withColumn("_base", F.array_sort(F.concat(_tagged(F.col("_assign"), 0), _tagged(F.col("_access"), 1), _tagged(F.col("_hex"), 2))))
     rows = rows.withColumn("_hot", F.when(F.size("_likely") > 0, hot).otherwise(F.array().cast("array<struct<start:long,kind:int,end:long>>")))
-    new = F.filter("_hot", lambda h: ~F.exists("_base", lambda b: (b["start"] <= h["start"]) & (h["end"] <= b["end"])))
-    return rows.select("doc_id", F.array_sort(F.concat("_base", new)).alias("found"))
+    # In order of start, a span is within a pattern's if the largest end of these up to it is no smaller.
+    rows = rows.withColumn("_every", F.array_sort(F.concat("_base", "_hot")))
+    ends = running(F.transform("_every", lambda s: F.when(s["kind"] < 3, s["end"]).otherwise(0)), lambda a, b: F.greatest(a, b))
+    kept = let(ends, lambda reached: F.filter("_every", lambda s, i: (s["kind"] < 3) | (F.get(reached, i) < s["end"])))
+    return rows.select("doc_id", kept.alias("found"))
 
 
 def digest(found: DataFrame) -> DataFrame:

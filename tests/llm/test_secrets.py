@@ -5,6 +5,8 @@ import math
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from brambling.llm import secrets
 
 KINDS = ("assign", "access", "hex")
@@ -83,3 +85,38 @@ def test_allowed_words_inside_random_strings(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(found)], "doc_id long, text string")
     got = {r.doc_id: r.spans for r in secrets.digest(secrets.scan(df)).collect()}
     assert [got[i] for i in range(len(found))] == list(found.values())
+
+
+def test_long_texts(spark):
+    """Shapes that a recursive match or a list grown by copies would not get through."""
+    rng = random.Random(2)
+    chars = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    blob = lambda n: "".join(rng.choice(chars) for _ in range(n))
+    many = "".join(f"token={blob(12)} " for _ in range(20_000))
+    both = "".join(f"token={blob(30)} " for _ in range(3000))
+    found = {"-".join(["ab"] * 350_000) + "-7": "", "/".join(["docs"] * 200_000) + "/v2": "", "0123456789" * 100_000: "hex:0:1000000", "a" * 1_000_000: "hex:0:1000000"}
+    found |= {"0123456789abcdef" * 60_000 + "é": "hex:0:960000", "A" * 500_000 + "7" * 500_000: "hex:500000:1000000", "x" * 1_000_000 + "=1": "", blob(200_000): "entropy:0:200000"}
+    found |= {many: ",".join(f"assign:{19 * k}:{19 * k + 18}" for k in range(20_000)), both: ",".join(f"assign:{37 * k}:{37 * k + 36}" for k in range(3000))}
+    rows = spark.createDataFrame(list(enumerate(found)), "doc_id long, text string").repartition(8)
+    got = {r.doc_id: r.spans for r in secrets.digest(secrets.scan(rows)).collect()}
+    assert [got[k][:40] for k in range(len(found))] == [s[:40] for s in found.values()]
+    assert [got[k] for k in range(len(found))] == list(found.values())
+
+
+def test_running_sums(spark):
+    rows = [([rng.randrange(9) for _ in range(n)],) for n in (0, 1, 2, 3, 10, 50, 101) for rng in [random.Random(n)]]
+    df = spark.createDataFrame(rows, "x array<bigint>")
+    most = secrets.running(F.col("x"), lambda a, b: F.greatest(a, b))
+    for r in df.select("x", secrets.running(F.col("x")).alias("sums"), most.alias("most")).collect():
+        assert r.sums == [sum(r.x[: k + 1]) for k in range(len(r.x))] and r.most == [max(r.x[: k + 1]) for k in range(len(r.x))]
+
+
+def test_allowed_shapes_are_the_same(spark):
+    """Possessive groups accept what the plain ones do."""
+    plain = re.compile(secrets.ALLOWED.replace("?+", "?").replace("++", "+").replace("*+", "*"))
+    rng = random.Random(6)
+    parts = ["0123456789", "abcdef", "ABCDEF", "ab", "-", "_", "/", "7", "0123456", "01234567890123456789", "x9", "Q"]
+    samples = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 7))) for _ in range(3000)]
+    df = spark.createDataFrame([(s,) for s in samples], "s string")
+    got = {r.s: r.ok for r in df.select("s", F.col("s").rlike(secrets.ALLOWED).alias("ok")).collect()}
+    assert all(got[s] == bool(plain.search(s)) for s in samples) and len(set(got.values())) == 2
