@@ -6,20 +6,24 @@ with equal sets are one class. Two classes link when 100 * |A and B| >= PERCENT
 1. Shingles that many documents share are counted first; they come last in the order of shingles,
    all others are ordered by hash. What is frequent only orders the work; results do not depend on it.
 2. Classes are partitioned into groups: by their smallest hash, large groups into blocks of bounded
-   size, or of two members on average where texts are longer than that. All links inside a block are followed, one member per block then stands for it in the next
-   level, and what is connected so far forms the groups of the matrix.
-3. The matrix has a row (shingle, group, smallest and largest set of the group with it): the union of
+   size, or of two members on average where texts are longer than that. All links inside a block are
+   followed, and one member per block then stands for it in the next level. A second pass does so with
+   one member per label, which is what is connected so far, and ``KEYS`` keys of two independent
+   smallest hashes each. Labels that still share a key form a group of the matrix: members of one
+   family of near copies, whether they link or not. Groups come from an edge per key and label to the
+   smallest label of the key, never from pairs.
+3. The members of a group are compared in tiles, those of its largest label with all others only.
+4. The matrix has a row (shingle, group, smallest and largest set of the group with it): the union of
    the first shingles, in the order, of the group's sets. Two sets that link share at least
-   1 + EXTRA of their first |A| - ceil(PERCENT/100 |A|) + 1 + EXTRA shingles, so the overlap of a
-   query's first shingles with a group's union bounds whether any member can link. Groups below the
-   bound stay closed.
-4. For each pair of groups that is opened, the members in question are compared, until one link
-   between the two is found. Groups that are opened to each other in great number form a cluster:
-   where this moves fewer sets than the pairs of its groups do, each member is sent to the blocks of
-   its cluster instead. Large sides are cut into blocks here too.
+   ``least_first`` of their first |A| - ceil(PERCENT/100 |A|) + ``least_first`` shingles, a share of the
+   smaller set, so a query whose first shingles are in fewer other groups than that has no link
+   elsewhere, and it leaves the matrix before anything is paired. For the queries that remain, the
+   overlap with a group's union bounds whether any member can link. Groups below the bound stay closed.
+5. For each pair of groups that is opened, the members in question are compared. Large sides are cut
+   into blocks here too.
 
-Every link between classes is either followed or joins two groups that another link joins, so the
-components are exact. Components come from their edges alone.
+Every link between classes is either followed, or inside a group, or in two groups of which one is
+opened to the other, so the components are exact. Components come from their edges alone.
 
 Upper-case A-Z is lowered; words are parted by blanks and the control characters 9 to 13. A document
 of fewer words than a shingle has its whole sequence as one; without words, or with a null text, it
@@ -45,7 +49,10 @@ from brambling.session import cut, discard, spill, store
 
 SHINGLE = 4
 PERCENT = 85
-EXTRA = 2
+# Two sets share one more of their first shingles for each of so many that they have.
+EXTRA, PER_EXTRA = 2, 20
+# Keys of two smallest hashes each; links of 85 % share one of five with probability 0.998.
+KEYS = 5
 BLOCK_ROWS, BLOCK_SHINGLES = 512, 1 << 20
 # Shingles counted as frequent: at least so often, and at most so many of them.
 FREQUENT, FREQUENT_MOST = 32, 1 << 18
@@ -91,6 +98,20 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def least_first(n: int) -> int:
+    """So many of the first shingles two linked sets share, the smaller of which has ``n``, if they share so many at all."""
+    return 1 + EXTRA + n // PER_EXTRA
+
+
+_ODD = _mixed(np.arange(1, 2 * KEYS + 1, dtype=np.uint64) * _A) | np.uint64(1)
+
+
+def family_keys(shingles: np.ndarray) -> list[int]:
+    """``KEYS`` keys that sets of a high similarity have in common with a probability of its square."""
+    least = [_mixed(shingles * odd).min() for odd in _ODD]
+    return [int(_mixed((a * _A + b + np.uint64(k)).reshape(1))[0].view(np.int64)) for k, (a, b) in enumerate(zip(least[::2], least[1::2]))]
+
+
 def _frequent(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Shingles that come again within a run of documents, with counts, at most ``SUMMARY`` a task."""
 
@@ -134,7 +155,7 @@ def frequent_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarr
 def first_shingles(shingles: np.ndarray, keys: np.ndarray, powers: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
     """The first shingles of a sorted set in the order of rarity, and the key of its group."""
     n = len(shingles)
-    size = min(n, n - least_overlap(n, percent) + 1 + EXTRA)
+    size = min(n, n - least_overlap(n, percent) + least_first(n))
     power = np.zeros(n, np.int64)
     if len(keys):
         at = np.minimum(np.searchsorted(keys, shingles), len(keys) - 1)
@@ -149,7 +170,7 @@ def _signatures(width: int, percent: int, keys: np.ndarray, powers: np.ndarray)
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
         for batch, texts in slices(batches, "text", RUN_BYTES):
-            n, f, g, group, firsts = [], [], [], [], []
+            n, f, g, group, firsts, keyed = [], [], [], [], [], []
             for text in texts:
                 shingles = shingler(text)
                 n.append(len(shingles))
@@ -159,9 +180,11 @@ def _signatures(width: int, percent: int, keys: np.ndarray, powers: np.ndarray)
                 first, key = first_shingles(shingles, keys, powers, percent) if len(shingles) else (shingles, 0)
                 group.append(key)
                 firsts.append(first.view(np.int64))
+                keyed += family_keys(shingles) if len(shingles) else [0] * KEYS
             ends = np.cumsum([0, *map(len, firsts)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(firsts)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n, f, g, group)), lists], names=["doc_id", "n", "f", "g", "gkey", "first"])
+            families = pa.ListArray.from_arrays(pa.array(np.arange(0, KEYS * len(texts) + 1, KEYS, dtype=np.int32)), pa.array(keyed, pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n, f, g, group)), lists, families], names=["doc_id", "n", "f", "g", "gkey", "first", "keys"])
 
     return sign
 
@@ -321,59 +344,94 @@ def _grouped_edges(docs: DataFrame, classes: DataFrame, width: int, percent: int
         members = store(pivots.join(classes.groupBy("rep").agg(F.max("n").alias("n")), "rep").select("gkey", "rep", "n"))
 
 
-def _opened(labelled: DataFrame, percent: int) -> DataFrame:
-    """Step 3: ``(rep, n, label, other)`` for the groups that a set may link into."""
-    entries = labelled.select("rep", "n", "label", F.explode("first").alias("shingle")).repartition("shingle")
+def _least_shared(n: str, percent: int) -> Column:
+    """``least_first`` of a number of shingles, or all that a link needs where these are fewer."""
+    return F.least(F.lit(1 + EXTRA) + F.floor(F.col(n) / PER_EXTRA), F.ceil(F.col(n) * percent / 100))
+
+
+def _opened(grouped: DataFrame, percent: int) -> DataFrame:
+    """Step 4: ``(rep, n, group, other)`` for the groups that a set may link into."""
+    entries = grouped.select("rep", "n", "group", F.explode("first").alias("shingle"))
+    total = grouped.agg(F.coalesce(F.sum(F.size("first")), F.lit(0))).first()[0]
+    held = entries.groupBy("shingle").agg(F.min("group").alias("a"), F.max("group").alias("b"), F.count("*").alias("rows"))
+    several = held.where("a <> b").select("shingle", "rows")
+    shared = store(join_counted(entries, several, ["shingle"], "rows", max(1, total)))
+    # The other set of a link has PERCENT of this one's shingles at least.
+    fewest = shared.groupBy("rep", "n").agg(F.count("*").alias("common")).withColumn("low", F.ceil(F.col("n") * percent / 100))
+    able = store(fewest.where(F.col("common") >= _least_shared("low", percent)).select("rep"))
+    rest = shared.join(able, "rep", "left_semi").repartition("shingle")
     # The last column makes both sides of the join read one exchange.
-    matrix = entries.groupBy("shingle", "label").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("rep").alias("any"))
-    matrix = matrix.select("shingle", F.col("label").alias("other"), "low", "high", "any")
+    matrix = rest.groupBy("shingle", "group").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("rep").alias("any"))
+    matrix = matrix.select("shingle", F.col("group").alias("other"), "low", "high", "any")
     sizes = (F.col("high") * 100 >= F.col("n") * percent) & (F.col("low") * percent <= F.col("n") * 100)
-    hits = entries.join(matrix, "shingle").where((F.col("label") != F.col("other")) & sizes & F.col("any").isNotNull())
-    overlap = hits.groupBy("rep", "n", "label", "other").agg(F.count("*").alias("common"), F.min("low").alias("low"))
-    least = lambda n: F.ceil(F.col(n) * percent / 100)
-    return overlap.where(F.col("common") >= F.least(F.lit(1 + EXTRA), least("n"), least("low"))).select("rep", "n", "label", "other")
+    hits = rest.join(matrix, "shingle").where((F.col("group") != F.col("other")) & sizes & F.col("any").isNotNull())
+    overlap = hits.groupBy("rep", "n", "group", "other").agg(F.count("*").alias("common"), F.min("low").alias("low"))
+    least = F.least(_least_shared("n", percent), _least_shared("low", percent))
+    return overlap.where(F.col("common") >= least).select("rep", "n", "group", "other")
+
+
+def _in_groups(grouped: DataFrame) -> DataFrame:
+    """Step 3: tiles of the groups that have several labels; blocks of the largest label come after all others."""
+    members = grouped.select("rep", "n", "label", "group")
+    labels = members.groupBy("group", "label").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"))
+    own = lambda name, main: F.sum(F.when((F.col("label") == F.col("main")) == F.lit(main), F.col(name)).otherwise(0))
+    main = labels.groupBy("group").agg(F.max_by("label", F.struct("rows", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1")
+    sizes = labels.join(main, "group").groupBy("group", "main").agg(
+        F.sum("rows").alias("rows"), _blocks(own("rows", False), own("shingles", False)).alias("others"), _blocks(own("rows", True), own("shingles", True)).alias("mains")
+    )
+    placed = join_counted(members, store(sizes), ["group"], "rows", max(1, members.count()))
+    is_main, hashed = F.col("label") == F.col("main"), F.xxhash64("rep")
+    mine = F.when(is_main, F.col("others") + F.pmod(hashed, F.col("mains"))).otherwise(F.pmod(hashed, F.col("others"))).cast("int")
+    reach = F.when(is_main, F.col("others")).otherwise(F.col("others") + F.col("mains")).cast("int")
+    placed = placed.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), reach - 1)))
+    i, j = F.least("mine", "other"), F.greatest("mine", "other")
+    return placed.select("rep", F.col("group").alias("ta"), F.col("group").alias("tb"), i.alias("i"), j.alias("j"), (F.col("mine") == i).alias("side"), "label")
 
 
-def _crossing_edges(docs: DataFrame, labelled: DataFrame, width: int, percent: int) -> DataFrame:
-    """Step 4: edges ``(rep, root)`` between groups."""
-    opened = store(_opened(labelled, percent))
-    ta, tb = F.least("label", "other"), F.greatest("label", "other")
-    rows = opened.select("rep", "n", ta.alias("ta"), tb.alias("tb"), (F.col("label") == ta).alias("side"))
+def _between_groups(opened: DataFrame, labels: DataFrame) -> DataFrame:
+    """Step 5: tiles of the pairs of groups that one opens to the other."""
+    ta, tb = F.least("group", "other"), F.greatest("group", "other")
+    rows = opened.select("rep", "n", ta.alias("ta"), tb.alias("tb"), (F.col("group") == ta).alias("side"))
     own = lambda side, value: F.sum(F.when(F.col("side") == side, value).otherwise(0))
     sizes = rows.groupBy("ta", "tb").agg(
         F.count("*").alias("size"), own(True, 1).alias("na"), own(True, F.col("n")).alias("sa"), own(False, 1).alias("nb"), own(False, F.col("n")).alias("sb")
     )
     # A group may be opened from one side alone; then no member of the other can link.
     sizes = sizes.where("na > 0 and nb > 0").withColumns({"ba": _blocks(F.col("na"), F.col("sa")), "bb": _blocks(F.col("nb"), F.col("sb"))})
-    sizes = store(sizes.select("ta", "tb", "size", "ba", "bb", (F.col("na") * F.col("bb") + F.col("nb") * F.col("ba")).alias("moved")))
-
-    # Clusters: groups connected by being opened to each other. Moving a cluster's members to its
-    # blocks is worth it where their number is below that of the pairs' members.
-    clusters = connected(sizes, "ta", "tb")
-    of_root = clusters.select(F.col("component").alias("node"), "component").distinct()
-    cluster_of = store(clusters.unionByName(of_root).withColumnRenamed("component", "cluster"))
-    labels = rows.select("rep", "n", F.when(F.col("side"), F.col("ta")).otherwise(F.col("tb")).alias("label")).distinct()
-    members = store(labels.join(cluster_of, F.col("label") == F.col("node")).select("rep", "n", "label", "cluster"))
-    own_size = members.groupBy("cluster").agg(F.count("*").alias("rows"), _blocks(F.count("*"), F.sum("n")).alias("blocks"))
-    pair_cluster = sizes.join(cluster_of, F.col("ta") == F.col("node"))
-    moved = pair_cluster.groupBy("cluster").agg(F.sum("moved").alias("moved"), F.count("*").alias("pairs"))
-    whole = store(own_size.join(moved, "cluster").where("pairs > 1 and rows * blocks < moved").select("cluster", "rows", "blocks"))
-
-    placed = join_counted(members, whole, ["cluster"], "rows", max(1, members.count()))
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    placed = placed.withColumn("mine", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    i, j = F.least("mine", "other"), F.greatest("mine", "other")
-    in_clusters = placed.select("rep", F.col("cluster").alias("ta"), F.col("cluster").alias("tb"), i.alias("i"), j.alias("j"), (F.col("mine") == i).alias("side"), "label")
-
-    alone = pair_cluster.join(whole.select("cluster"), "cluster", "left_anti").select("ta", "tb", "size", "ba", "bb")
-    placed = join_counted(rows, alone, ["ta", "tb"], "size", max(1, opened.count()))
+    placed = join_counted(rows, store(sizes.select("ta", "tb", "size", "ba", "bb")), ["ta", "tb"], "size", max(1, opened.count()))
     mine = F.pmod(F.xxhash64("rep"), F.when(F.col("side"), F.col("ba")).otherwise(F.col("bb"))).cast("int")
     placed = placed.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("side"), F.col("bb")).otherwise(F.col("ba")) - 1)))
     i, j = (F.when(F.col("side"), F.col(a)).otherwise(F.col(b)) for a, b in (("mine", "other"), ("other", "mine")))
-    label = F.when(F.col("side"), F.col("ta")).otherwise(F.col("tb")).alias("label")
-    in_pairs = placed.select("rep", "ta", "tb", i.alias("i"), j.alias("j"), "side", label)
-    loaded = _load(docs, in_clusters.unionByName(in_pairs), width)
-    return store(loaded.mapInArrow(_across(percent), "rep long, root long"))
+    return placed.select("rep", "ta", "tb", i.alias("i"), j.alias("j"), "side").join(labels, "rep")
+
+
+def _crossing_edges(docs: DataFrame, labelled: DataFrame, width: int, percent: int) -> DataFrame:
+    """Steps 3 to 5: edges ``(rep, root)`` between labels, from ``(rep, n, label, first, keys)``."""
+    stars = connected(_stars(labelled), "label", "least").withColumnsRenamed({"node": "label", "component": "group"})
+    grouped = store(labelled.drop("keys").join(stars, "label", "left").withColumn("group", F.coalesce("group", "label")))
+    opened = store(_opened(grouped, percent))
+    tiles = _in_groups(grouped).unionByName(_between_groups(opened, grouped.select("rep", "label")))
+    return store(_load(docs, store(tiles), width).mapInArrow(_across(percent), "rep long, root long"))
+
+
+def _stars(labelled: DataFrame) -> DataFrame:
+    """``(label, least)``: from each label to the smallest one that shares a key with it."""
+    keyed = store(labelled.select("label", F.explode("keys").alias("key")).distinct())
+    several = keyed.groupBy("key").agg(F.min("label").alias("least"), F.count("*").alias("rows")).where("rows > 1")
+    return join_counted(keyed, several, ["key"], "rows", max(1, keyed.count())).where("label <> least").select("label", "least")
+
+
+def _families(labelled: DataFrame) -> DataFrame:
+    """``(gkey, rep, n)``: one member per key and label, of the keys that several labels have."""
+    keyed = store(labelled.select("label", "rep", "n", F.explode("keys").alias("gkey")).groupBy("gkey", "label").agg(F.min(F.struct("rep", "n")).alias("m")))
+    several = keyed.groupBy("gkey").agg(F.count("*").alias("rows")).where("rows > 1")
+    return store(join_counted(keyed, several, ["gkey"], "rows", max(1, keyed.count())).select("gkey", "m.rep", "m.n"))
+
+
+def _labelled(classes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``classes`` with the component of each, by ``edges (rep, root)``, as its label."""
+    component = connected(edges, "rep", "root")
+    return store(classes.join(component, F.col("rep") == F.col("node"), "left").withColumn("label", F.coalesce("component", "rep")).drop("node", "component"))
 
 
 def _same_id(signed: DataFrame, classes: DataFrame) -> DataFrame:
@@ -388,17 +446,21 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     """``(doc_id, n_shingles, component_id)`` per row."""
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     keys, powers = frequent_shingles(texts, width)
-    signed = store(texts.mapInArrow(_signatures(width, percent, keys, powers), "doc_id long, n long, f long, g long, gkey long, first array<long>"))
+    signed = store(texts.mapInArrow(_signatures(width, percent, keys, powers), "doc_id long, n long, f long, g long, gkey long, first array<long>, keys array<long>"))
     usable = signed.where("n > 0 and doc_id is not null")
     classes = store(
-        usable.groupBy("f", "g").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("gkey").alias("gkey"), F.first("first").alias("first"))
+        usable.groupBy("f", "g").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("gkey").alias("gkey"), F.first("first").alias("first"), F.first("keys").alias("keys"))
     )
-    edges = _grouped_edges(texts, classes, width, percent)
     none = classes.select("rep", F.col("rep").alias("root")).where(F.lit(False))
-    grouped = connected(none if edges is None else edges, "rep", "root")
-    labelled = classes.join(grouped, F.col("rep") == F.col("node"), "left").withColumn("label", F.coalesce("component", "rep"))
-    crossing = _crossing_edges(texts, labelled.select("rep", "n", "label", "first"), width, percent)
-    every = grouped.select(F.col("node").alias("rep"), F.col("component").alias("root")).unionByName(crossing).unionByName(_same_id(signed, classes))
+    edges = _grouped_edges(texts, classes, width, percent) or none
+    labelled = _labelled(classes, edges)
+    again = _grouped_edges(texts, _families(labelled), width, percent)
+    if again is not None:
+        edges = edges.unionByName(again)
+        labelled = _labelled(classes, edges)
+    crossing = _crossing_edges(texts, labelled.select("rep", "n", "label", "first", "keys"), width, percent)
+    joined = labelled.where("rep <> label").select("rep", F.col("label").alias("root"))
+    every = joined.unionByName(crossing).unionByName(_same_id(signed, classes))
     component = connected(every, "rep", "root")
     final = classes.join(component, F.col("rep") == F.col("node"), "left")
     final = store(final.select("f", "g", "copies", F.coalesce("component", "rep").alias("component_id")))
