@@ -110,10 +110,10 @@ def key_split(df: DataFrame, key: str, share: float = 0.8) -> Column:
     """True for the ``share`` of keys that a hash of the key puts into the training part.
 
     Unlike a random split it does not depend on how the rows are partitioned, so recomputing a lost
-    partition cannot move a row from one part to the other.
+    partition cannot move a row from one part to the other. A null key is in the test part.
     """
     digest = F.conv(F.substring(F.md5(df[key].cast("string")), 1, 8), 16, 10).cast("bigint")
-    return digest < int(share * 2**32)
+    return F.coalesce(digest < int(share * 2**32), F.lit(False))
 
 
 def random_split(df: DataFrame, share: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:

@@ -14,7 +14,7 @@ from brambling.plans import fits
 from brambling.plans.tables import read
 from brambling.session import scratch_path
 from brambling.sources.lines import read_lines, write_lines
-from brambling.sources.tagged import parse_documents, tagged_line
+from brambling.sources.tagged import line_funnel, parse_documents, rejected_lines, tagged_line
 
 WORDS = 20_000
 
@@ -43,6 +43,23 @@ def parse_doc_lines_tight(spark: SparkSession, folder: str) -> DataFrame:
     return parse_documents(read_lines(spark, tagged_file(spark, folder, '">')), '">')
 
 
+def damaged_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Tagged lines of which one language each lacks the id, the mark of the text, and the end tag."""
+    docs, lang = read(spark, folder, "documents"), F.col("lang")
+    line = tagged_line(F.concat(F.lit("d"), F.col("doc_id").cast("string")), F.regexp_replace("text", '[<>"]', " "))
+    cut = F.when(lang == "de", F.regexp_replace(line, 'id="', "")).when(lang == "es", F.regexp_replace(line, '"> ', " ")).when(lang == "fr", F.regexp_replace(line, " </doc>", ""))
+    return docs.select(F.coalesce(cut, line).alias("value"))
+
+
+def doc_line_funnel(spark: SparkSession, folder: str) -> DataFrame:
+    return line_funnel(damaged_lines(spark, folder))
+
+
+def rejected_doc_lines(spark: SparkSession, folder: str) -> DataFrame:
+    lines = rejected_lines(damaged_lines(spark, folder))
+    return lines.select(F.md5("value").alias("line"), "reason")
+
+
 @cache
 def tagged_file(spark: SparkSession, folder: str, mark: str = '"> ') -> str:
     """All documents as a file of tagged lines, written once per session."""
@@ -125,6 +142,8 @@ def doc_vector_lookup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "parse_doc_lines": parse_doc_lines,
     "parse_doc_lines_tight": parse_doc_lines_tight,
+    "doc_line_funnel": doc_line_funnel,
+    "rejected_doc_lines": rejected_doc_lines,
     "label_from_id": label_from_id,
     "tokenize": tokenize,
     "word_count": word_count,
@@ -189,7 +208,20 @@ def oracles() -> dict[str, str]:
         f"WITH l AS (SELECT doc_id, {flat} AS t FROM ({NAMED}))"
         " SELECT doc_id, CASE WHEN contains(t, ' </doc>') THEN string_split(t, ' </doc>')[1] ELSE t END AS text FROM l"
     )
+    lines = (
+        "SELECT lang, CASE lang WHEN 'de' THEN replace(v, 'id=\"', '') WHEN 'es' THEN replace(v, '\"> ', ' ') WHEN 'fr' THEN replace(v, ' </doc>', '') ELSE v END AS v"
+        " FROM (SELECT lang, '<doc id=\"d' || doc_id || '\" url=\"u\" title=\"t\"> ' || regexp_replace(regexp_replace(text, '[<>\"]', ' ', 'g'), '[\\r\\n]', ' ', 'g')"
+        " || ' </doc>' AS v FROM documents)"
+    )
+    reason = "CASE lang WHEN 'de' THEN 'no id' WHEN 'es' THEN 'no text mark' WHEN 'fr' THEN 'no end tag' END"
     return {
+        "doc_line_funnel": (
+            "WITH n AS (SELECT count(*) AS n, count_if(lang = 'de') AS a, count_if(lang = 'es') AS b, count_if(lang = 'fr') AS c FROM documents)"
+            " SELECT 0 AS step, NULL::VARCHAR AS reason, 0::BIGINT AS rejected, n::BIGINT AS kept FROM n"
+            " UNION ALL SELECT 1, 'no id', a::BIGINT, (n - a)::BIGINT FROM n UNION ALL SELECT 2, 'no text mark', b::BIGINT, (n - a - b)::BIGINT FROM n"
+            " UNION ALL SELECT 3, 'no end tag', c::BIGINT, (n - a - b - c)::BIGINT FROM n"
+        ),
+        "rejected_doc_lines": f"SELECT md5(v) AS line, {reason} AS reason FROM ({lines}) WHERE {reason} IS NOT NULL",
         "parse_doc_lines": parsed,
         "parse_doc_lines_tight": parsed,
         "label_from_id": f"SELECT doc_id, string_split(doc_id, '/')[2] AS category, starts_with(doc_id, 'docs/en')::INTEGER AS is_english FROM ({NAMED})",

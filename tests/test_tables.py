@@ -114,3 +114,10 @@ def test_infinities_are_not_counted(spark):
 def test_measured_size(spark):
     df = spark.createDataFrame([("abc", 1), ("ä", 2)], "w string, n int")
     assert tuple(joins.measure(df)) == (2, 3 + 2 + 2 * 16 + 2 * 16)
+
+
+def test_a_null_key_is_in_one_part(spark):
+    df = spark.createDataFrame([(None,), (1,), (2,)], "k int")
+    in_train = tables.key_split(df, "k", 0.5)
+    assert df.where(in_train).count() + df.where(~in_train).count() == 3
+    assert df.where(~in_train).where("k is null").count() == 1

@@ -13,7 +13,7 @@ from brambling import session
 from brambling.functions.text import label_from_path, label_from_prefix
 from brambling.operators import joins
 from brambling.operators import text_features as tf
-from brambling.sources.tagged import parse_documents, tagged_line
+from brambling.sources.tagged import line_funnel, parse_documents, parse_lines, rejected_lines, tagged_line
 
 DOCS = [
     ("AU1", "Court court, LAW the"),
@@ -237,6 +237,16 @@ def test_tagged_lines(spark):
     assert [tuple(r) for r in parse_documents(df, '">').collect()][0] == ("20_newsgroups/sci.med/1", ' a "> b')
 
 
+def test_lines_without_a_document_are_counted(spark):
+    lines = ['<doc id="1" url="u"> a </doc>', '<doc url="u"> a </doc>', '<doc id="2"> a </doc>', '<doc id="3" url="u" a </doc>', '<doc id="4" url="u"> a', "", None, "id="]
+    df = spark.createDataFrame([(line,) for line in lines], "value string")
+    want = [None, "no id", "no id", "no text mark", "no end tag", "no id", "no id", "no id"]
+    assert [r.reason for r in parse_lines(df).collect()] == want
+    assert [tuple(r) for r in rejected_lines(df).collect()] == [(line, why) for line, why in zip(lines, want) if why]
+    assert [tuple(r) for r in line_funnel(df).collect()] == [(0, None, 0, 8), (1, "no id", 5, 3), (2, "no text mark", 1, 2), (3, "no end tag", 1, 1)]
+    assert parse_documents(df).count() == 1 and [r.kept for r in line_funnel(df.where("false")).collect()] == [0] * 4
+
+
 def test_documents_survive_the_tags(spark, docs):
     lines = docs.select(tagged_line(F.col("doc_id"), F.concat("text", F.lit("\nx"))).alias("value"))
     assert sorted(map(tuple, parse_documents(lines).collect())) == sorted((d, t + " x") for d, t in DOCS)
