@@ -50,7 +50,7 @@ BLOCK = 1 << 16
 LEVEL = 3
 FILE_BYTES = 64 << 20
 RUN_BYTES = 1 << 20
-PIECES, PIECE_IDS = 500_000, 4_000_000
+PIECES, PIECE_IDS = 200_000, 1_600_000
 JOINED = 512
 # Fixed value: how the byte-level tokenizer cuts a text before it merges bytes, for texts of PLAIN
 # characters: contractions, letters, digits, other signs, each after a blank or not, and blanks.
@@ -71,7 +71,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = not special
         # A text with the string of a token that the library takes out before it cuts is encoded as a whole.
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if special or not t.special]
-        self.added = re.compile("|".join(map(re.escape, added))).search if added else lambda text: None
+        self.added = added
         self.pieces = re.compile(pattern).findall if pattern else None
         # A byte-level token has one sign per byte.
         vocabulary = self.tokenizer.get_vocab()
@@ -94,9 +94,14 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, np.int64) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of pieces that are a blank and letters; side by side they are cut in the same places."""
-        out = []
+    def apart(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+        """Ids of pieces, in order, and how many each has."""
+        found = self.whole(texts)
+        return found, np.array([len(x) for x in found], np.int64)
+
+    def words(self, words: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+        """``apart`` for pieces that are a blank and letters; side by side they are cut in the same places."""
+        out, lengths = [], [np.zeros(0, np.int64)]
         for k in range(0, len(words), JOINED):
             own = words[k : k + JOINED]
             (ids,) = self.whole(["".join(own)])
@@ -104,21 +109,25 @@ class Encoder:
             reached = np.cumsum(self.width[ids])
             at = np.searchsorted(reached, ends)
             if len(reached) and reached[-1] == ends[-1] and (reached[at] == ends).all():
-                out += np.split(ids, at[:-1] + 1)
+                out.append(ids)
+                lengths.append(np.diff(at, prepend=-1))
             else:
-                out += self.whole(own)
-        return out
+                found, number = self.apart(own)
+                out += found
+                lengths.append(number)
+        return out, np.concatenate(lengths)
 
     def learn(self, pieces: list[str]) -> None:
-        words = [p for p in pieces if p[0] == " " and p[1:].isalpha()]
-        others = [p for p in pieces if not (p[0] == " " and p[1:].isalpha())]
-        new = self.words(words) + self.whole(others)
+        words, others = [], []
+        for piece in pieces:
+            (words if piece[0] == " " and piece[1:].isalpha() else others).append(piece)
+        (ids, lengths), (more, last) = self.words(words), self.apart(others)
+        lengths = np.concatenate([lengths, last])
         self.place.update(zip(words + others, range(len(self.place), len(self.place) + len(pieces))))
-        lengths = np.array([len(x) for x in new], np.int64)
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(lengths) - lengths])
         self.length = np.concatenate([self.length, lengths])
-        self.ids = np.concatenate([self.ids, *new])
-        self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
+        self.ids = np.concatenate([self.ids, *ids, *more])
+        self.uses = np.concatenate([self.uses, np.zeros(len(lengths), np.int64)])
 
     def forget(self) -> None:
         """Keep the half of the pieces that was used most, within half of the ids."""
@@ -133,15 +142,18 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
-        plain = [i for i, t in enumerate(texts) if self.pieces and PLAIN.fullmatch(t) and not self.added(t)]
+        plain = [i for i, t in enumerate(texts) if self.pieces and not any(a in t for a in self.added) and PLAIN.fullmatch(t)]
         cut = [self.pieces(texts[i]) for i in plain]
-        fresh = set().union(*cut).difference(self.place)
+        # Each distinct piece of the run is looked up once.
+        named = pa.array(list(itertools.chain(*cut)), pa.large_string()).dictionary_encode()
+        distinct = named.dictionary.to_pylist()
+        fresh = [p for p in distinct if p not in self.place]
         if fresh:
             if len(self.place) > PIECES or len(self.ids) > PIECE_IDS:
                 self.forget()
-                fresh = set().union(*cut).difference(self.place)
+                fresh = [p for p in distinct if p not in self.place]
             self.learn(sorted(fresh))
-        every = np.fromiter(map(self.place.__getitem__, itertools.chain(*cut)), np.int64)
+        every = np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))[named.indices.to_numpy()]
         self.uses += np.bincount(every, minlength=len(self.uses))
         bounds = np.cumsum([0, *map(len, cut)])
         for i, a, b in zip(plain, bounds, bounds[1:]):
