@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -14,7 +15,14 @@ from brambling.operators.joins import join_small, measure
 from brambling.session import store
 
 
+#: Texts go to Python in batches of so many bytes, where the session does not say otherwise.
+BATCH_BYTES, BATCH_SETTING = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A given table; the queries' way to it, so it also bounds what a worker holds of a batch."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -59,24 +67,20 @@ def join_measured(large: DataFrame, small: DataFrame, on: str) -> DataFrame:
     return join_small(large, small, on, measure(small)[1])
 
 
-def bytes_of(column: pa.Array) -> list[bytes]:
-    """The texts of an Arrow column as UTF-8, a null as the empty text."""
-    return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
-
-
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Runs of rows whose texts have about ``most`` bytes together, so that work arrays stay small.
+    """Runs of rows whose texts, as UTF-8, have about ``most`` bytes together, so that work arrays stay small.
 
-    A single longer text is a run of its own.
+    A single longer text is a run of its own; a null is the empty text. Only the texts of the run at
+    hand become Python objects.
     """
     for batch in batches:
-        texts = bytes_of(batch.column(column))
-        ends = np.cumsum([len(x) for x in texts])
+        texts = batch.column(column).cast(pa.large_binary())
+        ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0)))
         first = 0
         while first < len(texts):
             base = int(ends[first - 1]) if first else 0
             last = max(first + 1, int(np.searchsorted(ends, base + most, side="right")))
-            yield batch.slice(first, last - first), texts[first:last]
+            yield batch.slice(first, last - first), [x or b"" for x in texts.slice(first, last - first).to_pylist()]
             first = last
 
 

@@ -231,26 +231,29 @@ def find(docs: DataFrame, items: DataFrame, keep: list[str], text: str = "text",
 
     Spans count words from 0, their end is exclusive; items are the ids as text.
     """
-    own = fresh("_text", [*keep, found])
+    # A text that is kept goes to Python once.
+    own = text if text in keep else fresh("_text", [*keep, found])
+    names = keep if text in keep else [*keep, own]
     usable = items.where(F.col(item_id).isNotNull() & F.col(item_text).isNotNull())
     usable = usable.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("text"))
     total = usable.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // ITEM_BYTES))
     block = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
     empty = F.struct(F.lit(0).cast("long").alias("words"), F.array().cast("array<bigint>").alias("starts"), F.array().cast("array<bigint>").alias("ends"), F.array().cast("array<string>").alias("items"))
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias(own), empty.alias(found))
-    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(own, docs.schema[text].dataType), T.StructField(found, _FOUND)])
+    more = [] if text in keep else [F.col(f"`{text}`").alias(own)]
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], *more, empty.alias(found))
+    schema = T.StructType([*rows.schema.fields[: len(names)], T.StructField(found, _FOUND)])
     path = None
     for k in range(blocks):
         # About ITEM_BYTES of items at a time.
         some = [(r.item, r.text.encode()) for r in usable.where(block == k).distinct().collect()]
-        rows = rows.mapInArrow(_pass(Windows.of(some, width), [*keep, own], own, found), schema)
+        rows = rows.mapInArrow(_pass(Windows.of(some, width), names, own, found), schema)
         if k < blocks - 1:
             before = path
             rows, path = spill(rows)
             if before:
                 discard(docs.sparkSession, before)
-    return rows.drop(own)
+    return rows.select(*[F.col(f"`{c}`") for c in keep], found)
 
 
 def n_hit(found: str = "_found") -> Column:

@@ -200,12 +200,14 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "qualit
 
 def with_score(docs: DataFrame, model, keep: list[str], text: str, name: str) -> DataFrame:
     """The columns ``keep`` of ``docs`` and the text's score by ``model.score`` as ``name``."""
-    fields, texts_name = [docs.schema[c] for c in keep], fresh("_text", keep)
+    # A text that is kept goes to Python once.
+    fields, texts_name = [docs.schema[c] for c in keep], text if text in keep else fresh("_text", keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, texts_name, RUN_BYTES):
             columns = [batch.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(model.score(texts), pa.float64())], names=[*keep, name])
 
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias(texts_name))
+    more = [] if text in keep else [F.col(f"`{text}`").alias(texts_name)]
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], *more)
     return rows.mapInArrow(run, T.StructType([*fields, T.StructField(name, T.DoubleType())]))
