@@ -41,6 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from brambling.llm.common import fresh, join_counted, slices, sorted_runs
 from brambling.llm.components import connected
@@ -103,13 +104,16 @@ def least_first(n: int) -> int:
     return 1 + EXTRA + n // PER_EXTRA
 
 
-_ODD = _mixed(np.arange(1, 2 * KEYS + 1, dtype=np.uint64) * _A) | np.uint64(1)
+_ODD = (_mixed(np.arange(1, 2 * KEYS + 1, dtype=np.uint64) * _A) | np.uint64(1))[:, None]
+KEY_BLOCK = 1 << 16
 
 
-def family_keys(shingles: np.ndarray) -> list[int]:
+def family_keys(shingles: np.ndarray) -> np.ndarray:
     """``KEYS`` keys that sets of a high similarity have in common with a probability of its square."""
-    least = [_mixed(shingles * odd).min() for odd in _ODD]
-    return [int(_mixed((a * _A + b + np.uint64(k)).reshape(1))[0].view(np.int64)) for k, (a, b) in enumerate(zip(least[::2], least[1::2]))]
+    # Shingles are mixed numbers, so a product with an odd number orders them anew.
+    blocks = [(shingles[k : k + KEY_BLOCK] * _ODD).min(axis=1) for k in range(0, len(shingles), KEY_BLOCK)]
+    least = np.min(blocks, axis=0)
+    return _mixed(_mixed(least[::2]) * _A + least[1::2] + np.arange(KEYS, dtype=np.uint64)).view(np.int64)
 
 
 def _frequent(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -180,10 +184,10 @@ def _signatures(width: int, percent: int, keys: np.ndarray, powers: np.ndarray)
                 first, key = first_shingles(shingles, keys, powers, percent) if len(shingles) else (shingles, 0)
                 group.append(key)
                 firsts.append(first.view(np.int64))
-                keyed += family_keys(shingles) if len(shingles) else [0] * KEYS
+                keyed.append(family_keys(shingles) if len(shingles) else np.zeros(KEYS, np.int64))
             ends = np.cumsum([0, *map(len, firsts)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(firsts)))
-            families = pa.ListArray.from_arrays(pa.array(np.arange(0, KEYS * len(texts) + 1, KEYS, dtype=np.int32)), pa.array(keyed, pa.int64()))
+            families = pa.ListArray.from_arrays(pa.array(np.arange(0, KEYS * len(texts) + 1, KEYS, dtype=np.int32)), pa.array(np.concatenate(keyed)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n, f, g, group)), lists, families], names=["doc_id", "n", "f", "g", "gkey", "first", "keys"])
 
     return sign
@@ -349,13 +353,17 @@ def _least_shared(n: str, percent: int) -> Column:
     return F.least(F.lit(1 + EXTRA) + F.floor(F.col(n) / PER_EXTRA), F.ceil(F.col(n) * percent / 100))
 
 
-def _opened(grouped: DataFrame, percent: int) -> DataFrame:
+def _elsewhere(entries: DataFrame, column: str) -> DataFrame:
+    """The entries whose shingle has another value of ``column`` too; by one exchange, and none if they are dealt by shingle."""
+    own = Window.partitionBy("shingle")
+    both = entries.withColumns({"_low": F.min(column).over(own), "_high": F.max(column).over(own)})
+    return both.where("_low <> _high").drop("_low", "_high")
+
+
+def _opened(classes: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
     """Step 4: ``(rep, n, group, other)`` for the groups that a set may link into."""
-    entries = grouped.select("rep", "n", "group", F.explode("first").alias("shingle"))
-    total = grouped.agg(F.coalesce(F.sum(F.size("first")), F.lit(0))).first()[0]
-    held = entries.groupBy("shingle").agg(F.min("group").alias("a"), F.max("group").alias("b"), F.count("*").alias("rows"))
-    several = held.where("a <> b").select("shingle", "rows")
-    shared = store(join_counted(entries, several, ["shingle"], "rows", max(1, total)))
+    common = _elsewhere(classes.select("rep", F.explode("first").alias("shingle")), "rep")
+    shared = store(_elsewhere(store(common).join(grouped.select("rep", "n", "group"), "rep"), "group"))
     # The other set of a link has PERCENT of this one's shingles at least.
     fewest = shared.groupBy("rep", "n").agg(F.count("*").alias("common")).withColumn("low", F.ceil(F.col("n") * percent / 100))
     able = store(fewest.where(F.col("common") >= _least_shared("low", percent)).select("rep"))
@@ -405,33 +413,38 @@ def _between_groups(opened: DataFrame, labels: DataFrame) -> DataFrame:
     return placed.select("rep", "ta", "tb", i.alias("i"), j.alias("j"), "side").join(labels, "rep")
 
 
-def _crossing_edges(docs: DataFrame, labelled: DataFrame, width: int, percent: int) -> DataFrame:
-    """Steps 3 to 5: edges ``(rep, root)`` between labels, from ``(rep, n, label, first, keys)``."""
-    stars = connected(_stars(labelled), "label", "least").withColumnsRenamed({"node": "label", "component": "group"})
-    grouped = store(labelled.drop("keys").join(stars, "label", "left").withColumn("group", F.coalesce("group", "label")))
-    opened = store(_opened(grouped, percent))
-    tiles = _in_groups(grouped).unionByName(_between_groups(opened, grouped.select("rep", "label")))
+def _crossing_edges(docs: DataFrame, classes: DataFrame, labels: DataFrame, width: int, percent: int) -> DataFrame:
+    """Steps 3 to 5: edges ``(rep, root)`` between labels."""
+    stars = connected(_stars(classes, labels), "label", "least").withColumnsRenamed({"node": "label", "component": "group"})
+    grouped = store(labels.join(stars, "label", "left").withColumn("group", F.coalesce("group", "label")))
+    opened = store(_opened(classes, grouped, percent))
+    tiles = _in_groups(grouped).unionByName(_between_groups(opened, labels.select("rep", "label")))
     return store(_load(docs, store(tiles), width).mapInArrow(_across(percent), "rep long, root long"))
 
 
-def _stars(labelled: DataFrame) -> DataFrame:
+def _keyed(classes: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(key, label, rep, n)``, one member per key and label, and ``(key, least, rows)`` of the keys that several labels have."""
+    each = classes.select("rep", F.explode("keys").alias("key")).join(labels, "rep").groupBy("key", "label")
+    keyed = store(each.agg(F.min(F.struct("rep", "n")).alias("m")).select("key", "label", "m.rep", "m.n"))
+    return keyed, keyed.groupBy("key").agg(F.min("label").alias("least"), F.count("*").alias("rows")).where("rows > 1")
+
+
+def _stars(classes: DataFrame, labels: DataFrame) -> DataFrame:
     """``(label, least)``: from each label to the smallest one that shares a key with it."""
-    keyed = store(labelled.select("label", F.explode("keys").alias("key")).distinct())
-    several = keyed.groupBy("key").agg(F.min("label").alias("least"), F.count("*").alias("rows")).where("rows > 1")
-    return join_counted(keyed, several, ["key"], "rows", max(1, keyed.count())).where("label <> least").select("label", "least")
+    keyed, several = _keyed(classes, labels)
+    return join_counted(keyed.select("key", "label"), several, ["key"], "rows", max(1, keyed.count())).where("label <> least").select("label", "least")
 
 
-def _families(labelled: DataFrame) -> DataFrame:
+def _families(classes: DataFrame, labels: DataFrame) -> DataFrame:
     """``(gkey, rep, n)``: one member per key and label, of the keys that several labels have."""
-    keyed = store(labelled.select("label", "rep", "n", F.explode("keys").alias("gkey")).groupBy("gkey", "label").agg(F.min(F.struct("rep", "n")).alias("m")))
-    several = keyed.groupBy("gkey").agg(F.count("*").alias("rows")).where("rows > 1")
-    return store(join_counted(keyed, several, ["gkey"], "rows", max(1, keyed.count())).select("gkey", "m.rep", "m.n"))
+    keyed, several = _keyed(classes, labels)
+    return store(join_counted(keyed, several.drop("least"), ["key"], "rows", max(1, keyed.count())).select(F.col("key").alias("gkey"), "rep", "n"))
 
 
-def _labelled(classes: DataFrame, edges: DataFrame) -> DataFrame:
-    """``classes`` with the component of each, by ``edges (rep, root)``, as its label."""
+def _labels(classes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``(rep, n, label)``: the component of each class by ``edges (rep, root)``."""
     component = connected(edges, "rep", "root")
-    return store(classes.join(component, F.col("rep") == F.col("node"), "left").withColumn("label", F.coalesce("component", "rep")).drop("node", "component"))
+    return store(classes.select("rep", "n").join(component, F.col("rep") == F.col("node"), "left").select("rep", "n", F.coalesce("component", "rep").alias("label")))
 
 
 def _same_id(signed: DataFrame, classes: DataFrame) -> DataFrame:
@@ -453,13 +466,13 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     )
     none = classes.select("rep", F.col("rep").alias("root")).where(F.lit(False))
     edges = _grouped_edges(texts, classes, width, percent) or none
-    labelled = _labelled(classes, edges)
-    again = _grouped_edges(texts, _families(labelled), width, percent)
+    labels = _labels(classes, edges)
+    again = _grouped_edges(texts, _families(classes, labels), width, percent)
     if again is not None:
         edges = edges.unionByName(again)
-        labelled = _labelled(classes, edges)
-    crossing = _crossing_edges(texts, labelled.select("rep", "n", "label", "first", "keys"), width, percent)
-    joined = labelled.where("rep <> label").select("rep", F.col("label").alias("root"))
+        labels = _labels(classes, edges)
+    crossing = _crossing_edges(texts, classes, labels, width, percent)
+    joined = labels.where("rep <> label").select("rep", F.col("label").alias("root"))
     every = joined.unionByName(crossing).unionByName(_same_id(signed, classes))
     component = connected(every, "rep", "root")
     final = classes.join(component, F.col("rep") == F.col("node"), "left")

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 
+from brambling.llm import components
 from brambling.llm import near_vectors as nv
 from brambling.llm.components import connected
 
@@ -84,7 +86,9 @@ def test_empty(spark):
     assert nv.near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("edges", [1 << 20, 20, 3])
+def test_components(spark, monkeypatch, edges):
+    monkeypatch.setattr(components, "TASK_EDGES", edges)
     rng = np.random.default_rng(2)
     pairs = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(200, 260)] + [(3, 3), (None, 5), (9, 8), (8, 9)]
     pairs = [pairs[i] for i in rng.permutation(len(pairs))]
