@@ -25,7 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from brambling.operators.text_features import Dictionary, Scaler
+from brambling.operators.joins import join_small
+from brambling.operators.text_features import RANK_ROW_BYTES, Dictionary, Scaler, fits
 
 # Fixed values of the descent: start rate, factors after a kept and an undone step, the change in
 # loss at which it stops, the largest number of iterations, the seed of the start coefficients.
@@ -64,14 +65,23 @@ class Folded:
 
 
 def margins(rows: DataFrame, theta: Sequence[float], folded: Folded) -> DataFrame:
-    """``rows`` with the margin ``z`` = x . theta of each document; no shuffle."""
+    """``rows`` with the margin ``z`` = x . theta of each document.
+
+    Coefficients up to the size that ``join_small`` broadcasts go to the tasks as one array, without a
+    shuffle. More of them stay a table that entries are joined with by rank; ids must not repeat then.
+    """
     weights, constant = folded.weights(np.asarray(theta, dtype=float))
-    # A scalar subquery reaches the tasks as one constant, whatever its length.
-    table = rows.sparkSession.createDataFrame([(weights.tolist(),)], "w array<double>")
-    dot = F.aggregate(
-        "entries", F.lit(0.0), lambda total, e: total + e["value"] * F.get("_w", e["rank"])
-    )
-    return rows.withColumn("_w", table.scalar()).withColumn("z", dot + F.lit(constant)).drop("_w")
+    spark = rows.sparkSession
+    if fits(len(weights)):
+        # A scalar subquery reaches the tasks as one constant.
+        table = spark.createDataFrame([(weights.tolist(),)], "w array<double>")
+        dot = F.aggregate("entries", F.lit(0.0), lambda total, e: total + e["value"] * F.get("_w", e["rank"]))
+        return rows.withColumn("_w", table.scalar()).withColumn("z", dot + F.lit(constant)).drop("_w")
+    table = spark.createDataFrame(pa.table({"rank": pa.array(np.arange(len(weights)), pa.int32()), "_w": pa.array(weights)}))
+    cells = rows.select("doc_id", F.explode("entries").alias("e")).select("doc_id", "e.rank", "e.value")
+    joined = join_small(cells, table, "rank", len(weights) * RANK_ROW_BYTES)
+    sums = joined.groupBy("doc_id").agg(F.sum(F.col("value") * F.col("_w")).alias("_dot"))
+    return rows.join(sums, "doc_id", "left").withColumn("z", F.coalesce("_dot", F.lit(0.0)) + F.lit(constant)).drop("_dot")
 
 
 def row_loss(z: Column | str, y: Column | str) -> Column:
@@ -134,8 +144,8 @@ def gradient(rows: DataFrame, theta: Sequence[float], scaler: Scaler) -> DataFra
 
 
 def coefficient_table(df: DataFrame, values: np.ndarray, name: str = "theta") -> DataFrame:
-    table = [(rank, float(value)) for rank, value in enumerate(values)]
-    return df.sparkSession.createDataFrame(table, f"rank int, {name} double")
+    table = pa.table({"rank": pa.array(np.arange(len(values)), pa.int32()), name: pa.array(np.asarray(values, dtype=float))})
+    return df.sparkSession.createDataFrame(table)
 
 
 @dataclass(frozen=True)

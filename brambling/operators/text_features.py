@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brambling.functions.text import blank_runs, letter_runs, words
-from brambling.operators.joins import BROADCAST_BYTES, join_small, measure
+from brambling.operators import joins
+from brambling.operators.joins import join_small, measure
 from brambling.session import cut, spread, store
 
 # A dictionary row without its word: rank, count and row overhead.
@@ -67,6 +68,11 @@ def texts_and_top_words(docs: DataFrame, size: int) -> DataFrame:
     return top_words(rows.groupBy(F.lower("word").alias("word")).agg(F.count("*").alias("cnt")), size)
 
 
+def fits(ranks: int) -> bool:
+    """Whether a table with a row per rank may go to every task."""
+    return ranks * RANK_ROW_BYTES <= joins.BROADCAST_BYTES
+
+
 @dataclass(frozen=True)
 class Dictionary:
     """A materialised dictionary: its table, number of words and measured size, and the number of
@@ -156,7 +162,7 @@ def _by_rank(table: DataFrame, size: int, *columns: str) -> Column:
 def tfidf(bags: DataFrame, idf: DataFrame, dictionary: Dictionary) -> DataFrame:
     """``(doc_id, entries)`` with entries ``(rank, value)`` by rank. Ranks without IDF have no entry."""
     share = lambda e: e["cnt"] / F.col("n_words")
-    if dictionary.rank_bytes <= BROADCAST_BYTES:
+    if fits(dictionary.size):
         rows = bags.withColumn("_s", _by_rank(idf, dictionary.size, "idf"))
         value = lambda e: share(e) * F.get("_s.idf", e["rank"])
         entries = F.transform("entries", lambda e: F.struct(e["rank"].alias("rank"), value(e).alias("value")))
@@ -245,15 +251,19 @@ def standardize(rows: DataFrame, scaler: Scaler, intercept: bool = False) -> Dat
     ``doc_id``. With ``intercept``, so has one more feature of constant value ``shrink``.
     """
 
-    def scaled(entry: Column) -> Column:
-        rank = entry["rank"]
-        value = (entry["value"] - F.get("s.mean", rank)) / F.get("s.std", rank) * F.lit(scaler.shrink)
-        return F.struct(rank.alias("rank"), value.alias("value"))
+    def scaled(value: Column, mean: Column, std: Column) -> Column:
+        return ((value - mean) / std * F.lit(scaler.shrink)).alias("value")
 
-    each = rows.withColumn("s", scaler_arrays(scaler)).select("doc_id", F.explode(F.transform("entries", scaled)).alias("e"))
+    if fits(scaler.size):
+        of = lambda e: F.struct(e["rank"].alias("rank"), scaled(e["value"], F.get("s.mean", e["rank"]), F.get("s.std", e["rank"])))
+        each = rows.withColumn("s", scaler_arrays(scaler)).select("doc_id", F.explode(F.transform("entries", of)).alias("e")).select("doc_id", "e.rank", "e.value")
+    else:
+        own = rows.select("doc_id", F.explode("entries").alias("e")).select("doc_id", "e.rank", "e.value")
+        joined = join_small(own, scaler.table, "rank", scaler.size * RANK_ROW_BYTES)
+        each = joined.select("doc_id", "rank", scaled(F.col("value"), F.col("mean"), F.col("std")))
     nobody = F.lit(None).cast(rows.schema["doc_id"].dataType).alias("doc_id")
     zero = (F.lit(0.0) - F.col("mean")) / F.col("std") * F.lit(scaler.shrink)
-    cells = each.select("doc_id", "e.rank", "e.value").unionByName(scaler.table.select(nobody, "rank", zero.alias("value")))
+    cells = each.unionByName(scaler.table.select(nobody, "rank", zero.alias("value")))
     return add_intercept(cells, scaler.size, scaler.shrink) if intercept else cells
 
 

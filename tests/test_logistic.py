@@ -4,9 +4,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from brambling.operators import joins
 from brambling.operators import logistic as lr
 from brambling.operators import text_features as tf
 from brambling.operators.neighbours import dense_rows
+from brambling.session import store
 
 
 @pytest.fixture(scope="module")
@@ -117,3 +119,32 @@ def test_metrics_over_nothing_are_null(spark):
 
 def test_start_coefficients():
     assert np.round(lr.initial_theta(2), 6).tolist() == [0.771321, 0.020752, 0.633648]
+
+
+def test_tables_of_ranks_too_large_for_a_task(spark, monkeypatch):
+    """Millions of ranks stay tables; both ways give the same values."""
+    docs = spark.createDataFrame([(f"d{k}", " ".join(f"w{chr(97 + (k * j) % 7)}" for j in range(1, 9))) for k in range(30)], "doc_id string, text string")
+    model, vectors = tf.fit_transform(docs, 20)
+    rows = store(vectors.withColumn("y", (F.length("doc_id") > 2).cast("int")))
+    scaler = tf.fit_scaler(rows, model.dictionary.size)
+    theta = lr.initial_theta(scaler.size)
+
+    def results():
+        scored = {r.doc_id: round(r.z, 12) for r in lr.margins(rows, theta, lr.Folded.of(scaler)).collect()}
+        cells = sorted((str(r.doc_id), r["rank"], round(r.value, 12)) for r in tf.standardize(rows, scaler, intercept=True).collect())
+        return scored, cells, sorted((r.doc_id, len(r.entries)) for r in model.transform(docs).collect())
+
+    near = results()
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
+    assert not tf.fits(1) and results() == near and len(near[0]) == 30
+
+
+def test_a_model_of_five_million_ranks(spark):
+    size = 5_000_000
+    folded = lr.Folded(np.zeros(size), np.ones(size), 0.01)
+    rows = spark.range(20).select(
+        F.col("id").alias("doc_id"), F.array(F.struct((F.col("id") * 200_000).cast("int").alias("rank"), F.lit(2.0).alias("value"))).alias("entries")
+    )
+    theta = np.arange(size + 1, dtype=float)
+    got = {r.doc_id: r.z for r in lr.margins(rows, theta, folded).collect()}
+    assert all(np.isclose(got[k], 0.01 * k * 200_000 * 2 + 0.01 * size) for k in range(20))
