@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 from brambling.llm import jaccard_join as jj
 
@@ -150,3 +151,63 @@ def test_rows_that_share_an_id(spark):
     for parts in (1, 7):
         kept = jj.keep_first(spark.createDataFrame(rows, SCHEMA).repartition(parts)).collect()
         assert sorted((r.doc_id, r.text) for r in kept) == [(3, two), (35, ""), (40, min(t for i, t, *_ in rows if i == 40))]
+
+
+def family(n, seed=3):
+    """Copies of one text with 4 of 150 words replaced each: most are just below the threshold of each other."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(500)}" for _ in range(150)]
+    rows = []
+    for i in range(n):
+        text = list(base)
+        for k in rng.sample(range(150), 4):
+            text[k] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(text), 1, "r", "g"))
+    return rows
+
+
+def test_a_family_of_near_copies_makes_no_pairs(spark, monkeypatch):
+    sizes = {}
+    for n in (40, 160):
+        counted = sizes.setdefault(n, {})
+
+        def wrapped(name, n=n, counted=counted, real=None):
+            def run(*args):
+                out = real(*args)
+                counted[name] = counted.get(name, 0) + out.count()
+                return out
+
+            return run
+
+        with monkeypatch.context() as patch:
+            for name in ("_stars", "_opened", "_families"):
+                patch.setattr(jj, name, wrapped(name, real=getattr(jj, name)))
+            rows = family(n)
+            got = jj.similar_documents(spark.createDataFrame(rows, SCHEMA)).collect()
+        assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+    assert all(sizes[160][name] <= jj.KEYS * 160 for name in sizes[160])
+    assert all(sizes[160][name] <= 5 * sizes[40][name] + 40 for name in sizes[160])
+
+
+def test_least_first_is_sound():
+    """Linked sets share at least ``least_first`` of the smaller one's number among their first shingles."""
+    rng = random.Random(1)
+    keys, powers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    for _ in range(300):
+        n = rng.randrange(3, 400)
+        base = [rng.getrandbits(64) for _ in range(n)]
+        k = rng.randrange(0, n // 6 + 1)
+        sets = [np.unique(np.array(base[k // 2 :] + [rng.getrandbits(64) for _ in range(rng.randrange(k // 2 + 1))], np.uint64)), np.unique(np.array(base[: n - k // 2], np.uint64))]
+        both = len(np.intersect1d(*sets))
+        if 100 * both < 85 * (len(sets[0]) + len(sets[1]) - both):
+            continue
+        firsts = [jj.first_shingles(s, keys, powers, 85)[0] for s in sets]
+        small = min(map(len, sets))
+        assert len(np.intersect1d(*firsts)) >= min(jj.least_first(small), jj.least_overlap(small, 85))
+
+
+def test_family_keys_do_not_depend_on_blocks(monkeypatch):
+    shingles = np.unique(np.random.default_rng(1).integers(0, 2**63, 1000).astype(np.uint64))
+    want = jj.family_keys(shingles).tolist()
+    monkeypatch.setattr(jj, "KEY_BLOCK", 7)
+    assert jj.family_keys(shingles).tolist() == want and len(set(want)) == jj.KEYS
