@@ -30,8 +30,10 @@ DOC_BLOCK, DOC_ENTRIES = 50_000, 1 << 23
 # Squared distances are compared at this many digits, so that the order in which a sum was
 # taken cannot decide between equally near documents; the smaller id does.
 DIGITS = 10
-# Distances that a task holds at a time.
-CELLS = 1 << 21
+# Distances that a task holds at a time, and documents of a chunk of the index.
+CELLS, CHUNK = 1 << 21, 1024
+# Ranks that a query in so many has are multiplied as a matrix.
+COMMON = 8
 # Into how many rings vectors are cut by their length, at most.
 RINGS = 256
 
@@ -69,30 +71,108 @@ class _Vectors:
         self.norm = np.bincount(self.row, weights=self.value**2, minlength=len(lengths))
 
 
-def _distances(queries: _Vectors, docs: _Vectors) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _expand(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The places ``start[i], start[i] + 1, ...``, ``count[i]`` of them, for each i in turn."""
+    ends = np.cumsum(count)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - ends + count, count)
+
+
+def _runs(count: np.ndarray, most: int) -> Iterator[slice]:
+    """Slices of ``count`` that sum to about ``most`` each."""
+    ends = np.cumsum(count)
+    first = 0
+    while first < len(count):
+        last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + most, side="right")))
+        yield slice(first, last)
+        first = last
+
+
+def _distances(queries: _Vectors, docs: _Vectors, bound: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Chunks of ``(ids, squared)``, one row per document and one column per query.
 
-    Only entries that a document has, and some query too, are multiplied, for all queries at once.
+    Ranks that many of the queries have are multiplied as matrices. All others are looked up in an
+    inverted index: per chunk of documents, the postings of each rank and their largest weight.
+
+    With ``bound``, which the caller may lower between chunks, distances above a query's bound may be
+    infinite. Documents then come by length, so that those of a chunk need about the same product to be
+    near. A query's entries whose largest weights together stay below it are not multiplied; what they
+    add is taken for the pairs only that can still be near with all of it.
     """
+    asked = len(queries.ids)
     known, column = np.unique(queries.rank, return_inverse=True)
-    if len(known) == 0:
-        known = np.array([-1])
-    matrix = np.zeros((len(known), len(queries.ids)))
-    matrix[column, queries.row] = queries.value
-
-    at = np.minimum(np.searchsorted(known, docs.rank), len(known) - 1)
-    shared = known[at] == docs.rank
-    row, at, value = docs.row[shared], at[shared], docs.value[shared]
-    bounds = np.searchsorted(row, np.arange(len(docs.ids) + 1))
-
-    step = max(1, CELLS // max(1, len(queries.ids)))
-    for first in range(0, len(docs.ids), step):
-        ids, norm = docs.ids[first : first + step], docs.norm[first : first + step]
-        dots = np.empty((len(ids), len(queries.ids)))
-        for k, (lo, hi) in enumerate(zip(bounds[first : first + len(ids)], bounds[first + 1 :])):
-            dots[k] = value[lo:hi] @ matrix[at[lo:hi]]
-        squared = norm[:, None] + queries.norm[None, :] - 2.0 * dots
-        yield ids, np.round(np.maximum(squared, 0.0), DIGITS)
+    common = np.bincount(column, minlength=len(known)) * COMMON >= max(1, asked)
+    place = np.where(common, np.cumsum(common) - 1, -1)
+    frequent, width = common[column], int(common.sum())
+    matrix = np.zeros((width, asked))
+    matrix[place[column[frequent]], queries.row[frequent]] = queries.value[frequent]
+    rank, query, weight = column[~frequent], queries.row[~frequent], queries.value[~frequent]
+
+    order = np.arange(len(docs.ids)) if bound is None else np.argsort(docs.norm, kind="stable")
+    turn = np.empty_like(order)
+    turn[order] = np.arange(len(order))
+    at = np.searchsorted(known, docs.rank)
+    shared = np.flatnonzero(at < len(known))
+    shared = shared[known[at[shared]] == docs.rank[shared]]
+    shared = shared[np.argsort(turn[docs.row[shared]], kind="stable")]
+    row, at, value = turn[docs.row[shared]], at[shared], docs.value[shared]
+
+    step = max(1, min(CHUNK, CELLS // max(1, asked, width)))
+    for first in range(0, len(order), step):
+        own = order[first : first + step]
+        span = slice(*np.searchsorted(row, [first, first + len(own)]))
+        doc, term, part = row[span] - first, at[span], value[span]
+        often = common[term]
+        left = np.bincount(doc[often] * width + place[term[often]], part[often], len(own) * width)
+        dots = left.reshape(len(own), width) @ matrix
+        doc, term, part = doc[~often], term[~often], part[~often]
+        norm, total = docs.norm[own], docs.norm[own][:, None] + queries.norm[None, :]
+
+        kept, spare = np.ones(len(rank), bool), np.zeros(asked)
+        if bound is not None:
+            # Rounding of the distances, and of the sums here.
+            slack = 2 * 10.0**-DIGITS + 1e-9 * (norm.max() + queries.norm)
+            peak = np.zeros(len(known))
+            np.maximum.at(peak, term, np.abs(part))
+            most = np.abs(weight) * peak[rank]
+            # The least that the entries below must add to the matrix product for a document to be near.
+            need = ((total - bound - slack) / 2 - dots).min(axis=0)
+            by = np.lexsort((most, query))
+            sums = np.cumsum(most[by])
+            start = np.searchsorted(query[by], np.arange(asked))
+            sums -= np.concatenate([[0.0], sums])[start][query[by]]
+            kept[by[sums < need[query[by]]]] = False
+            spare = np.bincount(query[~kept], most[~kept], asked)
+
+        by = np.argsort(term, kind="stable")
+        posted, amount = doc[by], part[by]
+        starts = np.searchsorted(term[by], np.arange(len(known) + 1))
+        entry = np.flatnonzero(kept)
+        count = starts[rank[entry] + 1] - starts[rank[entry]]
+        entry, count = entry[count > 0], count[count > 0]
+        for run in _runs(count, CELLS):
+            some, n = entry[run], count[run]
+            where = _expand(starts[rank[some]], n)
+            cell = posted[where] * asked + np.repeat(query[some], n)
+            dots += np.bincount(cell, amount[where] * np.repeat(weight[some], n), dots.size).reshape(dots.shape)
+
+        squared = total - 2.0 * dots
+        if not kept.all():
+            pair_doc, pair_query = np.nonzero((squared - 2.0 * spare <= bound + slack) & (spare > 0))
+            name = rank[~kept] * asked + query[~kept]
+            sort = np.argsort(name)
+            name, missing = name[sort], weight[~kept][sort]
+            lengths = np.bincount(doc, minlength=len(own))
+            begin = np.cumsum(lengths) - lengths
+            squared[squared - 2.0 * spare > bound + slack] = np.inf
+            count = lengths[pair_doc]
+            for run in _runs(count, CELLS):
+                n = count[run]
+                where = _expand(begin[pair_doc[run]], n)
+                wanted = term[where] * asked + np.repeat(pair_query[run], n)
+                found = np.minimum(np.searchsorted(name, wanted), len(name) - 1)
+                product = np.where(name[found] == wanted, part[where] * missing[found], 0.0)
+                squared[pair_doc[run], pair_query[run]] -= 2.0 * np.bincount(np.repeat(np.arange(len(n)), n), product, len(n))
+        yield docs.ids[own], np.round(np.maximum(squared, 0.0), DIGITS)
 
 
 def _best(queries: _Vectors, blocks: Iterator[_Vectors], k: int) -> dict[str, list]:
@@ -101,10 +181,10 @@ def _best(queries: _Vectors, blocks: Iterator[_Vectors], k: int) -> dict[str, li
     held_id = np.zeros(0, object)
     bound = np.full(len(queries.ids), np.inf)  # no document beyond it can be among the k nearest
     for block in blocks:
-        for ids, squared in _distances(queries, block):
+        for ids, squared in _distances(queries, block, bound):
             if len(ids) > k:
-                bound = np.minimum(bound, np.partition(squared, k - 1, axis=0)[k - 1])
-            doc, query = np.nonzero(squared <= bound)
+                np.minimum(bound, np.partition(squared, k - 1, axis=0)[k - 1], out=bound)
+            doc, query = np.nonzero((squared <= bound) & np.isfinite(squared))
             held_query = np.concatenate([held_query, query])
             held_squared = np.concatenate([held_squared, squared[doc, query]])
             held_id = np.concatenate([held_id, ids[doc]])

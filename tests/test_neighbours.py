@@ -82,6 +82,46 @@ def test_small_chunks_change_nothing(spark, vectors, monkeypatch):
     assert np.allclose(parts, want, atol=1e-9)
 
 
+def sparse_block(random, rows, ranks, prefix):
+    """Texts of frequent words with small weights and rare ones with large weights."""
+    import pyarrow as pa
+
+    chances = 1 / np.arange(2, ranks + 2)
+    entries = [np.unique(random.choice(ranks, 40, p=chances / chances.sum())).astype(np.int32) for _ in range(rows)]
+    values = [np.log(2 + r) ** 2 / 40 * (1 + random.rand(len(r))) * random.choice([-1, 1, 1, 1], len(r)) for r in entries]
+    dense = np.zeros((rows, ranks))
+    for i, (r, v) in enumerate(zip(entries, values)):
+        dense[i, r] = v
+    return nn._Vectors(pa.table({"id": [f"{prefix}/{i:05d}" for i in range(rows)], "ranks": entries, "values": values})), dense
+
+
+def test_index_skips_products_and_stays_exact(monkeypatch):
+    random = np.random.RandomState(8)
+    queries, asked = sparse_block(random, 60, 3000, "q")
+    docs, held = sparse_block(random, 4000, 3000, "d")
+    squared = np.round(((asked[:, None, :] - held[None]) ** 2).sum(-1), nn.DIGITS)
+    order = np.argsort(squared, axis=1, kind="stable")[:, :10]
+    products = []
+    expand = nn._expand
+    monkeypatch.setattr(nn, "_expand", lambda start, count: products.append(int(count.sum())) or expand(start, count))
+    monkeypatch.setattr(nn, "CHUNK", 256)
+    for common in (8, 0):  # frequent ranks as a matrix, and all ranks by the index
+        monkeypatch.setattr(nn, "COMMON", common)
+        products.clear()
+        best = nn._best(queries, iter([docs]), 10)
+        got = {}
+        for query, doc, distance in zip(best["query_id"], best["doc_id"], best["squared"]):
+            got.setdefault(query, []).append((doc, distance))
+        for q, near in enumerate(order):
+            assert [doc for doc, _ in got[f"q/{q:05d}"]] == [f"d/{d:05d}" for d in near]
+            assert np.allclose([distance for _, distance in got[f"q/{q:05d}"]], squared[q, near], atol=1e-8)
+        bounded = sum(products)
+        products.clear()
+        every = [d for _, d in nn._distances(queries, docs)]
+        assert np.allclose(np.concatenate(every), squared.T, atol=1e-8)
+        assert bounded < 0.8 * sum(products)
+
+
 def test_a_vector_is_its_own_nearest_neighbour(spark, vectors):
     docs = frame(spark, vectors, "d")
     first = nn.nearest(docs, docs, 1, query_block=100, doc_block=100)
