@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 SEPARATOR = struct.pack("<II", 0x184D2A50, 0)
 
 
-def write_bytes(rows: DataFrame, path: str) -> None:
-    """Write the only column of ``rows``, a binary one, a file per partition."""
+def write_bytes(rows: DataFrame, path: str, most: int = 0) -> None:
+    """Write the only column of ``rows``, a binary one, a file per partition or per ``most`` rows of one."""
     value = F.col(rows.columns[0]).cast("string").alias("value")
-    rows.select(value).write.option("lineSep", SEPARATOR.decode("ascii")).text(path)
+    rows.select(value).write.option("lineSep", SEPARATOR.decode("ascii")).option("maxRecordsPerFile", most).text(path)
 
 
 def read_bytes(spark: SparkSession, path: str) -> DataFrame:

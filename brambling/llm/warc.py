@@ -1,5 +1,6 @@
 """WARC archives of pages, compressed record by record with a shared dictionary.
 
+An archive is cut into files of about ``FILE_BYTES``; a longer record is in a file of its own.
 A file starts with a skippable Zstandard frame (magic 0x184D2A5D) that holds the dictionary; every
 record is a frame of its own. The dictionary is trained on about ``SAMPLE`` records of at most
 ``SAMPLE_BYTES`` each, chosen by a hash; it affects the size of the files only.
@@ -30,6 +31,8 @@ from pyspark.sql import functions as F
 
 from brambling.llm.byte_files import contents, read_bytes, write_bytes
 from brambling.llm.common import HOT_SHARE, slices
+from brambling.operators.joins import BROADCAST_BYTES, measure
+from brambling.session import store
 
 REVISIT_BYTES = 1000
 DATE = "2000-01-01T00:00:00Z"
@@ -39,6 +42,8 @@ SAMPLE, SAMPLE_BYTES, DICTIONARY_BYTES = 512, 1 << 16, 112_640
 DICTIONARY_MAGIC = 0x184D2A5D
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RUN_BYTES = 8 << 20
+# Bytes of a file, and rows of frames that the writer puts into one.
+FILE_BYTES, FILE_ROWS = 64 << 20, 256
 
 
 def _record(page_id: int | None, url: bytes | None, payload: bytes, sha1: str, refers: int | None, date: str) -> bytes:
@@ -55,48 +60,76 @@ def _record(page_id: int | None, url: bytes | None, payload: bytes, sha1: str, r
 
 
 def _writer(dictionary: bytes, level: int, date: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of frames; every ``FILE_ROWS`` of them are a file, for which the last ones may be empty."""
+    lead = struct.pack("<II", DICTIONARY_MAGIC, len(dictionary)) + dictionary if dictionary else b""
+
+    def out(rows: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["frames"])
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressor = zstandard.ZstdCompressor(level=level, dict_data=zstandard.ZstdCompressionDict(dictionary)) if dictionary else zstandard.ZstdCompressor(level=level)
-        first = [struct.pack("<II", DICTIONARY_MAGIC, len(dictionary)) + dictionary] if dictionary else []
+        held, size, rows, written = [lead], 0, 0, 0
+
         for batch, payloads in slices(batches, "payload", RUN_BYTES):
             urls = [None if u is None else u.encode() for u in batch.column("url").to_pylist()]
-            rows = zip(batch.column("page_id").to_pylist(), urls, payloads, batch.column("sha1").to_pylist(), batch.column("refers").to_pylist())
-            frames = [compressor.compress(_record(*row, date)) for row in rows]
-            yield pa.RecordBatch.from_arrays([pa.array(first + frames, pa.binary())], names=["frame"])
-            first = []
+            for row in zip(batch.column("page_id").to_pylist(), urls, payloads, batch.column("sha1").to_pylist(), batch.column("refers").to_pylist()):
+                frame = compressor.compress(_record(*row, date))
+                if written and written + size + len(frame) > FILE_BYTES:
+                    yield out([b"".join(held)] + [b""] * (FILE_ROWS - rows - 1))
+                    held, size, rows, written = [lead], 0, 0, 0
+                held.append(frame)
+                size += len(frame)
+                if size * FILE_ROWS >= 2 * FILE_BYTES:
+                    yield out([b"".join(held)])
+                    held, size, rows, written = [], 0, rows + 1, written + size
+        if size:
+            yield out([b"".join(held)])
 
     return write
 
 
-def _dictionary(pages: DataFrame) -> bytes:
+def _dictionary(rows: DataFrame, n: int) -> bytes:
     """Trained on whole records of a bounded sample; empty if there are too few to learn from."""
-    n = pages.count()
-    share = F.pmod(F.xxhash64("page_id", "sha1"), F.lit(1 << 30)) < min(1 << 30, (SAMPLE << 30) // max(1, n))
-    rows = pages.where(share & (F.octet_length("payload") <= SAMPLE_BYTES)).limit(2 * SAMPLE)
-    records = [_record(r.page_id, r.url.encode() if r.url is not None else None, bytes(r.payload), r.sha1, None, DATE) for r in rows.collect()]
+    share = F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 30)) < min(1 << 30, (SAMPLE << 30) // max(1, n))
+    some = rows.where(share & (F.octet_length("payload") <= SAMPLE_BYTES)).limit(2 * SAMPLE)
+    records = [_record(r.page_id, r.url.encode() if r.url is not None else None, bytes(r.payload), r.sha1, None, DATE) for r in some.collect()]
     try:
         return zstandard.train_dictionary(min(DICTIONARY_BYTES, sum(map(len, records)) // 8), records).as_bytes()
     except (zstandard.ZstdError, ValueError):
         return b""
 
 
+def _with_response(rows: DataFrame, copies: DataFrame, total: int) -> DataFrame:
+    """``rows`` with ``last``, the id of the response that has the payload, null where no other row has it.
+
+    Payloads stay where they are if the table of repeated ones is small, as measured. If not, those that
+    make up much of all rows are few and broadcast; the others meet in a shuffle.
+    """
+    keys = ["sha1", "size"]
+    if measure(copies)[1] <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(copies.drop("n")), keys, "left")
+    hot = copies.where(F.col("n") * HOT_SHARE > total).drop("n")
+    cold = copies.where(F.col("n") * HOT_SHARE <= total).drop("n")
+    rest = rows.join(F.broadcast(hot), keys, "left_anti").join(cold, keys, "left")
+    return rows.join(F.broadcast(hot), keys).unionByName(rest)
+
+
 def write_warc(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html", revisit_bytes: int = REVISIT_BYTES, date: str = DATE) -> None:
-    """Write one record per row to ``path``, a file per partition of ``pages``."""
+    """Write one record per row to ``path``.
+
+    The payloads are read three times: for their digests and lengths, which are stored, for the sample
+    that the dictionary is trained on, and to be written.
+    """
     payload = F.coalesce(F.col(html), F.lit("")).cast("binary")
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumns({"sha1": F.sha1("payload"), "size": F.octet_length("payload")})
-    copies = rows.where(F.col("size") >= revisit_bytes).groupBy("sha1", "size").agg(F.max("page_id").alias("last"), F.count("*").alias("n"))
-    copies = copies.where("n > 1")
-    # Payloads that make up much of the table are few and broadcast; the rest meet in a shuffle.
-    total = pages.count()
-    hot = copies.where(F.col("n") * HOT_SHARE > total).drop("n")
-    cold = copies.where(F.col("n") * HOT_SHARE <= total).drop("n")
-    here = rows.join(F.broadcast(hot), ["sha1", "size"])
-    rest = rows.join(F.broadcast(hot), ["sha1", "size"], "left_anti").join(cold, ["sha1", "size"], "left")
+    digests = store(rows.select("page_id", "sha1", "size"))
+    copies = digests.where(F.col("size") >= revisit_bytes).groupBy("sha1", "size").agg(F.max("page_id").alias("last"), F.count("*").alias("n"))
+    copies, total = store(copies.where("n > 1")), digests.count()
     # A row whose own id is the largest is the response.
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last"))
-    records = here.unionByName(rest).select("page_id", "url", "payload", "sha1", refers.alias("refers"))
-    write_bytes(records.mapInArrow(_writer(_dictionary(rows), LEVEL, date), "frame binary"), path)
+    records = _with_response(rows, copies, total).select("page_id", "url", "payload", "sha1", refers.alias("refers"))
+    write_bytes(records.mapInArrow(_writer(_dictionary(rows, total), LEVEL, date), "frames binary"), path, FILE_ROWS)
 
 
 def _headers(stream: io.BufferedReader) -> dict[str, str]:

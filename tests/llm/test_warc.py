@@ -57,3 +57,21 @@ def test_few_and_no_rows(spark, tmp_path):
     one = [(1, "u", "x", "p", "s")]
     assert round_trip(spark, spark.createDataFrame(one, SCHEMA), str(tmp_path / "one")) == brute(one)
     assert round_trip(spark, spark.createDataFrame([], SCHEMA), str(tmp_path / "none")) == []
+
+
+def test_files_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 20_000)
+    monkeypatch.setattr(warc, "DICTIONARY_BYTES", 2_000)
+    rng = random.Random(4)
+    noise = lambda n: "".join(chr(rng.randrange(32, 127)) for _ in range(n))
+    rows = [(i, "u", noise(rng.randrange(3000)), "p", "s") for i in range(150)] + [(500, "u", noise(60_000), "p", "s"), (501, "u", noise(300), "p", "s")]
+    df = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    path = str(tmp_path / "w")
+    assert round_trip(spark, df, path) == brute(rows)
+    sizes = sorted(len(r.content) for r in warc.read_bytes(spark, path).collect())
+    assert len(sizes) > 5 and sizes[-2] < 20_000 + 2_000 + 8 * (warc.FILE_ROWS + 2)
+
+
+def test_many_copies_meet_in_a_shuffle(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "BROADCAST_BYTES", 0)
+    assert round_trip(spark, spark.createDataFrame(pages(), SCHEMA), str(tmp_path / "w")) == brute(pages())
