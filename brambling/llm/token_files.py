@@ -52,6 +52,7 @@ FILE_BYTES = 64 << 20
 RUN_BYTES = 1 << 20
 PIECES, PIECE_IDS = 200_000, 1_600_000
 JOINED = 512
+RANGE_CHARS = 64
 # Fixed value: how the byte-level tokenizer cuts a text before it merges bytes, for texts of PLAIN
 # characters: contractions, letters, digits, other signs, each after a blank or not, and blanks.
 PATTERN = r"""'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"""
@@ -255,12 +256,14 @@ def _writer(tokenizer: str, pattern: str | None, end: int, bits: bool, special:
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text", pattern: str | None = PATTERN, end: int = END, bits: bool = False, special: bool = False) -> None:
-    """Encode and write all documents in ascending order of their ids, a file per range of ids."""
+    """Encode and write all documents in ascending order of their ids, a file per range of ids and, within an id, of texts."""
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
     files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // FILE_BYTES))
-    dealt = rows.repartitionByRange(files, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    # Rows that repeat an id are cut into ranges by how their texts begin, in the order of the texts.
+    begin = F.left("text", F.lit(RANGE_CHARS))
+    dealt = rows.repartitionByRange(files, F.col("doc_id").asc_nulls_first(), begin).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     write_bytes(dealt.mapInArrow(_writer(tokenizer, pattern, end, bits, special), "chunk binary"), path)
 
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from pathlib import Path
 
 import corpus_pipeline as pipeline
 import numpy as np
@@ -101,3 +102,13 @@ def test_special_tokens_as_the_library_does(spark, tmp_path):
     assert 50256 in untouched.encode(texts[0], add_special_tokens=False).ids
     for rows in (op7_token_id_output(spark, str(tmp_path)), pipeline.encoded(spark, df, "")):
         assert sorted((tuple(r) for r in rows.collect()), key=lambda r: r[1]) == want
+
+
+def test_rows_of_one_id_are_cut_into_ranges(spark, tmp_path):
+    rows = [(None, f"{i % 97} tail {i}") for i in range(400)] + [(7, "x")] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    path = str(tmp_path / "t")
+    tf.write_tokens(df, path, Path(PATH).read_text(encoding="utf-8"))
+    sizes = [len(tf.read_footer(memoryview(bytes(r.content)))[3]) for r in tf.read_bytes(spark, path).collect()]
+    assert len(sizes) > 2 and max(sizes) < 300 and sum(sizes) == 403
+    assert got(df) == brute(rows)
