@@ -56,27 +56,81 @@ def words_of(text: bytes) -> Iterator[list[bytes]]:
         first = last
 
 
+def _places(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """``start[i], start[i] + 1, ...``, ``count[i]`` of them, for each i in turn."""
+    return np.arange(int(count.sum())) + np.repeat(start - np.cumsum(count) + count, count)
+
+
+def _names(words: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """Numbers that are equal where the ``width`` words from these places on are.
+
+    Runs of 1, 2, 4, ... words are numbered from two halves each; a window is made of such runs.
+    """
+    run, step, taken = words.astype(np.int64), 1, 0
+    out = np.zeros(len(at), np.int64)
+    while step <= width:
+        if width & step:
+            out = np.unique(out * (int(run.max(initial=0)) + 1) + run[at + taken], return_inverse=True)[1]
+            taken += step
+        after = np.zeros_like(run)
+        after[:-step] = run[step:]
+        run = np.unique(run * (int(run.max(initial=0)) + 1) + after, return_inverse=True)[1]
+        step *= 2
+    return out
+
+
 @dataclass
 class Windows:
-    """The distinct windows of a block of items as rows of word numbers, from 1."""
+    """The distinct windows of a block of items, each as a place in the items' words.
+
+    This is what travels with a job: 16 bytes per word of the items and their distinct words.
+    """
 
-    vocabulary: dict[bytes, int]
-    rows: np.ndarray  # window x WINDOW, 0 beyond the window's end
-    length: np.ndarray
-    items: list[list[str]]
+    distinct: bytes  # the distinct words, numbered from 1 in this order
+    words: np.ndarray  # numbers of all items' words, one item after another
+    first: np.ndarray  # place of each window, those of ``width`` words before the shorter ones
+    width: int
+    short: np.ndarray  # lengths of the shorter windows
+    names: list[str]
+    owner: np.ndarray  # the items of each window, as places in ``names``
+    bounds: np.ndarray  # and where those of a window start
 
     @classmethod
     def of(cls, items: list[tuple[str, bytes]], width: int) -> Windows:
         vocabulary: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set[str]] = {}
+        names: dict[str, int] = {}
+        parts, owner = [np.zeros(0, np.int32)], []
         for item, text in items:
-            ids = [vocabulary.setdefault(w, len(vocabulary) + 1) for words in words_of(text) for w in words]
-            for i in range(max(1, len(ids) - width + 1) if ids else 0):
-                owners.setdefault(tuple(ids[i : i + width]), set()).add(item)
-        rows = np.zeros((len(owners), width), np.int64)
-        for k, window in enumerate(owners):
-            rows[k, : len(window)] = window
-        return cls(vocabulary, rows, (rows > 0).sum(1), [sorted(x) for x in owners.values()])
+            number = lambda w: vocabulary.setdefault(w, len(vocabulary) + 1)
+            own = [np.fromiter(map(number, words), np.int32, len(words)) for words in words_of(text)]
+            parts.append(np.concatenate([parts[0], *own]))
+            owner.append(names.setdefault(item, len(names)))
+        words, sizes = np.concatenate(parts), np.array([len(x) for x in parts[1:]], np.int64)
+        start, owner = np.cumsum(sizes) - sizes, np.array(owner, np.int64)
+
+        count = np.maximum(sizes - width + 1, 0)
+        at = _places(start, count)
+        _, first, window = np.unique(_names(words, at, width), return_index=True, return_inverse=True)
+        first, owner_of = at[first], np.repeat(owner, count)
+        brief = np.flatnonzero((sizes > 0) & (sizes < width))
+        found: dict[bytes, int] = {}
+        own = [found.setdefault(words[start[i] : start[i] + sizes[i]].tobytes(), len(first) + len(found)) for i in brief]
+        fresh_ones = brief[np.unique(np.array(own, np.int64), return_index=True)[1]]
+        pairs = np.unique(np.concatenate([window, np.array(own, np.int64)]) * max(1, len(names)) + np.concatenate([owner_of, owner[brief]]))
+        n = len(first) + len(found)
+        bounds = np.searchsorted(pairs // max(1, len(names)), np.arange(n + 1))
+        small = lambda x: x.astype(np.int32)
+        return cls(b" ".join(vocabulary), words, small(np.concatenate([first, start[fresh_ones]])), width, small(sizes[fresh_ones]), list(names), small(pairs % max(1, len(names))), small(bounds))
+
+    def vocabulary(self) -> dict[bytes, int]:
+        return {w: i for i, w in enumerate(self.distinct.split(), 1)}
+
+    @property
+    def length(self) -> np.ndarray:
+        return np.concatenate([np.full(len(self.first) - len(self.short), self.width, np.int64), self.short])
+
+    def items(self, window: int) -> list[str]:
+        return [self.names[i] for i in self.owner[self.bounds[window] : self.bounds[window + 1]]]
 
 
 class Wavelet:
@@ -132,12 +186,12 @@ class Index:
     def _back(self, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
         return self.first[symbol] + self.wavelet.rank(symbol, place)
 
-    def search(self, rows: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ranges of suffixes that start with each row's first ``length`` words."""
-        low, high = np.zeros(len(rows), np.int64), np.full(len(rows), len(self.before), np.int64)
-        for k in range(rows.shape[1] - 1, -1, -1):
+    def search(self, words: np.ndarray, first: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ranges of suffixes that start with the ``length`` words from each place ``first``."""
+        low, high = np.zeros(len(first), np.int64), np.full(len(first), len(self.before), np.int64)
+        for k in range(int(length.max()) - 1, -1, -1):
             on = np.flatnonzero((k < length) & (low < high))
-            symbol = rows[on, k]
+            symbol = words[first[on] + k]
             low[on], high[on] = self._back(symbol, low[on]), self._back(symbol, high[on])
         return low, high
 
@@ -160,7 +214,7 @@ def occurrences(docs: list[np.ndarray], windows: Windows) -> tuple[np.ndarray, n
     A document is an array of word numbers, 0 for words that no item has.
     """
     nothing = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if not docs or not len(windows.rows):
+    if not docs or not len(windows.first):
         return nothing
     zero = np.zeros(1, np.int64)
     whole = np.concatenate([x for d in docs for x in (d, zero)])
@@ -168,15 +222,16 @@ def occurrences(docs: list[np.ndarray], windows: Windows) -> tuple[np.ndarray, n
     known = whole > 0
     edges = np.diff(np.concatenate([[0], known.astype(np.int8), [0]]))
     starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-    long = ends - starts >= windows.length.min()
+    lengths = windows.length
+    long = ends - starts >= lengths.min()
     starts, ends = starts[long], ends[long]
     if not len(starts):
         return nothing
     sizes = ends - starts + 1  # a run and the word that ends it
     shift = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
     source = shift + np.arange(len(shift))
-    index = Index(np.where(known[source], whole[source], 0), len(windows.vocabulary))
-    low, high = index.search(windows.rows, windows.length)
+    index = Index(np.where(known[source], whole[source], 0), int(windows.words.max()))
+    low, high = index.search(windows.words, windows.first, lengths)
     count = high - low
     window = np.repeat(np.arange(len(count)), count)
     place = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(len(window))
@@ -194,9 +249,9 @@ _FOUND = T.StructType([T.StructField("words", T.LongType()), T.StructField("star
 
 def _pass(windows: Windows, names: list[str], text_name: str, found_name: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Search one block of items; adds to what earlier passes found."""
-    number = windows.vocabulary
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, lengths = windows.vocabulary(), windows.length
         for batch, texts in slices(batches, text_name, SHARD_BYTES):
             docs = []
             for text in texts:
@@ -206,12 +261,12 @@ def _pass(windows: Windows, names: list[str], text_name: str, found_name: str) -
             bounds = np.concatenate([[0], np.cumsum([len(d) for d in docs])])
             change = np.zeros(bounds[-1] + 1, np.int64)
             np.add.at(change, place, 1)
-            np.add.at(change, place + windows.length[window], -1)
+            np.add.at(change, place + lengths[window], -1)
             hit = np.cumsum(change) > 0
             owner = np.searchsorted(bounds, place, side="right") - 1
             found: dict[int, set[str]] = {}
             for doc, w in set(zip(owner.tolist(), window.tolist())):
-                found.setdefault(doc, set()).update(windows.items[w])
+                found.setdefault(doc, set()).update(windows.items(w))
             rows = []
             for k, old in enumerate(batch.column(found_name).to_pylist()):
                 own = hit[bounds[k] : bounds[k + 1]].copy()

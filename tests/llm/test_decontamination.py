@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import pickle
 import random
 import re
 
@@ -111,3 +112,18 @@ def test_a_plan_holds_one_block_of_items(spark, monkeypatch):
     found = dc.find(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS), ["doc_id"])
     assert len(alive) > 2 and found._jdf.queryExecution().analyzed().toString().count("MapInArrow") == 1
     assert sorted((tuple(r) for r in dc.digest(found).collect()), key=str) == brute(docs, items)
+
+
+def test_what_travels_is_about_the_size_of_the_items():
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(5000)]
+    items = [(str(i), " ".join(rng.choice(words) for _ in range(rng.randrange(200))).encode()) for i in range(2000)]
+    windows = dc.Windows.of(items, 13)
+    assert len(pickle.dumps(windows)) <= 3.2 * sum(len(text) for _, text in items)
+    number, want = windows.vocabulary(), {}
+    for item, text in items:
+        ids = [number[w] for w in text.split()]
+        for i in range(max(1, len(ids) - 12) if ids else 0):
+            want.setdefault(tuple(ids[i : i + 13]), set()).add(item)
+    own = {tuple(windows.words[a : a + n].tolist()): set(windows.items(k)) for k, (a, n) in enumerate(zip(windows.first, windows.length))}
+    assert own == want and len(windows.first) == len(want)
