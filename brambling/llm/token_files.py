@@ -25,7 +25,6 @@ special token gives that token's id, as the library does by default; otherwise i
 
 from __future__ import annotations
 
-import itertools
 import os
 import re
 import struct
@@ -35,6 +34,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -49,8 +49,8 @@ END = 2
 BLOCK = 1 << 16
 LEVEL = 3
 FILE_BYTES = 64 << 20
-RUN_BYTES = 1 << 20
-PIECES, PIECE_IDS = 200_000, 1_600_000
+RUN_BYTES = 4 << 20
+PIECES, PIECE_IDS = 400_000, 2_400_000
 JOINED = 512
 RANGE_CHARS = 64
 # Fixed value: how the byte-level tokenizer cuts a text before it merges bytes, for texts of PLAIN
@@ -78,9 +78,14 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
         self.width[list(vocabulary.values())] = [len(token) for token in vocabulary]
-        self.place: dict[str, int] = {}
+        self.known = pa.array([], pa.large_string())
         self.start, self.length, self.ids, self.uses = (np.zeros(0, np.int64) for _ in range(4))
 
+    @property
+    def place(self) -> dict[str, int]:
+        """The pieces that are remembered now."""
+        return {p: k for k, p in enumerate(self.known.to_pylist())}
+
     @classmethod
     def kept(cls, tokenizer: str, pattern: str | None, special: bool = False) -> Encoder:
         """The encoder of this worker process, which the tasks that it runs one after another share."""
@@ -118,13 +123,13 @@ class Encoder:
                 lengths.append(number)
         return out, np.concatenate(lengths)
 
-    def learn(self, pieces: list[str]) -> None:
-        words, others = [], []
-        for piece in pieces:
-            (words if piece[0] == " " and piece[1:].isalpha() else others).append(piece)
-        (ids, lengths), (more, last) = self.words(words), self.apart(others)
+    def learn(self, pieces: pa.LargeStringArray) -> None:
+        # Words first: a blank and letters.
+        plain = pc.fill_null(pc.match_substring_regex(pieces, r"^ \pL+$"), False)
+        words, others = pieces.filter(plain), pieces.filter(pc.invert(plain))
+        (ids, lengths), (more, last) = self.words(words.to_pylist()), self.apart(others.to_pylist())
         lengths = np.concatenate([lengths, last])
-        self.place.update(zip(words + others, range(len(self.place), len(self.place) + len(pieces))))
+        self.known = pa.concat_arrays([self.known, words, others])
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(lengths) - lengths])
         self.length = np.concatenate([self.length, lengths])
         self.ids = np.concatenate([self.ids, *ids, *more])
@@ -134,27 +139,30 @@ class Encoder:
         """Keep the half of the pieces that was used most, within half of the ids."""
         order = np.argsort(-self.uses, kind="stable")[: PIECES // 2]
         order = np.sort(order[np.cumsum(self.length[order]) <= PIECE_IDS // 2])
-        names = list(self.place)
-        self.place = {names[i]: k for k, i in enumerate(order)}
+        self.known = self.known.take(pa.array(order))
         length = self.length[order]
         ends = np.cumsum(length)
         self.ids = self.ids[np.repeat(self.start[order] - ends + length, length) + np.arange(int(length.sum()))]
         self.start, self.length, self.uses = ends - length, length, self.uses[order] // 2
 
+    def find(self, pieces: pa.LargeStringArray) -> np.ndarray:
+        """Where distinct pieces are among those remembered, after learning those that are not."""
+        found = pc.index_in(pieces, value_set=self.known)
+        if found.null_count and (len(self.known) > PIECES or len(self.ids) > PIECE_IDS):
+            self.forget()
+            found = pc.index_in(pieces, value_set=self.known)
+        if found.null_count:
+            self.learn(pieces.filter(found.is_null()))
+            found = pc.index_in(pieces, value_set=self.known)
+        return np.asarray(found).astype(np.int64)
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
         plain = [i for i, t in enumerate(texts) if self.pieces and not any(a in t for a in self.added) and PLAIN.fullmatch(t)]
-        cut = [self.pieces(texts[i]) for i in plain]
-        # Each distinct piece of the run is looked up once.
-        named = pa.array(list(itertools.chain(*cut)), pa.large_string()).dictionary_encode()
-        distinct = named.dictionary.to_pylist()
-        fresh = [p for p in distinct if p not in self.place]
-        if fresh:
-            if len(self.place) > PIECES or len(self.ids) > PIECE_IDS:
-                self.forget()
-                fresh = [p for p in distinct if p not in self.place]
-            self.learn(sorted(fresh))
-        every = np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))[named.indices.to_numpy()]
+        # The pieces of one text at a time are Python objects; each distinct one of the run is looked up once.
+        cut = [pa.array(self.pieces(texts[i]), pa.large_string()) for i in plain]
+        named = pa.concat_arrays([self.known.slice(0, 0), *cut]).dictionary_encode()
+        every = self.find(named.dictionary)[named.indices.to_numpy()]
         self.uses += np.bincount(every, minlength=len(self.uses))
         bounds = np.cumsum([0, *map(len, cut)])
         for i, a, b in zip(plain, bounds, bounds[1:]):
