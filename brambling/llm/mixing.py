@@ -8,7 +8,7 @@ come nearest to what is left of the target: the cut is searched among the sums o
 first coarse, then fine within one coarse bucket, so no source is ever sorted or gathered.
 
 A null or empty text has size 0. A null source is a source of its own, after all others. Rows that
-repeat an id share its hash and so its fate. An empty table gives an empty result; a source without
+repeat an id share its hash and so its fate; a source of few ids, each in many rows, can miss its target. An empty table gives an empty result; a source without
 words has target 0 and is not repeated. Input columns that are not named are ignored by ``mix`` and
 kept by ``repeat``.
 """
