@@ -8,6 +8,7 @@ column may have any type and is always named ``doc_id``.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,6 +21,8 @@ from brambling.session import cut, spread, store
 
 # A dictionary row without its word: rank, count and row overhead.
 RANK_ROW_BYTES = 48
+# Text whose words a task counts per document: the counts take about 15 times as much.
+TEXT_BYTES = 16 << 20
 
 
 def tokenize(docs: DataFrame) -> DataFrame:
@@ -96,14 +99,22 @@ def fit_dictionary(docs: DataFrame, size: int) -> Dictionary:
     return Dictionary(table, *measure(table), n_docs[0] if n_docs else 0)
 
 
+def text_parts(docs: DataFrame) -> int:
+    """Into how many parts of about ``TEXT_BYTES`` the texts go; at least one per core."""
+    nbytes = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return max(docs.sparkSession.sparkContext.defaultParallelism, math.ceil(nbytes / TEXT_BYTES))
+
+
 def bag_of_words(docs: DataFrame, dictionary: Dictionary, tokenizer: str = "letters") -> DataFrame:
     """``(doc_id, rank, cnt)``, one row per document and dictionary word in it.
 
     Texts are dealt out by ``doc_id``, which is the smallest form they have, and counted per document
-    and word where they are. The counts are unique per document and word, so even a word that every
+    and word where they are. They are measured first, so that a task counts about ``TEXT_BYTES`` of
+    them however many there are. The counts are unique per document and word, so even a word that every
     document has meets the dictionary no more often than there are documents.
     """
-    texts = docs.select("doc_id", "text").repartition("doc_id")
+    texts = docs.select("doc_id", "text")
+    texts = texts.repartition(text_parts(texts), "doc_id")
     rows = texts.select("doc_id", F.explode(_pieces(tokenizer)).alias("word")).withColumn("word", F.lower("word"))
     counted = rows.groupBy("doc_id", "word").agg(F.count("*").alias("cnt"))
     return join_small(counted, dictionary.table.select("word", "rank"), "word", dictionary.nbytes).select("doc_id", "rank", "cnt")

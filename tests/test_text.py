@@ -122,6 +122,18 @@ def test_a_dictionary_too_large_to_broadcast_gives_the_same_bag(docs):
     assert near.columns == far.columns
 
 
+def test_more_texts_are_dealt_to_more_tasks(spark, docs, monkeypatch):
+    dictionary = tf.fit_dictionary(docs, 4)
+    bag = {tuple(r) for r in tf.bag_of_words(docs, dictionary).collect()}
+    monkeypatch.setattr(tf, "TEXT_BYTES", 2)
+    nbytes = sum(len(text) for _, text in DOCS)
+    assert tf.text_parts(docs) == math.ceil(nbytes / 2) > 8
+    dealt = tf.bag_of_words(docs, dictionary)
+    assert f"hashpartitioning(doc_id#, {math.ceil(nbytes / 2)}), REPARTITION_BY_NUM" in re.sub(r"#\d+", "#", dealt._jdf.queryExecution().toString())
+    assert {tuple(r) for r in dealt.collect()} == bag
+    assert tf.text_parts(spark.createDataFrame([], "doc_id string, text string")) == 8
+
+
 def test_repeated_ids_share_one_bag(spark, docs):
     dictionary = tf.fit_dictionary(docs, 4)
     twice = spark.createDataFrame([("x", "the the"), ("x", "the cat")], "doc_id string, text string")
