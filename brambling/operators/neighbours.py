@@ -3,19 +3,21 @@
 Vectors come as rows ``(doc_id, entries)``. Pairs never become rows: a task compares its documents
 with a block of queries and keeps the k best per query, so what leaves it is at most k rows per query.
 Few queries go to every task as they are, after a check of their size, and the documents are not
-shuffled. More queries are cut into blocks by their length and a hash, documents too, and every pair of
-blocks that can hold a near pair is one group.
+shuffled. More queries are cut into blocks by their length and a hash, documents too. A block is stored
+once, as one row; every pair of blocks that can hold a near pair is a row of a Cartesian product, which
+reads the blocks again and shuffles nothing.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -26,7 +28,9 @@ from brambling.session import cut, store
 
 # Limits for the rows and the vector entries of one block; blocks are hashed, so these are means.
 QUERY_BLOCK, QUERY_ENTRIES = 512, 1 << 21
-DOC_BLOCK, DOC_ENTRIES = 50_000, 1 << 23
+DOC_BLOCK, DOC_ENTRIES = 4096, 1 << 19
+# Arrow batches of blocks end at so many bytes, where the session does not say otherwise.
+BATCH_BYTES, BATCH_SETTING = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 # Squared distances are compared at this many digits, so that the order in which a sum was
 # taken cannot decide between equally near documents; the smaller id does.
 DIGITS = 10
@@ -57,6 +61,23 @@ def _as_arrays(rows: DataFrame) -> DataFrame:
     )
 
 
+def _bounded_batches(spark: SparkSession) -> None:
+    """Batches for Python end at ``BATCH_BYTES``; without that they end at a number of rows, however long."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
+def _pack(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack(block: bytes) -> pa.Table:
+    return pa.ipc.open_stream(block).read_all()
+
+
 class _Vectors:
     """A block of sparse vectors: ids, and entry arrays with the row each entry belongs to."""
 
@@ -69,6 +90,8 @@ class _Vectors:
         self.row = np.repeat(np.arange(len(lengths)), lengths)
         self.rank, self.value = (np.asarray(column.flatten()) for column in lists)
         self.norm = np.bincount(self.row, weights=self.value**2, minlength=len(lengths))
+        # Squared distances that each vector's k nearest are known not to exceed.
+        self.bound = np.asarray(table.column("bound")) if "bound" in table.column_names else np.full(len(lengths), np.inf)
 
 
 def _expand(start: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -88,7 +111,7 @@ def _runs(count: np.ndarray, most: int) -> Iterator[slice]:
 
 
 def _distances(queries: _Vectors, docs: _Vectors, bound: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Chunks of ``(ids, squared)``, one row per document and one column per query.
+    """Chunks of ``(ids, squared)``, one row per document and one column per query, not yet rounded.
 
     Ranks that many of the queries have are multiplied as matrices. All others are looked up in an
     inverted index: per chunk of documents, the postings of each rank and their largest weight.
@@ -172,21 +195,35 @@ def _distances(queries: _Vectors, docs: _Vectors, bound: np.ndarray | None = Non
                 found = np.minimum(np.searchsorted(name, wanted), len(name) - 1)
                 product = np.where(name[found] == wanted, part[where] * missing[found], 0.0)
                 squared[pair_doc[run], pair_query[run]] -= 2.0 * np.bincount(np.repeat(np.arange(len(n)), n), product, len(n))
-        yield docs.ids[own], np.round(np.maximum(squared, 0.0), DIGITS)
+        yield docs.ids[own], squared
+
+
+def _rounded(squared: np.ndarray) -> np.ndarray:
+    return np.round(np.maximum(squared, 0.0), DIGITS)
 
 
 def _best(queries: _Vectors, blocks: Iterator[_Vectors], k: int) -> dict[str, list]:
     """The k nearest documents of every query: columns ``query_id, doc_id, squared``."""
     held_query, held_squared = np.zeros(0, np.int64), np.zeros(0)
     held_id = np.zeros(0, object)
-    bound = np.full(len(queries.ids), np.inf)  # no document beyond it can be among the k nearest
+    # No document beyond it can be among the k nearest. A bound that another sum gave is rounded up.
+    bound = queries.bound + 2 * 10.0**-DIGITS + 1e-9 * (queries.norm + queries.bound)
     for block in blocks:
         for ids, squared in _distances(queries, block, bound):
-            if len(ids) > k:
-                np.minimum(bound, np.partition(squared, k - 1, axis=0)[k - 1], out=bound)
-            doc, query = np.nonzero((squared <= bound) & np.isfinite(squared))
+            near = squared <= bound + 10.0**-DIGITS
+            many = np.flatnonzero(near.sum(axis=0) > k)
+            if len(many):
+                kth = _rounded(np.partition(squared[:, many], k - 1, axis=0)[k - 1])
+                bound[many] = np.minimum(bound[many], kth)
+                near[:, many] &= squared[:, many] <= bound[many] + 10.0**-DIGITS
+            doc, query = np.nonzero(near)
+            found = _rounded(squared[doc, query])
+            keep = (found <= bound[query]) & np.isfinite(found)
+            if not keep.any():
+                continue
+            doc, query, found = doc[keep], query[keep], found[keep]
             held_query = np.concatenate([held_query, query])
-            held_squared = np.concatenate([held_squared, squared[doc, query]])
+            held_squared = np.concatenate([held_squared, found])
             held_id = np.concatenate([held_id, ids[doc]])
             # Order by query, distance and id, and keep the first k of each query.
             name = np.unique(held_id, return_inverse=True)[1]
@@ -207,7 +244,7 @@ def _profile(queries: _Vectors, blocks: Iterator[_Vectors]) -> dict[str, list]:
     low, high = np.full(len(queries.ids), np.inf), np.zeros(len(queries.ids))
     for block in blocks:
         for ids, squared in _distances(queries, block):
-            distance = np.sqrt(squared)
+            distance = np.sqrt(_rounded(squared))
             count += len(ids)
             total += distance.sum(axis=0)
             low, high = np.minimum(low, distance.min(axis=0)), np.maximum(high, distance.max(axis=0))
@@ -220,10 +257,12 @@ def _profile(queries: _Vectors, blocks: Iterator[_Vectors]) -> dict[str, list]:
 class _Rings:
     """Vectors cut by length into rings of about equal size, and each ring by a hash into blocks.
 
-    What comes to the driver is a row per ring, of which there are at most ``RINGS``.
+    What comes to the driver is a row per ring, of which there are at most ``RINGS``. ``packed`` has a
+    row per block, with its vectors as bytes.
     """
 
     placed: DataFrame
+    packed: DataFrame
     low: np.ndarray
     high: np.ndarray
     blocks: np.ndarray
@@ -243,7 +282,24 @@ class _Rings:
         low, high = (np.array([found[i][name] if i in found else np.nan for i in every]) for name in ("low", "high"))
         blocks = np.array([size(found[i].n, found[i].e) if i in found else 0 for i in every])
         own = F.get(F.array(*[F.lit(int(x)) for x in blocks]), F.col("_ring"))
-        return cls(ringed.withColumn("_block", F.pmod(F.xxhash64("id"), own).cast("int")).drop("_length"), low, high, blocks)
+        placed = ringed.withColumn("_block", F.pmod(F.xxhash64("id"), own).cast("int")).drop("_length")
+        return cls(placed, cls.pack(placed), low, high, blocks)
+
+    @staticmethod
+    def pack(placed: DataFrame) -> DataFrame:
+        """``(_ring, _block, vectors)``, stored: what a pair of blocks needs is read, not computed again."""
+
+        def block(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+            ring, number = ([part.as_py()] for part in key)
+            vectors = rows.drop_columns(["_ring", "_block"])
+            return pa.table({"_ring": pa.array(ring, pa.int32()), "_block": pa.array(number, pa.int32()), "vectors": pa.array([_pack(vectors)], pa.binary())})
+
+        return store(placed.groupBy("_ring", "_block").applyInArrow(block, "_ring int, _block int, vectors binary"))
+
+    def bounded(self, bound: DataFrame) -> _Rings:
+        """The same with ``bound (query_id, bound)`` in each vector."""
+        known = self.placed.join(bound, F.col("id") == F.col("query_id"), "left").drop("query_id")
+        return replace(self, packed=self.pack(known.withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))))
 
     def gaps(self, others: _Rings) -> np.ndarray:
         """The least distance that vectors of each own ring and each of the others can have."""
@@ -257,19 +313,30 @@ def _few(queries: DataFrame, rows: int) -> bool:
     return n <= rows and entries <= QUERY_ENTRIES
 
 
-def _meeting(queries: _Rings, docs: _Rings, allowed: np.ndarray, meet: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
-    """``meet`` on each pair of blocks whose rings are allowed to meet."""
-    pairs = [(int(q), int(d), int(queries.blocks[q]), int(docs.blocks[d])) for q, d in zip(*np.nonzero(allowed))]
-    # At most RINGS * RINGS rows.
-    table = docs.placed.sparkSession.createDataFrame(pairs, "_q int, _d int, _nq int, _nd int")
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], bytes, bytes]]:
+    for batch in batches:
+        for row in range(len(batch)):
+            ring, number, asked, held = (batch.column(name)[row] for name in ("_q", "_bq", "asked", "held"))
+            yield (ring.as_py(), number.as_py()), asked.as_buffer(), held.as_buffer()
+
+
+def _meeting(queries: _Rings, docs: _Rings, allowed: np.ndarray, meet: Callable[[_Vectors, Iterator[_Vectors]], pa.Table], schema: str) -> DataFrame:
+    """``meet`` on each block of queries and the blocks of a task whose rings it is allowed to meet."""
+    spark = docs.packed.sparkSession
+    _bounded_batches(spark)
+    # At most RINGS rows of RINGS numbers.
+    table = spark.createDataFrame([(q, np.flatnonzero(row).tolist()) for q, row in enumerate(allowed)], "_q int, _with array<int>")
+    left = queries.packed.select(F.col("_ring").alias("_q"), F.col("_block").alias("_bq"), F.col("vectors").alias("asked")).join(F.broadcast(table), "_q")
+    right = docs.packed.select(F.col("_ring").alias("_d"), F.col("vectors").alias("held"))
 
-    def cells(rings: _Rings, own: str, other: str) -> DataFrame:
-        rows = rings.placed.withColumnRenamed("_ring", f"_{own}").withColumnRenamed("_block", f"_b{own}")
-        met = rows.join(F.broadcast(table), f"_{own}")
-        copies = F.explode(F.sequence(F.lit(0), F.col(f"_n{other}") - 1))
-        return met.withColumn(f"_b{other}", copies).drop("_nq", "_nd").groupBy("_q", "_bq", "_d", "_bd")
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, own in itertools.groupby(_pairs(batches), key=lambda pair: pair[0]):
+            first = next(own)
+            held = (_Vectors(_unpack(pair[2])) for pair in itertools.chain([first], own))
+            yield from meet(_Vectors(_unpack(first[1])), held).to_batches()
 
-    return cells(queries, "q", "d").cogroup(cells(docs, "d", "q")).applyInArrow(meet, schema)
+    met = left.join(right, F.array_contains("_with", F.col("_d"))).select("_q", "_bq", "asked", "held")
+    return met.mapInArrow(scan, schema)
 
 
 def _compare(
@@ -285,7 +352,8 @@ def _compare(
 
     With ``k``, only pairs that can hold one of the k nearest: by the triangle inequality two vectors
     are no nearer than their lengths differ. A first pass compares each ring of queries with one block
-    of the documents next to it in length; its k-th distances bound those of the whole search.
+    of the documents next to it in length; its k-th distances bound those of the whole search, and go
+    with the queries.
     """
     ids = queries.schema["doc_id"].dataType, docs.schema["doc_id"].dataType
     schema = columns.format(query=ids[0].simpleString(), doc=ids[1].simpleString())
@@ -303,10 +371,8 @@ def _compare(
 
         return right.mapInArrow(scan, schema)
 
-    def meet(query_part: pa.Table, doc_part: pa.Table) -> pa.Table:
-        if not len(query_part) or not len(doc_part):
-            return batch({name: [] for name in arrow.names})
-        return batch(reduce(_Vectors(query_part), iter([_Vectors(doc_part)])))
+    def meet(query_block: _Vectors, doc_blocks: Iterator[_Vectors]) -> pa.Table:
+        return batch(reduce(query_block, doc_blocks))
 
     asked, held = _Rings.of(left, query_block, QUERY_ENTRIES), _Rings.of(right, doc_block, DOC_ENTRIES)
     allowed = (asked.blocks[:, None] > 0) & (held.blocks[None, :] > 0)
@@ -315,15 +381,16 @@ def _compare(
         middle = np.abs((asked.low + asked.high)[:, None] - (held.low + held.high)[None, :])
         next_to = np.zeros_like(allowed)
         next_to[np.arange(len(gaps)), np.argmin(np.where(allowed, middle, np.inf), axis=1)] = True
-        one = _Rings(held.placed.where("_block = 0"), held.low, held.high, np.minimum(held.blocks, 1))
+        one = replace(held, packed=held.packed.where("_block = 0"))
         tried = _meeting(asked, one, next_to & allowed, meet, schema).groupBy("query_id").agg(F.count("*").alias("n"), F.max("squared").alias("kth"))
-        known = asked.placed.join(tried, F.col("id") == F.col("query_id"), "left")
-        kth = F.when(F.col("n") >= k, F.col("kth")).otherwise(float("inf"))
+        kth = store(tried.where(F.col("n") >= k).select("query_id", F.col("kth").alias("bound")))
+        known = asked.placed.join(kth, F.col("id") == F.col("query_id"), "left")
         bound = np.zeros(len(gaps))
-        for ring, value in known.groupBy("_ring").agg(F.max(F.coalesce(kth, F.lit(float("inf"))))).collect():
+        for ring, value in known.groupBy("_ring").agg(F.max(F.coalesce("bound", F.lit(float("inf"))))).collect():
             bound[ring] = value
         # The distances were rounded.
         allowed &= gaps**2 <= bound[:, None] + 2 * 10.0**-DIGITS
+        asked = asked.bounded(kth)
     return _meeting(asked, held, allowed, meet, schema)
 
 

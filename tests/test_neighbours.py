@@ -61,6 +61,26 @@ def test_blocks_too_far_apart_are_skipped(spark, monkeypatch):
     assert len(met) == 2 and not met[1].all() and met[1].sum() < 0.85 * met[1].size
 
 
+def test_a_vector_is_stored_once_however_many_blocks_it_meets(spark, vectors, monkeypatch):
+    queries, docs = frame(spark, vectors[:40], "q"), frame(spark, vectors, "d")
+    met = []
+    meeting = nn._meeting
+    monkeypatch.setattr(nn, "_meeting", lambda q, d, *rest: met.append((q, d)) or meeting(q, d, *rest))
+    for find in (lambda: nn.nearest(queries, docs, 10, query_block=7, doc_block=60), lambda: nn.distance_profile(queries, docs, query_block=7, doc_block=60)):
+        met.clear()
+        plan = find()._jdf.queryExecution().executedPlan().toString()
+        assert "CoGroups" not in plan and "hashpartitioning(_" not in plan
+        for side, n in zip(met[-1], (40, 300)):
+            assert sum(len(nn._unpack(bytes(row.vectors))) for row in side.packed.collect()) == n
+
+
+def test_bounds_of_the_first_pass_lose_no_neighbour(spark, vectors):
+    queries, docs = frame(spark, vectors[190:230], "q"), frame(spark, vectors, "d")
+    want = brute(vectors[190:230], vectors, 10)
+    for blocks in ((5, 12), (40, 30), (9, 400)):
+        assert found(nn.nearest(queries, docs, 10, *blocks)) == want
+
+
 def test_small_chunks_change_nothing(spark, vectors, monkeypatch):
     block = nn._distances
     monkeypatch.setattr(nn, "CELLS", 64)
