@@ -17,20 +17,18 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from brambling.functions.text import label_from_path
 from brambling.operators.text_features import TextModel, fit_transform
-from brambling.session import cut, store
+from brambling.session import bounded_batches, cut, store
 
 # Limits for the rows and the vector entries of one block; blocks are hashed, so these are means.
 QUERY_BLOCK, QUERY_ENTRIES = 512, 1 << 21
 DOC_BLOCK, DOC_ENTRIES = 4096, 1 << 19
-# Arrow batches of blocks end at so many bytes, where the session does not say otherwise.
-BATCH_BYTES, BATCH_SETTING = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 # Squared distances are compared at this many digits, so that the order in which a sum was
 # taken cannot decide between equally near documents; the smaller id does.
 DIGITS = 10
@@ -61,12 +59,6 @@ def _as_arrays(rows: DataFrame) -> DataFrame:
     )
 
 
-def _bounded_batches(spark: SparkSession) -> None:
-    """Batches for Python end at ``BATCH_BYTES``; without that they end at a number of rows, however long."""
-    if spark.conf.get(BATCH_SETTING, None) is None:
-        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
-
-
 def _pack(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema) as out:
@@ -133,9 +125,11 @@ def _distances(queries: _Vectors, docs: _Vectors, bound: np.ndarray | None = Non
     order = np.arange(len(docs.ids)) if bound is None else np.argsort(docs.norm, kind="stable")
     turn = np.empty_like(order)
     turn[order] = np.arange(len(order))
-    at = np.searchsorted(known, docs.rank)
-    shared = np.flatnonzero(at < len(known))
-    shared = shared[known[at[shared]] == docs.rank[shared]]
+    # By rank, the place in ``known``; -1 for the others, and behind the last.
+    places = np.full(int(known[-1]) + 2 if len(known) else 1, -1, np.int32)
+    places[known] = np.arange(len(known))
+    at = places[np.minimum(docs.rank, len(places) - 1)]
+    shared = np.flatnonzero(at >= 0)
     shared = shared[np.argsort(turn[docs.row[shared]], kind="stable")]
     row, at, value = turn[docs.row[shared]], at[shared], docs.value[shared]
 
@@ -323,7 +317,6 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int],
 def _meeting(queries: _Rings, docs: _Rings, allowed: np.ndarray, meet: Callable[[_Vectors, Iterator[_Vectors]], pa.Table], schema: str) -> DataFrame:
     """``meet`` on each block of queries and the blocks of a task whose rings it is allowed to meet."""
     spark = docs.packed.sparkSession
-    _bounded_batches(spark)
     # At most RINGS rows of RINGS numbers.
     table = spark.createDataFrame([(q, np.flatnonzero(row).tolist()) for q, row in enumerate(allowed)], "_q int, _with array<int>")
     left = queries.packed.select(F.col("_ring").alias("_q"), F.col("_block").alias("_bq"), F.col("vectors").alias("asked")).join(F.broadcast(table), "_q")
@@ -359,6 +352,7 @@ def _compare(
     schema = columns.format(query=ids[0].simpleString(), doc=ids[1].simpleString())
     arrow = to_arrow_schema(T.StructType.fromDDL(schema))
     left, right = _as_arrays(queries), _as_arrays(docs)
+    bounded_batches(docs.sparkSession)
 
     def batch(result: dict[str, list]) -> pa.Table:
         return pa.Table.from_pydict(result, schema=arrow)

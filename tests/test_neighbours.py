@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from brambling import session
 from brambling.functions.text import label_from_path
 from brambling.operators import neighbours as nn
 
@@ -74,6 +75,20 @@ def test_a_vector_is_stored_once_however_many_blocks_it_meets(spark, vectors, mo
             assert sum(len(nn._unpack(bytes(row.vectors))) for row in side.packed.collect()) == n
 
 
+def test_batches_of_documents_end_at_bytes(spark, vectors, monkeypatch):
+    queries, docs = frame(spark, vectors[:5], "q"), frame(spark, vectors, "d").coalesce(1)
+    spark.conf.unset(session.BATCH_SETTING)
+    monkeypatch.setattr(session, "BATCH_BYTES", 1000)
+    sizes = spark.sparkContext.accumulator(0)
+    plain = nn._best
+    monkeypatch.setattr(nn, "_best", lambda q, blocks, k: plain(q, (sizes.add(1) or b for b in blocks), k))
+    try:
+        assert found(nn.nearest(queries, docs, 10)) == brute(vectors[:5], vectors, 10)
+        assert sizes.value > 10
+    finally:
+        spark.conf.unset(session.BATCH_SETTING)
+
+
 def test_bounds_of_the_first_pass_lose_no_neighbour(spark, vectors):
     queries, docs = frame(spark, vectors[190:230], "q"), frame(spark, vectors, "d")
     want = brute(vectors[190:230], vectors, 10)
