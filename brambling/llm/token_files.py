@@ -30,6 +30,7 @@ import re
 import struct
 import zlib
 from collections.abc import Callable, Iterator
+from functools import cache
 from pathlib import Path
 
 import numpy as np
@@ -50,6 +51,8 @@ BLOCK = 1 << 16
 LEVEL = 3
 FILE_BYTES = 64 << 20
 RUN_BYTES = 4 << 20
+# Characters that are cut into pieces at a time.
+PART_CHARS = 1 << 18
 PIECES, PIECE_IDS = 400_000, 2_400_000
 JOINED = 512
 RANGE_CHARS = 64
@@ -60,6 +63,70 @@ PATTERN = r"""'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|
 # classes differ.
 PLAIN = re.compile("[\x00-\x1b\x20-\x7e\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-\u024f\u0386\u0388-\u038a\u038e-\u03a1\u03a3-\u03ce\u0400-\u0482\u048a-\u052f\u2010-\u2027\u2030-\u203e\u20ac]*")
 
+# Classes of characters in PATTERN; 0 is for those beyond PLAIN.
+LETTER, DIGIT, SIGN, WHITE, BLANK = range(1, 6)
+
+
+@cache
+def classes() -> np.ndarray:
+    """By code point, the class; the last place is for all code points behind it."""
+
+    def of(c: str) -> int:
+        if not PLAIN.fullmatch(c):
+            return 0
+        return BLANK if c == " " else WHITE if re.match(r"\s", c) else DIGIT if re.match(r"\d", c) else LETTER if re.match(r"[^\W\d_]", c) else SIGN
+
+    return np.array([of(chr(k)) for k in range(0x20AD)] + [0], np.uint8)
+
+
+def class_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all texts in order, and their classes."""
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
+    known = classes()
+    return codes, known[np.minimum(codes, len(known) - 1)]
+
+
+def pieces_of(data: bytes, codes: np.ndarray, kind: np.ndarray, bounds: np.ndarray) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """What ``PATTERN`` finds in plain texts, in order, and how many pieces each text has.
+
+    Texts follow each other in ``data``, ``bounds`` are their first and last ends in characters. Every
+    character belongs to a piece, so the pieces are where they begin.
+    """
+    n = len(kind)
+    if not n:
+        return pa.array([], pa.large_string()), np.zeros(len(bounds) - 1, np.int64)
+    fresh = np.zeros(n + 1, bool)
+    fresh[bounds] = True
+    group = np.minimum(kind, WHITE)
+    begin = fresh[:n].copy()
+    begin[1:] |= (group[1:] != group[:-1]) & (kind[:-1] != BLANK)
+    white = group == WHITE
+    # White space before something else gives its last character away, a blank to the piece behind it.
+    begin[1:] |= white[1:] & ~white[:-1]
+    last = white.copy()
+    last[:-1] &= ~white[1:]
+    begin |= last & ~fresh[1:]
+    # A sign that a blank precedes has begun with it, and does not begin a contraction.
+    mark = np.flatnonzero((codes == ord("'")) & begin)
+    room = np.searchsorted(bounds, mark, side="right")
+    room = bounds[room] - mark
+    one, two = (codes[np.minimum(mark + k, n - 1)] for k in (1, 2))
+    size = np.zeros(len(mark), np.int64)
+    for tail in ("s", "t", "m", "d", "re", "ve", "ll"):
+        size[(one == ord(tail[0])) & (room > len(tail)) & (len(tail) == 1 or two == ord(tail[-1]))] = 1 + len(tail)
+    mark, size = mark[size > 0], size[size > 0]
+    begin[mark + 1] = False
+    ends = mark + size
+    begin[ends[ends < n]] = True
+    start = np.flatnonzero(begin)
+    places = start
+    if len(data) > n:
+        width = np.cumsum(1 + (codes >= 0x80) + (codes >= 0x800))
+        places = np.concatenate([[0], width])[start]
+    offsets = np.append(places, len(data)).astype(np.int64)
+    pieces = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(data))
+    return pieces, np.diff(np.searchsorted(start, bounds))
+
 
 class Encoder:
     """Ids of texts, remembering pieces that have been encoded before, the most used ones longest."""
@@ -73,13 +140,14 @@ class Encoder:
         # A text with the string of a token that the library takes out before it cuts is encoded as a whole.
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if special or not t.special]
         self.added = added
-        self.pieces = re.compile(pattern).findall if pattern else None
+        self.pattern, self.pieces = pattern, re.compile(pattern).findall if pattern else None
         # A byte-level token has one sign per byte.
         vocabulary = self.tokenizer.get_vocab()
         self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
         self.width[list(vocabulary.values())] = [len(token) for token in vocabulary]
         self.known = pa.array([], pa.large_string())
-        self.start, self.length, self.ids, self.uses = (np.zeros(0, np.int64) for _ in range(4))
+        self.start, self.length, self.uses = (np.zeros(0, np.int64) for _ in range(3))
+        self.ids = np.zeros(0, np.uint32)
 
     @property
     def place(self) -> dict[str, int]:
@@ -98,7 +166,7 @@ class Encoder:
         return held[key]
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x.ids, np.int64) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def apart(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
         """Ids of pieces, in order, and how many each has."""
@@ -123,17 +191,22 @@ class Encoder:
                 lengths.append(number)
         return out, np.concatenate(lengths)
 
-    def learn(self, pieces: pa.LargeStringArray) -> None:
+    def learn(self, pieces: pa.LargeStringArray) -> np.ndarray:
+        """Remember new pieces; where each is then."""
         # Words first: a blank and letters.
-        plain = pc.fill_null(pc.match_substring_regex(pieces, r"^ \pL+$"), False)
-        words, others = pieces.filter(plain), pieces.filter(pc.invert(plain))
+        plain = np.asarray(pc.fill_null(pc.match_substring_regex(pieces, r"^ \pL+$"), False))
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        words, others = pieces.filter(pa.array(plain)), pieces.filter(pa.array(~plain))
         (ids, lengths), (more, last) = self.words(words.to_pylist()), self.apart(others.to_pylist())
         lengths = np.concatenate([lengths, last])
+        place = np.empty(len(pieces), np.int64)
+        place[order] = len(self.known) + np.arange(len(pieces))
         self.known = pa.concat_arrays([self.known, words, others])
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(lengths) - lengths])
         self.length = np.concatenate([self.length, lengths])
         self.ids = np.concatenate([self.ids, *ids, *more])
         self.uses = np.concatenate([self.uses, np.zeros(len(lengths), np.int64)])
+        return place
 
     def forget(self) -> None:
         """Keep the half of the pieces that was used most, within half of the ids."""
@@ -151,26 +224,54 @@ class Encoder:
         if found.null_count and (len(self.known) > PIECES or len(self.ids) > PIECE_IDS):
             self.forget()
             found = pc.index_in(pieces, value_set=self.known)
-        if found.null_count:
-            self.learn(pieces.filter(found.is_null()))
-            found = pc.index_in(pieces, value_set=self.known)
-        return np.asarray(found).astype(np.int64)
+        new = np.asarray(found.is_null())
+        place = np.asarray(pc.fill_null(found, 0)).astype(np.int64)
+        if new.any():
+            place[new] = self.learn(pieces.filter(pa.array(new)))
+        return place
+
+    def cut(self, texts: list[str]) -> tuple[list[int], pa.LargeStringArray, np.ndarray]:
+        """Which texts are cut into pieces, the pieces of all of these, and how many each has."""
+        if not self.pieces:
+            return [], pa.array([], pa.large_string()), np.zeros(0, np.int64)
+        codes, kind = class_of(texts)
+        ends = np.cumsum([len(t) for t in texts])
+        plain = np.ones(len(texts), bool)
+        plain[np.searchsorted(ends, np.flatnonzero(kind == 0), side="right")] = False
+        for a in self.added:
+            plain &= [a not in t for t in texts]
+        chosen = np.flatnonzero(plain).tolist()
+        own = [texts[i] for i in chosen]
+        if self.pattern != PATTERN:
+            found = [pa.array(self.pieces(t), pa.large_string()) for t in own]
+            return chosen, pa.concat_arrays([self.known.slice(0, 0), *found]), np.array([len(x) for x in found], np.int64)
+        if not plain.all():
+            kept = np.repeat(plain, np.diff(ends, prepend=0))
+            codes, kind = codes[kept], kind[kept]
+        bounds = np.cumsum([0, *map(len, own)])
+        return chosen, *pieces_of("".join(own).encode(), codes, kind, bounds)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
-        plain = [i for i, t in enumerate(texts) if self.pieces and not any(a in t for a in self.added) and PLAIN.fullmatch(t)]
-        # The pieces of one text at a time are Python objects; each distinct one of the run is looked up once.
-        cut = [pa.array(self.pieces(texts[i]), pa.large_string()) for i in plain]
-        named = pa.concat_arrays([self.known.slice(0, 0), *cut]).dictionary_encode()
-        every = self.find(named.dictionary)[named.indices.to_numpy()]
-        self.uses += np.bincount(every, minlength=len(self.uses))
-        bounds = np.cumsum([0, *map(len, cut)])
-        for i, a, b in zip(plain, bounds, bounds[1:]):
-            at = every[a:b]
-            length = self.length[at]
+        part = np.cumsum([0, *map(len, texts)])[:-1] // PART_CHARS
+        firsts = np.flatnonzero(np.diff(part, prepend=-1))
+        cut = [self.cut(texts[a:b]) for a, b in zip(firsts, [*firsts[1:], len(texts)])]
+        # Each distinct piece of the run is looked up once.
+        named = pa.concat_arrays([self.known.slice(0, 0), *[pieces for _, pieces, _ in cut]]).dictionary_encode()
+        place, named = self.find(named.dictionary), named.indices.to_numpy()
+        self.uses += np.bincount(place, np.bincount(named, minlength=len(place)), len(self.uses)).astype(np.int64)
+        done = 0
+        for first, (plain, pieces, number) in zip(firsts, cut):
+            every = place[named[done : done + len(pieces)]]
+            done += len(pieces)
+            length = self.length[every]
             ends = np.cumsum(length)
-            shift = np.repeat(self.start[at] - ends + length, length)
-            out[i] = self.ids[shift + np.arange(len(shift))]
+            at = np.repeat(self.start[every] - ends + length, length)
+            at += np.arange(len(at))
+            ids = self.ids.take(at)
+            bounds = np.append(0, ends)[np.append(0, np.cumsum(number))]
+            for i, a, b in zip(plain, bounds, bounds[1:]):
+                out[first + i] = ids[a:b]
         rest = [i for i, ids in enumerate(out) if ids is None]
         for i, ids in zip(rest, self.whole([texts[i] for i in rest])):
             out[i] = ids
@@ -248,7 +349,7 @@ def _writer(tokenizer: str, pattern: str | None, end: int, bits: bool, special:
             tokens += [len(ids) + 1 for ids in encoded]
             parts = [held]
             for ids in encoded:
-                parts += [ids.astype(np.uint32), np.array([end], np.uint32)]
+                parts += [ids, np.array([end], np.uint32)]
             held = np.concatenate(parts)
             full = len(held) // BLOCK * BLOCK
             out = [emit(held[i : i + BLOCK]) for i in range(0, full, BLOCK)]

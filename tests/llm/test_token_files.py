@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 from pathlib import Path
 
@@ -112,3 +113,20 @@ def test_rows_of_one_id_are_cut_into_ranges(spark, tmp_path):
     sizes = [len(tf.read_footer(memoryview(bytes(r.content)))[3]) for r in tf.read_bytes(spark, path).collect()]
     assert len(sizes) > 2 and max(sizes) < 300 and sum(sizes) == 403
     assert got(df) == brute(rows)
+
+
+def test_pieces_are_those_of_the_pattern():
+    rng = random.Random(5)
+    signs = ["'", "'s", "'re", "'ll", "'ve", "'t", "'r", " ", "  ", "\n", "\t", "\xa0", "a", "Z", "é", "ж", "7", "٣", "_", "-", "’", "€", "s", "l", "v", "e"]
+    texts = ["", "'", " ", "a'", "x's", "'s", "'", "s", "\n\n", " 's", "\n's a", "''s's"]
+    texts += ["".join(rng.choice(signs) for _ in range(rng.randrange(12))) for _ in range(20_000)]
+    plain = [t for t in texts if tf.PLAIN.fullmatch(t)]
+    codes, kind = tf.class_of(plain)
+    pieces, number = tf.pieces_of("".join(plain).encode(), codes, kind, np.cumsum([0, *map(len, plain)]))
+    want = [re.findall(tf.PATTERN, t) for t in plain]
+    assert number.tolist() == [len(w) for w in want] and pieces.to_pylist() == [p for w in want for p in w]
+    # All texts of a run at once, the plain ones among others.
+    encoder = tf.Encoder(Path(PATH).read_text(encoding="utf-8"), tf.PATTERN)
+    some = texts[:3000]
+    assert [x.tolist() for x in encoder.encode(some)] == [x.tolist() for x in encoder.whole(some)]
+    assert len(encoder.cut(some)[0]) < len(some) and [x.tolist() for x in encoder.encode([])] == []
