@@ -345,6 +345,8 @@ def _writer(tokenizer: str, pattern: str | None, end: int, bits: bool, special:
 
         for batch, texts in slices(batches, "text", RUN_BYTES):
             encoded = encoder.encode([t.decode("utf-8", "replace") for t in texts])
+            # The pieces of a run take many times its size; two tasks need not hold them until their end.
+            pa.default_memory_pool().release_unused()
             docs += batch.column("doc_id").to_pylist()
             tokens += [len(ids) + 1 for ids in encoded]
             parts = [held]
