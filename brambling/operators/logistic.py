@@ -36,6 +36,9 @@ TOLERANCE, MAX_ITERATIONS, SEED = 0.1, 60, 10
 # Pseudo ranks of the two sums that do not belong to a feature.
 LOSS, RESIDUAL = -1, -2
 
+# Entries that a task works on at a time, few enough for a core's cache.
+ENTRIES = 1 << 15
+
 
 def initial_theta(size: int, seed: int = SEED) -> np.ndarray:
     """Uniform start coefficients in [0, 1) for ``size`` features and the intercept."""
@@ -112,15 +115,24 @@ def loss_and_sums(arrays: DataFrame, theta: np.ndarray, folded: Folded) -> DataF
     def task_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, loss, residual = np.zeros(len(weights)), 0.0, 0.0
         for batch in batches:
-            y = np.asarray(batch.column("y"))
-            doc = np.repeat(np.arange(len(y)), np.asarray(batch.column("ranks").value_lengths()))
-            rank, x = (np.asarray(batch.column(name).flatten()) for name in ("ranks", "values"))
-            z = np.bincount(doc, weights=x * weights[rank], minlength=len(y)) + constant
-            small = np.exp(-np.abs(z))
-            loss += float(np.sum(np.maximum(z, 0) + np.log1p(small) - y * z))
-            r = np.where(z >= 0, 1, small) / (1 + small) - y
-            residual += float(r.sum())
-            sums += np.bincount(rank, weights=x * r[doc], minlength=len(weights))
+            every_y, lengths = np.asarray(batch.column("y")), np.asarray(batch.column("ranks").value_lengths(), np.int64)
+            ranks, values = (np.asarray(batch.column(name).flatten()) for name in ("ranks", "values"))
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+            first = 0
+            while first < len(lengths):
+                last = max(first + 1, int(np.searchsorted(ends, ends[first] + ENTRIES, side="right")) - 1)
+                own = slice(int(ends[first]), int(ends[last]))
+                y, number, rank, x = every_y[first:last], lengths[first:last], ranks[own], values[own]
+                z = np.full(len(y), constant)
+                some = number > 0
+                if some.any():
+                    z[some] += np.add.reduceat(x * weights[rank], (ends[first:last] - ends[first])[some])
+                small = np.exp(-np.abs(z))
+                loss += float(np.sum(np.maximum(z, 0) + np.log1p(small) - y * z))
+                r = np.where(z >= 0, 1, small) / (1 + small) - y
+                residual += float(r.sum())
+                sums += np.bincount(rank, weights=x * np.repeat(r, number), minlength=len(weights))
+                first = last
         found = np.flatnonzero(sums)
         ranks = np.concatenate([[LOSS, RESIDUAL], found])
         totals = np.concatenate([[loss, residual], sums[found]])

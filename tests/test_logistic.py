@@ -148,3 +148,24 @@ def test_a_model_of_five_million_ranks(spark):
     theta = np.arange(size + 1, dtype=float)
     got = {r.doc_id: r.z for r in lr.margins(rows, theta, folded).collect()}
     assert all(np.isclose(got[k], 0.01 * k * 200_000 * 2 + 0.01 * size) for k in range(20))
+
+
+def test_sums_do_not_depend_on_how_many_entries_are_taken_at_a_time(spark, monkeypatch):
+    """Documents without entries, and one with more than are taken at a time."""
+    data = [(0, [], 1), (1, [(0, 2.0), (2, -1.0)], 0), (2, [], 0), (3, [(1, 0.5)], 1), (4, [(0, 1.0), (1, 3.0), (2, 0.25)], 0)]
+    rows = spark.createDataFrame(data, "doc_id int, entries array<struct<rank:int,value:double>>, y int").coalesce(1)
+    folded = lr.Folded(np.array([0.1, 0.2, 0.3]), np.array([1.0, 2.0, 0.5]), 0.01)
+    theta = np.array([30.0, -20.0, 10.0, 5.0])
+    weights, constant = folded.weights(theta)
+    x = np.zeros((5, 3))
+    for i, entries, _ in data:
+        for rank, value in entries:
+            x[i, rank] = value
+    y = np.array([r[2] for r in data])
+    z = x @ weights + constant
+    r = 1 / (1 + np.exp(-z)) - y
+    want = folded.gradient(x.T @ r, r.sum())
+    for most in (1, 2, 1 << 15):
+        monkeypatch.setattr(lr, "ENTRIES", most)
+        loss, slope = lr.evaluate(lr.training_arrays(rows), theta, folded)
+        assert np.allclose(slope, want) and np.isclose(loss, np.sum(np.log1p(np.exp(z)) - y * z))
