@@ -38,6 +38,9 @@ CELLS, CHUNK = 1 << 21, 1024
 COMMON = 8
 # Into how many rings vectors are cut by their length, at most.
 RINGS = 256
+# Vectors of up to so many ranks that have most of them are multiplied as matrices of so many cells, in
+# blocks of so many queries.
+DENSE_WIDTH, DENSE_CELLS, DENSE_BLOCK = 1024, 1 << 20, 4096
 
 
 def dense_rows(df: DataFrame, doc_id: Column, vector: str) -> DataFrame:
@@ -196,22 +199,93 @@ def _rounded(squared: np.ndarray) -> np.ndarray:
     return np.round(np.maximum(squared, 0.0), DIGITS)
 
 
+# Documents of a chunk (their ids, and which of them and which query are near, with the squared distance).
+_Near = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def _near(queries: _Vectors, docs: _Vectors, bound: np.ndarray, k: int) -> Iterator[_Near]:
+    """The pairs of each chunk that can be among a query's k nearest; lowers ``bound``."""
+    for ids, squared in _distances(queries, docs, bound):
+        near = squared <= bound + 10.0**-DIGITS
+        many = np.flatnonzero(near.sum(axis=0) > k)
+        if len(many):
+            kth = _rounded(np.partition(squared[:, many], k - 1, axis=0)[k - 1])
+            bound[many] = np.minimum(bound[many], kth)
+            near[:, many] &= squared[:, many] <= bound[many] + 10.0**-DIGITS
+        doc, query = np.nonzero(near)
+        yield ids, doc, query, squared[doc, query]
+
+
+def _matrix(vectors: _Vectors, width: int, rows: slice) -> np.ndarray:
+    """The entries of some rows as a matrix of the first ``width`` ranks."""
+    n = rows.stop - rows.start
+    span = slice(*np.searchsorted(vectors.row, [rows.start, rows.stop]))
+    rank = vectors.rank[span]
+    own = rank < width
+    cell = (vectors.row[span] - rows.start)[own] * width + rank[own]
+    return np.bincount(cell, vectors.value[span][own], n * width).reshape(n, width)
+
+
+def _width(vectors: _Vectors) -> int:
+    """The number of ranks of vectors that have at least half of them; 0 for others and for very long ones."""
+    width = int(vectors.rank.max()) + 1 if len(vectors.rank) else 0
+    return width if width <= DENSE_WIDTH and len(vectors.rank) * 2 >= len(vectors.ids) * width else 0
+
+
+def _near_dense(queries: _Vectors, asked: np.ndarray, docs: _Vectors, bound: np.ndarray, k: int) -> Iterator[_Near]:
+    """``_near`` for queries that have most ranks, ``asked`` being their matrix.
+
+    A product in single precision gives the squared distances less what a query allows, and one more
+    number for each row its own length. What rounding can do to that is allowed for, so that no near
+    pair is lost; the pairs found are measured in double precision.
+    """
+    width = asked.shape[1]
+    longest = docs.norm.max(initial=0.0)
+    error = (width + 8) * 2.0**-21 * (queries.norm + longest) + 4 * 10.0**-DIGITS
+    reach = (np.sqrt(queries.norm) + np.sqrt(longest)) ** 2
+    kind = np.float32 if reach.max(initial=0.0) < 1e30 else np.float64
+    columns = np.concatenate([-2.0 * asked.T, np.ones((1, len(asked))), queries.norm[None, :]]).astype(kind)
+    step = max(1, min(CHUNK, DENSE_CELLS // max(1, len(asked))))
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for first in range(0, len(docs.ids), step):
+        own = slice(first, min(first + step, len(docs.ids)))
+        held = _matrix(docs, width, own)
+        rows = np.concatenate([held, docs.norm[own, None], np.ones((len(held), 1))], axis=1, dtype=kind)
+        limit = np.minimum(bound, reach) + error
+        columns[-1] = queries.norm - limit
+        over = rows @ columns
+        at = np.flatnonzero(over <= 0)
+        query = at % len(asked)
+        many = np.flatnonzero(np.bincount(query, minlength=len(asked)) > k)
+        if len(many):
+            kth = np.full(len(asked), np.inf)
+            kth[many] = np.partition(over[:, many], k - 1, axis=0)[k - 1]
+            bound[:] = np.minimum(bound, limit + kth + error)
+            near = over.ravel()[at] <= (kth + 2 * error)[query]
+            at, query = at[near], query[near]
+        doc = at // len(asked)
+        squared = np.empty(len(at))
+        for run in range(0, len(at), max(1, CELLS // width)):
+            some = slice(run, run + max(1, CELLS // width))
+            squared[some] = np.einsum("ij,ij->i", held[doc[some]], asked[query[some]])
+        found.append((doc + first, query, docs.norm[own][doc] + queries.norm[query] - 2.0 * squared))
+        if own.stop == len(docs.ids) or sum(len(part[0]) for part in found) > DENSE_CELLS:
+            yield docs.ids, *(np.concatenate(parts) for parts in zip(*found))
+            found.clear()
+
+
 def _best(queries: _Vectors, blocks: Iterator[_Vectors], k: int) -> dict[str, list]:
     """The k nearest documents of every query: columns ``query_id, doc_id, squared``."""
     held_query, held_squared = np.zeros(0, np.int64), np.zeros(0)
     held_id = np.zeros(0, object)
     # No document beyond it can be among the k nearest. A bound that another sum gave is rounded up.
     bound = queries.bound + 2 * 10.0**-DIGITS + 1e-9 * (queries.norm + queries.bound)
+    width = _width(queries)
+    asked = _matrix(queries, width, slice(0, len(queries.ids))) if width else None
     for block in blocks:
-        for ids, squared in _distances(queries, block, bound):
-            near = squared <= bound + 10.0**-DIGITS
-            many = np.flatnonzero(near.sum(axis=0) > k)
-            if len(many):
-                kth = _rounded(np.partition(squared[:, many], k - 1, axis=0)[k - 1])
-                bound[many] = np.minimum(bound[many], kth)
-                near[:, many] &= squared[:, many] <= bound[many] + 10.0**-DIGITS
-            doc, query = np.nonzero(near)
-            found = _rounded(squared[doc, query])
+        pairs = _near(queries, block, bound, k) if asked is None else _near_dense(queries, asked, block, bound, k)
+        for ids, doc, query, squared in pairs:
+            found = _rounded(squared)
             keep = (found <= bound[query]) & np.isfinite(found)
             if not keep.any():
                 continue
@@ -220,8 +294,7 @@ def _best(queries: _Vectors, blocks: Iterator[_Vectors], k: int) -> dict[str, li
             held_squared = np.concatenate([held_squared, found])
             held_id = np.concatenate([held_id, ids[doc]])
             # Order by query, distance and id, and keep the first k of each query.
-            name = np.unique(held_id, return_inverse=True)[1]
-            order = np.lexsort((name, held_squared, held_query))
+            order = _order(held_query, held_squared, held_id)
             held_query, held_squared, held_id = held_query[order], held_squared[order], held_id[order]
             start = np.searchsorted(held_query, held_query)
             place = np.arange(len(held_query)) - start
@@ -232,6 +305,18 @@ def _best(queries: _Vectors, blocks: Iterator[_Vectors], k: int) -> dict[str, li
     return {"query_id": queries.ids[held_query].tolist(), "doc_id": held_id.tolist(), "squared": held_squared.tolist()}
 
 
+def _order(query: np.ndarray, squared: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The order by query, distance and id; ids are compared only where the others are equal."""
+    order = np.lexsort((squared, query))
+    same = (np.diff(query[order]) == 0) & (np.diff(squared[order]) == 0)
+    if not same.any():
+        return order
+    tied = order[np.flatnonzero(np.concatenate([same, [False]]) | np.concatenate([[False], same]))]
+    name = np.zeros(len(ids), np.int64)
+    name[tied] = np.unique(ids[tied], return_inverse=True)[1]
+    return np.lexsort((name, squared, query))
+
+
 def _profile(queries: _Vectors, blocks: Iterator[_Vectors]) -> dict[str, list]:
     """Number, smallest, summed and largest distance of every query to the documents."""
     count, total = 0, np.zeros(len(queries.ids))
@@ -264,19 +349,20 @@ class _Rings:
     @classmethod
     def of(cls, vectors: DataFrame, rows: int, entries: int) -> _Rings:
         length = F.sqrt(F.aggregate("values", F.lit(0.0), lambda total, v: total + v * v))
-        measured = vectors.withColumn("_length", length)
+        # Stored, so that a length is not summed again for every edge that it is compared with.
+        measured = store(vectors.withColumn("_length", length).withColumn("_size", F.size("ranks")))
         size = lambda n, e: max(1, math.ceil(n / rows), math.ceil(e / entries))
-        counted = measured.agg(F.count("*"), F.coalesce(F.sum(F.size("ranks")), F.lit(0))).first()
+        counted = measured.agg(F.count("*"), F.coalesce(F.sum("_size"), F.lit(0))).first()
         rings = min(RINGS, size(*counted))
         edges = sorted(set(measured.approxQuantile("_length", [i / rings for i in range(1, rings)], 0.001))) if rings > 1 else []
         beyond = F.size(F.filter(F.array(*map(F.lit, edges)), lambda edge: edge <= F.col("_length"))) if edges else F.lit(0)
         ringed = measured.withColumn("_ring", beyond)
-        found = {r._ring: r for r in ringed.groupBy("_ring").agg(F.min("_length").alias("low"), F.max("_length").alias("high"), F.count("*").alias("n"), F.sum(F.size("ranks")).alias("e")).collect()}
+        found = {r._ring: r for r in ringed.groupBy("_ring").agg(F.min("_length").alias("low"), F.max("_length").alias("high"), F.count("*").alias("n"), F.sum("_size").alias("e")).collect()}
         every = range(len(edges) + 1)
         low, high = (np.array([found[i][name] if i in found else np.nan for i in every]) for name in ("low", "high"))
         blocks = np.array([size(found[i].n, found[i].e) if i in found else 0 for i in every])
         own = F.get(F.array(*[F.lit(int(x)) for x in blocks]), F.col("_ring"))
-        placed = ringed.withColumn("_block", F.pmod(F.xxhash64("id"), own).cast("int")).drop("_length")
+        placed = ringed.withColumn("_block", F.pmod(F.xxhash64("id"), own).cast("int")).drop("_length", "_size")
         return cls(placed, cls.pack(placed), low, high, blocks)
 
     @staticmethod
@@ -301,10 +387,11 @@ class _Rings:
         return np.maximum(0.0, np.maximum(below, above))
 
 
-def _few(queries: DataFrame, rows: int) -> bool:
-    """The queries are one block."""
-    n, entries = queries.agg(F.count("*"), F.coalesce(F.sum(F.size("ranks")), F.lit(0))).first()
-    return n <= rows and entries <= QUERY_ENTRIES
+def _size(vectors: DataFrame) -> tuple[int, int, bool]:
+    """Vectors, their entries, and whether they have most of their ranks, as ``_width`` asks."""
+    width = F.coalesce(F.max(F.array_max("ranks")) + 1, F.lit(0))
+    n, entries, ranks = vectors.agg(F.count("*"), F.coalesce(F.sum(F.size("ranks")), F.lit(0)), width).first()
+    return n, entries, 0 < ranks <= DENSE_WIDTH and entries * 2 >= n * ranks
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], bytes, bytes]]:
@@ -337,7 +424,7 @@ def _compare(
     docs: DataFrame,
     reduce: Callable[[_Vectors, Iterator[_Vectors]], dict[str, list]],
     columns: str,
-    query_block: int,
+    query_block: int | None,
     doc_block: int,
     k: int | None = None,
 ) -> DataFrame:
@@ -357,7 +444,8 @@ def _compare(
     def batch(result: dict[str, list]) -> pa.Table:
         return pa.Table.from_pydict(result, schema=arrow)
 
-    if _few(left, query_block):
+    n, entries, dense = _size(left)
+    if n <= (query_block or QUERY_BLOCK) and entries <= QUERY_ENTRIES:
         small = left.toArrow()
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -368,6 +456,7 @@ def _compare(
     def meet(query_block: _Vectors, doc_blocks: Iterator[_Vectors]) -> pa.Table:
         return batch(reduce(query_block, doc_blocks))
 
+    query_block = query_block or (DENSE_BLOCK if dense and k is not None else QUERY_BLOCK)
     asked, held = _Rings.of(left, query_block, QUERY_ENTRIES), _Rings.of(right, doc_block, DOC_ENTRIES)
     allowed = (asked.blocks[:, None] > 0) & (held.blocks[None, :] > 0)
     gaps = np.where(allowed, asked.gaps(held), np.inf)
@@ -389,11 +478,12 @@ def _compare(
 
 
 def nearest(
-    queries: DataFrame, docs: DataFrame, k: int = 10, query_block: int = QUERY_BLOCK, doc_block: int = DOC_BLOCK
+    queries: DataFrame, docs: DataFrame, k: int = 10, query_block: int | None = None, doc_block: int = DOC_BLOCK
 ) -> DataFrame:
     """``(query_id, doc_id, position, distance)``: the ``k`` nearest of ``docs`` per query.
 
-    Equal distances are ordered by ``doc_id``. Both inputs are ``(doc_id, entries)`` and should be
+    Equal distances are ordered by ``doc_id``. Without ``query_block``, blocks hold as many queries as
+    suits their kind. Both inputs are ``(doc_id, entries)`` and should be
     materialised, since the queries are counted first. Null vectors and those with a null or a
     number that is not finite are neither neighbours nor have any.
     """
@@ -415,7 +505,7 @@ def nearest(
 
 
 def distance_profile(
-    queries: DataFrame, docs: DataFrame, query_block: int = QUERY_BLOCK, doc_block: int = DOC_BLOCK
+    queries: DataFrame, docs: DataFrame, query_block: int | None = None, doc_block: int = DOC_BLOCK
 ) -> DataFrame:
     """Per query: number of documents compared, smallest, mean and largest distance to them."""
     parts = _compare(

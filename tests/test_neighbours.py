@@ -157,6 +157,71 @@ def test_index_skips_products_and_stays_exact(monkeypatch):
         assert bounded < 0.8 * sum(products)
 
 
+def dense_block(table, prefix):
+    import pyarrow as pa
+
+    ranks = [np.arange(table.shape[1], dtype=np.int32)] * len(table)
+    return nn._Vectors(pa.table({"id": [f"{prefix}/{i:05d}" for i in range(len(table))], "ranks": ranks, "values": list(table)}))
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-3, 1e6, 1e18])
+def test_dense_search_is_exact_in_single_precision(monkeypatch, scale):
+    random = np.random.RandomState(11)
+    table = random.randn(900, 16)
+    table[300:330] = table[5] + 1e-7 * random.randn(30, 16)  # nearer to each other than single precision can tell
+    table[400:440] = table[9]  # and copies, of which the smallest ids count
+    table *= scale
+    monkeypatch.setattr(nn, "CHUNK", 64)
+    monkeypatch.setattr(nn, "_distances", None)
+    docs = [dense_block(table[i : i + 200], f"d/{i // 200}") for i in range(0, 900, 200)]
+    best = nn._best(dense_block(table[:500], "q"), iter(docs), 10)
+    ids = np.concatenate([d.ids for d in docs])
+    norm = (table**2).sum(1)
+    squared = np.round(np.maximum(norm[:500, None] + norm[None] - 2 * np.einsum("qi,di->qd", table[:500], table), 0), nn.DIGITS)
+    got = {}
+    for query, doc, distance in zip(best["query_id"], best["doc_id"], best["squared"]):
+        got.setdefault(int(query[2:]), []).append((doc, distance))
+    for q in range(500):
+        assert len(got[q]) == 10
+        exact = ((table[q] - table) ** 2).sum(1)
+        at = {i: n for n, i in enumerate(ids)}
+        assert np.allclose(sorted(exact)[:10], [exact[at[d]] for d, _ in got[q]], atol=1e-8 + 1e-14 * norm.max())
+        assert np.allclose([s for _, s in got[q]], np.sort(squared[q])[:10], atol=1e-8 + 1e-14 * norm.max())
+    if scale == 1.0:
+        copies = [9, *range(400, 440)]
+        assert [d for d, _ in got[9]] == list(ids[copies[:10]])
+
+
+def test_documents_with_ranks_that_dense_queries_lack():
+    import pyarrow as pa
+
+    random = np.random.RandomState(12)
+    wide = random.randn(80, 9) * (random.rand(80, 9) < 0.6)
+    entries = [np.flatnonzero(row).astype(np.int32) for row in wide]
+    docs = nn._Vectors(pa.table({"id": [f"d/{i:03d}" for i in range(80)], "ranks": entries, "values": [row[at] for row, at in zip(wide, entries)]}))
+    narrow = random.randn(20, 4)
+    best = nn._best(dense_block(narrow, "q"), iter([docs]), 3)
+    squared = ((np.pad(narrow, ((0, 0), (0, 5)))[:, None] - wide[None]) ** 2).sum(-1)
+    want = [f"d/{i:03d}" for row in squared for i in np.argsort(row)[:3]]
+    assert best["doc_id"] == want and np.allclose(best["squared"], np.sort(squared, axis=1)[:, :3].ravel(), atol=1e-9)
+
+
+def test_ids_decide_between_equal_distances_only():
+    random = np.random.RandomState(13)
+    query, squared = random.randint(0, 5, 400), random.randint(0, 30, 400) / 4
+    ids = np.array([f"{i}" for i in random.permutation(400)], dtype=object)
+    assert [tuple(x) for x in zip(query, squared, ids)] != sorted(zip(query, squared, ids))
+    order = nn._order(query, squared, ids)
+    assert list(zip(query[order], squared[order], ids[order])) == sorted(zip(query, squared, ids))
+
+
+def test_lengths_are_summed_once_for_all_rings(spark):
+    table = np.random.RandomState(14).randn(300, 6)
+    placed = nn._Rings.of(nn._as_arrays(frame(spark, table, "d")), 20, nn.DOC_ENTRIES).placed
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert "_ring" in plan and "aggregate(" not in plan
+
+
 def test_a_vector_is_its_own_nearest_neighbour(spark, vectors):
     docs = frame(spark, vectors, "d")
     first = nn.nearest(docs, docs, 1, query_block=100, doc_block=100)
