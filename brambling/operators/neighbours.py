@@ -38,9 +38,13 @@ CELLS, CHUNK = 1 << 21, 1024
 COMMON = 8
 # Into how many rings vectors are cut by their length, at most.
 RINGS = 256
-# Vectors of up to so many ranks that have most of them are multiplied as matrices of so many cells, in
-# blocks of so many queries.
-DENSE_WIDTH, DENSE_CELLS, DENSE_BLOCK = 1024, 1 << 20, 4096
+# Vectors of up to so many ranks that have most of them are multiplied as matrices, as are many queries:
+# in blocks of so many, so many cells at a time, of others the ranks that a query in ``FREQUENT`` has,
+# up to so many cells of a block.
+DENSE_WIDTH, MANY_CELLS, MANY_BLOCK = 1024, 1 << 20, 4096
+FREQUENT, MATRIX_CELLS = 16, 1 << 22
+# Products of the other ranks that are summed at a time; their places stay in a processor's cache.
+PRODUCTS = 1 << 16
 
 
 def dense_rows(df: DataFrame, doc_id: Column, vector: str) -> DataFrame:
@@ -216,60 +220,103 @@ def _near(queries: _Vectors, docs: _Vectors, bound: np.ndarray, k: int) -> Itera
         yield ids, doc, query, squared[doc, query]
 
 
-def _matrix(vectors: _Vectors, width: int, rows: slice) -> np.ndarray:
-    """The entries of some rows as a matrix of the first ``width`` ranks."""
-    n = rows.stop - rows.start
-    span = slice(*np.searchsorted(vectors.row, [rows.start, rows.stop]))
-    rank = vectors.rank[span]
-    own = rank < width
-    cell = (vectors.row[span] - rows.start)[own] * width + rank[own]
-    return np.bincount(cell, vectors.value[span][own], n * width).reshape(n, width)
-
-
 def _width(vectors: _Vectors) -> int:
     """The number of ranks of vectors that have at least half of them; 0 for others and for very long ones."""
     width = int(vectors.rank.max()) + 1 if len(vectors.rank) else 0
     return width if width <= DENSE_WIDTH and len(vectors.rank) * 2 >= len(vectors.ids) * width else 0
 
 
-def _near_dense(queries: _Vectors, asked: np.ndarray, docs: _Vectors, bound: np.ndarray, k: int) -> Iterator[_Near]:
-    """``_near`` for queries that have most ranks, ``asked`` being their matrix.
+class _Asked:
+    """A block of queries, laid out once for all documents that it meets.
+
+    Ranks that many queries have are the columns of a matrix: all ranks of dense vectors, of others the
+    most frequent ones. Every other rank has a list of the queries that have it.
+    """
 
-    A product in single precision gives the squared distances less what a query allows, and one more
-    number for each row its own length. What rounding can do to that is allowed for, so that no near
-    pair is lost; the pairs found are measured in double precision.
+    def __init__(self, queries: _Vectors):
+        self.queries, n = queries, len(queries.ids)
+        known, times = np.unique(queries.rank, return_counts=True)
+        often = int((times * FREQUENT >= n).sum())
+        self.width = len(known) if _width(queries) else min(often, MATRIX_CELLS // max(1, n))
+        # By rank, its column and behind them the number of its list; -1 for ranks that no query has.
+        self.place = np.full(int(known[-1]) + 2 if len(known) else 1, -1, np.int32)
+        self.place[known[np.argsort(-times, kind="stable")]] = np.arange(len(known))
+        place = self.place[queries.rank]
+        own = place < self.width
+        self.matrix = np.bincount(queries.row[own] * self.width + place[own], queries.value[own], n * self.width).reshape(n, self.width)
+        by = np.argsort(place[~own], kind="stable")
+        self.query, self.weight = queries.row[~own][by], -2.0 * queries.value[~own][by]
+        self.starts = np.searchsorted(place[~own][by], np.arange(self.width, len(known) + 1))
+
+    def __len__(self) -> int:
+        return len(self.queries.ids)
+
+
+def _near_many(asked: _Asked, docs: _Vectors, bound: np.ndarray, k: int) -> Iterator[_Near]:
+    """``_near`` for many queries.
+
+    A product in single precision gives the squared distances less what a query allows, but for the
+    ranks outside the matrix, and one more number for each row its own length. The other ranks are
+    looked up document by document and added in double precision. What rounding can do to the product
+    is allowed for, so that no near pair is lost; it is taken in double precision for the pairs found.
     """
-    width = asked.shape[1]
+    queries, width = asked.queries, asked.width
     longest = docs.norm.max(initial=0.0)
-    error = (width + 8) * 2.0**-21 * (queries.norm + longest) + 4 * 10.0**-DIGITS
+    rounding = (width + 8) * 2.0**-23
     reach = (np.sqrt(queries.norm) + np.sqrt(longest)) ** 2
     kind = np.float32 if reach.max(initial=0.0) < 1e30 else np.float64
-    columns = np.concatenate([-2.0 * asked.T, np.ones((1, len(asked))), queries.norm[None, :]]).astype(kind)
-    step = max(1, min(CHUNK, DENSE_CELLS // max(1, len(asked))))
+    columns = np.concatenate([-2.0 * asked.matrix.T, np.ones((1, len(asked))), queries.norm[None, :]]).astype(kind)
+    place = asked.place[np.minimum(docs.rank, len(asked.place) - 1)]
+    shared = np.flatnonzero(place >= width)
+    row, at, value = docs.row[shared], place[shared] - width, docs.value[shared]
+    times = asked.starts[at + 1] - asked.starts[at]
+    shared = np.flatnonzero((place >= 0) & (place < width))
+    frequent = docs.row[shared], place[shared], docs.value[shared]
+    step = max(1, min(CHUNK, MANY_CELLS // max(1, len(asked), width)))
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for first in range(0, len(docs.ids), step):
-        own = slice(first, min(first + step, len(docs.ids)))
-        held = _matrix(docs, width, own)
-        rows = np.concatenate([held, docs.norm[own, None], np.ones((len(held), 1))], axis=1, dtype=kind)
-        limit = np.minimum(bound, reach) + error
-        columns[-1] = queries.norm - limit
-        over = rows @ columns
-        at = np.flatnonzero(over <= 0)
-        query = at % len(asked)
+        n = min(step, len(docs.ids) - first)
+        norm = docs.norm[first : first + n]
+        span = slice(*np.searchsorted(frequent[0], [first, first + n]))
+        held = np.bincount((frequent[0][span] - first) * width + frequent[1][span], frequent[2][span], n * width).reshape(n, width)
+        rows = np.concatenate([held, norm[:, None] * (1 - rounding), np.ones((n, 1))], axis=1, dtype=kind)
+        limit = np.minimum(bound, reach)
+        error = rounding * (queries.norm + limit) + 4 * 10.0**-DIGITS
+        columns[-1] = queries.norm - limit - error
+        product = rows @ columns
+        over = product
+        span = slice(*np.searchsorted(row, [first, first + n]))
+        if span.start < span.stop:
+            over = np.zeros((n, len(asked)))
+            ends = np.searchsorted(row[span], np.arange(first, first + n + 1)) + span.start
+            total = np.concatenate([[0], np.cumsum(times[span])])
+            for some in _runs(np.diff(total[ends - span.start]), PRODUCTS):
+                own = slice(ends[some.start], ends[some.stop])
+                where = _expand(asked.starts[at[own]], times[own])
+                cell = asked.query[where] + np.repeat((row[own] - first - some.start) * len(asked), times[own])
+                amount = asked.weight[where] * np.repeat(value[own], times[own])
+                over[some] = np.bincount(cell, amount, (some.stop - some.start) * len(asked)).reshape(-1, len(asked))
+            over += product
+        pair = np.flatnonzero(over <= 0)
+        query = pair % len(asked)
         many = np.flatnonzero(np.bincount(query, minlength=len(asked)) > k)
         if len(many):
             kth = np.full(len(asked), np.inf)
             kth[many] = np.partition(over[:, many], k - 1, axis=0)[k - 1]
-            bound[:] = np.minimum(bound, limit + kth + error)
-            near = over.ravel()[at] <= (kth + 2 * error)[query]
-            at, query = at[near], query[near]
-        doc = at // len(asked)
-        squared = np.empty(len(at))
-        for run in range(0, len(at), max(1, CELLS // width)):
-            some = slice(run, run + max(1, CELLS // width))
-            squared[some] = np.einsum("ij,ij->i", held[doc[some]], asked[query[some]])
-        found.append((doc + first, query, docs.norm[own][doc] + queries.norm[query] - 2.0 * squared))
-        if own.stop == len(docs.ids) or sum(len(part[0]) for part in found) > DENSE_CELLS:
+            kth += 2 * (error + rounding * longest)
+            bound[:] = np.minimum(bound, limit + kth)
+            near = over.ravel()[pair] <= kth[query]
+            pair, query = pair[near], query[near]
+        doc = pair // len(asked)
+        # What the ranks outside the matrix add is the difference.
+        squared = norm[doc] + queries.norm[query]
+        if over is not product:
+            squared += over.ravel()[pair] - product.ravel()[pair]
+        for run in range(0, len(pair), max(1, CELLS // max(1, width))):
+            some = slice(run, run + max(1, CELLS // max(1, width)))
+            squared[some] -= 2.0 * np.einsum("ij,ij->i", held[doc[some]], asked.matrix[query[some]])
+        found.append((doc + first, query, squared))
+        if first + n == len(docs.ids) or sum(len(part[0]) for part in found) > MANY_CELLS:
             yield docs.ids, *(np.concatenate(parts) for parts in zip(*found))
             found.clear()
 
@@ -280,10 +327,9 @@ def _best(queries: _Vectors, blocks: Iterator[_Vectors], k: int) -> dict[str, li
     held_id = np.zeros(0, object)
     # No document beyond it can be among the k nearest. A bound that another sum gave is rounded up.
     bound = queries.bound + 2 * 10.0**-DIGITS + 1e-9 * (queries.norm + queries.bound)
-    width = _width(queries)
-    asked = _matrix(queries, width, slice(0, len(queries.ids))) if width else None
+    asked = _Asked(queries) if len(queries.ids) > QUERY_BLOCK or _width(queries) else None
     for block in blocks:
-        pairs = _near(queries, block, bound, k) if asked is None else _near_dense(queries, asked, block, bound, k)
+        pairs = _near(queries, block, bound, k) if asked is None else _near_many(asked, block, bound, k)
         for ids, doc, query, squared in pairs:
             found = _rounded(squared)
             keep = (found <= bound[query]) & np.isfinite(found)
@@ -387,11 +433,9 @@ class _Rings:
         return np.maximum(0.0, np.maximum(below, above))
 
 
-def _size(vectors: DataFrame) -> tuple[int, int, bool]:
-    """Vectors, their entries, and whether they have most of their ranks, as ``_width`` asks."""
-    width = F.coalesce(F.max(F.array_max("ranks")) + 1, F.lit(0))
-    n, entries, ranks = vectors.agg(F.count("*"), F.coalesce(F.sum(F.size("ranks")), F.lit(0)), width).first()
-    return n, entries, 0 < ranks <= DENSE_WIDTH and entries * 2 >= n * ranks
+def _size(vectors: DataFrame) -> tuple[int, int]:
+    """Vectors and their entries."""
+    return tuple(vectors.agg(F.count("*"), F.coalesce(F.sum(F.size("ranks")), F.lit(0))).first())
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], bytes, bytes]]:
@@ -444,7 +488,7 @@ def _compare(
     def batch(result: dict[str, list]) -> pa.Table:
         return pa.Table.from_pydict(result, schema=arrow)
 
-    n, entries, dense = _size(left)
+    n, entries = _size(left)
     if n <= (query_block or QUERY_BLOCK) and entries <= QUERY_ENTRIES:
         small = left.toArrow()
 
@@ -456,7 +500,7 @@ def _compare(
     def meet(query_block: _Vectors, doc_blocks: Iterator[_Vectors]) -> pa.Table:
         return batch(reduce(query_block, doc_blocks))
 
-    query_block = query_block or (DENSE_BLOCK if dense and k is not None else QUERY_BLOCK)
+    query_block = query_block or (QUERY_BLOCK if k is None else MANY_BLOCK)
     asked, held = _Rings.of(left, query_block, QUERY_ENTRIES), _Rings.of(right, doc_block, DOC_ENTRIES)
     allowed = (asked.blocks[:, None] > 0) & (held.blocks[None, :] > 0)
     gaps = np.where(allowed, asked.gaps(held), np.inf)

@@ -206,6 +206,58 @@ def test_documents_with_ranks_that_dense_queries_lack():
     assert best["doc_id"] == want and np.allclose(best["squared"], np.sort(squared, axis=1)[:, :3].ravel(), atol=1e-9)
 
 
+@pytest.mark.parametrize("scale", [1.0, 1e-3, 1e18])
+@pytest.mark.parametrize("cells", [1 << 22, 700 * 20, 0])  # of the matrix of frequent ranks: all of them, some, none
+def test_many_sparse_queries_are_exact_by_products(monkeypatch, cells, scale):
+    import pyarrow as pa
+
+    random = np.random.RandomState(21)
+    docs, held = sparse_block(random, 1500, 400, "d")
+    held[600:640] = held[3]  # copies, of which the smallest ids count
+    held[700:720] = held[4] * (1 + 1e-7 * random.randn(20, 1))  # nearer to each other than single precision can tell
+    held *= scale
+
+    def block(rows, prefix):
+        entries = [np.flatnonzero(row).astype(np.int32) for row in rows]
+        values = [row[at] for row, at in zip(rows, entries)]
+        return nn._Vectors(pa.table({"id": [f"{prefix}/{i:05d}" for i in range(len(rows))], "ranks": pa.array(entries, pa.list_(pa.int32())), "values": pa.array(values, pa.list_(pa.float64()))}))
+
+    asked = np.concatenate([held[:698], np.zeros((2, 400))])  # vectors of zeros have no entries
+    asked[5:400, 390:] = 0
+    monkeypatch.setattr(nn, "_distances", None)
+    monkeypatch.setattr(nn, "MATRIX_CELLS", cells)
+    monkeypatch.setattr(nn, "CHUNK", 64)
+    monkeypatch.setattr(nn, "PRODUCTS", 500)
+    queries = block(asked, "q")
+    assert 0 < len(nn._Asked(queries).query) or cells == 1 << 22
+    best = nn._best(queries, iter([block(held[i : i + 300], f"d/{i // 300}") for i in range(0, 1500, 300)]), 10)
+    squared = np.array([((held - row) ** 2).sum(1) for row in asked])
+    got = {}
+    for query, doc, distance in zip(best["query_id"], best["doc_id"], best["squared"]):
+        part, row = doc[2:].split("/")
+        got.setdefault(int(query[2:]), []).append((int(part) * 300 + int(row), distance))
+    norm = (held**2).sum(1).max()
+    for q in range(700):
+        near, distances = zip(*got[q])
+        assert np.allclose(np.sort(squared[q])[:10], squared[q, list(near)], atol=1e-8 + 1e-14 * norm)
+        assert np.allclose(distances, np.sort(squared[q])[:10], atol=1e-8 + 1e-14 * norm)
+    if scale == 1.0:
+        assert [d for d, _ in got[3]] == [3, *range(600, 609)]
+
+
+def test_a_block_of_documents_meets_many_sparse_queries_at_once(spark, monkeypatch):
+    """Blocks of few queries would lay the same documents out again for each of them."""
+    random = np.random.RandomState(22)
+    table = random.rand(1400, 40) * (random.rand(1400, 40) < 0.2)
+    table[:, 0] += 0.01
+    queries, docs = frame(spark, table[:700], "q"), frame(spark, table, "d")
+    met = []
+    meeting = nn._meeting
+    monkeypatch.setattr(nn, "_meeting", lambda q, *rest: met.append(q) or meeting(q, *rest))
+    assert found(nn.nearest(queries, docs, 3, doc_block=500)) == brute(table[:700], table, 3)
+    assert met[-1].packed.count() == 1
+
+
 def test_ids_decide_between_equal_distances_only():
     random = np.random.RandomState(13)
     query, squared = random.randint(0, 5, 400), random.randint(0, 30, 400) / 4
