@@ -78,6 +78,50 @@ def test_threshold():
     assert toxicity.threshold(np.array([0.9, 0.5, 0.5, 0.2]), np.array([1, 1, 0, 0])) == 0.35
 
 
+def test_all_labels_are_learned_from(spark):
+    """Each of 60 bad words is in a few documents only: a sample of the labels knows few of them."""
+    rng = np.random.default_rng(5)
+    plain = [f"plain{k}" for k in range(80)]
+    rows = []
+    for i in range(3000):
+        words = list(rng.choice(plain, 20))
+        if i % 5 == 0:
+            words[rng.integers(0, 20)] = f"{'zyxwvu'[i // 5 % 6]}bad{i // 5 % 60}"
+        rows.append((i, " ".join(words), "en", int(i % 5 == 0)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int").repartition(3)
+    new = [(i, f"plain1 plain2 {'zyxwvu'[i % 6]}bad{i} plain3", 1) for i in range(60)] + [(100 + i, " ".join(plain[i : i + 20]), 0) for i in range(40)]
+    asked = spark.createDataFrame(new, "doc_id long, text string, toxic int")
+    scores = []
+    for parts in (3, 7):
+        model = toxicity.fit(table.repartition(parts), table.select("doc_id", "toxic"), F.lit(True), "toxic", "doc_id", "text", "lang", 120)
+        rows = quality.with_score(asked, model, ["doc_id", "toxic"], "text", "score").orderBy("doc_id").collect()
+        scores.append([r.score for r in rows])
+    right = [(r.score >= 0.5) == (r.toxic == 1) for r in rows]
+    assert np.mean(right[:60]) >= 0.95 and np.mean(right[60:]) >= 0.95
+    # How the rows lie in partitions does not matter, nor the order of sums.
+    assert scores[0] == scores[1]
+
+
+def test_what_a_shard_moved_is_put_back():
+    docs, y = small()
+    first = toxicity.begin(toxicity.presence(docs[:50], y[:50]) + toxicity.presence(docs[50:], y[50:]), len(docs), float(y.sum()))
+    alone, copied = (toxicity.begin(toxicity.presence(docs, y), len(docs), float(y.sum())) for _ in range(2))
+    assert np.array_equal(first.words, alone.words) and np.array_equal(first.prefixes, alone.prefixes) and first.base == alone.base
+    alone.learn(docs, y, 3, np.random.default_rng(0))
+    keys, weights, rows = alone.changes(len(docs))
+    turn = np.random.default_rng(1).permutation(len(keys))
+    copied.put(keys[turn], rows[turn])
+    assert len(set(keys)) == len(keys) and weights.min() > 0 and weights[-1] == len(docs)
+    assert np.array_equal(copied.logits(docs), alone.logits(docs)) and not np.array_equal(first.logits(docs), alone.logits(docs))
+    for name in ("filters0", "filters2", "bias", "out"):
+        assert np.array_equal(copied.squares[name], alone.squares[name])
+
+
+def test_threshold_of_counted_scores():
+    score, y = np.array([0.9, 0.5, 0.5, 0.2]), np.array([1, 1, 0, 0])
+    assert toxicity.threshold(np.array([0.9, 0.5, 0.2]), np.array([1, 1, 0]), np.array([1, 2, 1])) == toxicity.threshold(score, y)
+
+
 def test_edges(spark):
     rows = [(1, None, None, 0.0), (2, "", "en", 0.0), (3, "fine words " * 50_000, "en", 0.0), (None, "x", "en", 0.0), (2, "", "en", 0.0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score double")
