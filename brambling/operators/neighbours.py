@@ -409,23 +409,26 @@ class _Rings:
         blocks = np.array([size(found[i].n, found[i].e) if i in found else 0 for i in every])
         own = F.get(F.array(*[F.lit(int(x)) for x in blocks]), F.col("_ring"))
         placed = ringed.withColumn("_block", F.pmod(F.xxhash64("id"), own).cast("int")).drop("_length", "_size")
-        return cls(placed, cls.pack(placed), low, high, blocks)
+        return cls(placed, cls.pack(placed, int(blocks.sum())), low, high, blocks)
 
     @staticmethod
-    def pack(placed: DataFrame) -> DataFrame:
-        """``(_ring, _block, vectors)``, stored: what a pair of blocks needs is read, not computed again."""
+    def pack(placed: DataFrame, blocks: int) -> DataFrame:
+        """``(_ring, _block, vectors)``, stored: what a pair of blocks needs is read, not computed again.
+
+        A file has few blocks, however many there are: Spark holds thousands of a file's rows at a time.
+        """
 
         def block(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
             ring, number = ([part.as_py()] for part in key)
             vectors = rows.drop_columns(["_ring", "_block"])
             return pa.table({"_ring": pa.array(ring, pa.int32()), "_block": pa.array(number, pa.int32()), "vectors": pa.array([_pack(vectors)], pa.binary())})
 
-        return store(placed.groupBy("_ring", "_block").applyInArrow(block, "_ring int, _block int, vectors binary"))
+        return store(placed.repartition(max(1, blocks), "_ring", "_block").groupBy("_ring", "_block").applyInArrow(block, "_ring int, _block int, vectors binary"))
 
     def bounded(self, bound: DataFrame) -> _Rings:
         """The same with ``bound (query_id, bound)`` in each vector."""
         known = self.placed.join(bound, F.col("id") == F.col("query_id"), "left").drop("query_id")
-        return replace(self, packed=self.pack(known.withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))))
+        return replace(self, packed=self.pack(known.withColumn("bound", F.coalesce("bound", F.lit(float("inf")))), int(self.blocks.sum())))
 
     def gaps(self, others: _Rings) -> np.ndarray:
         """The least distance that vectors of each own ring and each of the others can have."""

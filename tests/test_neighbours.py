@@ -258,6 +258,15 @@ def test_a_block_of_documents_meets_many_sparse_queries_at_once(spark, monkeypat
     assert met[-1].packed.count() == 1
 
 
+def test_a_file_has_few_blocks_however_many_there_are(spark):
+    table = np.random.RandomState(23).randn(1200, 4)
+    rings = nn._Rings.of(nn._as_arrays(frame(spark, table, "d")), 6, nn.DOC_ENTRIES)
+    bounds = spark.createDataFrame([("d/x/000", 1.0)], "query_id string, bound double")
+    for packed in (rings.packed, rings.bounded(bounds).packed):
+        per_file = [r["count"] for r in packed.groupBy(F.input_file_name()).count().collect()]
+        assert sum(per_file) >= 150 and max(per_file) <= 12
+
+
 def test_ids_decide_between_equal_distances_only():
     random = np.random.RandomState(13)
     query, squared = random.randint(0, 5, 400), random.randint(0, 30, 400) / 4
